@@ -53,8 +53,21 @@ CORE = ["ma5", "ma10", "ma20", "ma50", "ma100", "ma200", "bb_upper", "bb_middle"
         "macd_line", "macd_signal", "macd_histogram", "rsi14", "obv"]
 
 
+EXTENDED = ["adx", "plus_di", "minus_di", "stoch_k", "stoch_d", "cci", "atr", "parabolic_sar",
+            "volume_ma20", "mfi", "pivot", "support1", "support2", "support3",
+            "resistance1", "resistance2", "resistance3"]
+
+
 def rounded(*columns: str, decimals: int = 9) -> str:
-    return ", ".join(f"round({c}, {decimals}) + 0.0 AS {c}" for c in columns)
+    return ", ".join(f'round("{c}", {decimals}) + 0.0 AS "{c}"' for c in columns)
+
+
+def rounded_of(table: str, *columns: str) -> str:
+    return ", ".join(f'round({table}."{c}", 9) + 0.0 AS "{c}"' for c in columns)
+
+
+def narrow(*columns: str) -> str:
+    return ", ".join(f"CAST(round({c}, 9) + 0.0 AS FLOAT) AS {c}" for c in columns)
 
 
 def indicators(*columns: str, part: str = "symbol", bars: str = HOURLY, decimals: int = 9) -> str:
@@ -62,6 +75,83 @@ def indicators(*columns: str, part: str = "symbol", bars: str = HOURLY, decimals
 SELECT symbol, day, time, {rounded('close', *columns, decimals=decimals)} FROM ind"""
 
 
+def extended(part: str = "symbol") -> str:
+    """CTE ``ext``: the windowed extended indicators."""
+    def rows(n):
+        return f"(PARTITION BY {part} ORDER BY time ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    series = f"(PARTITION BY {part} ORDER BY time)"
+    return f"""e1 AS (
+  SELECT *, (high + low + close) / 3 AS tp, lag(close) OVER {series} AS pc,
+         high - lag(high) OVER {series} AS rise, lag(low) OVER {series} - low AS fall,
+         min(low) OVER {rows(14)} AS lowest, max(high) OVER {rows(14)} AS highest,
+         avg(volume) OVER {rows(20)} AS volume_ma20
+  FROM bars),
+e2 AS (
+  SELECT *, greatest(high - low, abs(high - pc), abs(low - pc)) AS tr,
+         CASE WHEN rise > fall AND rise > 0 THEN rise ELSE 0 END AS dmp,
+         CASE WHEN fall > rise AND fall > 0 THEN fall ELSE 0 END AS dmm,
+         CASE WHEN highest <> lowest THEN 100 * (close - lowest) / (highest - lowest) END AS stoch_k,
+         list(tp) OVER {rows(20)} AS tps, avg(tp) OVER {rows(20)} AS mtp,
+         tp - lag(tp) OVER {series} AS dtp
+  FROM e1),
+e3 AS (
+  SELECT *, avg(tr) OVER {rows(14)} AS atr, sum(tr) OVER {rows(14)} AS str,
+         sum(dmp) OVER {rows(14)} AS sp, sum(dmm) OVER {rows(14)} AS sm,
+         avg(stoch_k) OVER {rows(3)} AS stoch_d,
+         list_sum(list_transform(tps, lambda z: abs(z - mtp))) / len(tps) AS dev,
+         sum(CASE WHEN dtp > 0 THEN tp * volume ELSE 0 END) OVER {rows(14)} AS inflow,
+         sum(CASE WHEN dtp < 0 THEN tp * volume ELSE 0 END) OVER {rows(14)} AS outflow
+  FROM e2),
+e4 AS (
+  SELECT *, CASE WHEN str <> 0 THEN 100 * sp / str END AS plus_di,
+         CASE WHEN str <> 0 THEN 100 * sm / str END AS minus_di,
+         CASE WHEN sp + sm <> 0 THEN 100 * abs(sp - sm) / (sp + sm) END AS dx,
+         CASE WHEN dev > 1e-12 THEN (tp - mtp) / (0.015::DOUBLE * dev) END AS cci,
+         CASE WHEN outflow = 0 THEN 100.0::DOUBLE ELSE 100 - 100 / (1 + inflow / outflow) END AS mfi
+  FROM e3),
+ext AS (SELECT *, avg(dx) OVER {rows(14)} AS adx FROM e4)"""
+
+
+def extended_report(*columns: str) -> str:
+    return f"WITH {HOURLY}, {extended()} SELECT symbol, day, time, {rounded(*columns)} FROM ext"
+
+
+PIVOTS = """days AS (SELECT symbol, day, max(high) AS h, min(low) AS l, arg_max(close, time) AS c
+  FROM bars GROUP BY symbol, day),
+before AS (
+  SELECT symbol, day, lag(h) OVER w AS h, lag(l) OVER w AS l, lag(c) OVER w AS c FROM days
+  WINDOW w AS (PARTITION BY symbol ORDER BY day)),
+levels AS (
+  SELECT symbol, day, p AS "pivot", 2 * p - h AS support1, p - (h - l) AS support2,
+         l - 2 * (h - p) AS support3, 2 * p - l AS resistance1, p + (h - l) AS resistance2,
+         h + 2 * (p - l) AS resistance3
+  FROM (SELECT *, (h + l + c) / 3 AS p FROM before))"""
+
+LEVELS = ("pivot", "support1", "support2", "support3", "resistance1", "resistance2", "resistance3")
+
+# One step of the recursion per bar; the first bar of a symbol starts a rise.
+SAR = """num AS (
+  SELECT symbol, day, time, high, low, row_number() OVER (PARTITION BY symbol ORDER BY time) AS rn
+  FROM bars),
+walk AS (
+  SELECT symbol, day, time, rn, true AS up, low AS sar, high AS ep, 0.02::DOUBLE AS af,
+         high AS h1, high AS h2, low AS l1, low AS l2
+  FROM num WHERE rn = 1
+  UNION ALL
+  SELECT symbol, day, time, rn, up <> flip AS up,
+         CASE WHEN flip THEN ep ELSE cap END AS sar,
+         CASE WHEN flip AND up THEN low WHEN flip THEN high WHEN up THEN greatest(ep, high)
+              ELSE least(ep, low) END AS ep,
+         CASE WHEN flip THEN 0.02::DOUBLE
+              WHEN (up AND high > ep) OR (NOT up AND low < ep) THEN least(af + 0.02::DOUBLE, 0.2::DOUBLE)
+              ELSE af END AS af,
+         high AS h1, h1 AS h2, low AS l1, l1 AS l2
+  FROM (SELECT *, CASE WHEN up THEN low < cap ELSE high > cap END AS flip
+        FROM (SELECT n.symbol, n.day, n.time, n.rn, n.high, n.low, w.up, w.ep, w.af, w.h1, w.l1,
+                     CASE WHEN w.up THEN least(w.sar + w.af * (w.ep - w.sar), w.l1, w.l2)
+                          ELSE greatest(w.sar + w.af * (w.ep - w.sar), w.h1, w.h2) END AS cap
+              FROM walk w JOIN num n ON n.symbol = w.symbol AND n.rn = w.rn + 1)))"""
+
 PRICES = ("open", "high", "low", "close", "volume")
 
 ORACLES = {
@@ -74,4 +164,24 @@ ORACLES = {
     "core_indicators": indicators(*CORE),
     "indicators_daily_reset": indicators(*CORE, part="symbol, day"),
     "sales_indicators": indicators(*CORE, bars=SALES, decimals=6),
+    "atr": extended_report("atr"),
+    "adx": extended_report("plus_di", "minus_di", "adx"),
+    "stochastic": extended_report("stoch_k", "stoch_d"),
+    "cci": extended_report("cci"),
+    "volume_ma_mfi": extended_report("volume_ma20", "mfi"),
+    "pivots": f"""WITH {HOURLY}, {PIVOTS}
+SELECT symbol, day, time, {rounded(*LEVELS)} FROM bars LEFT JOIN levels USING (symbol, day)""",
+    "parabolic_sar": f"""WITH RECURSIVE {HOURLY}, {SAR}
+SELECT symbol, day, time, round(sar, 9) + 0.0 AS parabolic_sar FROM walk""",
+    "all_indicators": f"""WITH RECURSIVE {HOURLY}, {core("symbol")}, {extended()}, {PIVOTS}, {SAR}
+SELECT ind.symbol, ind.day, ind.time, {rounded_of("ind", *PRICES, *CORE)},
+       {rounded_of("ext", "adx", "plus_di", "minus_di", "stoch_k", "stoch_d", "cci", "atr",
+                   "volume_ma20", "mfi")},
+       round(walk.sar, 9) + 0.0 AS parabolic_sar, {rounded_of("levels", *LEVELS)}
+FROM ind JOIN ext USING (symbol, time) JOIN walk USING (symbol, time)
+LEFT JOIN levels ON levels.symbol = ind.symbol AND levels.day = ind.day""",
+    "indicator_row_compat": f"""WITH {HOURLY}, {core("symbol")}
+SELECT symbol, day, time, {narrow("open", "high", "low", "close", *CORE)},
+       CAST(trunc(volume) AS BIGINT) AS volume,
+       {", ".join(f'NULL::FLOAT AS "{c}"' for c in EXTENDED)} FROM ind""",
 }

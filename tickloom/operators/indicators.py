@@ -7,9 +7,12 @@ what there is. Input: bars with one row per (symbol, time).
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from tickloom.operators.extended import extended_families
+from tickloom.operators.pivots import with_pivots
 from tickloom.operators.rolling import Family, last_rows, rolling_means, run_families, so_far
+from tickloom.operators.sar import with_sar
 from tickloom.operators.spans import Spans, in_order, over_spans, span_facts
-from tickloom.schemas import CORE_INDICATORS
+from tickloom.schemas import CORE_INDICATORS, EXTENDED_INDICATORS
 
 # Window sizes in rows.
 MA_SIZES = (5, 10, 20, 50, 100, 200)
@@ -108,23 +111,32 @@ def bounded_families(w: WindowSpec) -> list[Family]:
     return [averages(w), bollinger(w), rsi(w)]
 
 
-def with_indicators(bars: DataFrame, reset: str = "none", spans: Spans = Spans()) -> DataFrame:
-    """Add the core indicators to ``bars``.
+def with_indicators(
+    bars: DataFrame, reset: str = "none", spans: Spans = Spans(), extended: bool = False
+) -> DataFrame:
+    """Add the core indicators to ``bars``, and with ``extended`` all others too.
 
     ``reset="none"`` treats a symbol's bars as one series, ``reset="day"``
     starts every (symbol, day) afresh. Bars without a symbol are left out.
     """
     columns = bars.columns
     bars = bars.where(F.col("symbol").isNotNull())
+    if extended:
+        # Joined to the bars first; the windows below then carry them along.
+        bars = with_pivots(with_sar(bars, reset, spans))
+
+    def families(w: WindowSpec) -> list[Family]:
+        return bounded_families(w) + (extended_families(w) if extended else [])
+
     if reset == "day":
         w = in_order("symbol", "day")
-        out = run_families(bars, [*bounded_families(w), flow(w)])
+        out = run_families(bars, [*families(w), flow(w)])
     elif reset == "none":
         out = (
-            over_spans(bars, bounded_families, REACH, spans,
+            over_spans(bars, families, REACH, spans,
                        facts=flow_facts(bars, spans), per_span=lambda w: [flow(w)])
             .withColumn("obv", F.col("obv") + F.col("_before"))
         )
     else:
         raise ValueError(f"reset must be 'none' or 'day', not {reset!r}")
-    return out.select(*columns, *CORE_INDICATORS)
+    return out.select(*columns, *CORE_INDICATORS, *(EXTENDED_INDICATORS if extended else []))

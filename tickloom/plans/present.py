@@ -12,7 +12,7 @@ DECIMALS = 9
 def present(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
     def shape(field: T.StructField):
         column = F.col(field.name)
-        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        if isinstance(field.dataType, T.DoubleType):
             column = F.round(column, decimals)
         elif isinstance(field.dataType, T.DateType):
             column = F.date_format(column, "yyyy-MM-dd")

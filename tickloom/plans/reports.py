@@ -4,16 +4,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators.candles import build_candles
-from tickloom.operators.indicators import with_indicators
-from tickloom.operators.spans import Spans
+from tickloom.operators.extended import channel, money_flow, stochastic, trend
+from tickloom.operators.indicators import REACH, with_indicators
+from tickloom.operators.pivots import with_pivots
+from tickloom.operators.sar import with_sar
+from tickloom.operators.spans import Spans, over_spans
 from tickloom.plans.present import DECIMALS, present
-from tickloom.schemas import CORE_INDICATORS, KEY_COLUMNS
-from tickloom.session import prepare
+from tickloom.plans.rows import compat_rows, full_rows
+from tickloom.schemas import CORE_INDICATORS, EXTENDED_INDICATORS, KEY_COLUMNS
+from tickloom.session import prepare, settle
 from tickloom.sources.tables import read_sales, read_ticks
 
 HOUR = 3_600
 DAY = 86_400
 
+PIVOT_COLUMNS = EXTENDED_INDICATORS[EXTENDED_INDICATORS.index("pivot"):]
+
 # Ten days of hourly bars to a span, so that series cross span borders.
 HOURLY_SPANS = Spans(width_seconds=HOUR, rows_per_span=240)
 DAILY_SPANS = Spans(width_seconds=DAY)
@@ -43,6 +49,35 @@ def _indicators(*columns: str, reset: str = "none", bars=hourly_bars, spans=HOUR
     return query
 
 
+def _extended(*columns: str, families):
+    """Windowed extended indicators, each on its own."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        out = over_spans(hourly_bars(spark, folder), families, REACH, HOURLY_SPANS)
+        return present(out.select(*KEY_COLUMNS, *columns))
+
+    return query
+
+
+def parabolic_sar(spark: SparkSession, folder: str) -> DataFrame:
+    bars = settle(hourly_bars(spark, folder), "bars")
+    return present(with_sar(bars, spans=HOURLY_SPANS).select(*KEY_COLUMNS, "parabolic_sar"))
+
+
+def pivots(spark: SparkSession, folder: str) -> DataFrame:
+    return present(with_pivots(hourly_bars(spark, folder)).select(*KEY_COLUMNS, *PIVOT_COLUMNS))
+
+
+def all_indicators(spark: SparkSession, folder: str) -> DataFrame:
+    bars = settle(hourly_bars(spark, folder), "bars")
+    return present(full_rows(with_indicators(bars, spans=HOURLY_SPANS, extended=True)))
+
+
+def indicator_row_compat(spark: SparkSession, folder: str) -> DataFrame:
+    enriched = with_indicators(hourly_bars(spark, folder), spans=HOURLY_SPANS)
+    return compat_rows(present(enriched))
+
+
 def candles_1h(spark: SparkSession, folder: str) -> DataFrame:
     return present(hourly_bars(spark, folder))
 
@@ -58,4 +93,13 @@ REPORTS = {
     "indicators_daily_reset": _indicators(*CORE_INDICATORS, reset="day"),
     "sales_indicators": _indicators(*CORE_INDICATORS, bars=daily_sales_bars, spans=DAILY_SPANS,
                                     decimals=SALES_DECIMALS),
+    "atr": _extended("atr", families=lambda w: [trend(w)]),
+    "adx": _extended("plus_di", "minus_di", "adx", families=lambda w: [trend(w)]),
+    "stochastic": _extended("stoch_k", "stoch_d", families=lambda w: [stochastic(w)]),
+    "cci": _extended("cci", families=lambda w: [channel(w)]),
+    "volume_ma_mfi": _extended("volume_ma20", "mfi", families=lambda w: [money_flow(w)]),
+    "pivots": pivots,
+    "parabolic_sar": parabolic_sar,
+    "all_indicators": all_indicators,
+    "indicator_row_compat": indicator_row_compat,
 }

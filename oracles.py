@@ -152,6 +152,24 @@ walk AS (
                           ELSE greatest(w.sar + w.af * (w.ep - w.sar), w.h1, w.h2) END AS cap
               FROM walk w JOIN num n ON n.symbol = w.symbol AND n.rn = w.rn + 1)))"""
 
+def json_bar(datetime: str = "strftime(to_timestamp(time) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ')") -> str:
+    """A bar as the text of its message."""
+    return f"""'{{"symbol":"' || symbol || '","interval":"1h","datetime":"' || {datetime}
+    || '","epoch_ms":' || CAST(time * 1000 AS VARCHAR) || ',"open":' || CAST(open AS VARCHAR)
+    || ',"high":' || CAST(high AS VARCHAR) || ',"low":' || CAST(low AS VARCHAR)
+    || ',"close":' || CAST(close AS VARCHAR) || ',"volume":' || CAST(volume AS VARCHAR) || '}}'"""
+
+
+def newest_first(where: str, limit: int) -> str:
+    return f"""WITH {HOURLY} SELECT symbol, day, time, {rounded(*PRICES)} FROM bars
+WHERE {where} ORDER BY day DESC, time DESC, symbol LIMIT {limit}"""
+
+
+def last_bars(n: int) -> str:
+    return f"""WITH {HOURLY} SELECT symbol, day, time, {rounded(*PRICES)} FROM bars
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY time DESC) <= {n}"""
+
+
 PRICES = ("open", "high", "low", "close", "volume")
 
 ORACLES = {
@@ -184,4 +202,52 @@ LEFT JOIN levels ON levels.symbol = ind.symbol AND levels.day = ind.day""",
 SELECT symbol, day, time, {narrow("open", "high", "low", "close", *CORE)},
        CAST(trunc(volume) AS BIGINT) AS volume,
        {", ".join(f'NULL::FLOAT AS "{c}"' for c in EXTENDED)} FROM ind""",
+    "parse_messages": f"WITH {HOURLY} SELECT symbol, day, time, {rounded(*PRICES)} FROM bars",
+    "quarantine": f"""WITH {HOURLY}
+SELECT '{{"epoch_ms":' || CAST(time * 1000 AS VARCHAR) || ',"close":' || CAST(close AS VARCHAR) || '}}' AS value,
+       'no symbol' AS reason FROM bars
+UNION ALL
+SELECT '{{"symbol":"' || symbol || '","close":' || CAST(close AS VARCHAR) || '}}', 'no time' FROM bars
+UNION ALL SELECT props, 'no symbol, no time' FROM events
+UNION ALL SELECT c_name, 'no symbol, no time' FROM customer""",
+    "encode_messages": f"WITH {HOURLY} SELECT symbol AS key, {json_bar()} AS value FROM bars",
+    "decode_klines": f"""WITH {HOURLY} SELECT symbol, '1h' AS "interval",
+  strftime(to_timestamp(time) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') AS datetime,
+  time * 1000 AS epoch_ms, open, high, low,
+  CASE WHEN symbol NOT IN ('signup', 'view') THEN close END AS close,
+  CASE WHEN symbol <> 'view' THEN volume END AS volume FROM bars""",
+    "dedup_latest": f"""WITH {TICKS}
+SELECT symbol, strftime(ts, '%Y-%m-%d') AS day, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS time,
+       price AS close, CAST(size AS DOUBLE) AS volume, tick_id FROM ticks
+QUALIFY row_number() OVER (PARTITION BY symbol, date_trunc('hour', ts) ORDER BY ts DESC, tick_id DESC) = 1""",
+    "newest_bar": last_bars(1),
+    "history_lookback": last_bars(200),
+    "enrich_batch": f"""{indicators(*CORE)}
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY time DESC) <= 24""",
+    "store_upsert": f"""WITH {HOURLY}
+SELECT symbol, day, time, {rounded("open", "high", "low", "close")},
+       CASE WHEN time % 86400 < 43200 THEN 2 * volume ELSE volume END AS volume FROM bars""",
+    "late_recompute": indicators(*CORE),
+    "latest_bars": f"""WITH {HOURLY}, recent AS (
+  SELECT *, day < '2024-01-30' AS fallback FROM bars
+  WHERE symbol IN ('click', 'view') AND day >= '2024-01-29'),
+ranked AS (
+  SELECT *, min(fallback) OVER (PARTITION BY symbol) AS best,
+         row_number() OVER (PARTITION BY symbol, fallback ORDER BY time DESC) AS rn FROM recent)
+SELECT symbol, day, time, {rounded(*PRICES)} FROM ranked WHERE fallback = best AND rn <= 3""",
+    "day_bars": newest_first("symbol = 'click' AND day = '2024-01-30'", 10),
+    "range_bars": newest_first("symbol = 'view' AND day BETWEEN '2024-01-10' AND '2024-01-20'", 100),
+    "multi_symbol": f"""WITH {HOURLY} SELECT symbol, day, time, {rounded(*PRICES)} FROM bars
+WHERE symbol IN ('click', 'view') AND day = '2024-01-30'""",
+    "named_range": newest_first("symbol = 'error' AND day BETWEEN '2024-01-24' AND '2024-01-30'", 100),
+    "run_sql": f"""WITH {HOURLY}
+SELECT symbol, day, {rounded("high", "low")}, bars FROM (
+  SELECT symbol, day, max(high) AS high, min(low) AS low, count(*) AS bars
+  FROM bars WHERE symbol IN ('click', 'view') GROUP BY symbol, day)""",
+    # A bar is emitted once its hour lies an hour behind the newest event.
+    "stream_candles": f"""WITH {HOURLY}
+SELECT symbol, day, time, {rounded(*PRICES)} FROM bars
+WHERE time + 3600 <= (SELECT epoch(max(ts)) - 3600 FROM events)""",
+    "stream_dedup": f"WITH {TICKS} SELECT symbol, tick_id, {rounded('price')}, size FROM ticks",
+    "stream_enrich": indicators(*CORE),
 }

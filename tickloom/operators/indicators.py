@@ -69,9 +69,15 @@ def signed_volume(close: Column, previous: Column, volume: Column) -> Column:
     return F.when(close > previous, volume).when(close < previous, -volume).otherwise(0.0)
 
 
-def flow(w: WindowSpec) -> Family:
-    """Running signed volume since the window's first row, as ``obv``."""
+def flow(w: WindowSpec, seeded: bool = False) -> Family:
+    """Running signed volume since the window's first row, as ``obv``.
+
+    ``seeded`` rows bring their own flow in ``_seed``: rows whose OBV is known
+    already pass it on to the rows after them.
+    """
     signed = signed_volume(F.col("close"), F.col("_previous"), F.col("volume"))
+    if seeded:
+        signed = F.coalesce("_seed", signed)
     return [
         {"_previous": F.lag("close").over(w)},
         {"_flow": signed},
@@ -79,24 +85,27 @@ def flow(w: WindowSpec) -> Family:
     ]
 
 
-def flow_facts(bars: DataFrame, spans: Spans) -> DataFrame:
+def flow_facts(bars: DataFrame, spans: Spans, seeded: bool = False) -> DataFrame:
     """Span facts with ``_before``: what to add to a span's own running flow.
 
     It holds the flow of all earlier spans and the move from the previous span's
     last close to this span's first one.
     """
-    series = bars.select("symbol", "time", "close", "volume", spans.start().alias("_span"))
+    seed = F.col("_seed") if seeded else F.lit(None).cast("double").alias("_seed")
+    series = bars.select("symbol", "time", "close", "volume", seed, spans.start().alias("_span"))
     facts = span_facts(
-        run_families(series, [flow(in_order("symbol", "_span"))]),
+        run_families(series, [flow(in_order("symbol", "_span"), seeded)]),
         spans,
         F.min_by("close", "time").alias("first_close"),
         F.min_by("volume", "time").alias("first_volume"),
+        F.min_by("_seed", "time").alias("first_seed"),
         F.max_by("close", "time").alias("last_close"),
         F.max_by("obv", "time").alias("own"),
     )
     by_span = Window.partitionBy("symbol").orderBy("_span")
     step = signed_volume(F.col("first_close"), F.lag("last_close").over(by_span), F.col("first_volume"))
-    # NULL volumes add nothing.
+    # A seed stands for all flow up to its row. NULL volumes add nothing.
+    step = F.when(F.col("first_seed").isNull(), step)
     step, own = F.coalesce(step, F.lit(0.0)), F.coalesce("own", F.lit(0.0))
     past = F.sum(own + F.col("step")).over(by_span.rowsBetween(Window.unboundedPreceding, -1))
     return (
@@ -111,6 +120,23 @@ def bounded_families(w: WindowSpec) -> list[Family]:
     return [averages(w), bollinger(w), rsi(w)]
 
 
+def add_indicators(
+    bars: DataFrame, families, reset: str, spans: Spans, seeded: bool = False
+) -> DataFrame:
+    """``families`` and OBV over bars; see ``with_indicators``."""
+    if reset == "day":
+        w = in_order("symbol", "day")
+        return run_families(bars, [*families(w), flow(w, seeded)])
+    if reset == "none":
+        return (
+            over_spans(bars, families, REACH, spans, facts=flow_facts(bars, spans, seeded),
+                       per_span=lambda w: [flow(w, seeded)])
+            .withColumn("obv", F.col("obv") + F.col("_before"))
+            .drop("_before")
+        )
+    raise ValueError(f"reset must be 'none' or 'day', not {reset!r}")
+
+
 def with_indicators(
     bars: DataFrame, reset: str = "none", spans: Spans = Spans(), extended: bool = False
 ) -> DataFrame:
@@ -128,15 +154,5 @@ def with_indicators(
     def families(w: WindowSpec) -> list[Family]:
         return bounded_families(w) + (extended_families(w) if extended else [])
 
-    if reset == "day":
-        w = in_order("symbol", "day")
-        out = run_families(bars, [*families(w), flow(w)])
-    elif reset == "none":
-        out = (
-            over_spans(bars, families, REACH, spans,
-                       facts=flow_facts(bars, spans), per_span=lambda w: [flow(w)])
-            .withColumn("obv", F.col("obv") + F.col("_before"))
-        )
-    else:
-        raise ValueError(f"reset must be 'none' or 'day', not {reset!r}")
+    out = add_indicators(bars, families, reset, spans)
     return out.select(*columns, *CORE_INDICATORS, *(EXTENDED_INDICATORS if extended else []))

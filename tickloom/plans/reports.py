@@ -1,19 +1,38 @@
 """The named queries: each takes a session and a folder of tables."""
 
+from datetime import date
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.operators.candles import build_candles
+from tickloom.functions.klines import decode_klines
+from tickloom.functions.messages import encode_messages, parse_messages, quarantine
+from tickloom.operators.candles import build_candles, dedup_latest
+from tickloom.operators.enrich import (
+    HISTORY_ROWS,
+    bars_between,
+    batch_range,
+    enrich,
+    history_before,
+    keep_batch,
+    newest,
+    newest_row,
+)
 from tickloom.operators.extended import channel, money_flow, stochastic, trend
 from tickloom.operators.indicators import REACH, with_indicators
 from tickloom.operators.pivots import with_pivots
 from tickloom.operators.sar import with_sar
 from tickloom.operators.spans import Spans, over_spans
 from tickloom.plans.present import DECIMALS, present
+from tickloom.plans.reads import day_bars, latest, multi_symbol, named_range, range_bars, run_sql
 from tickloom.plans.rows import compat_rows, full_rows
-from tickloom.schemas import CORE_INDICATORS, EXTENDED_INDICATORS, KEY_COLUMNS
-from tickloom.session import prepare, settle
-from tickloom.sources.tables import read_sales, read_ticks
+from tickloom.schemas import BAR_COLUMNS, CORE_INDICATORS, EXTENDED_INDICATORS, KEY_COLUMNS
+from tickloom.session import prepare, scratch_path, settle
+from tickloom.sources.messages import file_messages
+from tickloom.sources.store import Store
+from tickloom.sources.tables import as_ticks, read_sales, read_ticks
+from tickloom.streaming.pipeline import enrich_into, stream_candles, stream_dedup, stream_enrich
 
 HOUR = 3_600
 DAY = 86_400
@@ -78,6 +97,169 @@ def indicator_row_compat(spark: SparkSession, folder: str) -> DataFrame:
     return compat_rows(present(enriched))
 
 
+def messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of the hourly bars, and others that are damaged in several ways."""
+    bars = hourly_bars(spark, folder)
+    good = encode_messages(bars, "1h").select("value")
+    # The time text of one symbol is unreadable; its epoch number is not.
+    damaged_time = F.regexp_replace("value", '"datetime":"[^"]*"', '"datetime":"not a time"')
+    good = good.withColumn(
+        "value", F.when(F.col("value").contains('"symbol":"error"'), damaged_time).otherwise(F.col("value"))
+    )
+    anonymous = bars.select(F.to_json(F.struct((F.col("time") * 1000).alias("epoch_ms"), "close")).alias("value"))
+    timeless = bars.select(F.to_json(F.struct("symbol", "close")).alias("value"))
+    other = spark.read.parquet(f"{folder}/events.parquet").select(F.col("props").alias("value"))
+    broken = spark.read.parquet(f"{folder}/customer.parquet").select(F.col("c_name").alias("value"))
+    return reduce(DataFrame.unionByName, [good, anonymous, timeless, other, broken])
+
+
+def report_parse_messages(spark: SparkSession, folder: str) -> DataFrame:
+    return present(parse_messages(messages(spark, folder)))
+
+
+def report_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    return quarantine(messages(spark, folder))
+
+
+def report_encode_messages(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_messages(hourly_bars(spark, folder), "1h")
+
+
+def report_decode_klines(spark: SparkSession, folder: str) -> DataFrame:
+    """Klines of the bars; those of one symbol lack their last two elements, and
+    those of another have no readable close."""
+    bars = hourly_bars(spark, folder)
+    fields = [(F.col("time") * 1000).cast("string"), *[F.col(c).cast("string") for c in ("open", "high", "low")]]
+    close = F.when(F.col("symbol") == "signup", "n/a").otherwise(F.col("close").cast("string"))
+    kline = F.array(*fields, close, F.col("volume").cast("string"))
+    kline = F.when(F.col("symbol") == "view", F.slice(kline, 1, 4)).otherwise(kline)
+    return decode_klines(bars.select("symbol", kline.alias("kline")), "1h")
+
+
+def report_dedup_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every tick re-sends its hour's bar; the last one sent stands."""
+    ticks = read_ticks(prepare(spark), folder)
+    second = F.unix_seconds("ts")
+    sent = ticks.select(
+        "symbol", F.to_date("ts").alias("day"), (second - F.pmod(second, F.lit(HOUR))).alias("time"),
+        F.col("price").alias("close"), F.col("size").cast("double").alias("volume"), "ts", "tick_id",
+    )
+    return present(dedup_latest(sent, order=("ts", "tick_id")).drop("ts"))
+
+
+def newest_bar(spark: SparkSession, folder: str) -> DataFrame:
+    return present(newest_row(hourly_bars(spark, folder)))
+
+
+def history_lookback(spark: SparkSession, folder: str) -> DataFrame:
+    return present(newest(hourly_bars(spark, folder), HISTORY_ROWS))
+
+
+def enrich_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest day of bars as a batch, all earlier ones as the stored table."""
+    bars = settle(hourly_bars(spark, folder), "bars")
+    batch = newest(bars, 24)
+    stored = with_indicators(bars.join(batch, KEY_COLUMNS, "left_anti"), spans=HOURLY_SPANS)
+    ranges = batch_range(batch)
+    enriched = enrich(batch, history_before(stored, ranges), bars_between(stored, batch, ranges, False),
+                      spans=HOURLY_SPANS)
+    return present(keep_batch(enriched, batch).select(*KEY_COLUMNS, "close", *CORE_INDICATORS))
+
+
+def new_store(spark: SparkSession) -> Store:
+    return Store(spark, scratch_path(spark, "store"))
+
+
+def store_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """All bars first, then the bars of the mornings with twice the volume."""
+    bars = settle(hourly_bars(spark, folder), "bars")
+    morning = F.pmod(F.col("time"), F.lit(DAY)) < DAY // 2
+    store = new_store(spark)
+    store.upsert(full_rows(bars), "first")
+    store.upsert(full_rows(bars.where(morning).withColumn("volume", 2 * F.col("volume"))), "second")
+    return present(store.read().select(*BAR_COLUMNS))
+
+
+def late_recompute(spark: SparkSession, folder: str) -> DataFrame:
+    """A noon bar of each symbol's tenth day arrives after all others."""
+    bars = settle(hourly_bars(spark, folder), "bars")
+    late = (F.date_format("day", "dd") == "10") & (F.pmod(F.col("time"), F.lit(DAY)) == DAY // 2)
+    store = new_store(spark)
+    enrich_into(store, bars.where(~late), "on-time", spans=HOURLY_SPANS)
+    enrich_into(store, bars.where(late), "late", recompute=True, spans=HOURLY_SPANS)
+    return present(store.read().select(*KEY_COLUMNS, "close", *CORE_INDICATORS))
+
+
+def _read(read):
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        return present(read(hourly_bars(spark, folder)))
+
+    return query
+
+
+def report_run_sql(spark: SparkSession, folder: str) -> DataFrame:
+    hourly_bars(spark, folder).createOrReplaceTempView("bars_1h")
+    return present(run_sql(spark, """
+        SELECT symbol, day, max(high) AS high, min(low) AS low, count(*) AS bars
+        FROM bars_1h WHERE symbol IN ('click', 'view') GROUP BY symbol, day;
+    """))
+
+
+def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The events table as a stream of ticks."""
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    stream = (
+        prepare(spark).readStream.schema(events.schema)
+        .option("pathGlobFilter", "events.parquet").parquet(folder)
+    )
+    return as_ticks(stream)
+
+
+def _run_to_table(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+    """Run a stream over all there is, into a table."""
+    path = scratch_path(spark, name)
+    query = (
+        stream.writeStream.outputMode("append").format("parquet")
+        .option("checkpointLocation", f"{path}-checkpoint").option("path", path)
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+def report_stream_candles(spark: SparkSession, folder: str) -> DataFrame:
+    bars = stream_candles(_event_stream(spark, folder), "1 hour", "1 hour", order=("ts", "tick_id"))
+    return present(_run_to_table(spark, bars, "candles"))
+
+
+def report_stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every tick is sent twice."""
+    sent = _event_stream(spark, folder).unionByName(_event_stream(spark, folder))
+    once = stream_dedup(sent, ["tick_id"], "1 hour").drop("ts")
+    return present(_run_to_table(spark, once, "dedup"))
+
+
+def report_stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages arrive in three parts, each bar first with no volume; the stream
+    is stopped and restarted from its checkpoint between the parts."""
+    bars = settle(hourly_bars(spark, folder), "bars")
+    inbox, checkpoint = scratch_path(spark, "inbox"), scratch_path(spark, "checkpoint")
+    store = new_store(spark)
+    part = F.least(F.floor((F.dayofmonth("day") - 1) / 10), F.lit(2))
+    for number in range(3):
+        sent = bars.where(part == number)
+        provisional = encode_messages(sent.withColumn("volume", F.lit(0.0)), "1h").withColumn("seq", F.lit(1))
+        final = encode_messages(sent, "1h").withColumn("seq", F.lit(2))
+        arrived = provisional.unionByName(final).select("value", F.col("seq").cast("bigint"))
+        arrived.write.mode("append").parquet(inbox)
+        query = stream_enrich(file_messages(spark, inbox, files_per_trigger=10_000), store, checkpoint,
+                              order=("seq",), trigger={"availableNow": True}, spans=HOURLY_SPANS)
+        query.awaitTermination()
+    return present(store.read().select(*KEY_COLUMNS, "close", *CORE_INDICATORS))
+
+
+AS_OF = date(2024, 1, 30)
+
 def candles_1h(spark: SparkSession, folder: str) -> DataFrame:
     return present(hourly_bars(spark, folder))
 
@@ -102,4 +284,23 @@ REPORTS = {
     "parabolic_sar": parabolic_sar,
     "all_indicators": all_indicators,
     "indicator_row_compat": indicator_row_compat,
+    "parse_messages": report_parse_messages,
+    "quarantine": report_quarantine,
+    "encode_messages": report_encode_messages,
+    "decode_klines": report_decode_klines,
+    "dedup_latest": report_dedup_latest,
+    "newest_bar": newest_bar,
+    "history_lookback": history_lookback,
+    "enrich_batch": enrich_batch,
+    "store_upsert": store_upsert,
+    "late_recompute": late_recompute,
+    "latest_bars": _read(lambda bars: latest(bars, ["click", "view"], AS_OF, 3)),
+    "day_bars": _read(lambda bars: day_bars(bars, "click", AS_OF, 10)),
+    "range_bars": _read(lambda bars: range_bars(bars, "view", date(2024, 1, 10), date(2024, 1, 20))),
+    "multi_symbol": _read(lambda bars: multi_symbol(bars, ["click", "view"], AS_OF)),
+    "named_range": _read(lambda bars: named_range(bars, "error", "last week", AS_OF)),
+    "run_sql": report_run_sql,
+    "stream_candles": report_stream_candles,
+    "stream_dedup": report_stream_dedup,
+    "stream_enrich": report_stream_enrich,
 }

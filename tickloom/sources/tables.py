@@ -4,9 +4,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_ticks(spark: SparkSession, folder: str) -> DataFrame:
+def as_ticks(events: DataFrame) -> DataFrame:
     """Events as ticks: the event type trades as a symbol."""
-    return spark.read.parquet(f"{folder}/events.parquet").select(
+    return events.select(
         F.col("event_type").alias("symbol"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("event_id").alias("tick_id"),
@@ -15,6 +15,10 @@ def read_ticks(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def read_ticks(spark: SparkSession, folder: str) -> DataFrame:
+    return as_ticks(spark.read.parquet(f"{folder}/events.parquet"))
+
+
 def read_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as ticks: many symbols (suppliers) with sparse days.
 

@@ -5,7 +5,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.operators.indicators import REACH, add_indicators, bounded_families
+from tickloom.operators.indicators import REACH, bounded_families, in_groups, in_series
 from tickloom.operators.spans import Spans
 from tickloom.schemas import BAR_COLUMNS, CORE_INDICATORS, KEY_COLUMNS
 
@@ -79,13 +79,14 @@ def enrich(
     history: DataFrame,
     between: DataFrame,
     recompute: bool = False,
-    spans: Spans = Spans(),
+    spans: Spans | None = Spans(),
 ) -> DataFrame:
     """Core indicators for the bars of ``batch``.
 
     ``history`` are stored rows before the batch with their ``obv``, ``between``
     stored bars among it. With ``recompute`` the rows of ``between`` are
-    returned too, with the values the batch's bars give them.
+    returned too, with the values the batch's bars give them. ``spans=None``
+    says that a symbol's rows here are few enough for one window.
     """
     unseeded = F.lit(None).cast("double").alias("_seed")
     series = (
@@ -95,5 +96,8 @@ def enrich(
         .unionByName(batch.select(*BAR_COLUMNS, unseeded, F.lit(True).alias("_wanted")))
         .where(F.col("symbol").isNotNull())
     )
-    out = add_indicators(series, bounded_families, "none", spans, seeded=True)
+    if spans is None:
+        out = in_groups(series, bounded_families, "symbol", seeded=True)
+    else:
+        out = in_series(series, bounded_families, spans, seeded=True)
     return out.where("_wanted").select(*BAR_COLUMNS, *CORE_INDICATORS)

@@ -3,98 +3,82 @@
 Simple averages throughout, like the core indicators.
 """
 
-from pyspark.sql import WindowSpec
-from pyspark.sql import functions as F
-
-from tickloom.operators.rolling import Family, last_rows
+from tickloom.operators.rolling import Family, Series
 
 # Window sizes in rows, and the customary CCI scale.
 TREND_SIZE = 14
 STOCHASTIC_SIZE, STOCHASTIC_SMOOTH = 14, 3
-CCI_SIZE, CCI_SCALE = 20, 0.015
+CCI_SIZE, CCI_SCALE = 20, "0.015D"
 VOLUME_SIZE = 20
 MONEY_FLOW_SIZE = 14
 
 # Deviations up to here are rounding noise of equal prices.
-NO_DEVIATION = 1e-12
-
+NO_DEVIATION = "1e-12D"
 
-def _typical_price():
-    return (F.col("high") + F.col("low") + F.col("close")) / 3
+TYPICAL = "((high + low + close) / 3)"
 
 
-def trend(w: WindowSpec) -> Family:
+def trend(series: Series) -> Family:
     """``atr``, ``plus_di``, ``minus_di`` and ``adx``."""
-    near = last_rows(w, TREND_SIZE)
-    high, low = F.col("high"), F.col("low")
-    rise, fall = F.col("_rise"), F.col("_fall")
-    true_range = F.col("_ranges")
-    plus, minus = F.col("plus_di"), F.col("minus_di")
+    near = series.last(TREND_SIZE)
     return [
-        {"_last_close": F.lag("close").over(w),
-         "_rise": high - F.lag("high").over(w),
-         "_fall": F.lag("low").over(w) - low},
+        {"_last_close": series.lag("close"),
+         "_rise": f"high - {series.lag('high')}",
+         "_fall": f"{series.lag('low')} - low"},
         # The first row has no last close; greatest() then leaves high - low.
-        {"_range": F.greatest(high - low, F.abs(high - F.col("_last_close")),
-                              F.abs(low - F.col("_last_close"))),
-         "_plus": F.when((rise > fall) & (rise > 0), rise).otherwise(0.0),
-         "_minus": F.when((fall > rise) & (fall > 0), fall).otherwise(0.0)},
-        {"atr": F.avg("_range").over(near),
-         "_ranges": F.sum("_range").over(near),
-         "_pluses": F.sum("_plus").over(near),
-         "_minuses": F.sum("_minus").over(near)},
-        {"plus_di": F.when(true_range != 0, 100 * F.col("_pluses") / true_range),
-         "minus_di": F.when(true_range != 0, 100 * F.col("_minuses") / true_range),
-         "_dx": F.when(F.col("_pluses") + F.col("_minuses") != 0,
-                       100 * F.abs(plus - minus) / (plus + minus))},
-        {"adx": F.avg("_dx").over(near)},
+        {"_range": "greatest(high - low, abs(high - _last_close), abs(low - _last_close))",
+         "_plus": "CASE WHEN _rise > _fall AND _rise > 0 THEN _rise ELSE 0D END",
+         "_minus": "CASE WHEN _fall > _rise AND _fall > 0 THEN _fall ELSE 0D END"},
+        {"atr": f"avg(_range) {near}",
+         "_ranges": f"sum(_range) {near}",
+         "_pluses": f"sum(_plus) {near}",
+         "_minuses": f"sum(_minus) {near}"},
+        {"plus_di": "CASE WHEN _ranges <> 0 THEN 100 * _pluses / _ranges END",
+         "minus_di": "CASE WHEN _ranges <> 0 THEN 100 * _minuses / _ranges END",
+         # Both indicators share their denominator, which cancels out.
+         "_dx": """CASE WHEN _ranges <> 0 AND _pluses + _minuses <> 0
+                   THEN 100 * abs(_pluses - _minuses) / (_pluses + _minuses) END"""},
+        {"adx": f"avg(_dx) {near}"},
     ]
 
 
-def stochastic(w: WindowSpec) -> Family:
-    near = last_rows(w, STOCHASTIC_SIZE)
-    low, high = F.col("_lowest"), F.col("_highest")
+def stochastic(series: Series) -> Family:
+    near = series.last(STOCHASTIC_SIZE)
     return [
-        {"_lowest": F.min("low").over(near), "_highest": F.max("high").over(near)},
-        {"stoch_k": F.when(high != low, 100 * (F.col("close") - low) / (high - low))},
-        {"stoch_d": F.avg("stoch_k").over(last_rows(w, STOCHASTIC_SMOOTH))},
+        {"_lowest": f"min(low) {near}", "_highest": f"max(high) {near}"},
+        {"stoch_k": "CASE WHEN _highest <> _lowest THEN 100 * (close - _lowest) / (_highest - _lowest) END"},
+        {"stoch_d": f"avg(stoch_k) {series.last(STOCHASTIC_SMOOTH)}"},
     ]
 
 
-def channel(w: WindowSpec) -> Family:
+def channel(series: Series) -> Family:
     """``cci``: distance from the mean typical price in mean deviations."""
-    near = last_rows(w, CCI_SIZE)
-    typical, mean = F.col("_typical"), F.col("_mean_typical")
+    near = series.last(CCI_SIZE)
     # The deviation is taken around each row's own mean, so it needs the values.
-    deviations = F.transform("_typicals", lambda price: F.abs(price - mean))
-    deviation = F.aggregate(deviations, F.lit(0.0), lambda a, b: a + b) / F.size("_typicals")
+    deviations = "transform(_typicals, price -> abs(price - _mean_typical))"
     return [
-        {"_typicals": F.collect_list(_typical_price()).over(near),
-         "_mean_typical": F.avg(_typical_price()).over(near)},
-        {"_typical": _typical_price(),
-         # size 0 only where every price is NULL
-         "_deviation": F.when(F.size("_typicals") > 0, deviation)},
+        {"_typicals": f"collect_list({TYPICAL}) {near}", "_mean_typical": f"avg({TYPICAL}) {near}"},
+        # No values only where every price is NULL.
+        {"_deviation": f"""CASE WHEN size(_typicals) > 0 THEN
+             aggregate({deviations}, 0D, (total, x) -> total + x) / size(_typicals) END"""},
         {},
-        {"cci": F.when(F.col("_deviation") > NO_DEVIATION,
-                       (typical - mean) / (CCI_SCALE * F.col("_deviation")))},
+        {"cci": f"""CASE WHEN _deviation > {NO_DEVIATION}
+             THEN ({TYPICAL} - _mean_typical) / ({CCI_SCALE} * _deviation) END"""},
     ]
 
 
-def money_flow(w: WindowSpec) -> Family:
+def money_flow(series: Series) -> Family:
     """``volume_ma20`` and ``mfi``."""
-    near = last_rows(w, MONEY_FLOW_SIZE)
-    price, before = _typical_price(), F.col("_typical_before")
-    flow = price * F.col("volume")
-    inflow, outflow = F.col("_inflow"), F.col("_outflow")
+    near = series.last(MONEY_FLOW_SIZE)
     return [
-        {"volume_ma20": F.avg("volume").over(last_rows(w, VOLUME_SIZE)),
-         "_typical_before": F.lag(_typical_price()).over(w)},
-        {"_in": F.when(price > before, flow).otherwise(0.0),
-         "_out": F.when(price < before, flow).otherwise(0.0)},
-        {"_inflow": F.sum("_in").over(near), "_outflow": F.sum("_out").over(near)},
-        {"mfi": F.when(outflow == 0, 100.0).otherwise(100 - 100 / (1 + inflow / outflow))},
+        {"volume_ma20": f"avg(volume) {series.last(VOLUME_SIZE)}",
+         "_typical_before": series.lag(TYPICAL)},
+        {"_in": f"CASE WHEN {TYPICAL} > _typical_before THEN {TYPICAL} * volume ELSE 0D END",
+         "_out": f"CASE WHEN {TYPICAL} < _typical_before THEN {TYPICAL} * volume ELSE 0D END"},
+        {"_inflow": f"sum(_in) {near}", "_outflow": f"sum(_out) {near}"},
+        {"mfi": "CASE WHEN _outflow = 0 THEN 100D ELSE 100 - 100 / (1 + _inflow / _outflow) END"},
     ]
 
 
-def extended_families(w: WindowSpec) -> list[Family]:
-    return [trend(w), stochastic(w), channel(w), money_flow(w)]
+def extended_families(series: Series) -> list[Family]:
+    return [trend(series), stochastic(series), channel(series), money_flow(series)]

@@ -4,14 +4,14 @@ All averages are simple ones over rows, and the first rows of a series average
 what there is. Input: bars with one row per (symbol, time).
 """
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators.extended import extended_families
 from tickloom.operators.pivots import with_pivots
-from tickloom.operators.rolling import Family, last_rows, rolling_means, run_families, so_far
+from tickloom.operators.rolling import Family, Series, rolling_means, run_families
 from tickloom.operators.sar import with_sar
-from tickloom.operators.spans import Spans, in_order, over_spans, span_facts
+from tickloom.operators.spans import Spans, over_spans, span_facts
 from tickloom.schemas import CORE_INDICATORS, EXTENDED_INDICATORS
 
 # Window sizes in rows.
@@ -24,64 +24,60 @@ RSI_SIZE = 14
 REACH = max(MA_SIZES) - 1
 
 
-def averages(w: WindowSpec) -> Family:
+def averages(series: Series) -> Family:
     """Moving averages and MACD, both built on means of close."""
-    fast, slow = f"_ma{MACD_FAST}", f"_ma{MACD_SLOW}"
 
     def name(n: int) -> str:
         return f"ma{n}" if n in MA_SIZES else f"_ma{n}"
 
-    steps = rolling_means("close", sorted({*MA_SIZES, MACD_FAST, MACD_SLOW}), w, name)
+    steps = rolling_means("close", sorted({*MA_SIZES, MACD_FAST, MACD_SLOW}), series, name)
     # The signal line averages MACD lines, so it needs them as a column first.
-    line = steps[3][fast] - steps[3][slow]
+    line = f"({steps[3][name(MACD_FAST)]}) - ({steps[3][name(MACD_SLOW)]})"
     steps[3] = steps[3] | {"macd_line": line}
-    steps[4] = steps[4] | {"macd_signal": F.avg("macd_line").over(last_rows(w, MACD_SIGNAL))}
-    steps[5] = steps[5] | {"macd_histogram": F.col("macd_line") - F.col("macd_signal")}
+    steps[4] = steps[4] | {"macd_signal": f"avg(macd_line) {series.last(MACD_SIGNAL)}"}
+    steps[5] = steps[5] | {"macd_histogram": "macd_line - macd_signal"}
     return steps
 
 
-def bollinger(w: WindowSpec) -> Family:
+def bollinger(series: Series) -> Family:
     """Bands two sample deviations around the 20-row mean."""
-    middle, spread = F.col(f"ma{BOLLINGER_SIZE}"), F.col("_spread")
+    middle = f"ma{BOLLINGER_SIZE}"
     return [
-        {"_spread": F.stddev_samp("close").over(last_rows(w, BOLLINGER_SIZE))},
+        {"_spread": f"stddev_samp(close) {series.last(BOLLINGER_SIZE)}"},
         {}, {}, {}, {},
-        {"bb_upper": middle + 2 * spread, "bb_middle": middle, "bb_lower": middle - 2 * spread},
+        {"bb_upper": f"{middle} + 2 * _spread", "bb_middle": middle,
+         "bb_lower": f"{middle} - 2 * _spread"},
     ]
 
 
-def rsi(w: WindowSpec) -> Family:
-    move = F.col("_move")
-    gain, loss = F.col("_mean_gain"), F.col("_mean_loss")
-    near = last_rows(w, RSI_SIZE)
+def rsi(series: Series) -> Family:
+    near = series.last(RSI_SIZE)
     return [
-        {"_move": F.col("close") - F.lag("close").over(w)},
+        {"_last_price": series.lag("close")},
         # The first row has no move and counts as no gain and no loss.
-        {"_gain": F.when(move > 0, move).otherwise(0.0),
-         "_loss": F.when(move < 0, -move).otherwise(0.0)},
-        {"_mean_gain": F.avg("_gain").over(near), "_mean_loss": F.avg("_loss").over(near)},
-        {"rsi14": F.when(loss == 0, 100.0).otherwise(100 - 100 / (1 + gain / loss))},
+        {"_gain": "CASE WHEN close > _last_price THEN close - _last_price ELSE 0D END",
+         "_loss": "CASE WHEN close < _last_price THEN _last_price - close ELSE 0D END"},
+        {"_mean_gain": f"avg(_gain) {near}", "_mean_loss": f"avg(_loss) {near}"},
+        {"rsi14": "CASE WHEN _mean_loss = 0 THEN 100D ELSE 100 - 100 / (1 + _mean_gain / _mean_loss) END"},
     ]
 
 
-def signed_volume(close: Column, previous: Column, volume: Column) -> Column:
+def signed_volume(close: str, previous: str, volume: str) -> str:
     """Volume, counted up on a rise, down on a fall, and not at all otherwise."""
-    return F.when(close > previous, volume).when(close < previous, -volume).otherwise(0.0)
+    return f"CASE WHEN {close} > {previous} THEN {volume} WHEN {close} < {previous} THEN -{volume} ELSE 0D END"
 
 
-def flow(w: WindowSpec, seeded: bool = False) -> Family:
-    """Running signed volume since the window's first row, as ``obv``.
+def flow(series: Series, seeded: bool = False) -> Family:
+    """Running signed volume since the group's first row, as ``obv``.
 
     ``seeded`` rows bring their own flow in ``_seed``: rows whose OBV is known
     already pass it on to the rows after them.
     """
-    signed = signed_volume(F.col("close"), F.col("_previous"), F.col("volume"))
-    if seeded:
-        signed = F.coalesce("_seed", signed)
+    signed = signed_volume("close", "_previous", "volume")
     return [
-        {"_previous": F.lag("close").over(w)},
-        {"_flow": signed},
-        {"obv": F.sum("_flow").over(so_far(w))},
+        {"_previous": series.lag("close")},
+        {"_flow": f"coalesce(_seed, {signed})" if seeded else signed},
+        {"obv": f"sum(_flow) {series.so_far}"},
     ]
 
 
@@ -92,9 +88,9 @@ def flow_facts(bars: DataFrame, spans: Spans, seeded: bool = False) -> DataFrame
     last close to this span's first one.
     """
     seed = F.col("_seed") if seeded else F.lit(None).cast("double").alias("_seed")
-    series = bars.select("symbol", "time", "close", "volume", seed, spans.start().alias("_span"))
+    narrow = bars.select("symbol", "time", "close", "volume", seed, spans.start().alias("_span"))
     facts = span_facts(
-        run_families(series, [flow(in_order("symbol", "_span"), seeded)]),
+        run_families(narrow, [flow(Series(("symbol", "_span")), seeded)]),
         spans,
         F.min_by("close", "time").alias("first_close"),
         F.min_by("volume", "time").alias("first_volume"),
@@ -102,39 +98,39 @@ def flow_facts(bars: DataFrame, spans: Spans, seeded: bool = False) -> DataFrame
         F.max_by("close", "time").alias("last_close"),
         F.max_by("obv", "time").alias("own"),
     )
-    by_span = Window.partitionBy("symbol").orderBy("_span")
-    step = signed_volume(F.col("first_close"), F.lag("last_close").over(by_span), F.col("first_volume"))
-    # A seed stands for all flow up to its row. NULL volumes add nothing.
-    step = F.when(F.col("first_seed").isNull(), step)
-    step, own = F.coalesce(step, F.lit(0.0)), F.coalesce("own", F.lit(0.0))
-    past = F.sum(own + F.col("step")).over(by_span.rowsBetween(Window.unboundedPreceding, -1))
+    by_span = "OVER (PARTITION BY symbol ORDER BY _span"
+    step = signed_volume("first_close", "previous_close", "first_volume")
     return (
-        facts.withColumn("step", step)
-        .withColumn("_before", F.coalesce(past, F.lit(0.0)) + F.col("step"))
-        .select("symbol", "_span", "_first", "_last", "_before")
+        facts.selectExpr("*", f"lag(last_close) {by_span}) AS previous_close")
+        # A seed stands for all flow up to its row. NULL volumes add nothing.
+        .selectExpr("*", f"CASE WHEN first_seed IS NULL THEN coalesce({step}, 0D) ELSE 0D END AS step")
+        .selectExpr(
+            "symbol", "_span", "_first", "_last",
+            f"""coalesce(sum(coalesce(own, 0D) + step)
+                {by_span} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0D) + step AS _before""",
+        )
     )
 
 
-def bounded_families(w: WindowSpec) -> list[Family]:
+def bounded_families(series: Series) -> list[Family]:
     """Every core indicator that looks a bounded number of rows back."""
-    return [averages(w), bollinger(w), rsi(w)]
+    return [averages(series), bollinger(series), rsi(series)]
 
 
-def add_indicators(
-    bars: DataFrame, families, reset: str, spans: Spans, seeded: bool = False
-) -> DataFrame:
-    """``families`` and OBV over bars; see ``with_indicators``."""
-    if reset == "day":
-        w = in_order("symbol", "day")
-        return run_families(bars, [*families(w), flow(w, seeded)])
-    if reset == "none":
-        return (
-            over_spans(bars, families, REACH, spans, facts=flow_facts(bars, spans, seeded),
-                       per_span=lambda w: [flow(w, seeded)])
-            .withColumn("obv", F.col("obv") + F.col("_before"))
-            .drop("_before")
-        )
-    raise ValueError(f"reset must be 'none' or 'day', not {reset!r}")
+def in_groups(bars: DataFrame, families, *group: str, seeded: bool = False) -> DataFrame:
+    """``families`` and OBV over groups that are known to be small."""
+    series = Series(group)
+    return run_families(bars, [*families(series), flow(series, seeded)])
+
+
+def in_series(bars: DataFrame, families, spans: Spans, seeded: bool = False) -> DataFrame:
+    """``families`` and OBV over each symbol's series, however long."""
+    return (
+        over_spans(bars, families, REACH, spans, facts=flow_facts(bars, spans, seeded),
+                   per_span=lambda piece: [flow(piece, seeded)])
+        .withColumn("obv", F.col("obv") + F.col("_before"))
+        .drop("_before")
+    )
 
 
 def with_indicators(
@@ -151,8 +147,13 @@ def with_indicators(
         # Joined to the bars first; the windows below then carry them along.
         bars = with_pivots(with_sar(bars, reset, spans))
 
-    def families(w: WindowSpec) -> list[Family]:
-        return bounded_families(w) + (extended_families(w) if extended else [])
+    def families(series: Series) -> list[Family]:
+        return bounded_families(series) + (extended_families(series) if extended else [])
 
-    out = add_indicators(bars, families, reset, spans)
+    if reset == "day":
+        out = in_groups(bars, families, "symbol", "day")
+    elif reset == "none":
+        out = in_series(bars, families, spans)
+    else:
+        raise ValueError(f"reset must be 'none' or 'day', not {reset!r}")
     return out.select(*columns, *CORE_INDICATORS, *(EXTENDED_INDICATORS if extended else []))

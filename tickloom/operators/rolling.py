@@ -1,40 +1,61 @@
 """Column steps: how a group of indicators is computed in few window passes.
 
-A *family* is a list of column dictionaries. Those at even places hold window
-expressions, those at odd places plain ones over columns made before. Families
-are run side by side, place by place, so that all window expressions of one
-place share a single pass over the sorted rows. Names that start with ``_`` are
-helpers and are dropped at the end.
+A *family* is a list of dictionaries from column names to SQL expressions. Those
+at even places hold window expressions, those at odd places plain ones over
+columns made before. Families are run side by side, place by place, so that all
+window expressions of one place share a single pass over the sorted rows. Names
+that start with ``_`` are helpers and are dropped at the end.
 """
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 from itertools import zip_longest
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-Family = list[dict[str, Column]]
+Family = list[dict[str, str]]
+
+
+@dataclass(frozen=True)
+class Series:
+    """Rows of one group in time order, as the window clauses over them."""
+
+    keys: tuple[str, ...]
+
+    @property
+    def group(self) -> str:
+        return f"OVER (PARTITION BY {', '.join(self.keys)})"
+
+    @property
+    def ordered(self) -> str:
+        return f"OVER (PARTITION BY {', '.join(self.keys)} ORDER BY time)"
+
+    @property
+    def so_far(self) -> str:
+        """All rows up to the current one."""
+        return self._rows("UNBOUNDED PRECEDING")
+
+    def last(self, n: int) -> str:
+        """The current row and the ``n - 1`` before it."""
+        return self._rows(f"{n - 1} PRECEDING")
+
+    def lag(self, value: str, back: int = 1) -> str:
+        return f"lag({value}, {back}) {self.ordered}"
+
+    def _rows(self, start: str) -> str:
+        frame = f"ROWS BETWEEN {start} AND CURRENT ROW"
+        return f"OVER (PARTITION BY {', '.join(self.keys)} ORDER BY time {frame})"
 
 
 def run_families(df: DataFrame, families: Iterable[Family], keep: Iterable[str] = ()) -> DataFrame:
     kept = {*df.columns, *keep}
     for place in zip_longest(*families, fillvalue={}):
-        columns = {name: column for part in place for name, column in part.items()}
+        columns = {name: text for part in place for name, text in part.items()}
         if columns:
-            df = df.withColumns(columns)
+            df = df.selectExpr("*", *[f"{text} AS {name}" for name, text in columns.items()])
     return df.drop(*[c for c in df.columns if c.startswith("_") and c not in kept])
 
 
-def last_rows(window: WindowSpec, n: int) -> WindowSpec:
-    """The current row and the ``n - 1`` before it."""
-    return window.rowsBetween(1 - n, 0)
-
-
-def so_far(window: WindowSpec) -> WindowSpec:
-    """All rows up to the current one."""
-    return window.rowsBetween(Window.unboundedPreceding, 0)
-
-
 def _cut(size: int, blocks: tuple[int, ...]) -> list[tuple[int, int]]:
     """``size`` rows as (block length, rows back) pieces, longest blocks first."""
     pieces, offset = [], 0
@@ -45,8 +66,8 @@ def _cut(size: int, blocks: tuple[int, ...]) -> list[tuple[int, int]]:
     return pieces
 
 
-def rolling_means(value: str, sizes: Iterable[int], window: WindowSpec, name) -> Family:
-    """``name(n)``: the mean of ``value`` over the last n rows, for every n.
+def rolling_means(value: str, sizes: Iterable[int], series: Series, name: Callable[[int], str]) -> Family:
+    """``name(n)``: the mean of column ``value`` over the last n rows, for every n.
 
     A sliding frame is summed anew for every row, so a 200-row mean costs 200
     additions per row. Here long sums are put together from short ones: the sum
@@ -57,36 +78,29 @@ def rolling_means(value: str, sizes: Iterable[int], window: WindowSpec, name) ->
     short = sorted({n for n in sizes if n <= 40} | {10, 20})
     long = sorted(set(sizes) - set(short))
 
-    def total(block: int) -> str:
-        return f"_{value}_sum{block}"
+    def total(block: int, back: int = 0) -> str:
+        return f"_{value}_sum{block}" + (f"_back{back}" if back else "")
 
-    def lagged(block: int, back: int) -> str:
-        return f"_{value}_sum{block}_back{back}"
+    def count(back: int = 0) -> str:
+        return f"_{value}_count" + (f"_back{back}" if back else "")
 
-    def pieces(n: int, blocks: tuple[int, ...]) -> Column:
+    def pieces(n: int, blocks: tuple[int, ...]) -> str:
         # Rows before the start of the series add nothing.
-        parts = [F.col(total(b)) if back == 0 else F.coalesce(lagged(b, back), F.lit(0.0))
-                 for b, back in _cut(n, blocks)]
-        return sum(parts[1:], parts[0])
-
-    def lags(ns: Iterable[int], blocks: tuple[int, ...]) -> dict[str, Column]:
-        needed = {piece for n in ns for piece in _cut(n, blocks) if piece[1] > 0}
-        return {lagged(b, back): F.lag(total(b), back).over(window) for b, back in sorted(needed)}
+        return "(" + " + ".join(f"coalesce({total(*piece)}, 0D)" for piece in _cut(n, blocks)) + ")"
 
-    # How many values a window holds is exact as a difference of running counts.
-    running = f"_{value}_count"
+    def lags(ns: Iterable[int], blocks: tuple[int, ...]) -> dict[str, str]:
+        needed = sorted({piece for n in ns for piece in _cut(n, blocks) if piece[1]})
+        return {total(block, back): series.lag(total(block), back) for block, back in needed}
 
-    def mean(n: int, rows_total: Column) -> Column:
-        count = F.col(running) - F.coalesce(f"{running}_back{n}", F.lit(0))
-        return F.when(count > 0, rows_total / count)
+    def mean(n: int, rows_total: str) -> str:
+        # How many values a window holds is exact as a difference of running counts.
+        held = f"({count()} - coalesce({count(n)}, 0))"
+        return f"CASE WHEN {held} > 0 THEN {rows_total} / {held} END"
 
     return [
-        {running: F.count(value).over(so_far(window)),
-         f"_{value}_last5": F.sum(value).over(last_rows(window, 5))},
-        {total(1): F.coalesce(value, F.lit(0.0)),
-         total(5): F.coalesce(f"_{value}_last5", F.lit(0.0))},
-        lags(short, short_blocks)
-        | {f"{running}_back{n}": F.lag(running, n).over(window) for n in sizes},
+        {count(): f"count({value}) {series.so_far}", total(5): f"sum({value}) {series.last(5)}"},
+        {total(1): value},
+        lags(short, short_blocks) | {count(n): series.lag(count(), n) for n in sizes},
         {total(n): pieces(n, short_blocks) for n in (10, 20)}
         | {name(n): mean(n, pieces(n, short_blocks)) for n in short if n in sizes},
         lags(long, long_blocks),

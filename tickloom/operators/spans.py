@@ -20,10 +20,10 @@ number of bars. Both places read one and the same shuffle by (symbol, span).
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.operators.rolling import Family, run_families
+from tickloom.operators.rolling import Family, Series, run_families
 
 
 @dataclass(frozen=True)
@@ -42,10 +42,6 @@ class Spans:
         return F.col("time") - F.pmod(F.col("time"), F.lit(self.seconds).cast("bigint"))
 
 
-def in_order(*partition: str) -> WindowSpec:
-    return Window.partitionBy(*partition).orderBy("time")
-
-
 def span_facts(bars: DataFrame, spans: Spans, *aggregates: Column) -> DataFrame:
     """One row per (symbol, span): whether it is the symbol's first or last one,
     and ``aggregates`` of its bars."""
@@ -62,11 +58,11 @@ def span_facts(bars: DataFrame, spans: Spans, *aggregates: Column) -> DataFrame:
 
 def over_spans(
     bars: DataFrame,
-    families: Callable[[WindowSpec], list[Family]],
+    families: Callable[[Series], list[Family]],
     reach: int,
     spans: Spans,
     facts: DataFrame | None = None,
-    per_span: Callable[[WindowSpec], list[Family]] = lambda w: [],
+    per_span: Callable[[Series], list[Family]] = lambda piece: [],
 ) -> DataFrame:
     """Compute ``families`` as if over each symbol's whole series.
 
@@ -83,8 +79,8 @@ def over_spans(
         bars.withColumn("_span", spans.start())
         .join(facts.hint("shuffle_hash"), ["symbol", "_span"], "left")
     )
-    piece = in_order("symbol", "_span")
-    rank = [{"_pos": F.row_number().over(piece)}]
+    piece = Series(("symbol", "_span"))
+    rank = [{"_pos": f"row_number() {piece.ordered}"}]
     in_head = F.col("_pos") <= reach
 
     inner = (
@@ -92,7 +88,7 @@ def over_spans(
         .where(~in_head | F.col("_first"))
     )
 
-    size = [{"_size": F.count(F.lit(1)).over(Window.partitionBy("symbol", "_span"))}]
+    size = [{"_size": f"count(*) {piece.group}"}]
     in_tail = F.col("_size") - F.col("_pos") < reach
     edges = (
         run_families(cut.where(~(F.col("_first") & F.col("_last"))),
@@ -101,7 +97,7 @@ def over_spans(
         .drop("_size")
     )
     heads = (
-        run_families(edges, families(in_order("symbol")))
+        run_families(edges, families(Series(("symbol",))))
         .where(~F.col("_first") & in_head)
     )
     return inner.unionByName(heads).drop("_span", "_pos", "_first", "_last")

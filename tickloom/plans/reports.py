@@ -158,8 +158,9 @@ def history_lookback(spark: SparkSession, folder: str) -> DataFrame:
 def enrich_batch(spark: SparkSession, folder: str) -> DataFrame:
     """The newest day of bars as a batch, all earlier ones as the stored table."""
     bars = settle(hourly_bars(spark, folder), "bars")
-    batch = newest(bars, 24)
-    stored = with_indicators(bars.join(batch, KEY_COLUMNS, "left_anti"), spans=HOURLY_SPANS)
+    batch = settle(newest(bars, 24), "batch")
+    earlier = bars.join(batch, KEY_COLUMNS, "left_anti")
+    stored = settle(with_indicators(earlier, spans=HOURLY_SPANS), "stored")
     ranges = batch_range(batch)
     enriched = enrich(batch, history_before(stored, ranges), bars_between(stored, batch, ranges, False),
                       spans=HOURLY_SPANS)
@@ -275,11 +276,11 @@ REPORTS = {
     "indicators_daily_reset": _indicators(*CORE_INDICATORS, reset="day"),
     "sales_indicators": _indicators(*CORE_INDICATORS, bars=daily_sales_bars, spans=DAILY_SPANS,
                                     decimals=SALES_DECIMALS),
-    "atr": _extended("atr", families=lambda w: [trend(w)]),
-    "adx": _extended("plus_di", "minus_di", "adx", families=lambda w: [trend(w)]),
-    "stochastic": _extended("stoch_k", "stoch_d", families=lambda w: [stochastic(w)]),
-    "cci": _extended("cci", families=lambda w: [channel(w)]),
-    "volume_ma_mfi": _extended("volume_ma20", "mfi", families=lambda w: [money_flow(w)]),
+    "atr": _extended("atr", families=lambda series: [trend(series)]),
+    "adx": _extended("plus_di", "minus_di", "adx", families=lambda series: [trend(series)]),
+    "stochastic": _extended("stoch_k", "stoch_d", families=lambda series: [stochastic(series)]),
+    "cci": _extended("cci", families=lambda series: [channel(series)]),
+    "volume_ma_mfi": _extended("volume_ma20", "mfi", families=lambda series: [money_flow(series)]),
     "pivots": pivots,
     "parabolic_sar": parabolic_sar,
     "all_indicators": all_indicators,

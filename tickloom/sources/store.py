@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.operators.enrich import HISTORY_ROWS, bars_between, batch_range, history_before
+from tickloom.operators.enrich import HISTORY_ROWS, bars_between, history_before
 from tickloom.schemas import INDICATOR_SCHEMA, KEY_COLUMNS
 from tickloom.session import settle
 
@@ -22,6 +22,11 @@ def _delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def _days(df: DataFrame, column: str) -> list[date]:
+    """The distinct days of a column; as many as the calendar has at most."""
+    return [row[0] for row in df.select(column).distinct().collect()]
+
+
 @dataclass(frozen=True)
 class Store:
     """Enriched bars under ``root``, a folder all executors can reach.
@@ -59,21 +64,20 @@ class Store:
 
     # ---- reading what a batch needs -------------------------------------
 
-    def history(self, batch: DataFrame, n: int = HISTORY_ROWS, days: int = 1) -> DataFrame:
-        """The ``n`` stored rows of each symbol before the batch's first bar of it.
+    def history(self, ranges: DataFrame, n: int = HISTORY_ROWS, days: int = 1) -> DataFrame:
+        """The ``n`` stored rows of each symbol before its batch begins.
 
-        Looks ``days`` back at first. Symbols that still lack rows and whose
-        series begins earlier are looked up again, four times as far back each
-        time, until none is left. Days are pruned in every round.
+        ``ranges`` is the ``batch_range``. Looks ``days`` back at first. Symbols
+        that still lack rows and whose series begins earlier are looked up
+        again, four times as far back each time, until none is left. Days are
+        pruned in every round, and a symbol never seen before costs no look.
         """
         parts = []
-        pending = settle(batch_range(batch).join(self.symbols(), "symbol"), "history-wanted")
-        while True:
-            starts = [row[0] for row in pending.select("_from_day").distinct().collect()]
-            if not starts:
-                break
-            wanted_days = sorted({day - timedelta(back) for day in starts for back in range(days + 1)})
-            stored = self.read().where(F.col("day").isin(wanted_days))
+        pending = settle(ranges.join(self.symbols(), "symbol"), "history-wanted")
+        starts = _days(pending, "_from_day")
+        while starts:
+            wanted = sorted({day - timedelta(back) for day in starts for back in range(days + 1)})
+            stored = self.read().where(F.col("day").isin(wanted))
             found = settle(history_before(stored, pending, n), "history-found")
             counts = found.groupBy("symbol").agg(F.count(F.lit(1)).alias("_found"))
             lacking = (
@@ -82,20 +86,22 @@ class Store:
                 .where(F.col("first_day") < F.date_sub("_from_day", days))
                 .drop("_found")
             )
-            pending = settle(lacking, "history-wanted")
-            parts.append(found.join(pending.select("symbol"), "symbol", "left_anti"))
+            starts = _days(lacking, "_from_day")
+            if starts:
+                pending = settle(lacking, "history-wanted")
+                found = found.join(pending.select("symbol"), "symbol", "left_anti")
+            parts.append(found)
             days *= 4
         if not parts:
             return self.spark.createDataFrame([], INDICATOR_SCHEMA)
         return reduce(DataFrame.unionByName, parts)
 
-    def between(self, batch: DataFrame, to_end: bool = False) -> DataFrame:
+    def between(self, batch: DataFrame, ranges: DataFrame, to_end: bool = False) -> DataFrame:
         """Stored rows among or (``to_end``) after the batch's bars."""
-        ranges = batch_range(batch)
         first, last = ranges.agg(F.min("_from_day"), F.max("_to_day")).first()
-        stored = self.read().where(F.col("day") >= F.lit(first or date.max))
+        stored = self.read().where(F.col("day") >= F.lit(first))
         if not to_end:
-            stored = stored.where(F.col("day") <= F.lit(last or date.min))
+            stored = stored.where(F.col("day") <= F.lit(last))
         return bars_between(stored, batch, ranges, to_end)
 
     # ---- writing ----------------------------------------------------------
@@ -126,8 +132,7 @@ class Store:
     def _stage(self, rows: DataFrame, staged: str) -> None:
         rows = settle(rows.select(*INDICATOR_SCHEMA.names), "upsert-rows")
         self._list_symbols(rows)
-        days = [row[0] for row in rows.select("day").distinct().collect()]
-        stored = self.read().where(F.col("day").isin(days))
+        stored = self.read().where(F.col("day").isin(_days(rows, "day")))
         kept = stored.join(rows.select(*KEY_COLUMNS), KEY_COLUMNS, "left_anti")
         kept.unionByName(rows).write.mode("overwrite").parquet(staged)
 

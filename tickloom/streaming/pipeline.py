@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.messages import parse_messages, quarantine
 from tickloom.operators.candles import candle_aggregates, dedup_latest
-from tickloom.operators.enrich import enrich
+from tickloom.operators.enrich import batch_range, enrich
 from tickloom.operators.spans import Spans
 from tickloom.plans.rows import full_rows
 from tickloom.schemas import BAR_COLUMNS
@@ -23,7 +23,12 @@ def enrich_into(store: Store, bars: DataFrame, batch_id: str, recompute: bool =
     All symbols go through one plan. With ``recompute`` stored rows after a
     changed bar are brought up to date as well.
     """
-    enriched = enrich(bars, store.history(bars), store.between(bars, to_end=recompute), recompute, spans)
+    ranges = settle(batch_range(bars), "batch-range")
+    widest = ranges.agg(F.max(F.col("_to") - F.col("_from"))).first()[0]
+    # A batch that fits a span has no more rows per symbol than a span.
+    fits = not recompute and widest < spans.seconds
+    enriched = enrich(bars, store.history(ranges), store.between(bars, ranges, to_end=recompute),
+                      recompute, None if fits else spans)
     store.upsert(full_rows(enriched), batch_id)
 
 

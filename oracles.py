@@ -174,6 +174,7 @@ PRICES = ("open", "high", "low", "close", "volume")
 
 ORACLES = {
     "candles_1h": f"WITH {HOURLY} SELECT symbol, day, time, {rounded(*PRICES)} FROM bars",
+    "sales_candles": f"WITH {SALES} SELECT symbol, day, time, {rounded(*PRICES)} FROM bars",
     "moving_averages": indicators("ma5", "ma10", "ma20", "ma50", "ma100", "ma200"),
     "bollinger": indicators("bb_upper", "bb_middle", "bb_lower"),
     "macd": indicators("macd_line", "macd_signal", "macd_histogram"),

@@ -265,8 +265,13 @@ def candles_1h(spark: SparkSession, folder: str) -> DataFrame:
     return present(hourly_bars(spark, folder))
 
 
+def sales_candles(spark: SparkSession, folder: str) -> DataFrame:
+    return present(daily_sales_bars(spark, folder))
+
+
 REPORTS = {
     "candles_1h": candles_1h,
+    "sales_candles": sales_candles,
     "moving_averages": _indicators("ma5", "ma10", "ma20", "ma50", "ma100", "ma200"),
     "bollinger": _indicators("bb_upper", "bb_middle", "bb_lower"),
     "macd": _indicators("macd_line", "macd_signal", "macd_histogram"),

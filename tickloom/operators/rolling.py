@@ -56,27 +56,24 @@ def run_families(df: DataFrame, families: Iterable[Family], keep: Iterable[str]
     return df.drop(*[c for c in df.columns if c.startswith("_") and c not in kept])
 
 
-def _cut(size: int, blocks: tuple[int, ...]) -> list[tuple[int, int]]:
-    """``size`` rows as (block length, rows back) pieces, longest blocks first."""
-    pieces, offset = [], 0
-    for block in blocks:
-        while size - offset >= block:
-            pieces.append((block, offset))
-            offset += block
-    return pieces
+def _cut(size: int) -> list[tuple[int, int]]:
+    """``size`` rows as (block length, rows back) pieces."""
+    twenties, rest = divmod(size, 20)
+    pieces = [(20, 20 * i) for i in range(twenties)]
+    return pieces + ([(10, 20 * twenties)] if rest else [])
 
 
 def rolling_means(value: str, sizes: Iterable[int], series: Series, name: Callable[[int], str]) -> Family:
     """``name(n)``: the mean of column ``value`` over the last n rows, for every n.
 
     A sliding frame is summed anew for every row, so a 200-row mean costs 200
-    additions per row. Here long sums are put together from short ones: the sum
-    over 200 rows is ten sums over 20 rows, each a ``lag`` away. NULL values are
+    additions per row. Sums of many rows are put together from sums of 20 and
+    10 instead, each a ``lag`` away: ten pieces make 200 rows. NULL values are
     skipped; where a window holds nothing else the mean is NULL.
     """
-    short_blocks, long_blocks = (5, 1), (20, 10, 5, 1)
-    short = sorted({n for n in sizes if n <= 40} | {10, 20})
-    long = sorted(set(sizes) - set(short))
+    long = [n for n in sizes if n > 40]
+    if any(n % 10 for n in long):
+        raise ValueError("windows of more than 40 rows must be multiples of 10")
 
     def total(block: int, back: int = 0) -> str:
         return f"_{value}_sum{block}" + (f"_back{back}" if back else "")
@@ -84,25 +81,23 @@ def rolling_means(value: str, sizes: Iterable[int], series: Series, name: Callab
     def count(back: int = 0) -> str:
         return f"_{value}_count" + (f"_back{back}" if back else "")
 
-    def pieces(n: int, blocks: tuple[int, ...]) -> str:
-        # Rows before the start of the series add nothing.
-        return "(" + " + ".join(f"coalesce({total(*piece)}, 0D)" for piece in _cut(n, blocks)) + ")"
-
-    def lags(ns: Iterable[int], blocks: tuple[int, ...]) -> dict[str, str]:
-        needed = sorted({piece for n in ns for piece in _cut(n, blocks) if piece[1]})
-        return {total(block, back): series.lag(total(block), back) for block, back in needed}
-
-    def mean(n: int, rows_total: str) -> str:
-        # How many values a window holds is exact as a difference of running counts.
+    def mean(n: int) -> str:
+        # Rows before the start of the series add nothing. How many values a
+        # window holds is exact as a difference of running counts.
+        rows_total = " + ".join(f"coalesce({total(*piece)}, 0D)" for piece in _cut(n))
         held = f"({count()} - coalesce({count(n)}, 0))"
-        return f"CASE WHEN {held} > 0 THEN {rows_total} / {held} END"
+        return f"CASE WHEN {held} > 0 THEN ({rows_total}) / {held} END"
 
+    lagged = sorted({piece for n in long for piece in _cut(n) if piece[1]})
+    first = {name(n): f"avg({value}) {series.last(n)}" for n in sizes if n not in long}
+    if not long:
+        return [first]
     return [
-        {count(): f"count({value}) {series.so_far}", total(5): f"sum({value}) {series.last(5)}"},
-        {total(1): value},
-        lags(short, short_blocks) | {count(n): series.lag(count(), n) for n in sizes},
-        {total(n): pieces(n, short_blocks) for n in (10, 20)}
-        | {name(n): mean(n, pieces(n, short_blocks)) for n in short if n in sizes},
-        lags(long, long_blocks),
-        {name(n): mean(n, pieces(n, long_blocks)) for n in long},
+        first
+        | {total(block): f"sum({value}) {series.last(block)}" for block in (10, 20)}
+        | {count(): f"count({value}) {series.so_far}"},
+        {},
+        {total(block, back): series.lag(total(block), back) for block, back in lagged}
+        | {count(n): series.lag(count(), n) for n in long},
+        {name(n): mean(n) for n in long},
     ]

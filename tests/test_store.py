@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,11 +43,13 @@ def test_running_a_batch_again_changes_nothing(spark, store):
     before = stored(store)
     store.upsert(bars(spark, closes("a", [1.0, 2.0])), "one")
     assert stored(store) == before
+    # Nothing but the table itself is left behind.
+    assert not list(Path(store.root).glob("staged/*")) and not list(Path(store.root).glob("work/*"))
 
 
 def test_a_finished_copy_is_swapped_in(spark, store):
     """The job died after the copy was written and before it was swapped in."""
-    store._stage(bars(spark, closes("a", [1.0, 2.0])), f"{store.root}/staged/one")
+    store._stage(bars(spark, closes("a", [1.0, 2.0])), f"{store.root}/staged/one", store.work_path("one"))
     assert store.read().count() == 0
     store.upsert(bars(spark, closes("a", [1.0, 2.0])), "one")
     assert store.read().count() == 2
@@ -54,7 +57,7 @@ def test_a_finished_copy_is_swapped_in(spark, store):
 
 def test_an_unfinished_copy_is_written_anew(spark, store):
     spark.createDataFrame([("x",)], "junk string").write.parquet(f"{store.root}/staged/one")
-    (marker,) = [p for p in __import__("pathlib").Path(store.root).glob("staged/one/_SUCCESS")]
+    (marker,) = Path(store.root).glob("staged/one/_SUCCESS")
     marker.unlink()
     store.upsert(bars(spark, closes("a", [1.0])), "one")
     assert {k: r.close for k, r in stored(store).items()} == {("a", START): 1.0}

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from series import START, assert_rows, closes, core_by_hand, frame, random_rows
 from tickloom.functions.messages import encode_messages
 from tickloom.operators.candles import build_candles
+from tickloom.plans.rows import full_rows
 from tickloom.schemas import CORE_INDICATORS
 from tickloom.sources.messages import file_messages, kafka_sink_options
 from tickloom.sources.store import Store
@@ -40,10 +41,19 @@ def test_stream_equals_batch_over_restarts(spark, tmp_path):
     assert {r.value for r in spark.read.parquet(bad).collect()} == {"junk", None}
 
 
+def test_another_checkpoint_counts_anew(spark, tmp_path):
+    """Leftovers of a stream that died are not taken for another stream's batch."""
+    inbox, store = str(tmp_path / "inbox"), Store(spark, str(tmp_path / "store"))
+    send(spark, inbox, closes("a", [1.0, 2.0]), 1)
+    store._stage(full_rows(frame(spark, closes("z", [9.0]))), f"{store.root}/staged/old-0", store.work_path("old-0"))
+    run(spark, inbox, store, tmp_path)
+    assert sorted(r.symbol for r in store.read().collect()) == ["a", "a"]
+
+
 def test_a_batch_delivered_again(spark, tmp_path):
     rows = random_rows("a", 50, 4, nulls=False)
     store = Store(spark, str(tmp_path / "store"))
-    write = batch_writer(store, order=("seq",))
+    write = batch_writer(store, ("seq",), lambda: "test")
     first, second = (encode_messages(frame(spark, part)).withColumn("seq", F.lit(1)) for part in (rows[:30], rows[30:]))
     write(first, 0)
     write(second, 1)
@@ -53,7 +63,7 @@ def test_a_batch_delivered_again(spark, tmp_path):
 
 def test_batch_without_bars(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
-    batch_writer(store, order=("seq",))(spark.createDataFrame([("junk", 1)], "value string, seq int"), 0)
+    batch_writer(store, ("seq",), lambda: "test")(spark.createDataFrame([("junk", 1)], "value string, seq int"), 0)
     assert store.read().count() == 0
 
 

@@ -86,16 +86,15 @@ def flow_facts(bars: DataFrame, spans: Spans, seeded: bool = False) -> DataFrame
     last close to this span's first one.
     """
     seed = F.col("_seed") if seeded else F.lit(None).cast("double").alias("_seed")
-    narrow = bars.select("symbol", "time", "close", "volume", seed, spans.start().alias("_span"))
-    facts = span_facts(
-        run_families(narrow, [flow(Series(("symbol", "_span")), seeded)]),
-        spans,
+    narrow = bars.select("symbol", "time", "close", "volume", seed)
+    piece = Series(("symbol", "_span"))
+    facts = span_facts(narrow, REACH, spans, [flow(piece, seeded)], [
         F.min_by("close", "time").alias("first_close"),
         F.min_by("volume", "time").alias("first_volume"),
         F.min_by("_seed", "time").alias("first_seed"),
         F.max_by("close", "time").alias("last_close"),
         F.max_by("obv", "time").alias("own"),
-    )
+    ])
     by_span = "OVER (PARTITION BY symbol ORDER BY _span"
     step = signed_volume("first_close", "previous_close", "first_volume")
     return (
@@ -103,7 +102,7 @@ def flow_facts(bars: DataFrame, spans: Spans, seeded: bool = False) -> DataFrame
         # A seed stands for all flow up to its row. NULL volumes add nothing.
         .selectExpr("*", f"CASE WHEN first_seed IS NULL THEN coalesce({step}, 0D) ELSE 0D END AS step")
         .selectExpr(
-            "symbol", "_span", "_first", "_last",
+            "symbol", "_span", "_first", "_last", "_head_to", "_tail_from",
             f"""coalesce(sum(coalesce(own, 0D) + step)
                 {by_span} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0D) + step AS _before""",
         )

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.operators.spans import Spans, span_facts
-from tickloom.session import settle
+from tickloom.operators.spans import Spans, with_neighbours
+from tickloom.session import delete_path, scratch_path, settle
 
 # The acceleration's start and step, and its limit.
 ACCELERATION, LIMIT = 0.02, 0.20
@@ -101,31 +101,32 @@ def _starts(ends: DataFrame, facts: DataFrame) -> DataFrame:
     )
 
 
-def _settled_starts(bars: DataFrame, spans: Spans) -> DataFrame:
+def _settled_starts(bars: DataFrame) -> DataFrame:
     """The state each span but a symbol's first begins with."""
     spark = bars.sparkSession
-    by_span = Window.partitionBy("symbol").orderBy("_span")
-    facts = settle(
-        span_facts(bars, spans).withColumn("_before_span", F.lag("_span").over(by_span)), "sar-spans"
-    )
+    work = scratch_path(spark, "sar")
     keys = ["symbol", "_span"]
-    nothing = spark.createDataFrame([], ENDS)
+    by_span = Window.partitionBy("symbol").orderBy("_span")
+    facts = with_neighbours(bars.select(*keys).distinct())
+    facts = settle(facts.withColumn("_before_span", F.lag("_span").over(by_span)), "spans", work)
     # End states are needed of spans that have a successor only.
-    series = bars.join(facts.where(~F.col("_last")).select(*keys), keys, "left_semi")
-    todo = facts.where(~F.col("_last")).select(*keys)
-    starts, ends = nothing, nothing
+    leading = facts.where(~F.col("_last")).select(*keys)
+    series = bars.join(leading, keys, "left_semi")
+    same = reduce(
+        lambda a, b: a & b, (F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*keys, *State._fields))
+    )
+    starts = ends = spark.createDataFrame([], ENDS)
+    todo = leading
     while not todo.isEmpty():
         begun = series.join(todo, keys, "left_semi")
         fresh = _per_span(begun, starts.join(todo, keys, "left_semi"), _end_of_span, ENDS)
-        ends = settle(ends.join(todo, keys, "left_anti").unionByName(fresh), "sar-ends")
-        last_starts, starts = starts, settle(_starts(ends, facts), "sar-starts")
-        same = reduce(
-            lambda a, b: a & b, (F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*keys, *State._fields))
-        )
-        changed = starts.alias("a").join(last_starts.alias("b"), same, "left_anti")
-        todo = settle(
-            changed.join(facts.where(~F.col("_last")), keys, "left_semi").select(*keys), "sar-todo"
-        )
+        ends = settle(ends.join(todo, keys, "left_anti").unionByName(fresh), "ends", work)
+        last_starts, starts = starts, settle(_starts(ends, facts), "starts", work)
+        changed = starts.alias("a").join(last_starts.alias("b"), same, "left_anti").select(*keys)
+        todo = settle(changed.join(leading, keys, "left_semi"), "todo", work)
+    # One row per span is left; the tables of the rounds are not needed any more.
+    starts = settle(starts, "sar-starts")
+    delete_path(spark, work)
     return starts
 
 
@@ -138,7 +139,7 @@ def with_sar(bars: DataFrame, reset: str = "none", spans: Spans = Spans()) -> Da
         starts = bars.sparkSession.createDataFrame([], ENDS)
     elif reset == "none":
         cut = bars.withColumn("_span", spans.start())
-        starts = _settled_starts(cut.select("symbol", "_span", "time", "high", "low"), spans)
+        starts = _settled_starts(cut.select("symbol", "_span", "time", "high", "low"))
     else:
         raise ValueError(f"reset must be 'none' or 'day', not {reset!r}")
     schema = T.StructType([*cut.schema.fields, T.StructField("parabolic_sar", T.DoubleType())])

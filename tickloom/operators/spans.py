@@ -17,7 +17,7 @@ The edges of a symbol are at most ``2 * reach`` rows per span, whatever the
 number of bars. Both places read one and the same shuffle by (symbol, span).
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -42,20 +42,38 @@ class Spans:
         return F.col("time") - F.pmod(F.col("time"), F.lit(self.seconds).cast("bigint"))
 
 
-def span_facts(bars: DataFrame, spans: Spans, *aggregates: Column) -> DataFrame:
-    """One row per (symbol, span): whether it is the symbol's first or last one,
-    and ``aggregates`` of its bars."""
+def with_neighbours(facts: DataFrame) -> DataFrame:
+    """Mark the first and the last span of each symbol; ``facts`` has one row per span."""
     by_span = Window.partitionBy("symbol").orderBy("_span")
-    if "_span" not in bars.columns:
-        bars = bars.withColumn("_span", spans.start())
-    grouped = bars.groupBy("symbol", "_span")
-    facts = grouped.agg(*aggregates) if aggregates else grouped.agg(F.count(F.lit(1)).alias("_rows"))
     return facts.withColumns({
         "_first": F.lag("_span").over(by_span).isNull(),
         "_last": F.lead("_span").over(by_span).isNull(),
     })
 
 
+def span_facts(
+    bars: DataFrame,
+    reach: int,
+    spans: Spans,
+    families: Iterable[Family] = (),
+    aggregates: Iterable[Column] = (),
+) -> DataFrame:
+    """One row per (symbol, span): its neighbours, where its edges lie, and
+    ``aggregates`` over its bars and the columns of ``families``.
+
+    Reads as few columns of the bars as these need.
+    """
+    piece = Series(("symbol", "_span"))
+    edges = [{"_pos": f"row_number() {piece.ordered}", "_tail": piece.lag("time", reach - 1)}]
+    placed = run_families(bars.withColumn("_span", spans.start()), [edges, *families], keep=["_pos", "_tail"])
+    facts = placed.groupBy("symbol", "_span").agg(
+        F.max(F.when(F.col("_pos") <= reach, F.col("time"))).alias("_head_to"),
+        F.coalesce(F.max_by("_tail", "time"), F.min("time")).alias("_tail_from"),
+        *aggregates,
+    )
+    return with_neighbours(facts)
+
+
 def over_spans(
     bars: DataFrame,
     families: Callable[[Series], list[Family]],
@@ -67,11 +85,11 @@ def over_spans(
     """Compute ``families`` as if over each symbol's whole series.
 
     They may only use rows up to ``reach`` before the current one. ``per_span``
-    families are computed within each span. ``facts`` are those of
+    families are computed from each span's start. ``facts`` are those of
     ``span_facts``; further columns in it are carried to every row.
     """
     if facts is None:
-        facts = span_facts(bars, spans).drop("_rows")
+        facts = span_facts(bars, reach, spans)
     # Facts have one row per span, so the part of them that meets a task's bars
     # is small at any scale: hash that, and shuffle nothing but bars and facts.
     # The join is a left one to keep the bars' shuffle free of added filters.
@@ -79,25 +97,13 @@ def over_spans(
         bars.withColumn("_span", spans.start())
         .join(facts.hint("shuffle_hash"), ["symbol", "_span"], "left")
     )
-    piece = Series(("symbol", "_span"))
-    rank = [{"_pos": f"row_number() {piece.ordered}"}]
-    in_head = F.col("_pos") <= reach
-
-    inner = (
-        run_families(cut, [rank, *per_span(piece), *families(piece)], keep=["_pos"])
-        .where(~in_head | F.col("_first"))
-    )
-
-    size = [{"_size": f"count(*) {piece.group}"}]
-    in_tail = F.col("_size") - F.col("_pos") < reach
-    edges = (
-        run_families(cut.where(~(F.col("_first") & F.col("_last"))),
-                     [rank, size, *per_span(piece)], keep=["_pos", "_size"])
-        .where((~F.col("_first") & in_head) | (~F.col("_last") & in_tail))
-        .drop("_size")
-    )
-    heads = (
-        run_families(edges, families(Series(("symbol",))))
-        .where(~F.col("_first") & in_head)
-    )
-    return inner.unionByName(heads).drop("_span", "_pos", "_first", "_last")
+    piece, whole = Series(("symbol", "_span")), Series(("symbol",))
+    in_head = ~F.col("_first") & (F.col("time") <= F.col("_head_to"))
+    in_tail = ~F.col("_last") & (F.col("time") >= F.col("_tail_from"))
+
+    inner = run_families(cut, [*per_span(piece), *families(piece)]).where(~in_head)
+    # Few rows are left before anything is sorted here. A head is the start of
+    # its span, so per-span columns come out right for it; tails need none.
+    edges = run_families(cut.where(in_head | in_tail), per_span(piece))
+    heads = run_families(edges, families(whole)).where(in_head)
+    return inner.unionByName(heads).drop("_span", "_first", "_last", "_head_to", "_tail_from")

@@ -41,14 +41,31 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, purpose: str) -> DataFrame:
+def settle(df: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, cutting its lineage.
 
     The result is a columnar table: later readers prune columns, and a lost
-    executor costs a re-read instead of a recomputation.
+    executor costs a re-read instead of a recomputation. ``folder`` collects
+    tables that a caller deletes together when it is done with them.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, purpose)
+    path = scratch_path(spark, purpose) if folder is None else f"{folder}/{purpose}-{uuid.uuid4().hex}"
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there, from whichever file system holds it."""
+    files, target = _file_system(spark, path)
+    files.delete(target, True)

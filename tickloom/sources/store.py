@@ -9,17 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.enrich import HISTORY_ROWS, bars_between, history_before
 from tickloom.schemas import INDICATOR_SCHEMA, KEY_COLUMNS
-from tickloom.session import settle
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+from tickloom.session import delete_path, path_exists, settle
 
 
 def _days(df: DataFrame, column: str) -> list[date]:
@@ -48,9 +38,13 @@ class Store:
     def symbols_path(self) -> str:
         return f"{self.root}/symbols"
 
+    def work_path(self, batch_id: str) -> str:
+        """Where a batch keeps its tables while it runs."""
+        return f"{self.root}/work/{batch_id}"
+
     def _table(self, path: str, schema) -> DataFrame:
         # Types come from the schema, never from the spelling of a folder name.
-        if not _exists(self.spark, path):
+        if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
@@ -64,21 +58,22 @@ class Store:
 
     # ---- reading what a batch needs -------------------------------------
 
-    def history(self, ranges: DataFrame, n: int = HISTORY_ROWS, days: int = 1) -> DataFrame:
+    def history(self, ranges: DataFrame, n: int = HISTORY_ROWS, days: int = 1,
+                work: str | None = None) -> DataFrame:
         """The ``n`` stored rows of each symbol before its batch begins.
 
-        ``ranges`` is the ``batch_range``. Looks ``days`` back at first. Symbols
+        ``ranges`` is the ``batch_range``, ``work`` a folder for tables. Looks ``days`` back at first. Symbols
         that still lack rows and whose series begins earlier are looked up
         again, four times as far back each time, until none is left. Days are
         pruned in every round, and a symbol never seen before costs no look.
         """
         parts = []
-        pending = settle(ranges.join(self.symbols(), "symbol"), "history-wanted")
+        pending = settle(ranges.join(self.symbols(), "symbol"), "history-wanted", work)
         starts = _days(pending, "_from_day")
         while starts:
             wanted = sorted({day - timedelta(back) for day in starts for back in range(days + 1)})
             stored = self.read().where(F.col("day").isin(wanted))
-            found = settle(history_before(stored, pending, n), "history-found")
+            found = settle(history_before(stored, pending, n), "history-found", work)
             counts = found.groupBy("symbol").agg(F.count(F.lit(1)).alias("_found"))
             lacking = (
                 pending.join(counts, "symbol", "left")
@@ -88,7 +83,7 @@ class Store:
             )
             starts = _days(lacking, "_from_day")
             if starts:
-                pending = settle(lacking, "history-wanted")
+                pending = settle(lacking, "history-wanted", work)
                 found = found.join(pending.select("symbol"), "symbol", "left_anti")
             parts.append(found)
             days *= 4
@@ -115,8 +110,8 @@ class Store:
         anything less is written anew.
         """
         staged = f"{self.root}/staged/{batch_id}"
-        if not _exists(self.spark, f"{staged}/_SUCCESS"):
-            self._stage(rows, staged)
+        if not path_exists(self.spark, f"{staged}/_SUCCESS"):
+            self._stage(rows, staged, self.work_path(batch_id))
         days = self.spark.read.schema(INDICATOR_SCHEMA).parquet(staged)
         # By range rather than by day, so that a large day is many tasks.
         (
@@ -127,10 +122,11 @@ class Store:
             .partitionBy("day")
             .parquet(self.bars_path)
         )
-        _delete(self.spark, staged)
+        delete_path(self.spark, staged)
+        delete_path(self.spark, self.work_path(batch_id))
 
-    def _stage(self, rows: DataFrame, staged: str) -> None:
-        rows = settle(rows.select(*INDICATOR_SCHEMA.names), "upsert-rows")
+    def _stage(self, rows: DataFrame, staged: str, work: str) -> None:
+        rows = settle(rows.select(*INDICATOR_SCHEMA.names), "upsert-rows", work)
         self._list_symbols(rows)
         stored = self.read().where(F.col("day").isin(_days(rows, "day")))
         kept = stored.join(rows.select(*KEY_COLUMNS), KEY_COLUMNS, "left_anti")

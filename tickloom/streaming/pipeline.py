@@ -1,8 +1,9 @@
 """From a stream of messages or ticks to tables."""
 
+import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,7 +13,7 @@ from tickloom.operators.enrich import batch_range, enrich
 from tickloom.operators.spans import Spans
 from tickloom.plans.rows import full_rows
 from tickloom.schemas import BAR_COLUMNS
-from tickloom.session import settle
+from tickloom.session import delete_path, settle
 from tickloom.sources.store import Store
 
 
@@ -23,30 +24,45 @@ def enrich_into(store: Store, bars: DataFrame, batch_id: str, recompute: bool =
     All symbols go through one plan. With ``recompute`` stored rows after a
     changed bar are brought up to date as well.
     """
-    ranges = settle(batch_range(bars), "batch-range")
+    work = store.work_path(batch_id)
+    ranges = settle(batch_range(bars), "batch-range", work)
     widest = ranges.agg(F.max(F.col("_to") - F.col("_from"))).first()[0]
     # A batch that fits a span has no more rows per symbol than a span.
     fits = not recompute and widest < spans.seconds
-    enriched = enrich(bars, store.history(ranges), store.between(bars, ranges, to_end=recompute),
-                      recompute, None if fits else spans)
+    enriched = enrich(bars, store.history(ranges, work=work),
+                      store.between(bars, ranges, to_end=recompute), recompute, None if fits else spans)
     store.upsert(full_rows(enriched), batch_id)
 
 
-def batch_writer(store: Store, order: tuple[str, ...], quarantine_path: str | None = None,
-                 recompute: bool = False, spans: Spans = Spans()) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function of the message stream."""
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that owns a checkpoint; restarts keep it."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def batch_writer(store: Store, order: tuple[str, ...], stream: Callable[[], str],
+                 quarantine_path: str | None = None, recompute: bool = False,
+                 spans: Spans = Spans()) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function of the message stream.
+
+    ``stream`` names the stream, so that batches are told apart by stream and
+    number: another checkpoint starts to count from zero again.
+    """
 
     def write(messages: DataFrame, batch_id: int) -> None:
+        name = f"{stream()}-{batch_id}"
         # The batch is read several times; its source should be read once.
         messages = messages.persist()
         try:
             if quarantine_path:
                 # One folder per batch: a batch that is run again replaces its rows.
-                quarantine(messages).write.mode("overwrite").parquet(f"{quarantine_path}/batch={batch_id}")
+                quarantine(messages).write.mode("overwrite").parquet(f"{quarantine_path}/batch={name}")
             bars = dedup_latest(parse_messages(messages), order=order).select(*BAR_COLUMNS)
-            bars = settle(bars, f"batch-{batch_id}")
-            if not bars.isEmpty():
-                enrich_into(store, bars, f"batch-{batch_id}", recompute, spans)
+            bars = settle(bars, "bars", store.work_path(name))
+            if bars.isEmpty():
+                delete_path(store.spark, store.work_path(name))
+            else:
+                # The upsert at the end of this deletes the batch's work folder.
+                enrich_into(store, bars, name, recompute, spans)
         finally:
             messages.unpersist()
 
@@ -60,9 +76,10 @@ def stream_enrich(messages: DataFrame, store: Store, checkpoint: str, order: tup
     Batches are delivered at least once and upserts are by key, so a batch
     that is delivered again changes nothing.
     """
+    write = batch_writer(store, order, lambda: query_id(store.spark, checkpoint), **options)
     return (
         messages.writeStream.outputMode("append")
-        .foreachBatch(batch_writer(store, order, **options))
+        .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 second"}))
         .start()

@@ -223,6 +223,13 @@ SELECT symbol, strftime(ts, '%Y-%m-%d') AS day, CAST(epoch(date_trunc('hour', ts
 QUALIFY row_number() OVER (PARTITION BY symbol, date_trunc('hour', ts) ORDER BY ts DESC, tick_id DESC) = 1""",
     "newest_bar": last_bars(1),
     "history_lookback": last_bars(200),
+    "display_bars": f"""WITH {HOURLY} SELECT symbol, day, time, {rounded(*PRICES)},
+  strftime(to_timestamp(time) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS bar_ts,
+  strftime(to_timestamp(time) AT TIME ZONE 'UTC', '%H:%M:%S') AS clock FROM bars""",
+    "quarantine_counts": f"""WITH {HOURLY}, sent AS (SELECT count(*) AS n FROM bars)
+SELECT 'no symbol' AS reason, n AS messages FROM sent
+UNION ALL SELECT 'no time', n FROM sent
+UNION ALL SELECT 'no symbol, no time', (SELECT count(*) FROM events) + (SELECT count(*) FROM customer)""",
     "enrich_batch": f"""{indicators(*CORE)}
 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY time DESC) <= 24""",
     "store_upsert": f"""WITH {HOURLY}

@@ -64,3 +64,8 @@ def quarantine(df: DataFrame) -> DataFrame:
     carried = [c for c in df.columns if c not in ("key", "value")]
     # A NULL m (NULL value) has a NULL symbol and no time, so it lands here too.
     return _read(df).where(no_symbol | no_time).select("value", reason.alias("reason"), *carried)
+
+
+def quarantine_counts(rejected: DataFrame) -> DataFrame:
+    """How many messages were left out, by reason."""
+    return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))

@@ -80,13 +80,15 @@ def enrich(
     between: DataFrame,
     recompute: bool = False,
     spans: Spans | None = Spans(),
+    work: str | None = None,
 ) -> DataFrame:
     """Core indicators for the bars of ``batch``.
 
     ``history`` are stored rows before the batch with their ``obv``, ``between``
     stored bars among it. With ``recompute`` the rows of ``between`` are
     returned too, with the values the batch's bars give them. ``spans=None``
-    says that a symbol's rows here are few enough for one window.
+    says that a symbol's rows here are few enough for one window. ``work`` is a
+    folder for tables.
     """
     unseeded = F.lit(None).cast("double").alias("_seed")
     series = (
@@ -99,5 +101,5 @@ def enrich(
     if spans is None:
         out = in_groups(series, bounded_families, "symbol", seeded=True)
     else:
-        out = in_series(series, bounded_families, spans, seeded=True)
+        out = in_series(series, bounded_families, spans, seeded=True, work=work)
     return out.where("_wanted").select(*BAR_COLUMNS, *CORE_INDICATORS)

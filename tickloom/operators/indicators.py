@@ -120,11 +120,13 @@ def in_groups(bars: DataFrame, families, *group: str, seeded: bool = False) -> D
     return run_families(bars, [*families(series), flow(series, seeded)])
 
 
-def in_series(bars: DataFrame, families, spans: Spans, seeded: bool = False) -> DataFrame:
+def in_series(
+    bars: DataFrame, families, spans: Spans, seeded: bool = False, work: str | None = None
+) -> DataFrame:
     """``families`` and OBV over each symbol's series, however long."""
     return (
         over_spans(bars, families, REACH, spans, facts=flow_facts(bars, spans, seeded),
-                   per_span=lambda piece: [flow(piece, seeded)])
+                   per_span=lambda piece: [flow(piece, seeded)], work=work)
         .withColumn("obv", F.col("obv") + F.col("_before"))
         .drop("_before")
     )
@@ -137,6 +139,8 @@ def with_indicators(
 
     ``reset="none"`` treats a symbol's bars as one series, ``reset="day"``
     starts every (symbol, day) afresh. Bars without a symbol are left out.
+    ``bars`` is read more than once, so it should be a table rather than a
+    long computation.
     """
     columns = bars.columns
     bars = bars.where(F.col("symbol").isNotNull())

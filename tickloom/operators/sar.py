@@ -10,11 +10,13 @@ round is the last; series without flips just take more rounds. The result is
 that of one walk over the whole series.
 """
 
+import sys
 from collections.abc import Iterable
 from functools import reduce
 from typing import NamedTuple
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,9 @@ from pyspark.sql import types as T
 from tickloom.operators.spans import Spans, with_neighbours
 from tickloom.session import delete_path, scratch_path, settle
 
+# Tasks get the functions below with the job; executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The acceleration's start and step, and its limit.
 ACCELERATION, LIMIT = 0.02, 0.20
 

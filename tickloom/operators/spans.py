@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.rolling import Family, Series, run_families
+from tickloom.session import settle
 
 
 @dataclass(frozen=True)
@@ -81,15 +82,19 @@ def over_spans(
     spans: Spans,
     facts: DataFrame | None = None,
     per_span: Callable[[Series], list[Family]] = lambda piece: [],
+    work: str | None = None,
 ) -> DataFrame:
     """Compute ``families`` as if over each symbol's whole series.
 
     They may only use rows up to ``reach`` before the current one. ``per_span``
     families are computed from each span's start. ``facts`` are those of
-    ``span_facts``; further columns in it are carried to every row.
+    ``span_facts``; further columns in it are carried to every row. They are
+    computed here and now, into ``work`` or the shared folder.
     """
-    if facts is None:
-        facts = span_facts(bars, reach, spans)
+    facts = span_facts(bars, reach, spans) if facts is None else facts
+    # A row per span, read by both parts below, which need different columns of
+    # it: without a table Spark would work the facts out twice.
+    facts = settle(facts, "span-facts", work)
     # Facts have one row per span, so the part of them that meets a task's bars
     # is small at any scale: hash that, and shuffle nothing but bars and facts.
     # The join is a left one to keep the bars' shuffle free of added filters.

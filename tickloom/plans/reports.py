@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.klines import decode_klines
-from tickloom.functions.messages import encode_messages, parse_messages, quarantine
+from tickloom.functions.messages import encode_messages, parse_messages, quarantine, quarantine_counts
 from tickloom.operators.candles import build_candles, dedup_latest
 from tickloom.operators.enrich import (
     HISTORY_ROWS,
@@ -26,7 +26,7 @@ from tickloom.operators.sar import with_sar
 from tickloom.operators.spans import Spans, over_spans
 from tickloom.plans.present import DECIMALS, present
 from tickloom.plans.reads import day_bars, latest, multi_symbol, named_range, range_bars, run_sql
-from tickloom.plans.rows import compat_rows, full_rows
+from tickloom.plans.rows import compat_rows, display_rows, full_rows
 from tickloom.schemas import BAR_COLUMNS, CORE_INDICATORS, EXTENDED_INDICATORS, KEY_COLUMNS
 from tickloom.session import prepare, scratch_path, settle
 from tickloom.sources.messages import file_messages
@@ -48,6 +48,15 @@ DAILY_SPANS = Spans(width_seconds=DAY)
 SALES_DECIMALS = 6
 
 
+# Reports whose bars are read more than once work on a stored table of them.
+def stored_bars(spark: SparkSession, folder: str) -> DataFrame:
+    return settle(hourly_bars(spark, folder), "bars")
+
+
+def stored_sales(spark: SparkSession, folder: str) -> DataFrame:
+    return settle(daily_sales_bars(spark, folder), "bars")
+
+
 def hourly_bars(spark: SparkSession, folder: str) -> DataFrame:
     return build_candles(read_ticks(prepare(spark), folder), HOUR, order=("ts", "tick_id"))
 
@@ -57,7 +66,7 @@ def daily_sales_bars(spark: SparkSession, folder: str) -> DataFrame:
     return build_candles(read_sales(prepare(spark), folder), DAY, order=order)
 
 
-def _indicators(*columns: str, reset: str = "none", bars=hourly_bars, spans=HOURLY_SPANS,
+def _indicators(*columns: str, reset: str = "none", bars=stored_bars, spans=HOURLY_SPANS,
                 decimals: int = DECIMALS):
     def query(spark: SparkSession, folder: str) -> DataFrame:
         return present(
@@ -72,28 +81,28 @@ def _extended(*columns: str, families):
     """Windowed extended indicators, each on its own."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        out = over_spans(hourly_bars(spark, folder), families, REACH, HOURLY_SPANS)
+        out = over_spans(stored_bars(spark, folder), families, REACH, HOURLY_SPANS)
         return present(out.select(*KEY_COLUMNS, *columns))
 
     return query
 
 
 def parabolic_sar(spark: SparkSession, folder: str) -> DataFrame:
-    bars = settle(hourly_bars(spark, folder), "bars")
+    bars = stored_bars(spark, folder)
     return present(with_sar(bars, spans=HOURLY_SPANS).select(*KEY_COLUMNS, "parabolic_sar"))
 
 
 def pivots(spark: SparkSession, folder: str) -> DataFrame:
-    return present(with_pivots(hourly_bars(spark, folder)).select(*KEY_COLUMNS, *PIVOT_COLUMNS))
+    return present(with_pivots(stored_bars(spark, folder)).select(*KEY_COLUMNS, *PIVOT_COLUMNS))
 
 
 def all_indicators(spark: SparkSession, folder: str) -> DataFrame:
-    bars = settle(hourly_bars(spark, folder), "bars")
+    bars = stored_bars(spark, folder)
     return present(full_rows(with_indicators(bars, spans=HOURLY_SPANS, extended=True)))
 
 
 def indicator_row_compat(spark: SparkSession, folder: str) -> DataFrame:
-    enriched = with_indicators(hourly_bars(spark, folder), spans=HOURLY_SPANS)
+    enriched = with_indicators(stored_bars(spark, folder), spans=HOURLY_SPANS)
     return compat_rows(present(enriched))
 
 
@@ -121,6 +130,10 @@ def report_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     return quarantine(messages(spark, folder))
 
 
+def report_quarantine_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return quarantine_counts(quarantine(messages(spark, folder)))
+
+
 def report_encode_messages(spark: SparkSession, folder: str) -> DataFrame:
     return encode_messages(hourly_bars(spark, folder), "1h")
 
@@ -157,7 +170,7 @@ def history_lookback(spark: SparkSession, folder: str) -> DataFrame:
 
 def enrich_batch(spark: SparkSession, folder: str) -> DataFrame:
     """The newest day of bars as a batch, all earlier ones as the stored table."""
-    bars = settle(hourly_bars(spark, folder), "bars")
+    bars = stored_bars(spark, folder)
     batch = settle(newest(bars, 24), "batch")
     earlier = bars.join(batch, KEY_COLUMNS, "left_anti")
     stored = settle(with_indicators(earlier, spans=HOURLY_SPANS), "stored")
@@ -173,7 +186,7 @@ def new_store(spark: SparkSession) -> Store:
 
 def store_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """All bars first, then the bars of the mornings with twice the volume."""
-    bars = settle(hourly_bars(spark, folder), "bars")
+    bars = stored_bars(spark, folder)
     morning = F.pmod(F.col("time"), F.lit(DAY)) < DAY // 2
     store = new_store(spark)
     store.upsert(full_rows(bars), "first")
@@ -183,7 +196,7 @@ def store_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 def late_recompute(spark: SparkSession, folder: str) -> DataFrame:
     """A noon bar of each symbol's tenth day arrives after all others."""
-    bars = settle(hourly_bars(spark, folder), "bars")
+    bars = stored_bars(spark, folder)
     late = (F.date_format("day", "dd") == "10") & (F.pmod(F.col("time"), F.lit(DAY)) == DAY // 2)
     store = new_store(spark)
     enrich_into(store, bars.where(~late), "on-time", spans=HOURLY_SPANS)
@@ -243,7 +256,7 @@ def report_stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def report_stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
     """Messages arrive in three parts, each bar first with no volume; the stream
     is stopped and restarted from its checkpoint between the parts."""
-    bars = settle(hourly_bars(spark, folder), "bars")
+    bars = stored_bars(spark, folder)
     inbox, checkpoint = scratch_path(spark, "inbox"), scratch_path(spark, "checkpoint")
     store = new_store(spark)
     part = F.least(F.floor((F.dayofmonth("day") - 1) / 10), F.lit(2))
@@ -278,8 +291,8 @@ REPORTS = {
     "rsi": _indicators("rsi14"),
     "obv": _indicators("obv"),
     "core_indicators": _indicators(*CORE_INDICATORS),
-    "indicators_daily_reset": _indicators(*CORE_INDICATORS, reset="day"),
-    "sales_indicators": _indicators(*CORE_INDICATORS, bars=daily_sales_bars, spans=DAILY_SPANS,
+    "indicators_daily_reset": _indicators(*CORE_INDICATORS, reset="day", bars=hourly_bars),
+    "sales_indicators": _indicators(*CORE_INDICATORS, bars=stored_sales, spans=DAILY_SPANS,
                                     decimals=SALES_DECIMALS),
     "atr": _extended("atr", families=lambda series: [trend(series)]),
     "adx": _extended("plus_di", "minus_di", "adx", families=lambda series: [trend(series)]),
@@ -296,6 +309,8 @@ REPORTS = {
     "decode_klines": report_decode_klines,
     "dedup_latest": report_dedup_latest,
     "newest_bar": newest_bar,
+    "display_bars": _read(lambda bars: display_rows(bars).withColumn("bar_ts", F.col("bar_ts").cast("string"))),
+    "quarantine_counts": report_quarantine_counts,
     "history_lookback": history_lookback,
     "enrich_batch": enrich_batch,
     "store_upsert": store_upsert,

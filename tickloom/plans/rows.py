@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.functions.clock import clock_text
 from tickloom.schemas import CORE_INDICATORS, EXTENDED_INDICATORS, INDICATOR_COLUMNS
 
 
@@ -23,3 +24,11 @@ def compat_rows(enriched: DataFrame) -> DataFrame:
     narrow |= {c: F.lit(None).cast("float") for c in EXTENDED_INDICATORS}
     narrow["volume"] = F.col("volume").try_cast("bigint")
     return enriched.select(*[narrow.get(c, F.col(c)).alias(c) for c in INDICATOR_COLUMNS])
+
+
+def display_rows(bars: DataFrame) -> DataFrame:
+    """Bars with their time as a timestamp ``bar_ts`` and as ``HH:mm:ss`` text ``clock``."""
+    return bars.withColumns({
+        "bar_ts": F.timestamp_seconds("time"),
+        "clock": clock_text(F.col("time")),
+    })

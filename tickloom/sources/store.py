@@ -91,13 +91,13 @@ class Store:
             return self.spark.createDataFrame([], INDICATOR_SCHEMA)
         return reduce(DataFrame.unionByName, parts)
 
-    def between(self, batch: DataFrame, ranges: DataFrame, to_end: bool = False) -> DataFrame:
-        """Stored rows among or (``to_end``) after the batch's bars."""
-        first, last = ranges.agg(F.min("_from_day"), F.max("_to_day")).first()
+    def between(self, batch: DataFrame, ranges: DataFrame, first: date, last: date | None) -> DataFrame:
+        """Stored rows among the batch's bars, which lie between two days; with no
+        last day those after them too."""
         stored = self.read().where(F.col("day") >= F.lit(first))
-        if not to_end:
+        if last is not None:
             stored = stored.where(F.col("day") <= F.lit(last))
-        return bars_between(stored, batch, ranges, to_end)
+        return bars_between(stored, batch, ranges, to_end=last is None)
 
     # ---- writing ----------------------------------------------------------
 

@@ -26,11 +26,14 @@ def enrich_into(store: Store, bars: DataFrame, batch_id: str, recompute: bool =
     """
     work = store.work_path(batch_id)
     ranges = settle(batch_range(bars), "batch-range", work)
-    widest = ranges.agg(F.max(F.col("_to") - F.col("_from"))).first()[0]
+    first, last, widest = ranges.agg(
+        F.min("_from_day"), F.max("_to_day"), F.max(F.col("_to") - F.col("_from"))
+    ).first()
     # A batch that fits a span has no more rows per symbol than a span.
     fits = not recompute and widest < spans.seconds
-    enriched = enrich(bars, store.history(ranges, work=work),
-                      store.between(bars, ranges, to_end=recompute), recompute, None if fits else spans)
+    between = store.between(bars, ranges, first, None if recompute else last)
+    enriched = enrich(bars, store.history(ranges, work=work), between, recompute,
+                      None if fits else spans, work)
     store.upsert(full_rows(enriched), batch_id)
 
 

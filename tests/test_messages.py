@@ -30,7 +30,7 @@ def test_damaged_messages_never_fail(spark):
     good = json.dumps({"symbol": "a", "datetime": "2024-01-01T00:01:00Z", "epoch_ms": 1, "open": "x", "close": 2})
     fallback = json.dumps({"symbol": "a", "datetime": "soon", "epoch_ms": START * 1000 + 120_000, "close": 3})
     no_symbol = json.dumps({"datetime": "2024-01-01T00:01:00Z"})
-    no_time = json.dumps({"symbol": "a", "datetime": "soon"})
+    no_time = json.dumps({"symbol": "a", "datetime": "soon", "epoch_ms": 9 * 10**18})
     df = messages(spark, good, fallback, no_symbol, no_time, "not json", None)
     rows = parse_messages(df).orderBy("time").collect()
     assert [(r.time, r.open, r.close) for r in rows] == [(START + 60, None, 2.0), (START + 120, None, 3.0)]

@@ -4,12 +4,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The years 1 to 9999 in epoch milliseconds; numbers beyond them are no message times.
+FIRST_MS, LAST_MS = -62_135_596_800_000, 253_402_300_799_999
+
+
+def timestamp_of(epoch_ms: Column) -> Column:
+    """Timestamp of an epoch number, NULL where it is out of range."""
+    return F.when(epoch_ms.between(FIRST_MS, LAST_MS), F.timestamp_millis(epoch_ms))
+
+
 def iso_utc(epoch_ms: Column) -> Column:
     """Epoch milliseconds as ISO-8601 text with a ``Z`` suffix.
 
     A fraction appears only when there is one, with six digits.
     """
-    ts = F.timestamp_millis(epoch_ms)
+    ts = timestamp_of(epoch_ms)
     whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     fraction = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     return F.when(epoch_ms % 1000 == 0, whole).otherwise(fraction)
@@ -17,7 +26,7 @@ def iso_utc(epoch_ms: Column) -> Column:
 
 def message_time(text: Column, epoch_ms: Column) -> Column:
     """Message time: the ISO text, or the epoch number where the text is unreadable."""
-    return F.coalesce(F.try_to_timestamp(text), F.timestamp_millis(epoch_ms))
+    return F.coalesce(F.try_to_timestamp(text), timestamp_of(epoch_ms))
 
 
 def epoch_seconds(ts: Column) -> Column:

@@ -23,47 +23,55 @@ def encode_messages(bars: DataFrame, interval: str = "1m") -> DataFrame:
     return bars.select(F.col("symbol").alias("key"), F.to_json(body).alias("value"))
 
 
+def _carried(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c not in ("key", "value")]
+
+
 def _read(df: DataFrame) -> DataFrame:
-    """Unpack ``value`` next to the other columns (arrival order and the like)."""
+    """Unpack ``value`` next to the other columns (arrival order and the like).
+
+    The fields come out of a generator, which filters on them stay above of:
+    as plain columns, each condition would parse the text once more.
+    """
     text = F.col("value").cast("string")
-    carried = [c for c in df.columns if c not in ("key", "value")]
+    fields = F.inline(F.array(F.from_json(text, MESSAGE_SCHEMA)))
     return (
-        df.select(*carried, text.alias("value"), F.from_json(text, MESSAGE_SCHEMA).alias("m"))
-        .withColumn("bar_ts", message_time(F.col("m.datetime"), F.col("m.epoch_ms")))
+        df.select(*_carried(df), text.alias("_text"), fields)
+        .withColumn("_bar_ts", message_time(F.col("datetime"), F.col("epoch_ms")))
     )
 
 
 def parse_messages(df: DataFrame) -> DataFrame:
     """``value`` messages to bars; rows without a symbol or a time are left out.
 
-    Columns other than ``key`` and ``value`` are carried along.
+    Columns other than ``key`` and ``value`` are carried along; they must not be
+    named like a message field.
     """
-    carried = [c for c in df.columns if c not in ("key", "value")]
     return (
         _read(df)
-        .where(F.col("m.symbol").isNotNull() & F.col("bar_ts").isNotNull())
+        .where(F.col("symbol").isNotNull() & F.col("_bar_ts").isNotNull())
         .select(
-            F.col("m.symbol").alias("symbol"),
-            F.to_date("bar_ts").alias("day"),
-            epoch_seconds(F.col("bar_ts")).alias("time"),
-            *[F.col(f"m.{name}").alias(name) for name in PRICE_COLUMNS],
-            *carried,
+            "symbol",
+            F.to_date("_bar_ts").alias("day"),
+            epoch_seconds(F.col("_bar_ts")).alias("time"),
+            *PRICE_COLUMNS,
+            *_carried(df),
         )
     )
 
 
 def quarantine(df: DataFrame) -> DataFrame:
     """The rows ``parse_messages`` leaves out, with the reason."""
-    no_symbol = F.col("m.symbol").isNull()
-    no_time = F.col("bar_ts").isNull()
+    no_symbol, no_time = F.col("symbol").isNull(), F.col("_bar_ts").isNull()
     reason = (
         F.when(no_symbol & no_time, "no symbol, no time")
         .when(no_symbol, "no symbol")
         .when(no_time, "no time")
     )
-    carried = [c for c in df.columns if c not in ("key", "value")]
-    # A NULL m (NULL value) has a NULL symbol and no time, so it lands here too.
-    return _read(df).where(no_symbol | no_time).select("value", reason.alias("reason"), *carried)
+    return (
+        _read(df).where(no_symbol | no_time)
+        .select(F.col("_text").alias("value"), reason.alias("reason"), *_carried(df))
+    )
 
 
 def quarantine_counts(rejected: DataFrame) -> DataFrame:

@@ -12,6 +12,10 @@ from tickloom.schemas import INDICATOR_SCHEMA, KEY_COLUMNS
 from tickloom.session import delete_path, path_exists, settle
 
 
+# Up to this many symbols are named in a filter; a join alone handles more.
+FILTER_SYMBOLS = 500
+
+
 def _days(df: DataFrame, column: str) -> list[date]:
     """The distinct days of a column; as many as the calendar has at most."""
     return [row[0] for row in df.select(column).distinct().collect()]
@@ -56,6 +60,13 @@ class Store:
         listed = self._table(self.symbols_path, "symbol string, first_day date")
         return listed.groupBy("symbol").agg(F.min("first_day").alias("first_day"))
 
+    def _of_symbols(self, wanted: DataFrame) -> DataFrame:
+        """The table, narrowed to the symbols in ``wanted`` (one row each) if these are
+        few enough to be a filter that prunes row groups. Callers join on symbol anyway."""
+        names = [row[0] for row in wanted.select("symbol").limit(FILTER_SYMBOLS + 1).collect()]
+        few = len(names) <= FILTER_SYMBOLS
+        return self.read().where(F.col("symbol").isin(names)) if few else self.read()
+
     # ---- reading what a batch needs -------------------------------------
 
     def history(self, ranges: DataFrame, n: int = HISTORY_ROWS, days: int = 1,
@@ -72,7 +83,7 @@ class Store:
         starts = _days(pending, "_from_day")
         while starts:
             wanted = sorted({day - timedelta(back) for day in starts for back in range(days + 1)})
-            stored = self.read().where(F.col("day").isin(wanted))
+            stored = self._of_symbols(pending).where(F.col("day").isin(wanted))
             found = settle(history_before(stored, pending, n), "history-found", work)
             counts = found.groupBy("symbol").agg(F.count(F.lit(1)).alias("_found"))
             lacking = (
@@ -94,7 +105,7 @@ class Store:
     def between(self, batch: DataFrame, ranges: DataFrame, first: date, last: date | None) -> DataFrame:
         """Stored rows among the batch's bars, which lie between two days; with no
         last day those after them too."""
-        stored = self.read().where(F.col("day") >= F.lit(first))
+        stored = self._of_symbols(ranges).where(F.col("day") >= F.lit(first))
         if last is not None:
             stored = stored.where(F.col("day") <= F.lit(last))
         return bars_between(stored, batch, ranges, to_end=last is None)

@@ -5,7 +5,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.operators.indicators import REACH, bounded_families, in_groups, in_series
+from tickloom.operators.indicators import REACH, bounded_families, flow_facts, in_groups, in_series
 from tickloom.operators.spans import Spans
 from tickloom.schemas import BAR_COLUMNS, CORE_INDICATORS, KEY_COLUMNS
 
@@ -101,5 +101,6 @@ def enrich(
     if spans is None:
         out = in_groups(series, bounded_families, "symbol", seeded=True)
     else:
-        out = in_series(series, bounded_families, spans, seeded=True, work=work)
+        facts = flow_facts(series, spans, seeded=True)
+        out = in_series(series, bounded_families, spans, facts, seeded=True, work=work)
     return out.where("_wanted").select(*BAR_COLUMNS, *CORE_INDICATORS)

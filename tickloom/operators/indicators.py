@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators.extended import extended_families
-from tickloom.operators.pivots import with_pivots
+from tickloom.operators.pivots import pivot_levels, with_pivots
 from tickloom.operators.rolling import Family, Series, rolling_means, run_families
 from tickloom.operators.sar import with_sar
 from tickloom.operators.spans import Spans, over_spans, span_facts
@@ -121,11 +121,12 @@ def in_groups(bars: DataFrame, families, *group: str, seeded: bool = False) -> D
 
 
 def in_series(
-    bars: DataFrame, families, spans: Spans, seeded: bool = False, work: str | None = None
+    bars: DataFrame, families, spans: Spans, facts: DataFrame, seeded: bool = False, work: str | None = None
 ) -> DataFrame:
-    """``families`` and OBV over each symbol's series, however long."""
+    """``families`` and OBV over each symbol's series, however long; ``facts``
+    are the ``flow_facts``."""
     return (
-        over_spans(bars, families, REACH, spans, facts=flow_facts(bars, spans, seeded),
+        over_spans(bars, families, REACH, spans, facts=facts,
                    per_span=lambda piece: [flow(piece, seeded)], work=work)
         .withColumn("obv", F.col("obv") + F.col("_before"))
         .drop("_before")
@@ -144,17 +145,19 @@ def with_indicators(
     """
     columns = bars.columns
     bars = bars.where(F.col("symbol").isNotNull())
+    rows = bars
     if extended:
         # Joined to the bars first; the windows below then carry them along.
-        bars = with_pivots(with_sar(bars, reset, spans))
+        rows = with_pivots(with_sar(bars, reset, spans), pivot_levels(bars))
 
     def families(series: Series) -> list[Family]:
         return bounded_families(series) + (extended_families(series) if extended else [])
 
     if reset == "day":
-        out = in_groups(bars, families, "symbol", "day")
+        out = in_groups(rows, families, "symbol", "day")
     elif reset == "none":
-        out = in_series(bars, families, spans)
+        # The facts need nothing of what was added, so they come from the bars.
+        out = in_series(rows, families, spans, flow_facts(bars, spans))
     else:
         raise ValueError(f"reset must be 'none' or 'day', not {reset!r}")
     return out.select(*columns, *CORE_INDICATORS, *(EXTENDED_INDICATORS if extended else []))

@@ -27,10 +27,12 @@ def pivot_levels(bars: DataFrame) -> DataFrame:
     )
 
 
-def with_pivots(bars: DataFrame) -> DataFrame:
-    """Add the levels of its day to every bar.
+def with_pivots(bars: DataFrame, levels: DataFrame | None = None) -> DataFrame:
+    """Add the levels of its day to every bar; ``levels`` are those of the bars
+    unless given.
 
     Levels are fewer than bars, and a task's share of them is hashed in memory;
     a day's bars of one symbol are the largest group.
     """
-    return bars.join(pivot_levels(bars).hint("shuffle_hash"), ["symbol", "day"], "left")
+    levels = pivot_levels(bars) if levels is None else levels
+    return bars.join(levels.hint("shuffle_hash"), ["symbol", "day"], "left")

@@ -43,6 +43,14 @@ class Spans:
         return F.col("time") - F.pmod(F.col("time"), F.lit(self.seconds).cast("bigint"))
 
 
+def fits_one_span(bars: DataFrame, spans: Spans) -> bool:
+    """Whether every symbol's bars lie within the length of one span, so that none
+    has more of them than a span holds."""
+    lengths = bars.groupBy("symbol").agg((F.max("time") - F.min("time")).alias("length"))
+    longest = lengths.agg(F.max("length")).first()[0]
+    return longest is None or longest < spans.seconds
+
+
 def with_neighbours(facts: DataFrame) -> DataFrame:
     """Mark the first and the last span of each symbol; ``facts`` has one row per span."""
     by_span = Window.partitionBy("symbol").orderBy("_span")

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.messages import parse_messages, quarantine
 from tickloom.operators.candles import candle_aggregates, dedup_latest
-from tickloom.operators.enrich import batch_range, enrich
+from tickloom.operators.enrich import HISTORY_ROWS, batch_range, enrich
 from tickloom.operators.spans import Spans
 from tickloom.plans.rows import full_rows
 from tickloom.schemas import BAR_COLUMNS
@@ -32,8 +32,10 @@ def enrich_into(store: Store, bars: DataFrame, batch_id: str, recompute: bool =
     # A batch that fits a span has no more rows per symbol than a span.
     fits = not recompute and widest < spans.seconds
     between = store.between(bars, ranges, first, None if recompute else last)
-    enriched = enrich(bars, store.history(ranges, work=work), between, recompute,
-                      None if fits else spans, work)
+    # Where no bar is missing, the history is this many days long.
+    days = 1 + HISTORY_ROWS * spans.width_seconds // 86_400
+    history = store.history(ranges, days=days, work=work)
+    enriched = enrich(bars, history, between, recompute, None if fits else spans, work)
     store.upsert(full_rows(enriched), batch_id)
 
 

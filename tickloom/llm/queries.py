@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import id_remainder, read_table
 from tickloom.llm.langid import fit_languages, identify
 from tickloom.llm.shards import balanced_shards
+from tickloom.llm.toxicity import fit_toxicity, score_toxicity
 
 
 def op6_nearest_centroid(spark: SparkSession, folder: str) -> DataFrame:
@@ -17,6 +18,14 @@ def op6_nearest_centroid(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op9_compression_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    held_out = id_remainder("doc_id", 4) == 2
+    labels = read_table(spark, folder, "labels").select("doc_id", "toxic").where(~held_out)
+    scored = score_toxicity(docs, fit_toxicity(docs, labels))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op10_differencing_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = balanced_shards(read_table(spark, folder, "documents"), 24)
     return placed.select(
@@ -27,6 +36,7 @@ def op10_differencing_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op6_nearest_centroid": op6_nearest_centroid,
+    "op9_compression_toxicity": op9_compression_toxicity,
     "op10_differencing_shards": op10_differencing_shards,
 }
 ORACLES: dict[str, str] = {}

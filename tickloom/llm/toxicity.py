@@ -31,7 +31,7 @@ def windows(text: str | None) -> Iterator[bytes]:
     """The lower-cased words of the whole text, ``WINDOW_WORDS`` at a time."""
     words = _WORD.findall((text or "").lower())
     for start in range(0, len(words), WINDOW_WORDS):
-        yield " ".join(words[start:start + WINDOW_WORDS]).encode("utf-8", "surrogatepass")
+        yield f" {' '.join(words[start:start + WINDOW_WORDS])} ".encode("utf-8", "surrogatepass")
 
 
 def _compressor(content: bytes):
@@ -85,7 +85,7 @@ def _contexts(texts: list[str], shortest: int = 4, longest: int = 10) -> tuple[C
     return Counter({piece: len(before) for piece, before in seen.items()}), total
 
 
-def train_dictionaries(toxic: list[str], ordinary: list[str], *, contexts: int = 8, ratio: float = 20.0,
+def train_dictionaries(toxic: list[str], ordinary: list[str], *, contexts: int = 5, ratio: float = 40.0,
                        common_words: int = 2000) -> tuple[bytes, bytes]:
     """The ordinary and the toxic dictionary; the latter is empty where nothing is peculiar to toxic text."""
     inside, inside_words = _contexts(toxic)
@@ -105,7 +105,7 @@ def train_dictionaries(toxic: list[str], ordinary: list[str], *, contexts: int =
     words = Counter(w for text in ordinary for w in _WORD.findall(text.lower()))
     commonest = sorted(words, key=lambda w: (-words[w], w))[:common_words]
     base = " ".join(reversed(commonest)).encode("utf-8", "surrogatepass") or b" " * 8
-    return base, " ".join(pieces).encode("utf-8", "surrogatepass") + b" " + base
+    return base, f" {' '.join(pieces)} ".encode("utf-8", "surrogatepass") + base
 
 
 def calibrate(features: np.ndarray, labels: np.ndarray, weights: np.ndarray, rounds: int = 40) -> np.ndarray:

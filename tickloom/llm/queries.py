@@ -5,10 +5,15 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import id_remainder, read_table
 from tickloom.llm.langid import fit_languages, identify
+from tickloom.llm.ngram_join import ngram_join
 from tickloom.llm.shards import balanced_shards
 from tickloom.llm.toxicity import fit_toxicity, score_toxicity
 
 
+def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join(read_table(spark, folder, "documents"), words=4, percent=85)
+
+
 def op6_nearest_centroid(spark: SparkSession, folder: str) -> DataFrame:
     """The classifier never rejects here: the contract wants a learnt value for every text with a letter."""
     docs = read_table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -35,8 +40,40 @@ def op10_differencing_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_ngram_jaccard": op4_ngram_jaccard,
     "op6_nearest_centroid": op6_nearest_centroid,
     "op9_compression_toxicity": op9_compression_toxicity,
     "op10_differencing_shards": op10_differencing_shards,
 }
-ORACLES: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLES: dict[str, str] = {
+    "op4_ngram_jaccard": rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+      WHEN len(ws) = 0 THEN []
+      WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+      ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS g
+  FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), e AS (
+  SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * i >= 85 * (na.n + nb.n - i)
+), r(a, b) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.a, e.b FROM r JOIN e ON r.b = e.a
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) c USING (doc_id)
+""",
+}

@@ -1,11 +1,14 @@
 """The named queries of the operators and their SQL."""
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import id_remainder, read_table
 from tickloom.llm.langid import fit_languages, identify
 from tickloom.llm.ngram_join import ngram_join
+from tickloom.llm.pieces import encode_texts
 from tickloom.llm.shards import balanced_shards
 from tickloom.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -14,6 +17,16 @@ def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join(read_table(spark, folder, "documents"), words=4, percent=85)
 
 
+def piece_model() -> str:
+    """Where the SentencePiece model lies, on every machine alike."""
+    return os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return encode_texts(docs, piece_model()).select("doc_id", "n_tokens", "ids", "round_trip")
+
+
 def op6_nearest_centroid(spark: SparkSession, folder: str) -> DataFrame:
     """The classifier never rejects here: the contract wants a learnt value for every text with a letter."""
     docs = read_table(spark, folder, "documents").select("doc_id", "text", "lang")
@@ -41,6 +54,7 @@ def op10_differencing_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op4_ngram_jaccard": op4_ngram_jaccard,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_nearest_centroid": op6_nearest_centroid,
     "op9_compression_toxicity": op9_compression_toxicity,
     "op10_differencing_shards": op10_differencing_shards,

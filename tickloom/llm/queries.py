@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import id_remainder, read_table
 from tickloom.llm.langid import fit_languages, identify
+from tickloom.llm.mixing import mixed
 from tickloom.llm.ngram_join import ngram_join
 from tickloom.llm.pieces import encode_texts
 from tickloom.llm.shards import balanced_shards
 from tickloom.llm.toxicity import fit_toxicity, score_toxicity
 
 
+def op1_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Sources of ``documents`` by the power 0.8 of their sizes, in blocks of 32 documents."""
+    return mixed(read_table(spark, folder, "documents"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join(read_table(spark, folder, "documents"), words=4, percent=85)
 
@@ -53,6 +59,7 @@ def op10_differencing_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pfair_mixing": op1_pfair_mixing,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_nearest_centroid": op6_nearest_centroid,

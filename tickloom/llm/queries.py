@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import id_remainder, read_table
+from tickloom.llm.fingerprint import fingerprints
 from tickloom.llm.langid import fit_languages, identify
 from tickloom.llm.mixing import mixed
 from tickloom.llm.ngram_join import ngram_join
@@ -19,6 +20,10 @@ def op1_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed(read_table(spark, folder, "documents"))
 
 
+def op3_piecewise_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints(read_table(spark, folder, "documents"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join(read_table(spark, folder, "documents"), words=4, percent=85)
 
@@ -60,6 +65,7 @@ def op10_differencing_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_pfair_mixing": op1_pfair_mixing,
+    "op3_piecewise_fingerprints": op3_piecewise_fingerprints,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_nearest_centroid": op6_nearest_centroid,

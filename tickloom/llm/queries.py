@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import id_remainder, read_table
 from tickloom.llm.fingerprint import fingerprints
+from tickloom.llm.hnsw import build_index, search
+from tickloom.llm.html_tree import extract
 from tickloom.llm.langid import fit_languages, identify
 from tickloom.llm.mixing import mixed
 from tickloom.llm.ngram_join import ngram_join
@@ -20,6 +22,10 @@ def op1_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed(read_table(spark, folder, "documents"))
 
 
+def op2_tree_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(read_table(spark, folder, "pages").select("page_id", "html"))
+
+
 def op3_piecewise_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints(read_table(spark, folder, "documents"))
 
@@ -47,6 +53,13 @@ def op6_nearest_centroid(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op7_small_world(spark: SparkSession, folder: str) -> DataFrame:
+    """Queries are the rows whose id is divisible by 50; every row is indexed."""
+    vectors = read_table(spark, folder, "embeddings").select("vec_id", "embedding")
+    k = 5
+    return search(build_index(vectors, keep=k + 1), vectors.where(F.col("vec_id") % 50 == 0), k=k)
+
+
 def op9_compression_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     held_out = id_remainder("doc_id", 4) == 2
@@ -65,10 +78,12 @@ def op10_differencing_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_pfair_mixing": op1_pfair_mixing,
+    "op2_tree_scoring": op2_tree_scoring,
     "op3_piecewise_fingerprints": op3_piecewise_fingerprints,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_nearest_centroid": op6_nearest_centroid,
+    "op7_small_world": op7_small_world,
     "op9_compression_toxicity": op9_compression_toxicity,
     "op10_differencing_shards": op10_differencing_shards,
 }

@@ -20,8 +20,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.shards import with_slots
-from tickloom.session import settle
-
 FRAME_SLOTS = 4096
 
 
@@ -65,18 +63,19 @@ def tempered(counts: dict[str, int], exponent: float) -> dict[str, float]:
 
 
 def mixed(docs: DataFrame, *, weights: dict[str, float] | None = None, exponent: float = 0.8,
-          block_rows: int = 32) -> DataFrame:
-    """The mixture: source, doc_id, epoch, block, release, deadline, slot and position for every place in it.
+          block_rows: int = 8, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The mixture: doc_id, source, epoch, block, release, deadline, slot and position for every place in it.
 
     ``weights`` are the target weights by source; without them they are
     ``tempered`` from the sizes. A null source is one source, named by the
     empty string like an empty one; repeated rows are rows of their own. The
     mixture ends with the slot in which the last source has dealt its last
     document once, so every row of ``docs`` is in it, and positions are its rows
-    in order. An empty table gives no rows.
+    in order. ``carry`` names further columns of ``docs`` to keep. Sources are
+    few enough to be listed. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    rows = settle(docs.select("doc_id", F.coalesce("source", F.lit("")).alias("source")), "mix-ids")
+    rows = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), *carry)
     counts = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.count("*").alias("n")).collect()}
     weights = tempered(counts, exponent) if weights is None else {s: weights[s] for s in counts}
     slots = max(FRAME_SLOTS, 16 * len(counts))
@@ -113,7 +112,7 @@ def mixed(docs: DataFrame, *, weights: dict[str, float] | None = None, exponent:
     )
     slot = F.col("_frame") * slots
     return dealt.join(F.broadcast(frame), ["source", "_index"]).select(
-        "doc_id", "source", "epoch", "block",
+        "doc_id", "source", *carry, "epoch", "block",
         (slot + F.col("_release")).alias("release"), (slot + F.col("_deadline")).alias("deadline"),
         (slot + F.col("_slot")).alias("slot"),
         ((slot + F.col("_slot")) * block_rows + F.col("_row") % block_rows).alias("position"))

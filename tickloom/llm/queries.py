@@ -5,6 +5,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm.chat import format_pairs, pairs_with_borrowed_reply
 from tickloom.llm.common import id_remainder, read_table
 from tickloom.llm.fingerprint import fingerprints
 from tickloom.llm.hnsw import build_index, search
@@ -18,7 +19,7 @@ from tickloom.llm.toxicity import fit_toxicity, score_toxicity
 
 
 def op1_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    """Sources of ``documents`` by the power 0.8 of their sizes, in blocks of 32 documents."""
+    """Sources of ``documents`` by the power 0.8 of their sizes, in blocks of 8 documents."""
     return mixed(read_table(spark, folder, "documents"))
 
 
@@ -60,6 +61,11 @@ def op7_small_world(spark: SparkSession, folder: str) -> DataFrame:
     return search(build_index(vectors, keep=k + 1), vectors.where(F.col("vec_id") % 50 == 0), k=k)
 
 
+def op8_preference_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation against itself with its last reply taken from the partner conversation."""
+    return format_pairs(pairs_with_borrowed_reply(read_table(spark, folder, "conversations")))
+
+
 def op9_compression_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     held_out = id_remainder("doc_id", 4) == 2
@@ -84,6 +90,7 @@ QUERIES = {
     "op5_sentencepiece": op5_sentencepiece,
     "op6_nearest_centroid": op6_nearest_centroid,
     "op7_small_world": op7_small_world,
+    "op8_preference_chat": op8_preference_chat,
     "op9_compression_toxicity": op9_compression_toxicity,
     "op10_differencing_shards": op10_differencing_shards,
 }

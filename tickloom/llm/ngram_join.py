@@ -2,10 +2,12 @@
 
 1. Every text becomes the set of its n-grams as sorted 64-bit hashes; documents
    with equal sets form one class, and only classes are compared.
-2. The hash range is cut into slightly more slices than two linked sets of that
-   size can differ in, so linked sets hold the same n-grams in some slice. The
-   contents of a slice are a signature, and classes that share one are a block.
-   A passage that many documents share fills no slice alone, so it makes no block.
+2. The hash range is cut into more slices than two linked sets of that size can
+   differ in, so linked sets hold the same n-grams in several slices. The
+   contents of a slice are its mark, and classes that share one are a block.
+   Classes that share fewer marks than a link implies leave all their blocks. A
+   passage that many documents share fills few slices alone, so it holds no
+   block together.
 3. Within a block the sets, in one order of n-grams, the commonest first, form a
    prefix tree. A set walks it carrying the overlap so far, which all sets below
    a node share, and leaves a subtree once what remains cannot reach the
@@ -26,15 +28,18 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tickloom.llm.graph import components
 from tickloom.session import settle
 
-#: More slices than sets may differ in, so that a shared slice is not just an empty one.
-SLACK = 2
+#: Linked sets differ in d slices at most; there are d / SPARE + 3 more than that.
+SPARE = 6
 #: n-grams of one prefix tree, about.
 TREE_GRAMS = 500_000
+#: Marks of one bucket, about.
+BUCKET_MARKS = 500_000
+#: How often classes that share too few marks are taken out of the blocks.
+PRUNINGS = 3
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -83,27 +88,40 @@ def size_ranges() -> np.ndarray:
     return np.array(bounds)
 
 
-def signatures(grams: np.ndarray, rule: Likeness) -> np.ndarray:
-    """Hashes of the slices' contents, for each range of sizes in which the larger of two linked sets may lie."""
+def signatures(grams: np.ndarray, rule: Likeness) -> tuple[np.ndarray, np.ndarray]:
+    """Marks of the slices' contents, for each range of sizes in which the larger of two linked sets may lie.
+
+    The low six bits of a mark name the range. The second array holds, for every
+    mark, how many marks of its range a set has to share with a linked one.
+    """
     bounds = size_ranges()
     own = int(np.searchsorted(bounds, len(grams), side="right")) - 1
-    found = []
+    found, needs = [], []
     for level in (own, own + 1):
         if 100 * len(grams) < rule.percent * bounds[level]:
             continue
         differing = rule.differing(int(bounds[level + 1]) - 1)
         if not differing:
             continue
-        slices = differing + 1 + SLACK
+        equal = differing // SPARE + 3
+        slices = differing + equal
         place = ((grams >> np.uint64(32)) * np.uint64(slices)) >> np.uint64(32)
         starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         contents = np.add.reduceat(_mixed(grams * _STEP), starts)
         places = place[starts]
-        if slices - len(places) > SLACK:
+        # Slices empty in both sets are equal too, but make no mark. A set with
+        # so many of them that all equal slices may be empty marks those as well.
+        need = equal - (slices - len(places))
+        if need < 1:
             empty = np.setdiff1d(np.arange(slices, dtype=np.uint64), places)
             places, contents = np.concatenate([places, empty]), np.concatenate([contents, np.zeros_like(empty)])
-        found.append(_mixed(contents * _STEP + _mixed(places * np.uint64(64) + np.uint64(level))))
-    return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
+            need = 1
+        marks = _mixed(contents * _STEP + _mixed(places * np.uint64(64) + np.uint64(level)))
+        found.append(marks & ~np.uint64(63) | np.uint64(level))
+        needs.append(np.full(len(marks), min(need, 65535), dtype=np.uint16))
+    if not found:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint16)
+    return np.concatenate(found), np.concatenate(needs)
 
 
 class PrefixTree:
@@ -194,28 +212,78 @@ def join_block(sets: list[np.ndarray], labels: list[int], queries: list[int], ru
     return links
 
 
-def _sets_with_signatures(size: int, rule: Likeness):
+def _class_of(grams: np.ndarray) -> int | None:
+    """A name for the set: a signed 64-bit hash; none for the empty set."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(grams.tobytes())).view(np.int64)) if len(grams) else None
+
+
+def _members(size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        emitted: set[int] = set()
         for batch in batches:
-            counts, classes, marks = [], [], []
+            sets = [gram_set(text, size) for text in batch["text"]]
+            yield pd.DataFrame({
+                "doc_id": batch["doc_id"], "n_shingles": [len(s) for s in sets],
+                "class": pd.array([_class_of(s) for s in sets], dtype="Int64")})
+
+    return run
+
+
+def _packed_marks(size: int, rule: Likeness, buckets: int):
+    """The batch's (mark, class) entries as arrays by bucket.
+
+    Of several classes of the batch with one mark, the first stands for all in
+    the mark's bucket (part 0), so that however many share it, a bucket gets one
+    entry a batch. All of them go, as they are, into a part of the batch's own.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            marks, needs, names, known = [], [], [], set()
             for text in batch["text"]:
                 grams = gram_set(text, size)
-                counts.append(len(grams))
-                name = np.int64(np.uint64(xxhash.xxh3_64_intdigest(grams.tobytes()))) if len(grams) else None
-                classes.append(name)
-                new = name is not None and name not in emitted
-                marks.append(signatures(grams, rule).view(np.int64) if new else None)
-                if new and len(emitted) < 100_000:
-                    emitted.add(name)
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "n_shingles": counts,
-                "class": pd.array(classes, dtype="Int64"), "marks": marks,
-            })
+                name = _class_of(grams)
+                if name is not None and name not in known:
+                    known.add(name)
+                    found, need = signatures(grams, rule)
+                    marks.append(found)
+                    needs.append(need)
+                    names.append(np.full(len(found), name, dtype=np.int64))
+            if not marks:
+                continue
+            mark, name, need = np.concatenate(marks), np.concatenate(names), np.concatenate(needs)
+            order = np.lexsort((name, mark))
+            mark, name, need = mark[order], name[order], need[order]
+            again = np.concatenate([[False], mark[1:] == mark[:-1]])
+            # Marks are in order, so the bucket of a mark is a range of its values.
+            bucket = ((mark >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+            repeated = again | np.append(again[1:], False)
+            own = xxhash.xxh3_64_intdigest(mark[:1000].tobytes() + name[:1000].tobytes()) >> 2 | 1
+            rows = []
+            for part, kept in ((0, ~again), (own, repeated)):
+                cuts = np.searchsorted(bucket[kept], np.arange(buckets + 1, dtype=np.uint64))
+                for b in np.flatnonzero(cuts[1:] > cuts[:-1]):
+                    here = slice(cuts[b], cuts[b + 1])
+                    rows.append((int(b), part, *(a[kept][here].tobytes() for a in (mark, name, need))))
+            yield pd.DataFrame(rows, columns=["bucket", "part", "marks", "classes", "needs"])
 
     return run
 
 
+def _shared_marks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """The entries of a bucket whose mark several classes have; all of a batch's own part, where each is a repetition."""
+    mark = np.frombuffer(b"".join(rows["marks"]), dtype=np.int64)
+    name = np.frombuffer(b"".join(rows["classes"]), dtype=np.int64)
+    need = np.frombuffer(b"".join(rows["needs"]), dtype=np.uint16)
+    if not key[1]:
+        order = np.lexsort((name, mark))
+        mark, name, need = mark[order], name[order], need[order]
+        starts = np.flatnonzero(np.concatenate([[True], mark[1:] != mark[:-1]]))
+        lengths = np.diff(np.append(starts, len(mark)))
+        keep = np.repeat(lengths > 1, lengths)
+        mark, name, need = mark[keep], name[keep], need[keep]
+    return pd.DataFrame({"mark": mark, "class": name, "need": need.astype(np.int32)})
+
+
 def ngram_join(docs: DataFrame, *, words: int, percent: int) -> DataFrame:
     """doc_id, n_shingles and component_id for every row of ``docs`` (doc_id, text).
 
@@ -227,68 +295,67 @@ def ngram_join(docs: DataFrame, *, words: int, percent: int) -> DataFrame:
     """
     rule = Likeness(percent)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    sets = settle(
-        texts.mapInPandas(_sets_with_signatures(words, rule),
-                          "doc_id long, n_shingles long, class long, marks array<long>"),
-        "gram-sets",
+    members = settle(
+        texts.mapInPandas(_members(words), "doc_id long, n_shingles long, class long"), "gram-classes")
+    classes = members.where("class IS NOT NULL").groupBy("class").agg(
+        F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("grams"))
+
+    # Blocks: marks that at least two classes share. A class has fewer than one mark for every two n-grams.
+    total = members.agg(F.sum("n_shingles")).first()[0] or 0
+    buckets = max(1, -(-total // (2 * BUCKET_MARKS)))
+    entries = (
+        texts.mapInPandas(_packed_marks(words, rule, buckets), "bucket int, part long, marks binary, classes binary, needs binary")
+        .groupBy("bucket", "part").applyInPandas(_shared_marks, "mark long, class long, need int")
     )
-    members = sets.select("doc_id", "n_shingles", "class")
-    classes = members.where("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("first_id"))
-
-    # Blocks: signatures that at least two classes share.
-    same = Window.partitionBy("mark")
-    shared = settle(
-        sets.select(F.explode("marks").alias("mark"), "class", F.col("n_shingles").alias("grams"))
-        .withColumn("_low", F.min("class").over(same)).withColumn("_high", F.max("class").over(same))
-        .where("_low <> _high").select("mark", "class", "grams").distinct(),
-        "shared-marks",
-    )
-    degrees = shared.groupBy("class").agg(F.count("*").alias("degree"), F.first("grams").alias("grams"))
-    wanted = degrees.join(classes, "class").select(F.col("first_id").alias("doc_id"), "class")
+    shared = settle(entries.distinct(), "shared-marks")
+    for _ in range(PRUNINGS):
+        shared = settle(_pruned(shared), "shared-marks")
+    shared = shared.select("mark", "class")
+    nodes = settle(
+        shared.groupBy("class").agg(F.count("*").alias("degree")).join(classes, "class"), "candidates")
 
     def grams_again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [gram_set(t, words) for t in batch["text"]]
+            sets = [gram_set(t, words) for t in batch["text"]]
             # Another row may carry the same id with another text.
-            names = [np.int64(np.uint64(xxhash.xxh3_64_intdigest(g.tobytes()))) if len(g) else 0 for g in found]
-            yield pd.DataFrame({"class": batch["class"], "grams": [g.tobytes() for g in found]})[
-                batch["class"].to_numpy() == np.array(names, dtype=np.int64)]
+            right = [_class_of(s) == name for s, name in zip(sets, batch["class"], strict=True)]
+            yield pd.DataFrame({"class": batch["class"], "grams": [s.tobytes() for s in sets]})[right]
 
     candidates = settle(
-        texts.join(wanted, "doc_id").select("class", "text")
+        texts.join(nodes.select(F.col("first_id").alias("doc_id"), "class"), "doc_id").select("class", "text")
         .mapInPandas(grams_again, "class long, grams binary").dropDuplicates(["class"]),
         "candidate-sets",
     )
 
     # Everybody in a block against the most connected class of the block.
-    marked = shared.join(degrees.select("class", "degree"), "class")
-    hub_of = marked.groupBy("mark").agg(
-        F.max(F.struct("degree", "class")).alias("hub"))
-    hubs = settle(marked.join(hub_of.select("mark", F.col("hub.class").alias("hub")), "mark")
-                  .select("mark", "class", "grams", "hub"), "hubs")
-    stars = hubs.where("class <> hub").groupBy("hub", "class").agg(F.first("grams").alias("grams"))
-    links = settle(_joined(_dealt(stars, "hub"), candidates, "hub", rule), "star-links")
-
-    # What is left: blocks whose other members still belong to several components.
-    labels = components(links)
-    labelled = (
-        hubs.where("class <> hub").select("mark", "class", "grams")
-        .join(labels.withColumnRenamed("node", "class"), "class", "left")
-        .withColumn("label", F.coalesce("component", "class")).drop("component")
+    marked = shared.join(nodes.select("class", "degree", "grams"), "class")
+    hub_of = marked.groupBy("mark").agg(F.max(F.struct("degree", "class")).alias("hub"))
+    hubs = settle(
+        marked.join(hub_of.select("mark", F.col("hub.class").alias("hub")), "mark")
+        .where("class <> hub").select("mark", "class", "grams", "hub"),
+        "hubs",
     )
-    # Blocks with the same members are joined once.
-    split = (
-        labelled.groupBy("mark").agg(
-            F.min("label").alias("_low"), F.max("label").alias("_high"),
-            F.count("*").alias("_members"), F.bit_xor(F.xxhash64("class")).alias("_who"))
-        .where("_low <> _high")
-        .groupBy("_low", "_high", "_members", "_who").agg(F.min("mark").alias("mark"))
-    )
-    left = settle(labelled.join(split.select("mark"), "mark"), "open-blocks")
-    more = _joined(_dealt_pairs(left), candidates, "mark", rule)
-    labels = components(settle(links.unionByName(more), "all-links"))
+    stars = hubs.groupBy("hub", "class").agg(F.first("grams").alias("grams"), F.count("*").alias("marks"))
+    # First with the hub it shares most marks with, then with the hubs of other components.
+    nearest = stars.groupBy("class").agg(F.max(F.struct("marks", "hub")).alias("best")).select("class", "best.hub")
+    links = settle(_joined(_dealt(stars.join(nearest, ["hub", "class"]), "hub"), candidates, "hub", rule), "star-links")
+    labels = components(links)
+    apart = _labelled(stars.join(nearest, ["hub", "class"], "left_anti"), labels)
+    apart = apart.join(_labels_of(labels, "hub"), "hub", "left").where("label <> coalesce(component, hub)")
+    more = settle(_joined(_dealt(apart.select("hub", "class", "grams"), "hub"), candidates, "hub", rule), "more-links")
+    links = links.unionByName(more)
 
-    named = classes.join(labels.withColumnRenamed("node", "class"), "class", "left")
+    # What is left: blocks whose other members still belong to several components.
+    # Those with one hub are joined together, so that a set is copied once a hub and not once a mark.
+    labelled = _labelled(hubs, components(links))
+    split = labelled.groupBy("mark").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low <> _high")
+    left = settle(
+        labelled.join(split.select("mark"), "mark").groupBy("hub", "class").agg(
+            F.first("grams").alias("grams"), F.first("label").alias("label")),
+        "open-blocks")
+    links = settle(links.unionByName(_joined(_dealt_pairs(left), candidates, "hub", rule)), "all-links")
+
+    named = classes.join(_labels_of(components(links), "class"), "class", "left")
     named = named.select("class", "first_id", F.coalesce("component", "class").alias("component"))
     lowest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_class = named.join(lowest, "component").select("class", "component_id")
@@ -296,6 +363,30 @@ def ngram_join(docs: DataFrame, *, words: int, percent: int) -> DataFrame:
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _pruned(shared: DataFrame) -> DataFrame:
+    """The marks without classes that share too few, and without marks that one class is left with."""
+    level = F.col("mark").bitwiseAND(63)
+    enough = (
+        shared.groupBy("class", level.alias("level")).agg(F.count("*").alias("marks"), F.max("need").alias("need"))
+        .where("marks >= need").select("class", "level")
+    )
+    kept = shared.withColumn("level", level).join(enough, ["class", "level"])
+    several = kept.groupBy("mark").agg(F.min("class").alias("_low"), F.max("class").alias("_high")).where("_low <> _high")
+    return kept.join(several.select("mark"), "mark").select("mark", "class", "need")
+
+
+def _labels_of(labels: DataFrame, name: str) -> DataFrame:
+    return labels.withColumnRenamed("node", name)
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with the component of their class, as far as links are known."""
+    return (
+        rows.join(_labels_of(labels, "class"), "class", "left")
+        .withColumn("label", F.coalesce("component", "class")).drop("component")
+    )
+
+
 def _dealt(stars: DataFrame, key: str) -> DataFrame:
     """Members of every star in parts of about ``TREE_GRAMS`` n-grams, each with the hub as its one query."""
     parts = stars.groupBy(key).agg(F.ceil(F.sum("grams") / TREE_GRAMS).alias("_parts"))
@@ -307,17 +398,18 @@ def _dealt(stars: DataFrame, key: str) -> DataFrame:
 
 
 def _dealt_pairs(left: DataFrame) -> DataFrame:
-    """Members of open blocks in parts; every part meets every part of its block, as askers and as members.
+    """Members of open blocks in parts; every part meets every part of its hub, as askers and as members.
 
-    A block of one part is joined with itself. Only blocks beyond ``TREE_GRAMS``
-    n-grams have several, and their members' sets are copied once per part.
+    The blocks of a hub with one part are joined with themselves. Only those
+    beyond ``TREE_GRAMS`` n-grams have several, and their sets are copied once
+    per part.
     """
-    parts = left.groupBy("mark").agg(F.ceil(F.sum("grams") / TREE_GRAMS).alias("_parts"))
-    dealt = left.join(parts, "mark").withColumn("_own", F.pmod(F.xxhash64("class"), F.col("_parts")))
+    parts = left.groupBy("hub").agg(F.ceil(F.sum("grams") / TREE_GRAMS).alias("_parts"))
+    dealt = left.join(parts, "hub").withColumn("_own", F.pmod(F.xxhash64("class"), F.col("_parts")))
     meets = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
     low, high = F.least("_own", "_other"), F.greatest("_own", "_other")
     return meets.select(
-        "mark", (low * F.col("_parts") + high).alias("part"), "class",
+        "hub", (low * F.col("_parts") + high).alias("part"), "class",
         (F.col("_own") <= F.col("_other")).alias("asks"), "label")
 
 

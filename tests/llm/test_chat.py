@@ -1,0 +1,95 @@
+from tickloom.llm.chat import format_pairs, pairs_of, pairs_with_borrowed_reply
+from tickloom.llm.queries import QUERIES
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def rendered(turns):
+    return "".join(f"<|im_start|>{role}\n{text}<|im_end|>\n" for role, text in turns)
+
+
+def spans(turns):
+    out, at = [], 0
+    for role, text in turns:
+        whole = rendered([(role, text)])
+        if role == "assistant":
+            out.append((at + len(f"<|im_start|>{role}\n"), at + len(whole) - 1))
+        at += len(whole)
+    return out
+
+
+def expected(chosen, rejected):
+    if chosen is None and rejected is None:
+        return (None,) * 6
+    if chosen is None or rejected is None:
+        common = max(len(chosen or rejected) - 1, 0)
+    else:
+        common = 0
+        while common < min(len(chosen), len(rejected)) and chosen[common] == rejected[common]:
+            common += 1
+    sides = [None if s is None else s[common:] for s in (chosen, rejected)]
+    return (common, rendered((chosen or rejected or [])[:common]), *(None if s is None else rendered(s) for s in sides),
+            *(None if s is None else spans(s) for s in sides))
+
+
+def got(df):
+    return {
+        r["pair_id"]: (r["common_turns"], r["prompt"], r["chosen"], r["rejected"],
+                       *(None if r[c] is None else [tuple(x) for x in r[c]] for c in ("chosen_spans", "rejected_spans")))
+        for r in df.collect()
+    }
+
+
+def turns_of(rows):
+    out = {}
+    for conv, turn, role, text in sorted(set(rows), key=lambda r: (r[0] or 0, r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        if conv is not None:
+            out.setdefault(conv, []).append((role or "", text or ""))
+    return out
+
+
+ROWS = [
+    (1, 0, "system", "be kind"), (1, 1, "user", "hi 🙂"), (1, 2, "assistant", "good"), (1, 3, "user", "x"), (1, 4, "assistant", "y"),
+    (2, 0, "system", "be kind"), (2, 1, "user", "hi 🙂"), (2, 2, "assistant", "bad <|im_end|>"),
+    (3, 0, "user", "hi"), (4, 0, "user", None), (4, 1, "assistant", ""), (5, None, None, "what"),
+    (6, 0, "user", "w " * 50_000), (6, 1, "assistant", "a " * 50_000), (6, 1, "assistant", "a " * 50_000),
+    (7, 0, "user", "w " * 50_000), (None, 0, "user", "lost"),
+]
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS pair_id", "2 AS chosen", "3 AS turns")
+
+
+def test_common_prefix_is_rendered_once(spark):
+    pairs = [(1, 1, 2), (2, 1, 1), (3, 3, 4), (4, 6, 7), (5, 1, 99), (6, 98, 99), (7, 5, 5), (8, 2, 1)]
+    found = got(format_pairs(pairs_of(table(spark, ROWS), spark.createDataFrame(pairs, "pair_id long, chosen_id long, rejected_id long"))))
+    turns = turns_of(ROWS)
+    assert found == {p: expected(turns.get(a), turns.get(b)) for p, a, b in pairs}
+    prompt, chosen, mask = found[1][1], found[1][2], found[1][4]
+    assert prompt.endswith("hi 🙂<|im_end|>\n")
+    assert [chosen[a:b] for a, b in mask] == ["good<|im_end|>", "y<|im_end|>"]
+
+
+def borrowed(turns):
+    out = {}
+    for conv, own in turns.items():
+        last = max((k for k, (role, _) in enumerate(own) if role == "assistant"), default=None)
+        other = [t for r, t in turns.get(conv ^ 1, []) if r == "assistant"]
+        chosen = own if last is None else own[:last + 1]
+        rejected = None if last is None or not other else [*own[:last], ("assistant", other[-1])]
+        out[conv] = (chosen, rejected)
+    return out
+
+
+def test_every_conversation_makes_a_pair(spark):
+    found = got(format_pairs(pairs_with_borrowed_reply(table(spark, ROWS))))
+    assert found == {c: expected(*sides) for c, sides in borrowed(turns_of(ROWS)).items()}
+    assert format_pairs(pairs_with_borrowed_reply(table(spark, ROWS).limit(0))).count() == 0
+
+
+def test_whole_table_equals_brute_force(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    found = got(QUERIES["op8_preference_chat"](spark, folder))
+    assert found == {c: expected(*sides) for c, sides in borrowed(turns_of(rows)).items()}

@@ -1,0 +1,59 @@
+import html
+import re
+
+from tickloom.llm.html_tree import extract, main_text
+from tickloom.llm.queries import QUERIES
+
+
+def test_parts_around_the_article_go():
+    page = """<html><head><title>T</title><style>p{}</style></head><body class="has-sidebar"><header><h1>Site</h1></header>
+    <nav><a href=/>Home</a></nav><div id="cookie-notice">We use cookies, many, many, of them.</div><main><article>
+    <header><h1>Title here</h1><span class=byline>By X</span></header><p>Hello &amp; <b>wo</b>rld,\n this is it&nbsp;x.
+    <p>Second<br>line<div class="ad-slot">Buy</div><aside>side</aside><form>f<input></form><script>var a="</p>";</script>
+    <section id=comments><p>c1, c2, c3</p></section><!-- no --></article></main><div class=sidebar>s</div><footer>f</footer>"""
+    assert main_text(page) == "Title here Hello & world, this is it x. Second line"
+
+
+def test_best_container_and_siblings():
+    page = ('<body><div class="menu">a b</div><div><h2>T</h2><p>Long text, with commas, and more. And so on.</p><p>More.</p>'
+            '<table><tr><td>x<td>y</table></div><div><a href=1>one</a> <a href=2>two</a></div><p>After.</p>'
+            '<ul><li><a href=x>link</a></ul></body>')
+    assert main_text(page) == "T Long text, with commas, and more. And so on. More. x y After."
+
+
+def test_odd_pages():
+    assert main_text(None) == main_text("") == main_text("<html></html>") == ""
+    assert main_text("just text") == "just text"
+    assert main_text("<p>a<p>b") == "a b"
+    assert main_text("<p>" + "<div>" * 5000 + "deep") == "deep"
+    assert main_text("<article><p>open &am") == "open &am"
+    assert main_text("<article><p>" + "word, " * 40_000) == ("word, " * 40_000).strip()
+    assert main_text("<article><p>&lt;b&gt; &#233;&#x1F642; &copy;</p></article>") == "<b> é🙂 ©"
+    assert main_text("</div></p><article></b><p>x</i>y</article>") == "xy"
+
+
+def expected(page):
+    inner = re.search(r"<article>(.*?)</article>", page, re.S).group(1)
+    inner = re.sub(r"</?(p|h1|br)\b[^>]*>", " ", inner)
+    return " ".join(html.unescape(re.sub(r"<[^>]*>", "", inner)).split())
+
+
+def test_every_page_of_the_table(spark):
+    folder = "/root/testdata/sf0.1"
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    found = QUERIES["op2_tree_scoring"](spark, folder).collect()
+    assert {r["page_id"]: r["text"] for r in found} == {i: expected(h) for i, h in pages.items()}
+    assert all(r["n_chars"] == len(r["text"]) for r in found)
+
+
+def test_table_with_odd_rows(spark):
+    rows = [(1, "u", None), (2, None, ""), (3, "u", "<p>x</p>"), (3, "u", "<p>x</p>"), (None, None, "<p>🙂</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", pages_text())
+    found = [(r["page_id"], r["text"], r["n_chars"]) for r in extract(pages).collect()]
+    assert sorted(found, key=str) == sorted([(1, "", 0), (2, "", 0), (3, "x", 1), (3, "x", 1), (None, "🙂", 1)], key=str)
+    assert extract(pages.limit(0)).count() == 0
+
+
+def pages_text():
+    from pyspark.sql import functions as F
+    return F.lit("clash")

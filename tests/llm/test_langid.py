@@ -1,0 +1,52 @@
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import documents, words
+from tickloom.llm.common import id_remainder
+from tickloom.llm.langid import fit_languages, gram_counts, identify, letter_codes
+from tickloom.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+
+
+def corpus(spark, extra=()):
+    rows = [(i, " ".join(words(i, 40, "abcdefg" if i % 2 else "stuvwxyz")), "aa" if i % 2 else "zz", "s") for i in range(80)]
+    return documents(spark, rows, extra)
+
+
+def test_letters_only():
+    assert "".join(map(chr, letter_codes("Ab, 12 c!"))) == " ab c "
+    assert len(letter_codes("12 !?")) == len(letter_codes(None)) == len(letter_codes("")) == 0
+    assert gram_counts(letter_codes("abc"), 4096).sum() == 5 + 4 + 3
+
+
+def test_learns_and_rejects(spark):
+    model = fit_languages(corpus(spark), sample_rows=20)
+    rows = [(1, "abcd gfed cab"), (2, "zyx wvuts"), (3, None), (4, ""), (5, "123 !"), (6, "жщю " * 60), (7, "ab" * 100_000)]
+    found = identify(documents(spark, rows, extra=("score", "rejected")), model).toPandas().set_index("doc_id")
+    assert found["lang_pred"][[1, 2]].tolist() == ["aa", "zz"]
+    assert found["lang_pred"][[3, 4, 5]].tolist() == ["und"] * 3 and (found["score"][[3, 4, 5]] == 0).all()
+    assert found["rejected"][[3, 4, 5, 6]].all() and not found["rejected"][[1, 2]].any()
+    assert found["lang_pred"][7] == "aa" and found["score"].between(0, 1).all()
+
+
+def test_nothing_to_learn(spark):
+    model = fit_languages(documents(spark, [(1, None, "aa"), (2, "text", None)]))
+    found = identify(documents(spark, [(1, "some text")]), model).first()
+    assert (found["lang_pred"], found["score"], found["rejected"]) == ("und", 0.0, True)
+    assert identify(documents(spark, []), model).count() == 0
+
+
+def test_copies_do_not_outgrow_the_sample(spark):
+    rows = [(i, "abc " * 30 if i < 500 else f"xyz {i} uvw", "aa" if i < 500 else "zz") for i in range(600)]
+    model = fit_languages(documents(spark, rows), sample_rows=30)
+    assert model.predict(documents(spark, rows).toPandas()["text"])["lang_pred"].value_counts()["aa"] == 500
+
+
+def test_held_out_accuracy(spark):
+    found = QUERIES["op6_nearest_centroid"](spark, SF)
+    truth = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    held = found.where("held_out").join(truth, "doc_id").where("lang IS NOT NULL")
+    right, total = held.agg(F.sum((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
+    assert right / total > 0.98
+    assert found.count() == truth.count()
+    assert found.where(F.col("held_out") != (id_remainder("doc_id", 3) == 1)).count() == 0

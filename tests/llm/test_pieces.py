@@ -1,0 +1,83 @@
+import random
+
+
+import numpy as np
+import pytest
+import sentencepiece
+
+from tests.llm.helpers import documents, words
+from tickloom.llm.pieces import PieceModel, decode_ids, encode_texts
+from tickloom.llm.queries import piece_model
+
+ODD = ["", " ", "   ", "  a  b", "\n\n x \t", "日本語 text 🙂🙂 é́", "aaaaaaaaaaaaa", "=== ---- ###", "0000000 123456789", "\x00\x01",
+       "tab\tand\r\nline", "Straße çà là"]
+
+
+@pytest.fixture(scope="module")
+def model():
+    return PieceModel(piece_model())
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=piece_model())
+
+
+def texts():
+    rnd = random.Random(8)
+    mixed = ["".join(rnd.choice("abcdeinrstuo  -=01.,\nüé") for _ in range(rnd.randint(1, 80))) for _ in range(800)]
+    return ODD + mixed + [" ".join(words(i, 60)) for i in range(60)]
+
+
+def test_ids_equal_the_library(model, library):
+    rows = texts()
+    for text, ids in zip(rows, model.encode(rows, chars=2_000), strict=True):
+        assert ids.tolist() == library.encode(text), text
+        assert model.decode(ids.tolist()) == text
+
+
+def test_documents_equal_the_library(model, library, spark):
+    rows = [r[0] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    want = library.encode(rows, num_threads=4)
+    assert [ids.tolist() for ids in model.encode(rows)] == want
+
+
+def test_unigram_is_the_best_sum():
+    model = PieceModel(piece_model(), kind=1)
+    scores = model.scores
+
+    def best(word):
+        sums = [0.0]
+        for end in range(1, len(word) + 1):
+            sums.append(max(
+                sums[start] + scores.get(word[start:end], model._worst if end - start == 1 else float("-inf"))
+                for start in range(max(0, end - model.longest), end)))
+        return sums[-1]
+
+    ids = model.encode_words(["▁the", "▁there", "▁thermal", "▁日本"])
+    names = {i: p for p, i in model.ids.items()}
+
+    for word in ("▁the", "▁there", "▁thermal"):
+        pieces = [names[i] for i in np.frombuffer(ids[word], dtype=np.int32).tolist()]
+        assert "".join(pieces) == word and sum(scores[p] for p in pieces) == best(word)
+
+
+def test_words_are_marked(model):
+    assert model.words("a  b ") == ["▁a", "▁▁b", "▁"]
+    for text in ODD:
+        assert "".join(model.words(text)) == ("▁" + text.replace(" ", "▁") if text else "")
+
+
+def test_round_trip_in_spark(spark):
+    rows = [(i, t) for i, t in enumerate(ODD)] + [(90, None), (91, "word " * 60_000), (92, ODD[5]), (92, ODD[5])]
+    done = encode_texts(documents(spark, rows, extra=("n_tokens", "_done")), piece_model())
+    found = done.toPandas().set_index("doc_id")
+    assert found["round_trip"][90] is None and found["n_tokens"][90] == 0 and found["ids"][90] is None
+    assert found["n_tokens"][0] == 0 and found.drop(90)["round_trip"].all()
+    back = {(r["doc_id"], r["text"]) for r in decode_ids(done.select("doc_id", "ids"), piece_model()).collect()}
+    assert back == set(rows)
+    assert encode_texts(documents(spark, []), piece_model()).count() == 0
+
+
+def test_a_mark_in_the_text_is_reported(spark):
+    assert encode_texts(documents(spark, [(1, "a▁b")]), piece_model()).first()["round_trip"] is False

@@ -18,8 +18,8 @@ SALES = """bars AS (
          arg_max(price, o) AS close, CAST(sum(size) AS DOUBLE) AS volume
   FROM (SELECT CAST(l_suppkey AS VARCHAR) AS symbol, strftime(l_shipdate, '%Y-%m-%d') AS day,
                CAST(epoch(date_trunc('day', l_shipdate)) AS BIGINT) AS time,
-               round(l_extendedprice / 100) AS price, l_quantity AS size,
-               (l_shipdate, l_orderkey, l_linenumber, l_partkey, round(l_extendedprice / 100), l_quantity) AS o
+               round(l_extendedprice * 100) AS price, l_quantity AS size,
+               (l_shipdate, l_orderkey, l_linenumber, l_partkey, round(l_extendedprice * 100), l_quantity) AS o
         FROM lineitem)
   GROUP BY symbol, day, time)"""
 
@@ -160,9 +160,15 @@ def json_bar(datetime: str = "strftime(to_timestamp(time) AT TIME ZONE 'UTC', '%
     || ',"close":' || CAST(close AS VARCHAR) || ',"volume":' || CAST(volume AS VARCHAR) || '}}'"""
 
 
-def newest_first(where: str, limit: int) -> str:
+def priced_bar(epoch: str, close: str) -> str:
+    """A message with prices and no time text."""
+    return f"""'{{"symbol":"' || symbol || '","epoch_ms":' || CAST({epoch} AS VARCHAR) || ',"open":' || CAST(open AS VARCHAR)
+    || ',"high":' || CAST(high AS VARCHAR) || ',"low":' || CAST(low AS VARCHAR) || ',"close":' || {close} || '}}'"""
+
+
+def newest_first(where: str, limit: int | None = None) -> str:
     return f"""WITH {HOURLY} SELECT symbol, day, time, {rounded(*PRICES)} FROM bars
-WHERE {where} ORDER BY day DESC, time DESC, symbol LIMIT {limit}"""
+WHERE {where} ORDER BY day DESC, time DESC, symbol {"" if limit is None else f"LIMIT {limit}"}"""
 
 
 def last_bars(n: int) -> str:
@@ -182,7 +188,7 @@ ORACLES = {
     "obv": indicators("obv"),
     "core_indicators": indicators(*CORE),
     "indicators_daily_reset": indicators(*CORE, part="symbol, day"),
-    "sales_indicators": indicators(*CORE, bars=SALES, decimals=6),
+    "sales_indicators": indicators(*CORE, bars=SALES, decimals=4),
     "atr": extended_report("atr"),
     "adx": extended_report("plus_di", "minus_di", "adx"),
     "stochastic": extended_report("stoch_k", "stoch_d"),
@@ -209,6 +215,10 @@ SELECT '{{"epoch_ms":' || CAST(time * 1000 AS VARCHAR) || ',"close":' || CAST(cl
        'no symbol' AS reason FROM bars
 UNION ALL
 SELECT '{{"symbol":"' || symbol || '","close":' || CAST(close AS VARCHAR) || '}}', 'no time' FROM bars
+UNION ALL
+SELECT {priced_bar("time", "CAST(close AS VARCHAR)")}, 'implausible time' FROM bars
+UNION ALL
+SELECT {priced_bar("time * 1000", """'"n/a"'""")}, 'no price' FROM bars
 UNION ALL SELECT props, 'no symbol, no time' FROM events
 UNION ALL SELECT c_name, 'no symbol, no time' FROM customer""",
     "encode_messages": f"WITH {HOURLY} SELECT symbol AS key, {json_bar()} AS value FROM bars",
@@ -229,6 +239,8 @@ QUALIFY row_number() OVER (PARTITION BY symbol, date_trunc('hour', ts) ORDER BY
     "quarantine_counts": f"""WITH {HOURLY}, sent AS (SELECT count(*) AS n FROM bars)
 SELECT 'no symbol' AS reason, n AS messages FROM sent
 UNION ALL SELECT 'no time', n FROM sent
+UNION ALL SELECT 'implausible time', n FROM sent
+UNION ALL SELECT 'no price', n FROM sent
 UNION ALL SELECT 'no symbol, no time', (SELECT count(*) FROM events) + (SELECT count(*) FROM customer)""",
     "enrich_batch": f"""{indicators(*CORE)}
 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY time DESC) <= 24""",
@@ -236,6 +248,11 @@ QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY time DESC) <= 24""",
 SELECT symbol, day, time, {rounded("open", "high", "low", "close")},
        CASE WHEN time % 86400 < 43200 THEN 2 * volume ELSE volume END AS volume FROM bars""",
     "late_recompute": indicators(*CORE),
+    # A symbol's bars are the newest day of the one with gaps, and one early bar of the other.
+    "late_mixed_batch": f"""WITH {HOURLY.replace("FROM ticks GROUP BY", """FROM ticks
+  WHERE symbol = 'view' OR (symbol = 'click' AND date_part('hour', ts) % 3 = 0) GROUP BY""")}, {core("symbol")}
+SELECT symbol, day, time, {rounded('close', *CORE)} FROM ind
+WHERE (symbol = 'click' AND day >= '2024-01-30') OR (symbol = 'view' AND day = '2024-01-05' AND time % 86400 = 43200)""",
     "latest_bars": f"""WITH {HOURLY}, recent AS (
   SELECT *, day < '2024-01-30' AS fallback FROM bars
   WHERE symbol IN ('click', 'view') AND day >= '2024-01-29'),
@@ -244,18 +261,18 @@ ranked AS (
          row_number() OVER (PARTITION BY symbol, fallback ORDER BY time DESC) AS rn FROM recent)
 SELECT symbol, day, time, {rounded(*PRICES)} FROM ranked WHERE fallback = best AND rn <= 3""",
     "day_bars": newest_first("symbol = 'click' AND day = '2024-01-30'", 10),
-    "range_bars": newest_first("symbol = 'view' AND day BETWEEN '2024-01-10' AND '2024-01-20'", 100),
+    "range_bars": newest_first("symbol = 'view' AND day BETWEEN '2024-01-10' AND '2024-01-20'"),
     "multi_symbol": f"""WITH {HOURLY} SELECT symbol, day, time, {rounded(*PRICES)} FROM bars
 WHERE symbol IN ('click', 'view') AND day = '2024-01-30'""",
-    "named_range": newest_first("symbol = 'error' AND day BETWEEN '2024-01-24' AND '2024-01-30'", 100),
+    "named_range": newest_first("symbol = 'error' AND day BETWEEN '2024-01-24' AND '2024-01-30'"),
     "run_sql": f"""WITH {HOURLY}
 SELECT symbol, day, {rounded("high", "low")}, bars FROM (
   SELECT symbol, day, max(high) AS high, min(low) AS low, count(*) AS bars
   FROM bars WHERE symbol IN ('click', 'view') GROUP BY symbol, day)""",
-    # A bar is emitted once its hour lies an hour behind the newest event.
+    # A bar is final once the newest event lies behind its hour.
     "stream_candles": f"""WITH {HOURLY}
-SELECT symbol, day, time, {rounded(*PRICES)} FROM bars
-WHERE time + 3600 <= (SELECT epoch(max(ts)) - 3600 FROM events)""",
+SELECT symbol, day, time, {rounded(*PRICES)},
+       time + 3600 <= (SELECT epoch(max(ts)) FROM events) AS is_final FROM bars""",
     "stream_dedup": f"WITH {TICKS} SELECT symbol, tick_id, {rounded('price')}, size FROM ticks",
     "stream_enrich": indicators(*CORE),
 }

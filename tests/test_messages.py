@@ -27,15 +27,19 @@ def test_round_trip(spark):
 
 
 def test_damaged_messages_never_fail(spark):
-    good = json.dumps({"symbol": "a", "datetime": "2024-01-01T00:01:00Z", "epoch_ms": 1, "open": "x", "close": 2})
-    fallback = json.dumps({"symbol": "a", "datetime": "soon", "epoch_ms": START * 1000 + 120_000, "close": 3})
+    prices = {"open": 1, "high": 3, "low": 1}
+    good = json.dumps({"symbol": "a", "datetime": "2024-01-01T00:01:00Z", "epoch_ms": 1, **prices, "close": 2, "volume": "x"})
+    fallback = json.dumps({"symbol": "a", "datetime": "soon", "epoch_ms": START * 1000 + 120_000, **prices, "close": 3})
+    unpriced = json.dumps({"symbol": "a", "epoch_ms": START * 1000, **prices, "close": "n/a"})
+    ancient = json.dumps({"symbol": "a", "epoch_ms": START, **prices, "close": 2})
     no_symbol = json.dumps({"datetime": "2024-01-01T00:01:00Z"})
     no_time = json.dumps({"symbol": "a", "datetime": "soon", "epoch_ms": 9 * 10**18})
-    df = messages(spark, good, fallback, no_symbol, no_time, "not json", None)
+    df = messages(spark, good, fallback, unpriced, ancient, no_symbol, no_time, "not json", None)
     rows = parse_messages(df).orderBy("time").collect()
-    assert [(r.time, r.open, r.close) for r in rows] == [(START + 60, None, 2.0), (START + 120, None, 3.0)]
+    assert [(r.time, r.volume, r.close) for r in rows] == [(START + 60, None, 2.0), (START + 120, None, 3.0)]
+    assert parse_messages(df, plausible=(0, 2 * START)).count() == 3
     reasons = {r.value: r.reason for r in quarantine(df).collect()}
-    assert reasons == {no_symbol: "no symbol", no_time: "no time",
+    assert reasons == {no_symbol: "no symbol", no_time: "no time", unpriced: "no price", ancient: "implausible time",
                        "not json": "no symbol, no time", None: "no symbol, no time"}
 
 
@@ -53,6 +57,23 @@ def test_iso_text_and_clock(spark):
     assert spark.range(1).select(clock_text(F.lit(START + 3_661))).first()[0] == "01:01:01"
 
 
+def test_days_do_not_depend_on_the_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        sent = encode_messages(frame(spark, [bar("a", START + 72_000, 1.0)]))
+        assert json.loads(sent.first().value)["datetime"] == "2024-01-01T20:00:00Z"
+        (row,) = parse_messages(sent).collect()
+        assert (str(row.day), row.time) == ("2024-01-01", START + 72_000)
+        zoneless = sent.withColumn("value", F.regexp_replace("value", '00Z"', '00"'))
+        assert parse_messages(zoneless).first().time == START + 72_000
+        ticks = spark.createDataFrame([("a", START + 72_000, 1.0, 1)], "symbol string, s bigint, price double, size bigint")
+        candle = build_candles(ticks.withColumn("ts", F.timestamp_seconds("s")), 3_600).first()
+        assert (str(candle.day), candle.time) == ("2024-01-01", START + 72_000)
+        assert spark.range(1).select(clock_text(F.lit(START + 3_661))).first()[0] == "01:01:01"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_klines(spark):
     full = [str(START * 1000), "1.5", "2", "1", "1.75", "12.9", "more", "ignored"]
     df = spark.createDataFrame([("a", full), ("b", full[:3]), ("c", ["x"] * 6)], "symbol string, kline array<string>")

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from oracles import ORACLES
+from tickloom.plans.reports import REPORTS
 
 FOLDER = os.environ.get("ORACLE_FOLDER", "/root/testdata/sf0.01")
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -26,10 +28,12 @@ def by_name(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    # Queries of other packages may have none; their own tests compare them with brute force.
+    assert set(REPORTS) == set(ORACLES)
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
 def test_query(spark, duck, name):
     df = driver.queries()[name](spark, FOLDER)
     expected = duck.execute(driver.oracle_sql()[name])

@@ -1,5 +1,6 @@
 """What the physical plans must and must not hold."""
 
+import os
 import re
 
 import pytest
@@ -10,7 +11,8 @@ from tickloom.operators.enrich import newest
 from tickloom.operators.indicators import with_indicators
 from tickloom.operators.spans import Spans
 from tickloom.functions.messages import encode_messages, parse_messages
-from tickloom.session import settle
+from tickloom.plans.reports import REPORTS
+from tickloom.session import clear_settled, settle
 from tickloom.sources.tables import read_ticks
 
 FOLDER = "/root/testdata/sf0.001"
@@ -41,6 +43,20 @@ def test_copies_collapse_before_the_shuffle(bars):
     assert text.index("Exchange hashpartitioning(symbol") < text.index("partial_max_by")
 
 
+@pytest.mark.parametrize("name", ["candles_1h", "sales_candles", "dedup_latest", "newest_bar"])
+def test_first_and_last_need_no_sort(spark, name):
+    text = plan(REPORTS[name](spark, FOLDER))
+    assert "HashAggregate" in text and "SortAggregate" not in text
+
+
+@pytest.mark.parametrize("name, days", [("latest_bars", "day"), ("day_bars", "day"), ("range_bars", "day"),
+                                        ("multi_symbol", "day"), ("named_range", "day")])
+def test_reads_prune_days_and_push_the_symbol(spark, name, days):
+    text = plan(REPORTS[name](spark, FOLDER))
+    assert re.search(rf"PartitionFilters: \[[^\]]*isnotnull\({days}#", text)
+    assert re.search(r"PushedFilters: \[[^\]]*(EqualTo\(symbol|In\(symbol)", text)
+
+
 def test_long_series_are_shuffled_once_and_by_span(spark, bars):
     text = plan(with_indicators(bars, spans=Spans(60, 150)), final=True)
     assert "ReusedExchange" in text and "ShuffledHashJoin" in text
@@ -66,3 +82,13 @@ def test_newest_ranks_before_the_shuffle(bars):
 def test_messages_are_parsed_once(spark):
     sent = settle(encode_messages(frame(spark, closes("a", [1.0]))), "plan-messages")
     assert plan(parse_messages(sent)).count("from_json") == 1
+
+
+def test_settled_tables_can_be_deleted(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    clear_settled()
+    before = set(os.listdir(folder))
+    REPORTS["all_indicators"](spark, FOLDER).count()
+    assert set(os.listdir(folder)) > before
+    clear_settled()
+    assert set(os.listdir(folder)) == before

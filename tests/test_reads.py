@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from pyspark.errors import ParseException
+from pyspark.errors import AnalysisException, ParseException
 
 from series import START, closes, frame
 from tickloom.plans import catalog, reads
@@ -31,7 +31,8 @@ def test_day_and_range(bars):
     assert values(reads.range_bars(bars, "a", date(2024, 1, 1), date(2024, 1, 2))) == [
         float(i) for i in range(7, -1, -1)]
     assert values(reads.range_bars(bars, "a", date(2024, 1, 1), date(2024, 1, 2), limit=2)) == [7.0, 6.0]
-    plan = reads.range_bars(bars, "a", AS_OF, AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert len(values(reads.range_bars(bars, "a", date(2024, 1, 1), AS_OF))) == 12
+    plan = reads.range_bars(bars, "a", AS_OF, AS_OF, limit=5)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
 
 
@@ -65,6 +66,37 @@ def test_sql_reads_only(spark, bars):
     assert spark.catalog.tableExists("bars_for_sql")
 
 
+def test_sql_stays_within_the_views(spark, bars, tmp_path):
+    bars.createOrReplaceTempView("bars_for_sql")
+    secret = tmp_path / "secret.txt"
+    secret.write_text("hidden")
+    bars.write.mode("overwrite").option("path", str(tmp_path / "table")).saveAsTable("bars_as_table")
+    for text in (
+        "SELECT reflect('java.lang.System', 'setProperty', 'reached', 'yes')",
+        "SELECT java_method('java.lang.System', 'lineSeparator')",
+        "SELECT try_reflect('java.lang.System', 'lineSeparator')",
+        "SELECT upper(reflect('java.lang.System', 'lineSeparator')) AS x FROM bars_for_sql WHERE close > 1",
+        f"SELECT * FROM text.`{secret}`",
+        f"SELECT * FROM bars_for_sql WHERE symbol IN (SELECT value FROM text.`{secret}`)",
+        f"SELECT (SELECT max(value) FROM text.`{secret}`) AS x",
+        f"WITH x AS (SELECT * FROM text.`{secret}`) SELECT * FROM x",
+        "SELECT * FROM bars_as_table",
+    ):
+        with pytest.raises((ValueError, AnalysisException)):
+            reads.run_sql(spark, text)
+    assert spark._jvm.java.lang.System.getProperty("reached") is None
+    for text, rows in (
+        ("SELECT symbol, avg(close) AS m FROM bars_for_sql GROUP BY symbol", 2),
+        ("SELECT a.time FROM bars_for_sql a JOIN bars_for_sql b ON a.time = b.time AND a.symbol < b.symbol", 1),
+        ("SELECT * FROM bars_for_sql WHERE close = (SELECT max(close) FROM bars_for_sql)", 1),
+        ("SELECT * FROM VALUES (1), (2) AS t(x)", 2), ("SELECT id FROM range(3)", 3),
+        ("SELECT close, row_number() OVER (ORDER BY close) AS n FROM bars_for_sql WHERE symbol IN (SELECT min(symbol) FROM bars_for_sql)", 12),
+        ("WITH x AS (SELECT * FROM bars_for_sql) SELECT * FROM x UNION ALL SELECT * FROM x", 28),
+    ):
+        assert reads.run_sql(spark, text).count() == rows
+    spark.sql("DROP TABLE bars_as_table")
+
+
 def test_catalog(spark, bars):
     bars.createOrReplaceTempView("bars_catalog")
     assert "bars_catalog" in [r.table_name for r in catalog.list_tables(spark).collect()]

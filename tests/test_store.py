@@ -1,4 +1,6 @@
 import random
+import time
+from datetime import date
 from pathlib import Path
 
 import pytest
@@ -44,23 +46,98 @@ def test_running_a_batch_again_changes_nothing(spark, store):
     store.upsert(bars(spark, closes("a", [1.0, 2.0])), "one")
     assert stored(store) == before
     # Nothing but the table itself is left behind.
-    assert not list(Path(store.root).glob("staged/*")) and not list(Path(store.root).glob("work/*"))
+    assert not list(Path(store.root).glob("work/*"))
 
 
-def test_a_finished_copy_is_swapped_in(spark, store):
-    """The job died after the copy was written and before it was swapped in."""
-    store._stage(bars(spark, closes("a", [1.0, 2.0])), f"{store.root}/staged/one", store.work_path("one"))
+def test_a_batch_that_died_is_written_anew(spark, store):
+    """The job died with one of two days written and none listed; the next run replaces its rows."""
+    rows = closes("a", [1.0, 2.0], step=86_400)
+    store.upsert(bars(spark, closes("z", [7.0])), "before")
+    store.upsert(bars(spark, rows[:1] + closes("b", [9.0])), "one")
+    for file in Path(store.days_path).glob("batch=one/*"):
+        file.unlink()
+    store.upsert(bars(spark, rows + closes("b", [9.5])), "one")
+    assert {k: r.close for k, r in stored(store).items()} == {
+        ("a", START): 1.0, ("a", START + 86_400): 2.0, ("b", START): 9.5, ("z", START): 7.0}
+    assert store.days().count() == 4
+
+
+def test_a_batch_writes_its_rows_only(spark, store):
+    store.upsert(bars(spark, closes("a", [float(i) for i in range(500)])), "one")
+    before = {p: p.stat().st_mtime_ns for p in Path(store.bars_path).rglob("*.parquet")}
+    store.upsert(bars(spark, closes("a", [9.0])), "two")
+    after = {p: p.stat().st_mtime_ns for p in Path(store.bars_path).rglob("*.parquet")}
+    assert before.items() <= after.items() and len(after) == len(before) + 1
+    assert store.versions().where("batch = 'two'").count() == 1
+    assert stored(store)[("a", START)].close == 9.0 and store.read().count() == 500
+
+
+def test_compaction_changes_nothing_but_files(spark, store):
+    for number in range(4):
+        store.upsert(bars(spark, closes("a", [float(number + i) for i in range(3)], step=43_200)), f"b{number}")
+    before = stored(store)
+    store.compact(date(2024, 1, 2))
+    assert stored(store) == before and store.read().count() == 3
+    parts = {(str(r.day), r.batch[:6]) for r in store.versions().select("day", "batch").collect()}
+    assert parts == {("2024-01-01", "merged"), *(("2024-01-02", f"b{n}") for n in range(4))}
+    store.compact(date(2024, 1, 2))
+    assert stored(store) == before
+
+
+def with_arrival(spark, rows, arrival):
+    return frame(spark, rows).withColumn("arrival", F.lit(arrival).cast("decimal(38,0)"))
+
+
+def test_an_older_message_never_wins(spark, store):
+    enrich_into(store, with_arrival(spark, closes("a", [9.0]), 5), "one")
+    enrich_into(store, with_arrival(spark, closes("a", [1.0, 2.0]), 2), "two")
+    found = {r.time: r for r in store.read().collect()}
+    assert [found[START + 60 * i].close for i in range(2)] == [9.0, 2.0]
+    # Nor does it enter the indicators of other bars.
+    assert found[START + 60].ma5 == 5.5
+    enrich_into(store, with_arrival(spark, closes("a", [4.0]), 6), "three")
+    assert stored(store)[("a", START)].close == 4.0
+
+
+def test_a_late_bar_of_another_symbol_leaves_history_whole(spark, store):
+    """A sparse live symbol and another symbol's late bar in one batch."""
+    sparse = [bar("a", START + 10_800 * i, 100.0 + i) for i in range(260)]
+    other = [bar("b", START + 3_600 * i, 50.0 + i % 7) for i in range(700)]
+    late = other.pop(100)
+    spans = Spans(3_600, 240)
+    enrich_into(store, frame(spark, sparse[:-3] + other), "one", spans=spans)
+    enrich_into(store, frame(spark, [*sparse[-3:], late]), "two", spans=spans)
+    expected = core_by_hand(sparse) | core_by_hand([*other, late])
+    wanted = {("a", r[2]) for r in sparse[-3:]} | {("b", late[2])}
+    found = [r for r in store.read().collect() if (r.symbol, r.time) in wanted]
+    assert_rows(found, {k: v for k, v in expected.items() if k in wanted}, CORE_INDICATORS)
+
+
+def test_stray_dates_neither_fail_nor_slow_the_next_batch(spark, store):
+    stray = [bar("a", -62_000_000_000, 1.0), bar("a", 0, 2.0)]
+    rows = closes("a", [float(i) for i in range(30)])
+    enrich_into(store, frame(spark, stray + rows[:29]), "one")
+    begun = time.monotonic()
+    enrich_into(store, frame(spark, rows[29:]), "two")
+    assert time.monotonic() - begun < 30
+    newest_bar = max(store.read().collect(), key=lambda r: r.time)
+    assert newest_bar.ma50 == (1.0 + 2.0 + sum(range(30))) / 32
+
+
+def test_a_batch_without_symbols(spark, store):
+    enrich_into(store, frame(spark, [(None, *closes("a", [1.0])[0][1:])]), "one")
     assert store.read().count() == 0
-    store.upsert(bars(spark, closes("a", [1.0, 2.0])), "one")
-    assert store.read().count() == 2
 
 
-def test_an_unfinished_copy_is_written_anew(spark, store):
-    spark.createDataFrame([("x",)], "junk string").write.parquet(f"{store.root}/staged/one")
-    (marker,) = Path(store.root).glob("staged/one/_SUCCESS")
-    marker.unlink()
-    store.upsert(bars(spark, closes("a", [1.0])), "one")
-    assert {k: r.close for k, r in stored(store).items()} == {("a", START): 1.0}
+def test_bars_closer_than_the_width_are_refused(spark, store):
+    with pytest.raises(Exception, match="closer than the 60 seconds"):
+        enrich_into(store, frame(spark, closes("a", [1.0] * 50, step=1)), "one", spans=Spans(60, 10))
+
+
+def test_final_bars_can_be_told(spark, store):
+    store.upsert(bars(spark, closes("a", [1.0, 2.0])), "one")
+    found = {r.time: r.is_final for r in store.read_with_final(60, START + 61).collect()}
+    assert found == {START: True, START + 60: False}
 
 
 def test_days_are_pruned_and_columns_too(spark, store):
@@ -70,7 +147,8 @@ def test_days_are_pruned_and_columns_too(spark, store):
         ._jdf.queryExecution().executedPlan().toString()
     )
     assert "PartitionFilters: [isnotnull(day" in plan and "EqualTo(symbol,a)" in plan
-    assert "ReadSchema: struct<symbol:string,close:double>" in plan
+    # What is asked for, and what tells the newest version of a bar.
+    assert "ReadSchema: struct<symbol:string,time:bigint,close:double,arrival:decimal(38,0),written:bigint>" in plan
 
 
 def test_history_takes_the_newest_rows(spark, store):

@@ -5,9 +5,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.operators.indicators import REACH, bounded_families, flow_facts, in_groups, in_series
+from tickloom.operators.indicators import REACH, bounded_families, flow_facts, in_series
 from tickloom.operators.spans import Spans
-from tickloom.schemas import BAR_COLUMNS, CORE_INDICATORS, KEY_COLUMNS
+from tickloom.schemas import ARRIVAL, BAR_COLUMNS, CORE_INDICATORS, KEY_COLUMNS
 
 # Rows of history that every indicator but OBV is complete with.
 HISTORY_ROWS = REACH + 1
@@ -27,14 +27,9 @@ def newest(bars: DataFrame, n: int, by: Iterable[str] = ("symbol",)) -> DataFram
 
 
 def newest_row(bars: DataFrame) -> DataFrame:
-    """The newest bar of every symbol, as one aggregate."""
+    """The newest bar of every symbol, as one aggregate over its time."""
     rest = [c for c in bars.columns if c != "symbol"]
-    return (
-        bars.groupBy("symbol")
-        .agg(F.max_by(F.struct(*rest), F.struct("day", "time")).alias("row"))
-        .select("symbol", *[F.col(f"row.{c}").alias(c) for c in rest])
-        .select(*bars.columns)
-    )
+    return bars.groupBy("symbol").agg(*[F.max_by(c, "time").alias(c) for c in rest]).select(*bars.columns)
 
 
 def batch_range(batch: DataFrame) -> DataFrame:
@@ -56,6 +51,13 @@ def history_before(stored: DataFrame, ranges: DataFrame, n: int = HISTORY_ROWS)
     return newest(earlier.drop("_from"), n)
 
 
+def without_stale(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """The bars of ``batch`` but those of which ``stored`` has a version that arrived later."""
+    newer = stored.select(*KEY_COLUMNS, F.col("arrival").alias("_stored"))
+    stale = batch.join(newer, KEY_COLUMNS).where(F.col("_stored") > F.col("arrival")).select(*KEY_COLUMNS)
+    return batch.join(stale, KEY_COLUMNS, "left_anti")
+
+
 def bars_between(stored: DataFrame, batch: DataFrame, ranges: DataFrame, to_end: bool) -> DataFrame:
     """Stored bars among or (``to_end``) after those of the batch, which replace their copies."""
     span = ranges.select("symbol", "_from", "_to")
@@ -79,28 +81,29 @@ def enrich(
     history: DataFrame,
     between: DataFrame,
     recompute: bool = False,
-    spans: Spans | None = Spans(),
+    spans: Spans = Spans(),
     work: str | None = None,
 ) -> DataFrame:
     """Core indicators for the bars of ``batch``.
 
     ``history`` are stored rows before the batch with their ``obv``, ``between``
     stored bars among it. With ``recompute`` the rows of ``between`` are
-    returned too, with the values the batch's bars give them. ``spans=None``
-    says that a symbol's rows here are few enough for one window. ``work`` is a
-    folder for tables.
+    returned too, with the values the batch's bars give them. ``work`` is a
+    folder for tables. ``arrival`` is carried along where rows have it.
     """
     unseeded = F.lit(None).cast("double").alias("_seed")
+
+    def arrival(rows: DataFrame) -> Column:
+        return (F.col("arrival") if "arrival" in rows.columns else F.lit(None)).cast(ARRIVAL).alias("arrival")
+
     series = (
-        history.select(*BAR_COLUMNS, _seeds().alias("_seed"), F.lit(False).alias("_wanted"))
-        .unionByName(between.select(*BAR_COLUMNS, unseeded, F.lit(recompute).alias("_wanted")))
+        history.select(*BAR_COLUMNS, arrival(history), _seeds().alias("_seed"), F.lit(False).alias("_wanted"))
+        .unionByName(between.select(*BAR_COLUMNS, arrival(between), unseeded, F.lit(recompute).alias("_wanted")))
         # The marker does the work of a join back to the batch's keys.
-        .unionByName(batch.select(*BAR_COLUMNS, unseeded, F.lit(True).alias("_wanted")))
+        .unionByName(batch.select(*BAR_COLUMNS, arrival(batch), unseeded, F.lit(True).alias("_wanted")))
         .where(F.col("symbol").isNotNull())
     )
-    if spans is None:
-        out = in_groups(series, bounded_families, "symbol", seeded=True)
-    else:
-        facts = flow_facts(series, spans, seeded=True)
-        out = in_series(series, bounded_families, spans, facts, seeded=True, work=work)
-    return out.where("_wanted").select(*BAR_COLUMNS, *CORE_INDICATORS)
+    facts = flow_facts(series, spans, seeded=True)
+    out = in_series(series, bounded_families, spans, facts, seeded=True, work=work).where("_wanted")
+    carried = ["arrival"] if "arrival" in batch.columns else []
+    return out.select(*BAR_COLUMNS, *CORE_INDICATORS, *carried)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tickloom.operators.extended import extended_families
 from tickloom.operators.pivots import pivot_levels, with_pivots
 from tickloom.operators.rolling import Family, Series, rolling_means, run_families
-from tickloom.operators.sar import with_sar
-from tickloom.operators.spans import Spans, fits_one_span, over_spans, span_facts
+from tickloom.operators.sar import RUN_SPANS, with_sar
+from tickloom.operators.spans import Spans, over_spans, span_facts
 from tickloom.schemas import CORE_INDICATORS, EXTENDED_INDICATORS
 
 # Window sizes in rows.
@@ -141,22 +141,20 @@ def with_indicators(
     ``reset="none"`` treats a symbol's bars as one series, ``reset="day"``
     starts every (symbol, day) afresh. Bars without a symbol are left out.
     ``bars`` is read more than once, so it should be a table rather than a
-    long computation. Series are cut into spans unless all are shorter than one.
+    long computation.
     """
     columns = bars.columns
     bars = bars.where(F.col("symbol").isNotNull())
     rows = bars
     if extended:
         # Joined to the bars first; the windows below then carry them along.
-        rows = with_pivots(with_sar(bars, reset, spans), pivot_levels(bars))
+        rows = with_pivots(with_sar(bars, reset, spans.longer(RUN_SPANS)), pivot_levels(bars))
 
     def families(series: Series) -> list[Family]:
         return bounded_families(series) + (extended_families(series) if extended else [])
 
     if reset == "day":
         out = in_groups(rows, families, "symbol", "day")
-    elif reset == "none" and fits_one_span(bars, spans):
-        out = in_groups(rows, families, "symbol")
     elif reset == "none":
         # The facts need nothing of what was added, so they come from the bars.
         out = in_series(rows, families, spans, flow_facts(bars, spans))

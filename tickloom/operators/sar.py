@@ -6,12 +6,14 @@ All spans are first walked at once from a fresh state. Then every span is walked
 again from its predecessor's end state, and again for as long as an end state
 changes. A trend flip forgets all but the last extreme price, so a walk that
 meets a flip usually ends in the same state wherever it began, and the second
-round is the last; series without flips just take more rounds. The result is
-that of one walk over the whole series.
+round is the last; a trend without a flip takes one round for each span that it
+lasts. The result is that of one walk over the whole series.
+
+Only times, highs and lows go to Python. A walk needs so little of a row that its
+spans may be longer than those of the windows: see ``RUN_SPANS``.
 """
 
 import sys
-from collections.abc import Iterable
 from functools import reduce
 from typing import NamedTuple
 
@@ -19,7 +21,6 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tickloom.operators.spans import Spans, with_neighbours
 from tickloom.session import delete_path, scratch_path, settle
@@ -30,6 +31,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # The acceleration's start and step, and its limit.
 ACCELERATION, LIMIT = 0.02, 0.20
 
+# So many spans of the windows are walked by one task: some 700,000 rows of
+# five numbers, and a trend that lasts long takes so many times fewer rounds.
+RUN_SPANS = 16
+
 
 class State(NamedTuple):
     """Where a walk stands after a row; highs and lows are of the last two rows."""
@@ -69,28 +74,53 @@ def next_state(s: State | None, high: float, low: float) -> State:
     return State(s.up, sar, s.extreme, s.acceleration, *rows)
 
 
-def walk(bars: pd.DataFrame, start: pd.DataFrame) -> Iterable[State | None]:
-    """States after each row of one span; None for rows without a high or low."""
-    state = State(*start[list(State._fields)].iloc[0]) if len(start) else None
-    for high, low in zip(bars["high"].tolist(), bars["low"].tolist(), strict=True):
-        if high == high and low == low:  # not NaN
-            state = next_state(state, high, low)
-            yield state
+def walk(highs: list[float], lows: list[float], state: State | None) -> tuple[list[float | None], State | None]:
+    """The value at each row of a span, None without a high or low, and the state at its end.
+
+    The steps of ``next_state``, on plain numbers.
+    """
+    values: list[float | None] = []
+    fresh = state is None
+    up, sar, extreme, acceleration, high1, high2, low1, low2 = state or (True, *[0.0] * 7)
+    for high, low in zip(highs, lows, strict=True):
+        if high != high or low != low:  # NaN
+            values.append(None)
+            continue
+        if fresh:
+            fresh = False
+            up, sar, extreme, acceleration, high1, low1 = True, low, high, ACCELERATION, high, low
         else:
-            yield None
+            sar += acceleration * (extreme - sar)
+            if up:
+                sar = min(sar, low1, low2)
+                flips, extends = low < sar, high > extreme
+            else:
+                sar = max(sar, high1, high2)
+                flips, extends = high > sar, low < extreme
+            if flips:
+                sar, extreme, acceleration, up = extreme, low if up else high, ACCELERATION, not up
+            elif extends:
+                extreme, acceleration = high if up else low, min(acceleration + ACCELERATION, LIMIT)
+        high1, high2, low1, low2 = high, high1, low, low1
+        values.append(sar)
+    return values, None if fresh else State(up, sar, extreme, acceleration, high1, high2, low1, low2)
+
+
+def _walked(bars: pd.DataFrame, start: pd.DataFrame) -> tuple[pd.DataFrame, list[float | None], State | None]:
+    bars = bars.sort_values("time")
+    state = State(*start[list(State._fields)].iloc[0]) if len(start) else None
+    return bars, *walk(bars["high"].tolist(), bars["low"].tolist(), state)
 
 
 def _end_of_span(key: tuple, bars: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
-    states = [s for s in walk(bars.sort_values("time"), start) if s is not None]
-    if not states:
-        # Nothing to walk: the state before the span, if any, still holds.
-        return start[["symbol", "_span", *State._fields]]
-    return pd.DataFrame([(*key, *states[-1])], columns=["symbol", "_span", *State._fields])
+    _, _, state = _walked(bars, start)
+    # Nothing to walk: the state before the span, if any, still holds.
+    return pd.DataFrame([] if state is None else [(*key, *state)], columns=["symbol", "_span", *State._fields])
 
 
-def _rows_of_span(key: tuple, bars: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
-    bars = bars.sort_values("time")
-    return bars.assign(parabolic_sar=[None if s is None else s.sar for s in walk(bars, start)])
+def _values_of_span(key: tuple, bars: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
+    bars, values, _ = _walked(bars, start)
+    return bars[["symbol", "_span", "time"]].assign(parabolic_sar=values)
 
 
 def _per_span(bars: DataFrame, starts: DataFrame, step, schema) -> DataFrame:
@@ -136,7 +166,7 @@ def _settled_starts(bars: DataFrame) -> DataFrame:
 
 
 def with_sar(bars: DataFrame, reset: str = "none", spans: Spans = Spans()) -> DataFrame:
-    """Add ``parabolic_sar``; ``reset`` as for ``with_indicators``."""
+    """Add ``parabolic_sar``; ``reset`` as for ``with_indicators``. One row per (symbol, time)."""
     columns = bars.columns
     bars = bars.where(F.col("symbol").isNotNull())
     if reset == "day":
@@ -147,5 +177,7 @@ def with_sar(bars: DataFrame, reset: str = "none", spans: Spans = Spans()) -> Da
         starts = _settled_starts(cut.select("symbol", "_span", "time", "high", "low"))
     else:
         raise ValueError(f"reset must be 'none' or 'day', not {reset!r}")
-    schema = T.StructType([*cut.schema.fields, T.StructField("parabolic_sar", T.DoubleType())])
-    return _per_span(cut, starts, _rows_of_span, schema).select(*columns, "parabolic_sar")
+    keys = ["symbol", "_span", "time"]
+    values = _per_span(cut.select(*keys, "high", "low"), starts, _values_of_span,
+                       "symbol string, _span bigint, time bigint, parabolic_sar double")
+    return cut.join(values, keys, "left").select(*columns, "parabolic_sar")

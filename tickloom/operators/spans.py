@@ -38,19 +38,14 @@ class Spans:
     def seconds(self) -> int:
         return self.width_seconds * self.rows_per_span
 
+    def longer(self, times: int) -> "Spans":
+        return Spans(self.width_seconds, self.rows_per_span * times)
+
     def start(self) -> Column:
         """Epoch second at which the span of a bar's ``time`` starts."""
         return F.col("time") - F.pmod(F.col("time"), F.lit(self.seconds).cast("bigint"))
 
 
-def fits_one_span(bars: DataFrame, spans: Spans) -> bool:
-    """Whether every symbol's bars lie within the length of one span, so that none
-    has more of them than a span holds."""
-    lengths = bars.groupBy("symbol").agg((F.max("time") - F.min("time")).alias("length"))
-    longest = lengths.agg(F.max("length")).first()[0]
-    return longest is None or longest < spans.seconds
-
-
 def with_neighbours(facts: DataFrame) -> DataFrame:
     """Mark the first and the last span of each symbol; ``facts`` has one row per span."""
     by_span = Window.partitionBy("symbol").orderBy("_span")
@@ -70,7 +65,8 @@ def span_facts(
     """One row per (symbol, span): its neighbours, where its edges lie, and
     ``aggregates`` over its bars and the columns of ``families``.
 
-    Reads as few columns of the bars as these need.
+    Reads as few columns of the bars as these need. Fails where a span holds more
+    bars than ``rows_per_span``: bars are then closer than ``width_seconds``.
     """
     piece = Series(("symbol", "_span"))
     edges = [{"_pos": f"row_number() {piece.ordered}", "_tail": piece.lag("time", reach - 1)}]
@@ -78,9 +74,14 @@ def span_facts(
     facts = placed.groupBy("symbol", "_span").agg(
         F.max(F.when(F.col("_pos") <= reach, F.col("time"))).alias("_head_to"),
         F.coalesce(F.max_by("_tail", "time"), F.min("time")).alias("_tail_from"),
+        F.max("_pos").alias("_bars"),
         *aggregates,
     )
-    return with_neighbours(facts)
+    too_many = F.raise_error(F.concat(
+        F.lit(f"bars are closer than the {spans.width_seconds} seconds that spans are cut for: symbol "), "symbol",
+        F.lit(" has "), F.col("_bars").cast("string"), F.lit(" in one span")))
+    tail = F.when(F.col("_bars") > spans.rows_per_span, too_many.cast("bigint")).otherwise(F.col("_tail_from"))
+    return with_neighbours(facts.withColumn("_tail_from", tail).drop("_bars"))
 
 
 def over_spans(

@@ -6,6 +6,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions.clock import utc_day
 from tickloom.functions.klines import decode_klines
 from tickloom.functions.messages import encode_messages, parse_messages, quarantine, quarantine_counts
 from tickloom.operators.candles import build_candles, dedup_latest
@@ -32,20 +33,30 @@ from tickloom.session import prepare, scratch_path, settle
 from tickloom.sources.messages import file_messages
 from tickloom.sources.store import Store
 from tickloom.sources.tables import as_ticks, read_sales, read_ticks
-from tickloom.streaming.pipeline import enrich_into, stream_candles, stream_dedup, stream_enrich
+from tickloom.streaming.pipeline import (
+    candles_to_table,
+    enrich_into,
+    stream_candles,
+    stream_dedup,
+    stream_enrich,
+    table_candles,
+)
 
 HOUR = 3_600
 DAY = 86_400
 
+# The day that reads take for today.
+AS_OF = date(2024, 1, 30)
+
 PIVOT_COLUMNS = EXTENDED_INDICATORS[EXTENDED_INDICATORS.index("pivot"):]
 
 # Ten days of hourly bars to a span, so that series cross span borders.
 HOURLY_SPANS = Spans(width_seconds=HOUR, rows_per_span=240)
-DAILY_SPANS = Spans(width_seconds=DAY)
+DAILY_SPANS = Spans(width_seconds=DAY, rows_per_span=400)
 
 
-# Sales prices are larger, so fewer decimals are certain.
-SALES_DECIMALS = 6
+# Sales prices are cents, of up to eight digits, so fewer decimals are certain.
+SALES_DECIMALS = 4
 
 
 # Reports whose bars are read more than once work on a stored table of them.
@@ -62,8 +73,7 @@ def hourly_bars(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def daily_sales_bars(spark: SparkSession, folder: str) -> DataFrame:
-    order = ("ts", "order_key", "line", "part_key", "price", "size")
-    return build_candles(read_sales(prepare(spark), folder), DAY, order=order)
+    return build_candles(read_sales(prepare(spark), folder), DAY, order=("line",))
 
 
 def _indicators(*columns: str, reset: str = "none", bars=stored_bars, spans=HOURLY_SPANS,
@@ -117,9 +127,14 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
     )
     anonymous = bars.select(F.to_json(F.struct((F.col("time") * 1000).alias("epoch_ms"), "close")).alias("value"))
     timeless = bars.select(F.to_json(F.struct("symbol", "close")).alias("value"))
+    prices = ["open", "high", "low"]
+    # Seconds where milliseconds belong make a bar of January 1970.
+    ancient = bars.select(F.to_json(F.struct("symbol", F.col("time").alias("epoch_ms"), *prices, "close")).alias("value"))
+    unpriced = bars.select(F.to_json(F.struct(
+        "symbol", (F.col("time") * 1000).alias("epoch_ms"), *prices, F.lit("n/a").alias("close"))).alias("value"))
     other = spark.read.parquet(f"{folder}/events.parquet").select(F.col("props").alias("value"))
     broken = spark.read.parquet(f"{folder}/customer.parquet").select(F.col("c_name").alias("value"))
-    return reduce(DataFrame.unionByName, [good, anonymous, timeless, other, broken])
+    return reduce(DataFrame.unionByName, [good, anonymous, timeless, ancient, unpriced, other, broken])
 
 
 def report_parse_messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -154,7 +169,7 @@ def report_dedup_latest(spark: SparkSession, folder: str) -> DataFrame:
     ticks = read_ticks(prepare(spark), folder)
     second = F.unix_seconds("ts")
     sent = ticks.select(
-        "symbol", F.to_date("ts").alias("day"), (second - F.pmod(second, F.lit(HOUR))).alias("time"),
+        "symbol", utc_day(second).alias("day"), (second - F.pmod(second, F.lit(HOUR))).alias("time"),
         F.col("price").alias("close"), F.col("size").cast("double").alias("volume"), "ts", "tick_id",
     )
     return present(dedup_latest(sent, order=("ts", "tick_id")).drop("ts"))
@@ -204,15 +219,41 @@ def late_recompute(spark: SparkSession, folder: str) -> DataFrame:
     return present(store.read().select(*KEY_COLUMNS, "close", *CORE_INDICATORS))
 
 
+def late_mixed_batch(spark: SparkSession, folder: str) -> DataFrame:
+    """One batch holds the live bars of one symbol and a late bar of another.
+
+    The live symbol has a bar every third hour only, so that its history reaches
+    far back; the batch's rows are those of one computation over all bars.
+    """
+    bars = stored_bars(spark, folder)
+    live, other = "click", "view"
+    hour = F.floor(F.col("time") / HOUR)
+    bars = bars.where(((F.col("symbol") == live) & (hour % 3 == 0)) | (F.col("symbol") == other))
+    newest_live = (F.col("symbol") == live) & (F.col("day") >= F.lit(AS_OF))
+    late = (F.col("symbol") == other) & (F.date_format("day", "dd") == "05") & (F.pmod(F.col("time"), F.lit(DAY)) == DAY // 2)
+    store = new_store(spark)
+    enrich_into(store, bars.where(~newest_live & ~late), "before", spans=HOURLY_SPANS)
+    enrich_into(store, bars.where(newest_live | late), "mixed", spans=HOURLY_SPANS)
+    return present(store.read().where(newest_live | late).select(*KEY_COLUMNS, "close", *CORE_INDICATORS))
+
+
+def filled_store(spark: SparkSession, folder: str) -> Store:
+    store = new_store(spark)
+    store.upsert(full_rows(hourly_bars(spark, folder)), "all")
+    return store
+
+
 def _read(read):
+    """A read of the stored bars."""
+
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return present(read(hourly_bars(spark, folder)))
+        return present(read(filled_store(spark, folder).read().select(*BAR_COLUMNS)))
 
     return query
 
 
 def report_run_sql(spark: SparkSession, folder: str) -> DataFrame:
-    hourly_bars(spark, folder).createOrReplaceTempView("bars_1h")
+    filled_store(spark, folder).read().select(*BAR_COLUMNS).createOrReplaceTempView("bars_1h")
     return present(run_sql(spark, """
         SELECT symbol, day, max(high) AS high, min(low) AS low, count(*) AS bars
         FROM bars_1h WHERE symbol IN ('click', 'view') GROUP BY symbol, day;
@@ -242,8 +283,11 @@ def _run_to_table(spark: SparkSession, stream: DataFrame, name: str) -> DataFram
 
 
 def report_stream_candles(spark: SparkSession, folder: str) -> DataFrame:
-    bars = stream_candles(_event_stream(spark, folder), "1 hour", "1 hour", order=("ts", "tick_id"))
-    return present(_run_to_table(spark, bars, "candles"))
+    """All candles of the stream, closed and open ones."""
+    candles = stream_candles(_event_stream(spark, folder), "1 hour", "1 hour", order=("ts", "tick_id"))
+    path = scratch_path(spark, "candles")
+    candles_to_table(candles, path, f"{path}-checkpoint", {"availableNow": True}).awaitTermination()
+    return present(table_candles(spark, path, candles, HOUR))
 
 
 def report_stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -272,8 +316,6 @@ def report_stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
     return present(store.read().select(*KEY_COLUMNS, "close", *CORE_INDICATORS))
 
 
-AS_OF = date(2024, 1, 30)
-
 def candles_1h(spark: SparkSession, folder: str) -> DataFrame:
     return present(hourly_bars(spark, folder))
 
@@ -315,6 +357,7 @@ REPORTS = {
     "enrich_batch": enrich_batch,
     "store_upsert": store_upsert,
     "late_recompute": late_recompute,
+    "late_mixed_batch": late_mixed_batch,
     "latest_bars": _read(lambda bars: latest(bars, ["click", "view"], AS_OF, 3)),
     "day_bars": _read(lambda bars: day_bars(bars, "click", AS_OF, 10)),
     "range_bars": _read(lambda bars: range_bars(bars, "view", date(2024, 1, 10), date(2024, 1, 20))),

@@ -7,12 +7,12 @@ from tickloom.functions.clock import clock_text
 from tickloom.schemas import CORE_INDICATORS, EXTENDED_INDICATORS, INDICATOR_COLUMNS
 
 
-def full_rows(enriched: DataFrame) -> DataFrame:
-    """All 39 columns in order, at full precision; indicators not computed are NULL."""
+def full_rows(enriched: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """All 39 columns in order, at full precision, and those of ``carry``; indicators not computed are NULL."""
     return enriched.select(*[
         F.col(c) if c in enriched.columns else F.lit(None).cast("double").alias(c)
         for c in INDICATOR_COLUMNS
-    ])
+    ], *carry)
 
 
 def compat_rows(enriched: DataFrame) -> DataFrame:

@@ -50,6 +50,9 @@ BAR_SCHEMA = T.StructType(
 
 # The stored table keeps full precision; plans.rows narrows it for consumers
 # that expect 4-byte floats and whole volumes.
+# Where a bar's message stands in the order of arrival, as one number.
+ARRIVAL = T.DecimalType(38, 0)
+
 INDICATOR_SCHEMA = T.StructType(
     BAR_SCHEMA.fields
     + [T.StructField(name, T.DoubleType()) for name in CORE_INDICATORS + EXTENDED_INDICATORS]

@@ -1,5 +1,6 @@
 """Session settings and the shared folder."""
 
+import atexit
 import functools
 import tempfile
 import uuid
@@ -25,8 +26,8 @@ def _local_folder() -> str:
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without it; it then gets a temporary folder,
-    since there driver and executors are the same machine.
+    Only a local session may go without it, as in tests: driver and executors are
+    the same machine there, and it gets a temporary folder of its own.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -41,20 +42,38 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+# Tables written by ``settle`` and not deleted yet.
+_settled: list[tuple[SparkSession, str]] = []
+
+
 def settle(df: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, cutting its lineage.
 
     The result is a columnar table: later readers prune columns, and a lost
     executor costs a re-read instead of a recomputation. ``folder`` collects
-    tables that a caller deletes together when it is done with them.
+    tables that a caller deletes together when it is done with them; others are
+    there until ``clear_settled``, at the latest until the program ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, purpose) if folder is None else f"{folder}/{purpose}-{uuid.uuid4().hex}"
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
     df.write.parquet(path)
+    if folder is None:
+        _settled.append((spark, path))
     return spark.read.schema(schema).parquet(path)
 
 
+def clear_settled() -> None:
+    """Delete the tables of all results that are not needed any more: those from before this call."""
+    while _settled:
+        spark, path = _settled.pop()
+        if spark.sparkContext._jsc is not None:
+            delete_path(spark, path)
+
+
+atexit.register(clear_settled)
+
+
 def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target

@@ -1,34 +1,47 @@
-"""The table of enriched bars: Parquet by day, upserted by (symbol, day, time)."""
+"""The table of enriched bars: Parquet by day and batch, read as the newest version of every bar."""
 
+import time
+import uuid
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tickloom.operators.enrich import HISTORY_ROWS, bars_between, history_before
-from tickloom.schemas import INDICATOR_SCHEMA, KEY_COLUMNS
+from tickloom.operators.candles import with_final_flag
+from tickloom.operators.enrich import HISTORY_ROWS, newest
+from tickloom.schemas import ARRIVAL, INDICATOR_SCHEMA, KEY_COLUMNS
 from tickloom.session import delete_path, path_exists, settle
 
+# What is stored of a bar: its row, where its message stands in the order of
+# arrival, when the version was written, and the batch that wrote it.
+VERSION_SCHEMA = T.StructType([
+    *INDICATOR_SCHEMA.fields,
+    T.StructField("arrival", ARRIVAL),
+    T.StructField("written", T.LongType()),
+    T.StructField("batch", T.StringType()),
+])
+DAY_SCHEMA = "symbol string, day date, batch string"
 
-# Up to this many symbols are named in a filter; a join alone handles more.
-FILTER_SYMBOLS = 500
 
-
-def _days(df: DataFrame, column: str) -> list[date]:
-    """The distinct days of a column; as many as the calendar has at most."""
-    return [row[0] for row in df.select(column).distinct().collect()]
+def _days(df: DataFrame) -> list[Column]:
+    """The distinct days of a table; as many as have bars at most."""
+    rows = df.select(F.col("day").cast("string")).distinct().collect()
+    return [F.lit(row[0]).cast("date") for row in rows]
 
 
 @dataclass(frozen=True)
 class Store:
     """Enriched bars under ``root``, a folder all executors can reach.
 
-    ``bars`` holds the rows, one partition per day. Within a day files are
-    sorted by symbol and time, so row group statistics prune symbols.
-    ``symbols`` lists each symbol's first day, so that a search for history
-    knows where a series begins.
+    ``bars`` holds versions of rows, one partition per day and batch; a batch
+    adds its own rows and touches no others. A bar's valid version is that of the
+    message that arrived last, and of versions of one message the one written
+    last. Within a partition files are sorted by symbol and time, so row group
+    statistics prune symbols. ``days`` lists the days that each symbol has bars
+    on, so that a search for history looks nowhere else.
     """
 
     spark: SparkSession
@@ -39,8 +52,8 @@ class Store:
         return f"{self.root}/bars"
 
     @property
-    def symbols_path(self) -> str:
-        return f"{self.root}/symbols"
+    def days_path(self) -> str:
+        return f"{self.root}/days"
 
     def work_path(self, batch_id: str) -> str:
         """Where a batch keeps its tables while it runs."""
@@ -52,105 +65,139 @@ class Store:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
+    def versions(self) -> DataFrame:
+        return self._table(self.bars_path, VERSION_SCHEMA)
+
+    def current(self) -> DataFrame:
+        """The valid version of every bar, with ``arrival``.
+
+        Filters on symbol and day reach the files: they are keys of the window.
+        """
+        order = Window.partitionBy(*KEY_COLUMNS).orderBy(F.desc_nulls_last("arrival"), F.desc("written"))
+        return (
+            self.versions().withColumn("_version", F.row_number().over(order)).where(F.col("_version") == 1)
+            .select(*INDICATOR_SCHEMA.names, "arrival")
+        )
+
     def read(self) -> DataFrame:
-        return self._table(self.bars_path, INDICATOR_SCHEMA)
+        """The bars, in the 39 columns of the contract at full precision."""
+        return self.current().select(*INDICATOR_SCHEMA.names)
+
+    def read_with_final(self, width_seconds: int, now_seconds: int) -> DataFrame:
+        """The bars with ``is_final``: whether their interval is over at ``now_seconds``."""
+        return with_final_flag(self.read(), width_seconds, F.lit(now_seconds))
+
+    def days(self) -> DataFrame:
+        """``symbol, day``: where there are bars."""
+        return self._table(self.days_path, DAY_SCHEMA).select("symbol", "day").distinct()
 
     def symbols(self) -> DataFrame:
         """``symbol, first_day``."""
-        listed = self._table(self.symbols_path, "symbol string, first_day date")
-        return listed.groupBy("symbol").agg(F.min("first_day").alias("first_day"))
-
-    def _of_symbols(self, wanted: DataFrame) -> DataFrame:
-        """The table, narrowed to the symbols in ``wanted`` (one row each) if these are
-        few enough to be a filter that prunes row groups. Callers join on symbol anyway."""
-        names = [row[0] for row in wanted.select("symbol").limit(FILTER_SYMBOLS + 1).collect()]
-        few = len(names) <= FILTER_SYMBOLS
-        return self.read().where(F.col("symbol").isin(names)) if few else self.read()
+        return self.days().groupBy("symbol").agg(F.min("day").alias("first_day"))
 
     # ---- reading what a batch needs -------------------------------------
 
-    def history(self, ranges: DataFrame, n: int = HISTORY_ROWS, days: int = 1,
-                work: str | None = None) -> DataFrame:
+    def history(self, ranges: DataFrame, n: int = HISTORY_ROWS, days: int = 2, work: str | None = None) -> DataFrame:
         """The ``n`` stored rows of each symbol before its batch begins.
 
-        ``ranges`` is the ``batch_range``, ``work`` a folder for tables. Looks ``days`` back at first. Symbols
-        that still lack rows and whose series begins earlier are looked up
-        again, four times as far back each time, until none is left. Days are
-        pruned in every round, and a symbol never seen before costs no look.
+        ``ranges`` is the ``batch_range``, ``work`` a folder for tables. Every
+        symbol is looked up on its own last ``days`` days that have bars, and
+        four times as many each time until it has ``n`` rows or no days are
+        left. ``n`` + 1 days always do.
         """
-        parts = []
-        pending = settle(ranges.join(self.symbols(), "symbol"), "history-wanted", work)
-        starts = _days(pending, "_from_day")
-        while starts:
-            wanted = sorted({day - timedelta(back) for day in starts for back in range(days + 1)})
-            stored = self._of_symbols(pending).where(F.col("day").isin(wanted))
-            found = settle(history_before(stored, pending, n), "history-found", work)
+        back = F.row_number().over(Window.partitionBy("symbol").orderBy(F.desc("day")))
+        listed = settle(
+            self.days().join(ranges.select("symbol", "_from", "_from_day"), "symbol")
+            .where(F.col("day") <= F.col("_from_day"))
+            .withColumn("_back", back).where(F.col("_back") <= n + 1),
+            "history-days", work,
+        )
+        parts, pending = [], listed
+        while wanted := _days(pending.where(F.col("_back") <= days)):
+            chosen = pending.where(F.col("_back") <= days).select("symbol", "day", "_from")
+            stored = self.current().where(F.col("day").isin(wanted)).join(chosen, ["symbol", "day"])
+            found = settle(newest(stored.where(F.col("time") < F.col("_from")).drop("_from"), n), "history-found", work)
             counts = found.groupBy("symbol").agg(F.count(F.lit(1)).alias("_found"))
-            lacking = (
-                pending.join(counts, "symbol", "left")
-                .where(F.coalesce("_found", F.lit(0)) < n)
-                .where(F.col("first_day") < F.date_sub("_from_day", days))
-                .drop("_found")
-            )
-            starts = _days(lacking, "_from_day")
-            if starts:
-                pending = settle(lacking, "history-wanted", work)
-                found = found.join(pending.select("symbol"), "symbol", "left_anti")
-            parts.append(found)
+            enough = counts.where(F.col("_found") >= n).select("symbol")
+            # Days beyond those looked at, of symbols that still lack rows.
+            more = pending.join(enough, "symbol", "left_anti")
+            longer = more.groupBy("symbol").agg(F.max("_back").alias("_days")).where(F.col("_days") > days)
+            pending = settle(more.join(longer.select("symbol"), "symbol"), "history-days", work)
+            parts.append(found.join(pending.select("symbol").distinct(), "symbol", "left_anti"))
             days *= 4
         if not parts:
             return self.spark.createDataFrame([], INDICATOR_SCHEMA)
-        return reduce(DataFrame.unionByName, parts)
-
-    def between(self, batch: DataFrame, ranges: DataFrame, first: date, last: date | None) -> DataFrame:
-        """Stored rows among the batch's bars, which lie between two days; with no
-        last day those after them too."""
-        stored = self._of_symbols(ranges).where(F.col("day") >= F.lit(first))
-        if last is not None:
-            stored = stored.where(F.col("day") <= F.lit(last))
-        return bars_between(stored, batch, ranges, to_end=last is None)
+        return reduce(DataFrame.unionByName, parts).select(*INDICATOR_SCHEMA.names)
+
+    def among(self, ranges: DataFrame, to_end: bool = False) -> DataFrame:
+        """Stored rows, with ``arrival``, from the first to the last bar of each symbol's
+        batch, or with ``to_end`` to the end of its series."""
+        inside = F.col("day") >= F.col("_from_day")
+        within = F.col("time") >= F.col("_from")
+        if not to_end:
+            inside = inside & (F.col("day") <= F.col("_to_day"))
+            within = within & (F.col("time") <= F.col("_to"))
+        wanted = _days(self.days().join(ranges, "symbol").where(inside))
+        span = ranges.select("symbol", "_from", "_to")
+        return self.current().where(F.col("day").isin(wanted)).join(span, "symbol").where(within).drop("_from", "_to")
 
     # ---- writing ----------------------------------------------------------
 
     def upsert(self, rows: DataFrame, batch_id: str) -> None:
-        """Put ``rows`` (unique keys) in place of stored rows with the same key.
+        """Add ``rows`` (unique keys, ``arrival`` if known) as the newest versions of their bars.
 
-        The days concerned are written next to the table first and swapped in
-        whole after that. A batch that is run again after a failure at any
-        point leaves the same table: a finished copy is swapped in as it is,
-        anything less is written anew.
+        Only they are written. A reader sees all rows of a batch and day or none.
+        A batch that is run again, after a failure at any point, replaces its
+        own rows.
         """
-        staged = f"{self.root}/staged/{batch_id}"
-        if not path_exists(self.spark, f"{staged}/_SUCCESS"):
-            self._stage(rows, staged, self.work_path(batch_id))
-        days = self.spark.read.schema(INDICATOR_SCHEMA).parquet(staged)
-        # By range rather than by day, so that a large day is many tasks.
+        arrival = F.col("arrival") if "arrival" in rows.columns else F.lit(None)
         (
-            days.repartitionByRange("day", "symbol", "time")
+            rows.select(
+                *INDICATOR_SCHEMA.names, arrival.cast(ARRIVAL).alias("arrival"),
+                F.lit(time.time_ns() // 1_000).alias("written"), F.lit(batch_id).alias("batch"))
+            # A large day becomes many files, small days share a task.
+            .hint("rebalance", "day", "symbol")
             .sortWithinPartitions("day", "symbol", "time")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day")
-            .parquet(self.bars_path)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day", "batch").parquet(self.bars_path)
         )
-        delete_path(self.spark, staged)
+        self._list_days(batch_id)
         delete_path(self.spark, self.work_path(batch_id))
 
-    def _stage(self, rows: DataFrame, staged: str, work: str) -> None:
-        rows = settle(rows.select(*INDICATOR_SCHEMA.names), "upsert-rows", work)
-        self._list_symbols(rows)
-        stored = self.read().where(F.col("day").isin(_days(rows, "day")))
-        kept = stored.join(rows.select(*KEY_COLUMNS), KEY_COLUMNS, "left_anti")
-        kept.unionByName(rows).write.mode("overwrite").parquet(staged)
-
-    def _list_symbols(self, rows: DataFrame) -> None:
-        """Note symbols that are new or begin earlier than known; noting one twice does no harm."""
-        seen = rows.groupBy("symbol").agg(F.min("day").alias("first_day"))
-        known = self.symbols().withColumnRenamed("first_day", "_known")
-        news = (
-            seen.join(known, "symbol", "left")
-            .where(F.col("_known").isNull() | (F.col("first_day") < F.col("_known")))
-            .drop("_known")
+    def _list_days(self, batch_id: str) -> None:
+        """Note days that are new to a symbol; noting one twice does no harm."""
+        seen = self.versions().where(F.col("batch") == batch_id).select("symbol", "day").distinct()
+        known = self._table(self.days_path, DAY_SCHEMA).where(F.col("batch") != batch_id).select("symbol", "day")
+        (
+            seen.join(known, ["symbol", "day"], "left_anti").withColumn("batch", F.lit(batch_id))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch").parquet(self.days_path)
+        )
+
+    def compact(self, before: date) -> None:
+        """Make one batch of all batches of each day earlier than ``before``.
+
+        The merged rows are there before the old ones go, and both say the same,
+        so readers and a second run find the same table at any time. No batch may
+        be writing to these days meanwhile.
+        """
+        parts = self.versions().where(F.col("day") < F.lit(before)).select("day", "batch").distinct().collect()
+        several: dict[date, list[str]] = {}
+        for row in parts:
+            several.setdefault(row["day"], []).append(row["batch"])
+        several = {day: batches for day, batches in several.items() if len(batches) > 1}
+        if not several:
+            return
+        name = f"merged-{uuid.uuid4().hex}"
+        order = Window.partitionBy(*KEY_COLUMNS).orderBy(F.desc_nulls_last("arrival"), F.desc("written"))
+        (
+            self.versions().where(F.col("day").isin(list(several)))
+            .withColumn("_version", F.row_number().over(order)).where(F.col("_version") == 1).drop("_version")
+            .withColumn("batch", F.lit(name))
+            .hint("rebalance", "day", "symbol").sortWithinPartitions("day", "symbol", "time")
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day", "batch").parquet(self.bars_path)
         )
-        if not news.isEmpty():
-            news.write.mode("append").parquet(self.symbols_path)
+        for day, batches in several.items():
+            for batch in batches:
+                delete_path(self.spark, f"{self.bars_path}/day={day}/batch={batch}")

@@ -1,14 +1,20 @@
 """Ticks and bars out of the given tables."""
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.functions.clock import instant, shifted
+from tickloom.schemas import ARRIVAL
+
 
 def as_ticks(events: DataFrame) -> DataFrame:
     """Events as ticks: the event type trades as a symbol."""
     return events.select(
         F.col("event_type").alias("symbol"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        instant(F.col("ts")).alias("ts"),
         F.col("event_id").alias("tick_id"),
         F.col("value").alias("price"),
         F.get_json_object("props", "$.k").cast("bigint").alias("size"),
@@ -22,14 +28,16 @@ def read_ticks(spark: SparkSession, folder: str) -> DataFrame:
 def read_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as ticks: many symbols (suppliers) with sparse days.
 
-    Prices are whole hundreds, so that sums of them are exact.
+    Prices are whole cents, so that sums of them are exact. A day's lines are in
+    order of all their columns, as no two or three of them are unique.
     """
-    return spark.read.parquet(f"{folder}/lineitem.parquet").select(
+    digits = [("l_orderkey", 23), ("l_linenumber", 21), ("l_partkey", 12), ("cents", 3), ("l_quantity", 0)]
+    line = reduce(add, (shifted(F.col(name), place) for name, place in digits))
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").withColumn("cents", F.round(F.col("l_extendedprice") * 100))
+    return lines.select(
         F.col("l_suppkey").cast("string").alias("symbol"),
-        F.col("l_shipdate").cast("timestamp").alias("ts"),
-        F.col("l_orderkey").alias("order_key"),
-        F.col("l_linenumber").alias("line"),
-        F.col("l_partkey").alias("part_key"),
-        F.round(F.col("l_extendedprice") / 100).alias("price"),
+        instant(F.col("l_shipdate")).alias("ts"),
+        line.cast(ARRIVAL).alias("line"),
+        F.col("cents").alias("price"),
         F.col("l_quantity").alias("size"),
     )

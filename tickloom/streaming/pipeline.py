@@ -1,18 +1,19 @@
 """From a stream of messages or ticks to tables."""
 
-import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.functions.messages import parse_messages, quarantine
-from tickloom.operators.candles import candle_aggregates, dedup_latest
-from tickloom.operators.enrich import HISTORY_ROWS, batch_range, enrich
+from tickloom.functions.clock import utc_day
+from tickloom.functions.messages import PLAUSIBLE, parse_messages, quarantine
+from tickloom.operators.candles import candle_aggregates, dedup_latest, position, with_final_flag
+from tickloom.operators.enrich import batch_range, enrich, without_stale
 from tickloom.operators.spans import Spans
 from tickloom.plans.rows import full_rows
-from tickloom.schemas import BAR_COLUMNS
+from tickloom.schemas import ARRIVAL, BAR_COLUMNS, KEY_COLUMNS
 from tickloom.session import delete_path, settle
 from tickloom.sources.store import Store
 
@@ -21,94 +22,139 @@ def enrich_into(store: Store, bars: DataFrame, batch_id: str, recompute: bool =
                 spans: Spans = Spans()) -> None:
     """Compute the indicators of a batch of bars and upsert them.
 
-    All symbols go through one plan. With ``recompute`` stored rows after a
-    changed bar are brought up to date as well.
+    All symbols go through one plan. Bars of which the store holds a version that
+    arrived later (``arrival``) are left out. With ``recompute`` stored rows
+    after a changed bar are brought up to date as well.
     """
     work = store.work_path(batch_id)
+    if "arrival" not in bars.columns:
+        bars = bars.withColumn("arrival", F.lit(None).cast(ARRIVAL))
     ranges = settle(batch_range(bars), "batch-range", work)
-    first, last, widest = ranges.agg(
-        F.min("_from_day"), F.max("_to_day"), F.max(F.col("_to") - F.col("_from"))
-    ).first()
-    # A batch that fits a span has no more rows per symbol than a span.
-    fits = not recompute and widest < spans.seconds
-    between = store.between(bars, ranges, first, None if recompute else last)
-    # Where no bar is missing, the history is this many days long.
-    days = 1 + HISTORY_ROWS * spans.width_seconds // 86_400
-    history = store.history(ranges, days=days, work=work)
-    enriched = enrich(bars, history, between, recompute, None if fits else spans, work)
-    store.upsert(full_rows(enriched), batch_id)
+    if ranges.isEmpty():
+        delete_path(store.spark, work)
+        return
+    stored = settle(store.among(ranges, to_end=recompute), "stored-among", work)
+    bars = without_stale(bars, stored)
+    between = stored.join(bars.select(*KEY_COLUMNS), KEY_COLUMNS, "left_anti")
+    enriched = enrich(bars, store.history(ranges, work=work), between, recompute, spans, work)
+    store.upsert(full_rows(enriched, carry=("arrival",)), batch_id)
 
 
-def query_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id of the stream that owns a checkpoint; restarts keep it."""
-    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
-
-
-def batch_writer(store: Store, order: tuple[str, ...], stream: Callable[[], str],
+def batch_writer(store: Store, order: tuple[str, ...], stream: Callable[[DataFrame], str],
                  quarantine_path: str | None = None, recompute: bool = False,
-                 spans: Spans = Spans()) -> Callable[[DataFrame, int], None]:
+                 spans: Spans = Spans(), plausible: tuple[int, int] = PLAUSIBLE) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function of the message stream.
 
     ``stream`` names the stream, so that batches are told apart by stream and
-    number: another checkpoint starts to count from zero again.
+    number: another checkpoint starts to count from zero again. Messages that
+    are no bars go to ``quarantine_path``, and how many by reason next to it.
     """
 
     def write(messages: DataFrame, batch_id: int) -> None:
-        name = f"{stream()}-{batch_id}"
+        name = f"{stream(messages)}-{batch_id}"
         # The batch is read several times; its source should be read once.
         messages = messages.persist()
         try:
             if quarantine_path:
-                # One folder per batch: a batch that is run again replaces its rows.
-                quarantine(messages).write.mode("overwrite").parquet(f"{quarantine_path}/batch={name}")
-            bars = dedup_latest(parse_messages(messages), order=order).select(*BAR_COLUMNS)
-            bars = settle(bars, "bars", store.work_path(name))
-            if bars.isEmpty():
-                delete_path(store.spark, store.work_path(name))
-            else:
-                # The upsert at the end of this deletes the batch's work folder.
-                enrich_into(store, bars, name, recompute, spans)
+                _write_rejected(messages, quarantine_path, name, plausible)
+            parsed = parse_messages(messages, plausible)
+            parsed = parsed.withColumn("arrival", position(parsed, order).cast(ARRIVAL))
+            bars = dedup_latest(parsed.select(*BAR_COLUMNS, "arrival"), order=("arrival",))
+            # The upsert at the end of this deletes the batch's work folder.
+            enrich_into(store, settle(bars, "bars", store.work_path(name)), name, recompute, spans)
         finally:
             messages.unpersist()
 
     return write
 
 
+REASONS = ("no symbol, no time", "no symbol", "no time", "implausible time", "no price")
+
+
+def _write_rejected(messages: DataFrame, path: str, name: str, plausible: tuple[int, int]) -> None:
+    """One folder per batch: a batch that is run again replaces its rows and counts."""
+    counts = Observation()
+    rejected = quarantine(messages, plausible).observe(
+        counts, *[F.count(F.when(F.col("reason") == r, 1)).alias(r) for r in REASONS])
+    rejected.write.mode("overwrite").parquet(f"{path}/batch={name}")
+    rows = [(reason, counts.get[reason]) for reason in REASONS]
+    table = messages.sparkSession.createDataFrame(rows, "reason string, messages bigint")
+    table.coalesce(1).write.mode("overwrite").parquet(f"{path}-counts/batch={name}")
+
+
+def rejected_counts(spark: SparkSession, quarantine_path: str) -> DataFrame:
+    """``batch, reason, messages``: what the stream has counted so far."""
+    counts = spark.read.schema("reason string, messages bigint, batch string").parquet(f"{quarantine_path}-counts")
+    return counts.where("messages > 0").select("batch", "reason", "messages")
+
+
 def stream_enrich(messages: DataFrame, store: Store, checkpoint: str, order: tuple[str, ...],
-                  trigger: dict | None = None, **options) -> StreamingQuery:
+                  trigger: dict, **options) -> StreamingQuery:
     """Start the message stream; ``checkpoint`` and the store make it restartable.
 
-    Batches are delivered at least once and upserts are by key, so a batch
-    that is delivered again changes nothing.
+    ``trigger`` says how often a batch is made. A batch costs some dozen small
+    jobs however few bars it has, so take half a minute or more. Batches are
+    delivered at least once and upserts are by key, so a batch that is delivered
+    again changes nothing. The streaming query's own id, which restarts keep,
+    names the batches.
     """
-    write = batch_writer(store, order, lambda: query_id(store.spark, checkpoint), **options)
+    def query_id(batch: DataFrame) -> str:
+        return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
     return (
         messages.writeStream.outputMode("append")
-        .foreachBatch(write)
+        .foreachBatch(batch_writer(store, order, query_id, **options))
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "1 second"}))
+        .trigger(**trigger)
         .start()
     )
 
 
 def stream_candles(ticks: DataFrame, width: str, late: str, order: tuple[str, ...] = ("ts",)) -> DataFrame:
-    """Candles of a tick stream, each emitted once its interval is over.
+    """Candles of a tick stream, with the newest event of each.
 
-    The state is one partial candle per symbol and open interval.
+    The state is one partial candle per symbol and interval that is not yet
+    ``late`` behind. In append mode each is emitted once, when it is; in update
+    mode whenever it has changed.
     """
+    at = position(ticks, order)
     return (
         ticks.withWatermark("ts", late)
         .groupBy("symbol", F.window("ts", width))
-        .agg(*candle_aggregates(list(order)))
+        .agg(*candle_aggregates(at), F.max("ts").alias("last_event"))
         .select(
             "symbol",
-            F.to_date("window.start").alias("day"),
+            utc_day(F.unix_seconds("window.start")).alias("day"),
             F.unix_seconds("window.start").alias("time"),
-            "open", "high", "low", "close", "volume",
+            "open", "high", "low", "close", "volume", "last_event",
         )
     )
 
 
+def candles_to_table(candles: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """Keep the changing candles of a stream in a table, one folder per batch."""
+
+    def write(changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        candles.writeStream.outputMode("update").foreachBatch(write)
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    )
+
+
+def table_candles(spark: SparkSession, path: str, candles: DataFrame, width_seconds: int) -> DataFrame:
+    """The newest version of every candle in a table of ``candles_to_table``, with ``is_final``.
+
+    A candle is final once its interval lies before the newest event of the stream.
+    """
+    schema = T.StructType([*candles.schema.fields, T.StructField("batch", T.LongType())])
+    versions = spark.read.schema(schema).parquet(path)
+    newest = versions.agg(F.max(F.unix_seconds("last_event"))).first()[0]
+    bars = dedup_latest(versions, order=("batch",)).drop("batch", "last_event")
+    return with_final_flag(bars, width_seconds, F.lit(newest).cast("bigint"))
+
+
 def stream_dedup(rows: DataFrame, keys: list[str], late: str, event_time: str = "ts") -> DataFrame:
     """Drop repeats of a row that arrive within ``late`` of each other."""
     return rows.withWatermark(event_time, late).dropDuplicatesWithinWatermark(keys)

@@ -22,6 +22,14 @@ def known_columns(df: DataFrame, table: str) -> DataFrame:
     return df.select(*(F.col(name).cast(kind).alias(name) for name, kind in TABLE_COLUMNS[table].items()))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with as many underscores before it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def id_remainder(column: str, divisor: int) -> Column:
     """crc32 of the id written as text, modulo ``divisor``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import sampled
+from tickloom.llm.common import free_name, sampled
 
 UNKNOWN = "und"
 BUCKETS = 4096
@@ -212,5 +212,6 @@ def identify(docs: DataFrame, model: Languages) -> DataFrame:
 
     new = ("lang_pred", "score", "rejected")
     kept = [c for c in docs.columns if c not in new]
-    found = docs.select(*kept, predict("text").alias("_found"))
-    return found.select(*kept, *(F.col(f"_found.{name}").alias(name) for name in new))
+    held = free_name(docs, "_found")
+    found = docs.select(*kept, predict("text").alias(held))
+    return found.select(*kept, *(F.col(f"{held}.{name}").alias(name) for name in new))

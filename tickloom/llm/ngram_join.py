@@ -248,7 +248,7 @@ def _packed_marks(size: int, rule: Likeness, buckets: int):
                     marks.append(found)
                     needs.append(need)
                     names.append(np.full(len(found), name, dtype=np.int64))
-            if not marks:
+            if not any(map(len, marks)):
                 continue
             mark, name, need = np.concatenate(marks), np.concatenate(names), np.concatenate(needs)
             order = np.lexsort((name, mark))

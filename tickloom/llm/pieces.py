@@ -1,8 +1,9 @@
 """SentencePiece encoding and decoding, all distinct words of a batch in one trie.
 
-White space becomes the mark ▁ and a text a sequence of marked words: some
-marks, then anything else up to the next mark. No piece goes on after a mark
-that follows another character, so words are encoded on their own. The distinct
+Spaces are the marks of words, which pieces show as ▁, and a text is a sequence
+of marked words: some marks, then anything else up to the next mark. No piece
+goes on after a mark that follows another character, so words are encoded on
+their own. The distinct
 words of a batch are sorted, which makes them a trie in order of depth-first
 traversal: what two neighbours share at their beginning is the path they share,
 and the forward states of those positions are reused.
@@ -25,13 +26,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-MARK = "▁"
+from tickloom.llm.common import free_name
+
+#: How the model file writes a mark; here it is the space that it stands for.
+SHOWN, MARK = "▁", " "
 #: Encoded words that a worker keeps from one batch to the next.
-KEPT_WORDS = 800_000
+KEPT_WORDS = 250_000
 #: Pairs of pieces for which it keeps whether they stand.
-KEPT_PAIRS = 2_000_000
+KEPT_PAIRS = 300_000
+#: Rows of a batch that go back at a time.
+OUT_ROWS = 500
 _UNIGRAM, _BPE = 1, 2
-_ONE = (1,)
 _NORMAL, _USER, _BYTE = 1, 4, 6
 
 
@@ -51,14 +56,14 @@ class PieceModel:
             raise ValueError("the model's normaliser changes texts, so they could not be decoded to the same")
         self.prefix = spec.add_dummy_prefix
         self.unknown = next((i for i, p in enumerate(model.pieces) if p.type == 2), 0)
-        self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type in (_NORMAL, _USER)}
+        self.ids = {p.piece.replace(SHOWN, MARK): i for i, p in enumerate(model.pieces) if p.type in (_NORMAL, _USER)}
         self.scores = {p: model.pieces[i].score for p, i in self.ids.items()}
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == _BYTE}
         self.longest = max(map(len, self.ids), default=1)
         crossing = [p for p in self.ids if MARK in p.lstrip(MARK)]
         if crossing:
             raise ValueError(f"pieces run over the end of a word: {crossing[:3]}")
-        self._bytes_of = [p.piece.replace(MARK, " ").encode() for p in model.pieces]
+        self._bytes_of = [p.piece.replace(SHOWN, MARK).encode() for p in model.pieces]
         for value, i in self.bytes.items():
             self._bytes_of[i] = bytes([value])
         for i, p in enumerate(model.pieces):
@@ -70,10 +75,11 @@ class PieceModel:
         ends: dict[str, set[int]] = {}
         for piece in self.ids:
             ends.setdefault(piece[-4:], set()).add(len(piece))
-        self._lengths: dict[str, tuple[int, ...]] = {}
+        self._lengths: dict[str, list[int]] = {}
         for tail, found in ends.items():
             found.update(n for n in (1, 2, 3) if n < len(tail) and (n == 1 or tail[-n:] in self.ids))
-            self._lengths[tail] = tuple(sorted(found, reverse=True))
+            self._lengths[tail] = sorted(found, reverse=True)
+        self._endings = frozenset(ends)
         # For each piece: whether it stands after another one, as found so far.
         self._after: dict[str, dict[str, bool]] = {p: {} for p in self.ids}
         self._pairs = 0
@@ -102,12 +108,25 @@ class PieceModel:
 
     # Forward states of the positions after ``shared``, given those up to it. states[0] is the start.
 
+    def _lengths_for(self, tail: str) -> list[int]:
+        """The lengths for an ending that no piece has whole: those of the longest part of it."""
+        if len(self._lengths) > KEPT_WORDS:
+            self._lengths = {t: found for t, found in self._lengths.items() if t in self._endings}
+        found = next((self._lengths[tail[k:]] for k in range(1, len(tail)) if tail[k:] in self._endings), [1])
+        own = self._lengths[tail] = [n for n in found if n <= 3]
+        return own
+
     def _last_pieces(self, word: str, shared: int, states: list) -> None:
-        """Merging by rank: the last piece of each prefix's own segmentation."""
+        """Merging by rank: the last piece of each prefix's own segmentation.
+
+        Of all pieces that end at a position one stands. The length that last did
+        after the same characters is tried first.
+        """
         lengths, after = self._lengths, self._after
         for end in range(shared + 1, len(word) + 1):
-            for length in (lengths.get(word[max(0, end - 4):end]) or lengths.get(word[max(0, end - 3):end])
-                           or lengths.get(word[max(0, end - 2):end], _ONE)):
+            tail = word[end - 4:end] if end > 4 else word[:end]
+            tried = lengths.get(tail) or self._lengths_for(tail)
+            for length in tried:
                 if length > end:
                     continue
                 piece = word[end - length:end]
@@ -123,6 +142,9 @@ class PieceModel:
                     self._pairs += 1
                 if stands:
                     states.append(piece)
+                    if length != tried[0]:
+                        tried.remove(length)
+                        tried.insert(0, length)
                     break
 
     def _best_sums(self, word: str, shared: int, states: list) -> None:
@@ -130,8 +152,8 @@ class PieceModel:
         scores, lengths = self.scores, self._lengths
         for end in range(shared + 1, len(word) + 1):
             best = None
-            for length in (lengths.get(word[max(0, end - 4):end]) or lengths.get(word[max(0, end - 3):end])
-                           or lengths.get(word[max(0, end - 2):end], _ONE)):
+            tail = word[max(0, end - 4):end]
+            for length in lengths.get(tail) or self._lengths_for(tail):
                 if length > end:
                     continue
                 piece = word[end - length:end]
@@ -169,6 +191,10 @@ class PieceModel:
         return found
 
     def _ids(self, pieces: list[str]) -> list[int]:
+        try:
+            return [self.ids[piece] for piece in pieces]
+        except KeyError:
+            pass
         found = []
         unknown = False
         for piece in pieces:
@@ -183,12 +209,14 @@ class PieceModel:
         return found
 
     def words(self, text: str) -> list[str]:
-        """The marked words; joined they are the text with marks for spaces."""
+        """The marked words; joined they are the text, behind a mark if the model puts one there."""
         if not text:
             return []
-        marked = text.replace(" ", MARK)
-        if self.prefix:
-            marked = MARK + marked
+        if SHOWN in text:
+            text = text.replace(SHOWN, MARK)
+        if self.prefix and "  " not in text and text[0] != MARK and text[-1] != MARK:
+            return [MARK + part for part in text.split(MARK)]
+        marked = MARK + text if self.prefix else text
         # After a mark that follows no mark a new word begins.
         parts = marked.split(MARK)
         found = [parts[0]] if parts[0] else []
@@ -211,12 +239,17 @@ class PieceModel:
             while end < len(texts) and (held < chars or end == start):
                 held += len(texts[end] or "")
                 end += 1
-            split = [self.words(t) if t else [] for t in texts[start:end]]
-            kept.update(self.encode_words(list({w for words in split for w in words if w not in kept})))
-            for words in split:
+            # Texts are split twice, so that no more than the distinct words are held.
+            used: set[str] = set()
+            for text in texts[start:end]:
+                if text:
+                    used.update(self.words(text))
+            kept.update(self.encode_words([w for w in used if w not in kept]))
+            for text in texts[start:end]:
+                words = self.words(text) if text else []
                 yield np.frombuffer(b"".join(map(kept.__getitem__, words)), dtype=np.int32)
             if len(kept) > KEPT_WORDS:
-                kept.clear()
+                kept = self._kept = {w: kept[w] for w in used}
             if self._pairs > KEPT_PAIRS:
                 self._after, self._pairs = {p: {} for p in self.ids}, 0
             start = end
@@ -242,22 +275,30 @@ def encode_texts(docs: DataFrame, model_path: str, *, check: bool = True) -> Dat
     has no ids. Columns of ``docs`` with those names are replaced.
     """
 
+    def table(rows: list, same: list) -> pd.DataFrame:
+        return pd.DataFrame({"ids": pd.Series(rows, dtype=object), "round_trip": pd.array(same, dtype="boolean")})
+
     @F.pandas_udf("ids array<int>, round_trip boolean")
-    def run(texts: pd.Series) -> pd.DataFrame:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = load_model(model_path)
-        rows, same = [], []
-        for text, ids in zip(texts, model.encode(texts.tolist()), strict=True):
-            rows.append(None if text is None else ids)
-            same.append(None if text is None or not check else model.decode(ids.tolist()) == text)
-        return pd.DataFrame({"ids": rows, "round_trip": pd.array(same, dtype="boolean")})
+        for texts in batches:
+            rows, same = [], []
+            for text, ids in zip(texts, model.encode(texts.tolist()), strict=True):
+                rows.append(None if text is None else ids)
+                same.append(None if text is None or not check else model.decode(ids.tolist()) == text)
+                if len(rows) == OUT_ROWS:
+                    yield table(rows, same)
+                    rows, same = [], []
+            yield table(rows, same)
 
     new = ("ids", "n_tokens", "round_trip")
     kept = [c for c in docs.columns if c not in new]
-    done = docs.select(*kept, run("text").alias("_done"))
+    held = free_name(docs, "_done")
+    done = docs.select(*kept, run("text").alias(held))
     return done.select(
-        *kept, F.col("_done.ids").alias("ids"),
-        F.coalesce(F.size(F.col("_done.ids")), F.lit(0)).cast("long").alias("n_tokens"),
-        F.col("_done.round_trip").alias("round_trip"))
+        *kept, F.col(f"{held}.ids").alias("ids"),
+        F.coalesce(F.size(F.col(f"{held}.ids")), F.lit(0)).cast("long").alias("n_tokens"),
+        F.col(f"{held}.round_trip").alias("round_trip"))
 
 
 def decode_ids(rows: DataFrame, model_path: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.chat import format_pairs, pairs_with_borrowed_reply
@@ -62,8 +62,17 @@ def op7_small_world(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_preference_chat(spark: SparkSession, folder: str) -> DataFrame:
-    """Every conversation against itself with its last reply taken from the partner conversation."""
-    return format_pairs(pairs_with_borrowed_reply(read_table(spark, folder, "conversations")))
+    """Every conversation against itself with its last reply taken from the partner conversation.
+
+    Spans are written as text, "start-end" with commas between.
+    """
+    def text_of(column: str) -> Column:
+        spans = F.transform(column, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(spans, ",").alias(column)
+
+    pairs = format_pairs(pairs_with_borrowed_reply(read_table(spark, folder, "conversations")))
+    return pairs.select(
+        "pair_id", "common_turns", "prompt", "chosen", "rejected", text_of("chosen_spans"), text_of("rejected_spans"))
 
 
 def op9_compression_toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -124,5 +133,36 @@ WITH RECURSIVE w AS (
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
 FROM documents d LEFT JOIN n USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) c USING (doc_id)
+""",
+    # The two sides differ in their last turn at most.
+    "op8_preference_chat": """
+WITH n AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k
+  FROM (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL)
+), replies AS (
+  SELECT conv_id, max(k) AS last, arg_max(text, k) AS reply FROM n WHERE role = 'assistant' GROUP BY conv_id
+), borrowed AS (
+  SELECT a.conv_id, o.reply AS borrowed FROM replies a JOIN replies o ON o.conv_id = xor(a.conv_id, 1)
+), c AS (
+  SELECT n.*, max(k) OVER (PARTITION BY n.conv_id) AS m, borrowed.borrowed,
+         '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS rendered
+  FROM n LEFT JOIN replies USING (conv_id) LEFT JOIN borrowed USING (conv_id)
+  WHERE last IS NULL OR k <= last
+), p AS (
+  SELECT conv_id AS pair_id, m, any_value(borrowed) AS borrowed,
+         CASE WHEN coalesce(arg_max(text, k) = any_value(borrowed), false) THEN m ELSE m - 1 END AS common,
+         arg_max(role, k) AS role, arg_max(rendered, k) AS last_turn,
+         coalesce(string_agg(rendered, '' ORDER BY k) FILTER (k < m), '') AS before
+  FROM c GROUP BY conv_id, m
+), q AS (
+  SELECT *, common = m AS same, '<|im_start|>assistant' || chr(10) || borrowed || '<|im_end|>' || chr(10) AS other FROM p
+)
+SELECT pair_id, CAST(common AS INTEGER) AS common_turns, before || CASE WHEN same THEN last_turn ELSE '' END AS prompt,
+  CASE WHEN same THEN '' ELSE last_turn END AS chosen,
+  CASE WHEN borrowed IS NOT NULL THEN CASE WHEN same THEN '' ELSE other END END AS rejected,
+  CASE WHEN same OR role <> 'assistant' THEN '' ELSE '22-' || (length(last_turn) - 1) END AS chosen_spans,
+  CASE WHEN borrowed IS NOT NULL THEN CASE WHEN same THEN '' ELSE '22-' || (length(other) - 1) END END AS rejected_spans
+FROM q
 """,
 }

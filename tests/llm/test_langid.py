@@ -32,7 +32,8 @@ def test_learns_and_rejects(spark):
 def test_nothing_to_learn(spark):
     model = fit_languages(documents(spark, [(1, None, "aa"), (2, "text", None)]))
     found = identify(documents(spark, [(1, "some text")]), model).first()
-    assert (found["lang_pred"], found["score"], found["rejected"]) == ("und", 0.0, True)
+    assert (found["lang_pred"], found["score"], found["rejected"]) == ("und", 0.0, False)
+    assert identify(documents(spark, [(1, "1 2")]), model).first()["rejected"]
     assert identify(documents(spark, []), model).count() == 0
 
 

@@ -60,8 +60,8 @@ def test_run_equals_the_stages(spark):
 
 
 def test_odd_rows_pass(spark):
-    rows = [(1, None), (2, "", "en", "s"), (3, "12 34", "en", None), (4, "Words that are said here.", "en", None),
-            (4, "Words that are said here.", "en", None), (5, "Words that are said here.", None, "s")]
+    said = "Words that are said here."
+    rows = [(1, None), (2, "", "en", "s"), (3, "12 34", "en", None), (4, said, "en", None), (4, said, "en", None), (5, said, None, "s")]
     out = stages(spark, documents(spark, rows, extra=("score", "rejected", "class", "slot", "ids")))
     assert sorted(r["doc_id"] for r in out[1].collect()) == [4, 4, 5]
     assert {r["doc_id"] for r in out[3].collect()} == {4} and out[3].count() == 1

@@ -73,11 +73,12 @@ class Languages:
         lang = np.full(len(texts), UNKNOWN, dtype=object)
         score = np.zeros(len(texts))
         rejected = np.ones(len(texts), dtype=bool)
-        for start in range(0, len(texts) if self.names else 0, 256):
+        for start in range(0, len(texts), 256):
             codes = [letter_codes(t) for t in texts.iloc[start:start + 256]]
             rows = np.array([start + i for i, c in enumerate(codes) if len(c)], dtype=int)
             codes = [c for c in codes if len(c)]
-            if not codes:
+            if not codes or not self.names:
+                rejected[rows] = False
                 continue
             nearest = vectors(codes, self.idf) @ self.centroids.T
             best = nearest.argmax(axis=1)
@@ -145,7 +146,7 @@ def fit_languages(
     language that the centroids and floors are fitted to. A floor is ``margin``
     times the ``low_quantile`` of the cosines that pieces of that length reach
     with the centroids of their own language. Without any training row every
-    text stays unknown.
+    text stays unknown, and only those without letters are rejected.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
     counts = (

@@ -76,6 +76,8 @@ def test_few_rows(spark):
 
 
 def test_repeated_and_null_ids_stay(spark):
-    rows = [(7, "x y z"), (7, "x y z"), (None, "no id"), (3, "q")]
+    large = 2**62 + 1
+    rows = [(7, "x y z"), (7, "x y z"), (None, "no id"), (3, "q"), (large, "large")]
     found = fingerprints(documents(spark, rows)).collect()
-    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in found) == [(False, 3), (False, 7), (False, 7), (True, 0)]
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in found) == [
+        (False, 3), (False, 7), (False, 7), (False, large), (True, 0)]

@@ -120,7 +120,8 @@ def likeness(a: str, b: str) -> float:
     return max((_alike(step[s], other[s]) for s in step.keys() & other.keys() if step[s] and other[s]), default=0.0)
 
 
-_ROW = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+# Ids go through Python as text, as numbers with nulls among them would become floats.
+_ROW = ("doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double")
 
 
@@ -152,8 +153,7 @@ def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[list[dict]]:
     first = None
     for batch in batches:
         rows = []
-        for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):
-            doc_id = None if pd.isna(doc_id) else int(doc_id)
+        for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
             text = text or ""
             this = (doc_id, text, fingerprint(text))
             if before is not None:
@@ -179,6 +179,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .repartitionByRange(F.desc_nulls_last("doc_id"), F.xxhash64("text"))
         .sortWithinPartitions(F.desc_nulls_last("doc_id"), F.xxhash64("text"))
+        .select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     )
     columns = [c.split()[0] for c in _ROW.split(", ")]
 
@@ -201,9 +202,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     def sew(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield _table([
-                _compared(None if pd.isna(i) else int(i), *row)
-                for i, *row in zip(batch["doc_id"].astype("Int64"), batch["text"], batch["fingerprint"],
-                                   batch["next_text"], batch["next_fingerprint"], strict=True)
+                _compared(*row)
+                for row in zip(batch["doc_id"], batch["text"], batch["fingerprint"],
+                               batch["next_text"], batch["next_fingerprint"], strict=True)
             ], columns)
 
-    return walked.where("seam = 0").select(*columns).unionByName(seams.mapInPandas(sew, _ROW))
+    rows = walked.where("seam = 0").select(*columns).unionByName(seams.mapInPandas(sew, _ROW))
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -3,6 +3,10 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows that a Python worker gets at a time, at most: texts can be long.
+BATCH_ROWS = 2000
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 TABLE_COLUMNS = {
     "documents": {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"},
     "pages": {"page_id": "long", "url": "string", "html": "string"},
@@ -18,7 +22,13 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def known_columns(df: DataFrame, table: str) -> DataFrame:
-    """The columns of ``table`` in fixed order and type, whatever else ``df`` carries."""
+    """The columns of ``table`` in fixed order and type, whatever else ``df`` carries.
+
+    Sees to it that Python workers get the rows in batches of bounded size.
+    """
+    conf = df.sparkSession.conf
+    if int(conf.get(_BATCH_ROWS)) > BATCH_ROWS:
+        conf.set(_BATCH_ROWS, BATCH_ROWS)
     return df.select(*(F.col(name).cast(kind).alias(name) for name, kind in TABLE_COLUMNS[table].items()))
 
 

@@ -211,6 +211,8 @@ def identify(docs: DataFrame, model: Languages) -> DataFrame:
     def predict(texts: pd.Series) -> pd.DataFrame:
         return model.value.predict(texts)
 
+    # Else a filter on what is found would run it once more below.
+    predict = predict.asNondeterministic()
     new = ("lang_pred", "score", "rejected")
     kept = [c for c in docs.columns if c not in new]
     held = free_name(docs, "_found")

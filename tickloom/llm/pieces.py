@@ -31,7 +31,7 @@ from tickloom.llm.common import free_name
 #: How the model file writes a mark; here it is the space that it stands for.
 SHOWN, MARK = "▁", " "
 #: Encoded words that a worker keeps from one batch to the next.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 150_000
 #: Pairs of pieces for which it keeps whether they stand.
 KEPT_PAIRS = 300_000
 #: Rows of a batch that go back at a time.
@@ -230,7 +230,7 @@ class PieceModel:
             found.append(MARK * marks)
         return found
 
-    def encode(self, texts: list[str | None], chars: int = 8_000_000) -> Iterator[np.ndarray]:
+    def encode(self, texts: list[str | None], chars: int = 4_000_000) -> Iterator[np.ndarray]:
         """The ids of every text, none for a null or empty one; texts of about ``chars`` share a trie."""
         kept = self._kept
         start = 0
@@ -291,6 +291,8 @@ def encode_texts(docs: DataFrame, model_path: str, *, check: bool = True) -> Dat
                     rows, same = [], []
             yield table(rows, same)
 
+    # Else a filter on what comes out would run it once more below.
+    run = run.asNondeterministic()
     new = ("ids", "n_tokens", "round_trip")
     kept = [c for c in docs.columns if c not in new]
     held = free_name(docs, "_done")

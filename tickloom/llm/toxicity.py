@@ -72,8 +72,8 @@ def _logistic(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30.0, 30.0)))
 
 
-def _contexts(texts: list[str], shortest: int = 4, longest: int = 10) -> tuple[Counter, int]:
-    """In how many different contexts each word beginning stands, and how many words there are."""
+def _contexts(texts: list[str], only: set[str] | None = None, shortest: int = 4, longest: int = 10) -> tuple[Counter, int]:
+    """In how many different contexts each word beginning (of ``only``) stands, and how many words there are."""
     seen: dict[str, set[str]] = defaultdict(set)
     total = 0
     for text in texts:
@@ -81,7 +81,8 @@ def _contexts(texts: list[str], shortest: int = 4, longest: int = 10) -> tuple[C
         total += len(words)
         for word, before in set(zip(words, ["", *words], strict=False)):
             for end in range(min(shortest, len(word)), min(len(word), longest) + 1):
-                seen[word[:end]].add(before)
+                if only is None or word[:end] in only:
+                    seen[word[:end]].add(before)
     return Counter({piece: len(before) for piece, before in seen.items()}), total
 
 
@@ -89,10 +90,11 @@ def train_dictionaries(toxic: list[str], ordinary: list[str], *, contexts: int =
                        common_words: int = 2000) -> tuple[bytes, bytes]:
     """The ordinary and the toxic dictionary; the latter is empty where nothing is peculiar to toxic text."""
     inside, inside_words = _contexts(toxic)
-    outside, outside_words = _contexts(ordinary)
+    frequent = {p: n for p, n in inside.items() if n >= contexts}
+    outside, outside_words = _contexts(ordinary, set(frequent))
     peculiar = sorted(
-        (p for p, n in inside.items()
-         if n >= contexts and n / inside_words >= ratio * (outside[p] + 0.5) / max(outside_words, 1)),
+        (p for p, n in frequent.items()
+         if n / inside_words >= ratio * (outside[p] + 0.5) / max(outside_words, 1)),
         key=lambda p: (len(p), p), reverse=True,
     )
     pieces: list[str] = []
@@ -184,6 +186,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     def score(texts: pd.Series) -> pd.Series:
         return pd.Series(model.value.scores(texts.tolist()))
 
+    # Else a filter on the score would run it once more below.
+    score = score.asNondeterministic()
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
     return docs.select(*kept, score("text").alias("score")).withColumn(
         "predicted", (F.col("score") >= TOXIC_FROM).cast("int"))

@@ -74,10 +74,12 @@ def test_large_group_of_near_copies_in_parts(spark, monkeypatch):
 
 def test_repeated_rows_long_text_and_empty_table(spark):
     long = " ".join(words(3, 30_000))
-    rows = [(1, long), (1, long), (2, long + " tail"), (3, "a b c d e f g h")]
-    found = ngram_join(documents(spark, rows), words=4, percent=85).toPandas()
-    assert sorted(found["doc_id"]) == [1, 1, 2, 3]
-    assert found.set_index("doc_id")["component_id"][2] == 1
+    large = 2**62 + 1
+    rows = [(1, long), (1, long), (2, long + " tail"), (3, "a b c d e f g h"), (large, "q r s t"), (None, "no id"), (None, None)]
+    found = [tuple(r) for r in ngram_join(documents(spark, rows), words=4, percent=85).collect()]
+    assert sorted(r[0] or 0 for r in found) == [0, 0, 1, 1, 2, 3, large]
+    component = {r[0]: r[2] for r in found}
+    assert component == {1: 1, 2: 1, 3: 3, large: large, None: None}
     assert ngram_join(documents(spark, []), words=4, percent=85).count() == 0
 
 

@@ -36,8 +36,9 @@ from tickloom.session import settle
 SPARE = 6
 #: n-grams of one prefix tree, about.
 TREE_GRAMS = 500_000
-#: Marks of one bucket, about.
+#: Marks of one bucket, about, and marks that a task sorts into buckets at a time.
 BUCKET_MARKS = 500_000
+EMITTED_MARKS = 1_500_000
 #: How often classes that share too few marks are taken out of the blocks.
 PRUNINGS = 3
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -217,28 +218,29 @@ def _class_of(grams: np.ndarray) -> int | None:
     return int(np.uint64(xxhash.xxh3_64_intdigest(grams.tobytes())).view(np.int64)) if len(grams) else None
 
 
-def _members(size: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sets = [gram_set(text, size) for text in batch["text"]]
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "n_shingles": [len(s) for s in sets],
-                "class": pd.array([_class_of(s) for s in sets], dtype="Int64")})
+def _with_classes(texts: DataFrame, size: int) -> DataFrame:
+    """doc_id, n_shingles and class of every row."""
 
-    return run
+    @F.pandas_udf("n_shingles long, class long")
+    def run(batch: pd.Series) -> pd.DataFrame:
+        sets = [gram_set(text, size) for text in batch]
+        return pd.DataFrame({
+            "n_shingles": [len(s) for s in sets], "class": pd.array([_class_of(s) for s in sets], dtype="Int64")})
+
+    return texts.select("doc_id", run("text").alias("found")).select("doc_id", "found.n_shingles", "found.class")
 
 
 def _packed_marks(size: int, rule: Likeness, buckets: int):
-    """The batch's (mark, class) entries as arrays by bucket.
+    """(mark, class) entries as arrays by bucket, some ``EMITTED_MARKS`` of them at a time.
 
-    Of several classes of the batch with one mark, the first stands for all in
+    Of several classes with one mark among these, the first stands for all in
     the mark's bucket (part 0), so that however many share it, a bucket gets one
-    entry a batch. All of them go, as they are, into a part of the batch's own.
+    entry of them. All of them go, as they are, into a part of their own.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        marks, needs, names, known = [], [], [], set()
         for batch in batches:
-            marks, needs, names, known = [], [], [], set()
             for text in batch["text"]:
                 grams = gram_set(text, size)
                 name = _class_of(grams)
@@ -248,27 +250,32 @@ def _packed_marks(size: int, rule: Likeness, buckets: int):
                     marks.append(found)
                     needs.append(need)
                     names.append(np.full(len(found), name, dtype=np.int64))
-            if not any(map(len, marks)):
-                continue
-            mark, name, need = np.concatenate(marks), np.concatenate(names), np.concatenate(needs)
-            order = np.lexsort((name, mark))
-            mark, name, need = mark[order], name[order], need[order]
-            again = np.concatenate([[False], mark[1:] == mark[:-1]])
-            # Marks are in order, so the bucket of a mark is a range of its values.
-            bucket = ((mark >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-            repeated = again | np.append(again[1:], False)
-            own = xxhash.xxh3_64_intdigest(mark[:1000].tobytes() + name[:1000].tobytes()) >> 2 | 1
-            rows = []
-            for part, kept in ((0, ~again), (own, repeated)):
-                cuts = np.searchsorted(bucket[kept], np.arange(buckets + 1, dtype=np.uint64))
-                for b in np.flatnonzero(cuts[1:] > cuts[:-1]):
-                    here = slice(cuts[b], cuts[b + 1])
-                    rows.append((int(b), part, *(a[kept][here].tobytes() for a in (mark, name, need))))
-            yield pd.DataFrame(rows, columns=["bucket", "part", "marks", "classes", "needs"])
+            if sum(map(len, marks)) >= EMITTED_MARKS:
+                yield _by_bucket(np.concatenate(marks), np.concatenate(names), np.concatenate(needs), buckets)
+                marks, needs, names, known = [], [], [], set()
+        if any(map(len, marks)):
+            yield _by_bucket(np.concatenate(marks), np.concatenate(names), np.concatenate(needs), buckets)
 
     return run
 
 
+def _by_bucket(mark: np.ndarray, name: np.ndarray, need: np.ndarray, buckets: int) -> pd.DataFrame:
+    order = np.lexsort((name, mark))
+    mark, name, need = mark[order], name[order], need[order]
+    again = np.concatenate([[False], mark[1:] == mark[:-1]])
+    # Marks are in order, so the bucket of a mark is a range of its values.
+    bucket = ((mark >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    repeated = again | np.append(again[1:], False)
+    own = xxhash.xxh3_64_intdigest(mark[:1000].tobytes() + name[:1000].tobytes()) >> 2 | 1
+    rows = []
+    for part, kept in ((0, ~again), (own, repeated)):
+        cuts = np.searchsorted(bucket[kept], np.arange(buckets + 1, dtype=np.uint64))
+        held = [a[kept] for a in (mark, name, need)]
+        for b in np.flatnonzero(cuts[1:] > cuts[:-1]):
+            rows.append((int(b), part, *(a[cuts[b]:cuts[b + 1]].tobytes() for a in held)))
+    return pd.DataFrame(rows, columns=["bucket", "part", "marks", "classes", "needs"])
+
+
 def _shared_marks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """The entries of a bucket whose mark several classes have; all of a batch's own part, where each is a repetition."""
     mark = np.frombuffer(b"".join(rows["marks"]), dtype=np.int64)
@@ -295,8 +302,7 @@ def ngram_join(docs: DataFrame, *, words: int, percent: int) -> DataFrame:
     """
     rule = Likeness(percent)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    members = settle(
-        texts.mapInPandas(_members(words), "doc_id long, n_shingles long, class long"), "gram-classes")
+    members = settle(_with_classes(texts, words), "gram-classes")
     classes = members.where("class IS NOT NULL").groupBy("class").agg(
         F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("grams"))
 

@@ -1,6 +1,7 @@
 """Session settings and the shared folder."""
 
 import atexit
+import contextlib
 import functools
 import tempfile
 import uuid
@@ -42,6 +43,20 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+_DELETE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _shuffles_deleted(spark: SparkSession):
+    """Queries that start here delete their shuffle files when they end, not when the driver collects garbage."""
+    before = spark.conf.get(_DELETE_SHUFFLES, "false")
+    spark.conf.set(_DELETE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_DELETE_SHUFFLES, before)
+
+
 # Tables written by ``settle`` and not deleted yet.
 _settled: list[tuple[SparkSession, str]] = []
 
@@ -57,7 +72,8 @@ def settle(df: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, purpose) if folder is None else f"{folder}/{purpose}-{uuid.uuid4().hex}"
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
-    df.write.parquet(path)
+    with _shuffles_deleted(spark):
+        df.write.parquet(path)
     if folder is None:
         _settled.append((spark, path))
     return spark.read.schema(schema).parquet(path)

@@ -38,7 +38,7 @@ SPARE = 6
 TREE_GRAMS = 500_000
 #: Marks of one bucket, about, and marks that a task sorts into buckets at a time.
 BUCKET_MARKS = 500_000
-EMITTED_MARKS = 1_500_000
+EMITTED_MARKS = 600_000
 #: How often classes that share too few marks are taken out of the blocks.
 PRUNINGS = 3
 _STEP = np.uint64(0x9E3779B97F4A7C15)

@@ -31,7 +31,7 @@ from tickloom.llm.common import free_name
 #: How the model file writes a mark; here it is the space that it stands for.
 SHOWN, MARK = "▁", " "
 #: Encoded words that a worker keeps from one batch to the next.
-KEPT_WORDS = 150_000
+KEPT_WORDS = 250_000
 #: Pairs of pieces for which it keeps whether they stand.
 KEPT_PAIRS = 300_000
 #: Rows of a batch that go back at a time.
@@ -87,24 +87,32 @@ class PieceModel:
 
     # Merging by rank, for pairs of pieces only.
 
-    def merged(self, text: str) -> list[str]:
-        """The segmentation that merging the best-scored neighbours, the leftmost of equals, leads to."""
-        parts = list(text)
-        scores = self.scores
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                score = scores.get(parts[i] + parts[i + 1])
-                if score is not None and (best is None or score > best):
-                    best, at = score, i
-            if best is None:
+    def _stands(self, before: str, piece: str) -> bool:
+        """Whether merging leaves the two pieces as they are; ``before`` is empty at the start of a word.
+
+        Merges the best-scored neighbours, the leftmost of equals, until two
+        merge that lie on either side of the border or nothing merges any more.
+        """
+        parts = list(before + piece)
+        none, scores = float("-inf"), self.scores
+        found = [scores.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
+        border = len(before) - 1  # the neighbours at this place lie on either side
+        while found:
+            best = max(found)
+            if best == none:
                 break
+            at = found.index(best)
+            if at == border:
+                return False
+            if at < border:
+                border -= 1
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
-    def _stands(self, before: str, piece: str) -> bool:
-        """Whether merging leaves the two pieces as they are; ``before`` is empty at the start of a word."""
-        return self.merged(before + piece) == [p for p in (before, piece) if p]
+            del found[at]
+            if at < len(found):
+                found[at] = scores.get(parts[at] + parts[at + 1], none)
+            if at:
+                found[at - 1] = scores.get(parts[at - 1] + parts[at], none)
+        return parts == [p for p in (before, piece) if p]
 
     # Forward states of the positions after ``shared``, given those up to it. states[0] is the start.
 
@@ -171,7 +179,9 @@ class PieceModel:
         found = {}
         states: list = ["" if by_rank else (0.0, "")]
         before = ""
-        for word in sorted(words):
+        single = MARK if self.prefix else ""
+        for name in sorted(words):
+            word = name if name[0] == MARK else single + name
             shared = 0
             for a, b in zip(word, before, strict=False):
                 if a != b:
@@ -186,7 +196,7 @@ class PieceModel:
                 pieces.append(piece)
                 end -= len(piece)
             pieces.reverse()
-            found[word] = array("i", self._ids(pieces)).tobytes()
+            found[name] = array("i", self._ids(pieces)).tobytes()
             before = word
         return found
 
@@ -209,13 +219,13 @@ class PieceModel:
         return found
 
     def words(self, text: str) -> list[str]:
-        """The marked words; joined they are the text, behind a mark if the model puts one there."""
+        """The marked words. If the model puts a mark before a text, those with one mark are given without it."""
         if not text:
             return []
         if SHOWN in text:
             text = text.replace(SHOWN, MARK)
         if self.prefix and "  " not in text and text[0] != MARK and text[-1] != MARK:
-            return [MARK + part for part in text.split(MARK)]
+            return text.split(MARK)
         marked = MARK + text if self.prefix else text
         # After a mark that follows no mark a new word begins.
         parts = marked.split(MARK)
@@ -224,13 +234,13 @@ class PieceModel:
         for part in parts[1:]:
             marks += 1
             if part:
-                found.append(MARK * marks + part if marks > 1 else MARK + part)
+                found.append(part if marks == 1 and self.prefix else MARK * marks + part)
                 marks = 0
         if marks:
             found.append(MARK * marks)
         return found
 
-    def encode(self, texts: list[str | None], chars: int = 4_000_000) -> Iterator[np.ndarray]:
+    def encode(self, texts: list[str | None], chars: int = 8_000_000) -> Iterator[np.ndarray]:
         """The ids of every text, none for a null or empty one; texts of about ``chars`` share a trie."""
         kept = self._kept
         start = 0

@@ -46,6 +46,14 @@ def test_every_page_of_the_table(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in found)
 
 
+def test_columns_of_the_whole_table(spark):
+    folder = "/root/testdata/sf0.01"
+    pages = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    found = QUERIES["op2_tree_scoring"](spark, folder)
+    assert found.columns == ["page_id", "url", "text", "n_chars"]
+    assert {r["page_id"]: r["url"] for r in found.collect()} == pages
+
+
 def test_table_with_odd_rows(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<p>x</p>"), (3, "u", "<p>x</p>"), (None, None, "<p>🙂</p>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", pages_text())

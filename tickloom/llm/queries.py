@@ -24,7 +24,7 @@ def op1_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_tree_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    return extract(read_table(spark, folder, "pages").select("page_id", "html"))
+    return extract(read_table(spark, folder, "pages").select("page_id", "url", "html"))
 
 
 def op3_piecewise_fingerprints(spark: SparkSession, folder: str) -> DataFrame:

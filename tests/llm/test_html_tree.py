@@ -1,6 +1,8 @@
 import html
 import re
 
+import pytest
+
 from tickloom.llm.html_tree import extract, main_text
 from tickloom.llm.queries import QUERIES
 
@@ -21,6 +23,38 @@ def test_best_container_and_siblings():
     assert main_text(page) == "T Long text, with commas, and more. And so on. More. x y After."
 
 
+LONG = "One sentence, with commas, and words enough to count, as articles have. " * 4
+TEXT = " ".join(LONG.split())
+
+
+@pytest.mark.parametrize("wrapper", [
+    'div class="layout has-sidebar"', 'div class="content no-comments"', 'section class="social-science"',
+    'div id="page-with-banner"', 'div class="overflow-hidden"', 'div class="fixed-header"', 'div role="search"'])
+@pytest.mark.parametrize("inner", ["<article>%s</article>", "<main>%s</main>", "<div>%s</div>", "%s"])
+def test_wrappers_with_a_word_of_other_parts(wrapper, inner):
+    tag = wrapper.split()[0]
+    page = (f'<body><nav><a href=/>Home</a></nav><{wrapper}>' + inner % f"<h1>Title</h1><p>{LONG}<p>{LONG}"
+            + f'<div class="sidebar"><p>Side, text.</p></div></{tag}><div class="share">Share, this</div></body>')
+    assert main_text(page) == f"Title {TEXT} {TEXT}"
+
+
+def test_marked_parts_beside_the_article_go():
+    comments = f'<div class="comments">{f"<p>{LONG}</p>" * 5}</div>'
+    teasers = '<div class="sidebar"><article><p>Teaser, one.</p></article><article><p>And two.</p></article></div>'
+    answers = f'<ol class="comment-list"><li><article class="comment-body"><p>{LONG}</p></article></ol>'
+    notice = f'<div class="notice"><p>{LONG}</p><p>{LONG}</p></div>'
+    for part in (comments, teasers, answers, notice):
+        assert main_text(f"<body><article><p>{LONG}</p></article>{part}</body>") == TEXT
+    for part in (comments, teasers, answers):
+        assert main_text(f"<body><article><p>{LONG}</p>{part}</article></body>") == TEXT
+        assert main_text(f"<body><div><p>{LONG}</p></div>{part}</body>") == TEXT
+        assert main_text(f"<body><p>{LONG}</p>{part}</body>") == TEXT
+
+
+def test_many_marked_wrappers():
+    assert main_text('<div class="has-sidebar">' * 5000 + f"<p>{LONG}") == TEXT
+
+
 def test_odd_pages():
     assert main_text(None) == main_text("") == main_text("<html></html>") == ""
     assert main_text("just text") == "just text"

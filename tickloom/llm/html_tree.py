@@ -1,7 +1,9 @@
 """Main text of web pages by scoring the element tree.
 
 Parts that never belong to the article (scripts, navigation, headers, footers,
-sidebars, adverts, notices, forms, reader comments) leave the tree first. Every
+sidebars, adverts, notices, forms, reader comments) leave the tree first; one
+that only a class, id or role names stays if it holds the article or most of the
+page's text, and goes later if another container wins. Every
 paragraph left earns points for its length and its commas, which it passes to
 the elements around it, less to the farther ones. An element's points are
 discounted by the share of its text that is in links. The best container is
@@ -44,6 +46,7 @@ _OUTSIDE = frozenset(
     "dialog newsletter subscribe subscription signup login search share sharing social related recommended "
     "recommendations widget pagination pager toolbar tooltip skip hidden".split())
 _OUTSIDE_HEADER = frozenset("header masthead topbar".split())
+_COMMENTS = frozenset("comment comments commentlist respond replies disqus discussion".split())
 _INSIDE = frozenset("article body content main post entry story text blog".split())
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
@@ -136,26 +139,19 @@ def _within(node: Element, tags: tuple[str, ...]) -> bool:
     return False
 
 
-def _stripped(root: Element) -> None:
-    """Take out what is never part of the article; of headers inside an article the headings stay."""
+def _replaced(root: Element, instead) -> None:
+    """Put ``instead(element)`` in an element's place: what is given for it, or None to keep it and go on below it."""
     stack = [root]
     while stack:
         node = stack.pop()
         kept: list[Element | str] = []
         for child in node.children:
-            if isinstance(child, str):
-                kept.append(child)
-            elif child.tag in ("body", "article", "main"):
-                kept.append(child)
-                stack.append(child)
-            elif child.tag in _DROPPED or child.hidden or child.words & _OUTSIDE:
-                kept.append(" ")
-            elif child.tag in _HEADER or child.words & _OUTSIDE_HEADER:
-                if _within(node, ("article", "main")):
-                    kept += [c for c in _below(child) if c.tag in _HEADINGS and not c.words & _OUTSIDE]
-                kept.append(" ")
-            else:
-                kept.append(child)
+            given = None if isinstance(child, str) else instead(child)
+            if given is not None:
+                kept += given
+                continue
+            kept.append(child)
+            if not isinstance(child, str):
                 stack.append(child)
         node.children = kept
         for child in kept:
@@ -163,9 +159,125 @@ def _stripped(root: Element) -> None:
                 child.parent = node
 
 
+def _headings(node: Element) -> list[Element | str]:
+    """What stays of a header: its headings, inside an article."""
+    if not _within(node, ("article", "main")):
+        return [" "]
+    return [c for c in _below(node) if c.tag in _HEADINGS and not c.words & _OUTSIDE] + [" "]
+
+
+def _marked(node: Element) -> bool:
+    """Whether a class, id or role says that the element is not the article."""
+    return node.tag not in ("body", "article", "main") and bool(node.words & (_OUTSIDE | _OUTSIDE_HEADER))
+
+
+def _is_core(node: Element) -> bool:
+    """Whether the tag says that the element is the article; a reader's comment may be an <article> as well."""
+    if node.tag != "article":
+        return node.tag == "main"
+    return not node.words & _OUTSIDE or bool(node.words & _INSIDE) and "comment" not in node.words
+
+
+def _unmarked(root: Element, gone: set[int]) -> None:
+    """Take the elements in ``gone`` out, by ``id``."""
+    def instead(node: Element) -> list[Element | str] | None:
+        if id(node) not in gone:
+            return None
+        return [" "] if node.words & _OUTSIDE else _headings(node)
+
+    if gone:
+        _replaced(root, instead)
+
+
+def _weight(node: Element) -> float:
+    """Points of all text below that is not in links."""
+    return node.commas + (node.chars - node.linked) / 100.0
+
+
+def _most(node: Element, root: Element) -> bool:
+    return 2.0 * _weight(node) > _weight(root)
+
+
+def _stripped(root: Element) -> None:
+    """Take out what is never part of the article; of headers inside an article the headings stay.
+
+    A word in class, id or role is not enough, as wrappers are named has-sidebar
+    or no-comments too. A marked element stays if it holds the only article or
+    main, or several with a quarter of the page's text, or most of that text while
+    no article or main lies beside it. Comments go first, however long they are, if there is other text and no article in them.
+    """
+    def instead(node: Element) -> list[Element | str] | None:
+        if node.tag in ("body", "article", "main"):
+            return None
+        if node.tag in _DROPPED or node.hidden:
+            return [" "]
+        if node.tag in _HEADER:
+            return [" "] if node.words & _OUTSIDE else _headings(node)
+        return None
+
+    _replaced(root, instead)
+    nodes = _below(root)
+    if not any(_marked(n) for n in nodes):
+        return
+    _measured(nodes)
+    held = _cores_below(nodes)
+    _unmarked(root, {
+        id(n) for n in nodes
+        if _marked(n) and n.words & _COMMENTS and not n.words & _INSIDE and not held[id(n)]
+        and _weight(root) > _weight(n)})
+
+    nodes = _below(root)
+    _measured(nodes)
+    held = _cores_below(nodes)
+    # Articles by the marked element next around them.
+    nearest = {id(root): id(root)}
+    free: dict[int, int] = {}
+    for node in nodes:
+        if node is not root:
+            nearest[id(node)] = id(node) if _marked(node) else nearest[id(node.parent)]
+        if _is_core(node) and node.chars:
+            free[nearest[id(node)]] = free.get(nearest[id(node)], 0) + 1
+    gone = set()
+    # An element, the articles around it, those around it or beside it, whether it is within an article.
+    stack = [(root, 0, free.get(id(root), 0), False)]
+    while stack:
+        node, around, seen, inside = stack.pop()
+        if _marked(node):
+            holds = held[id(node)] and (held[id(root)] == 1 or 4.0 * _weight(node) >= _weight(root))
+            if not (holds and not inside or _most(node, root) and seen == around):
+                gone.add(id(node))
+                continue
+            seen += free.get(id(node), 0)
+        around += _is_core(node) and node.chars > 0
+        inside = inside or node.tag == "article"
+        stack.extend((c, around, seen, inside) for c in node.children if not isinstance(c, str))
+    _unmarked(root, gone)
+
+
+def _cores_below(nodes: list[Element]) -> dict[int, int]:
+    """How many articles with text every element holds, by ``id``; those within others are not counted."""
+    held = {id(n): 0 for n in nodes}
+    for node in reversed(nodes):
+        if node.parent is not None:
+            held[id(node.parent)] += 1 if _is_core(node) and node.chars else held[id(node)]
+    return held
+
+
+def _settled(root: Element, best: Element) -> None:
+    """Take out the marked elements that stayed for their points and did not win."""
+    winners = set()
+    node = best
+    while node is not None:
+        winners.add(id(node))
+        node = node.parent
+    _unmarked(root, {
+        id(n) for n in _below(root) if _marked(n) and id(n) not in winners and not _most(n, root)})
+
+
 def _measured(nodes: list[Element]) -> None:
     """Characters, commas and characters in links below every element."""
     for node in reversed(nodes):
+        node.chars = node.commas = node.linked = 0
         for child in node.children:
             if isinstance(child, str):
                 node.chars += len(child.strip())
@@ -212,7 +324,7 @@ def _scored(nodes: list[Element]) -> Element | None:
 
 
 def _kept(best: Element) -> list[Element]:
-    """The best container, or the article around it, and the siblings that go with it."""
+    """The best container, or the article around it, and the unmarked siblings that go with it."""
     node = best
     while node is not None:
         if node.tag in ("article", "main"):
@@ -226,7 +338,7 @@ def _kept(best: Element) -> list[Element]:
         if isinstance(child, str):
             continue
         plain = child.tag in _PARAGRAPHS | _HEADINGS | {"ul", "ol", "dl", "table", "figure"}
-        if child is best or child.points >= least or plain and child.chars and _density(child) < 0.25:
+        if child is best or not _marked(child) and child.points >= least or plain and child.chars and _density(child) < 0.25:
             found.append(child)
     return found
 
@@ -259,6 +371,7 @@ def main_text(html: str | None) -> str:
     best = _scored(nodes)
     if best is None:
         return block_text([root])
+    _settled(root, best)
     return block_text(_kept(best))
 
 

@@ -1,7 +1,10 @@
+from itertools import islice
+
+import numpy as np
 import pytest
 
 from tests.llm.helpers import documents
-from tickloom.llm.mixing import frame_schedule, frame_shares, mixed
+from tickloom.llm.mixing import frame_schedule, frame_shares, mixed, schedule, whole_weights
 
 
 @pytest.mark.parametrize("weights,slots", [
@@ -59,3 +62,35 @@ def test_given_weights_and_repeated_rows(spark):
     assert abs(shares["b"] - 0.75) < 0.05
     assert (found[found["epoch"] == 0]["doc_id"] == 0).sum() == 2
     assert mixed(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("weights", [
+    {f"src{i}": 1.0 for i in range(20)}, {"a": 0.7, "b": 0.3, "rare": 1e-5}, {str(i): (i + 1) ** 0.8 for i in range(33)},
+])
+def test_no_error_adds_up_over_a_long_run(weights):
+    slots = 150_000
+    rows = list(islice(schedule(whole_weights(weights)), slots))
+    assert all(release <= slot < deadline for _, _, release, deadline, slot in rows)
+    dealt = np.array([r[0] for r in rows])
+    for source, w in weights.items():
+        target = np.arange(1, slots + 1) * (w / sum(weights.values()))
+        assert np.abs(np.cumsum(dealt == source) - target).max() < 1 + 1e-6
+
+
+def test_mixture_of_many_slots_keeps_the_target_weights(spark):
+    rows = [(20 * i + k, None, None, f"src{k}") for i in range(1500) for k in range(20)]
+    found = mixed(documents(spark, rows), block_rows=1).select("slot", "source").toPandas().sort_values("slot")
+    assert found["slot"].tolist() == list(range(30_000))
+    for k in range(20):
+        assert np.abs(np.cumsum(found["source"].to_numpy() == f"src{k}") - np.arange(1, 30_001) / 20).max() < 1
+
+
+def test_a_rare_source_runs_at_its_weight(spark):
+    rows = [(i, None, None, "common") for i in range(100)] + [(100 + i, None, None, "rare") for i in range(2)]
+    found = mixed(documents(spark, rows), weights={"common": 9999, "rare": 1}, block_rows=1).toPandas()
+    assert (found["source"] == "rare").sum() == 2 and 10_000 < len(found) <= 20_000
+
+
+def test_mixture_refuses_bad_weights(spark):
+    with pytest.raises(ValueError):
+        mixed(documents(spark, [(1, None, None, "a")]), weights={"a": 0.0})

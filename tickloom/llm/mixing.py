@@ -7,24 +7,32 @@ block with the earliest deadline runs. With weights that sum to one every
 deadline is met, so after any number of slots each source is less than one block
 away from its share.
 
-Weights are rounded to whole numbers of slots of a frame, over which the
-schedule repeats; so one frame, of bounded size, is all that is computed, and
-the place of every block follows from its number. Sources that run out start
-over (``epoch``), until every document of every source has been dealt once.
+Weights are taken as they are, as ratios of whole numbers, and windows follow
+from them over the whole run, so nothing adds up however long it is. The run is
+one pass in slot order, which holds one number for each source and is written as
+it goes; rows then find the slot of their block by a join. Sources that run out
+start over (``epoch``), until every document of every source has been dealt once.
 """
 
 import heapq
+from collections.abc import Iterator
+from fractions import Fraction
+from math import lcm
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.shards import with_slots
-FRAME_SLOTS = 4096
+from tickloom.session import settle
+
+#: Slots that are written at a time.
+SLOTS_AT_A_TIME = 50_000
 
 
 def frame_shares(weights: dict[str, float], slots: int) -> dict[str, int]:
-    """Whole slots of a frame for every source, at least one, by largest remainder; the slots are all used."""
+    """For a schedule that has to repeat, which ``mixed`` does not: whole slots of a frame for every source, at least one, by largest remainder; the slots are all used."""
     total = sum(weights.values())
     if any(not np.isfinite(w) or w <= 0 for w in weights.values()) or len(weights) > slots:
         raise ValueError("weights must be positive and no more than the slots of a frame")
@@ -39,22 +47,54 @@ def frame_shares(weights: dict[str, float], slots: int) -> dict[str, int]:
     return shares
 
 
-def frame_schedule(shares: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """(source, block, release, deadline, slot) over one frame, by earliest deadline, then by source."""
-    slots = sum(shares.values())
-    waiting = [(0, s, 0) for s in sorted(shares)]
+def whole_weights(weights: dict[str, float]) -> dict[str, int]:
+    """The weights as whole numbers in exactly the same proportions."""
+    if any(not np.isfinite(w) or w <= 0 for w in weights.values()):
+        raise ValueError("weights must be positive")
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    scale = lcm(*(w.denominator for w in exact.values()))
+    return {s: int(w * scale) for s, w in exact.items()}
+
+
+def schedule(weights: dict[str, int]) -> Iterator[tuple[str, int, int, int, int]]:
+    """(source, block, release, deadline, slot) for every slot, without end, by earliest deadline, then by source."""
+    total = sum(weights.values())
+    waiting = [(0, s, 0) for s in sorted(weights)]
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int, int]] = []
-    rows = []
-    for slot in range(slots):
+    slot = 0
+    while True:
         while waiting and waiting[0][0] <= slot:
             release, source, block = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(block + 1) * slots // shares[source]), source, block, release))
+            heapq.heappush(ready, (-(-(block + 1) * total // weights[source]), source, block, release))
         deadline, source, block, release = heapq.heappop(ready)
-        rows.append((source, block, release, deadline, slot))
-        if block + 1 < shares[source]:
-            heapq.heappush(waiting, ((block + 1) * slots // shares[source], source, block + 1))
-    return rows
+        yield source, block, release, deadline, slot
+        heapq.heappush(waiting, ((block + 1) * total // weights[source], source, block + 1))
+        slot += 1
+
+
+def frame_schedule(shares: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
+    """The ``schedule`` over as many slots as the shares sum to, after which it repeats."""
+    return [row for row, _ in zip(schedule(shares), range(sum(shares.values())))]
+
+
+def _until_all_dealt(weights: dict[str, int], blocks: dict[str, int]):
+    """The schedule up to the slot in which the last source has dealt its ``blocks``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["source", "block", "release", "deadline", "slot"]
+        for _ in batches:
+            left, rows = len(blocks), []
+            for row in schedule(weights) if blocks else ():
+                rows.append(row)
+                left -= row[1] + 1 == blocks[row[0]]
+                if len(rows) == SLOTS_AT_A_TIME or not left:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+                if not left:
+                    break
+
+    return run
 
 
 def tempered(counts: dict[str, int], exponent: float) -> dict[str, float]:
@@ -78,41 +118,26 @@ def mixed(docs: DataFrame, *, weights: dict[str, float] | None = None, exponent:
     rows = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), *carry)
     counts = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.count("*").alias("n")).collect()}
     weights = tempered(counts, exponent) if weights is None else {s: weights[s] for s in counts}
-    slots = max(FRAME_SLOTS, 16 * len(counts))
-    shares = frame_shares(weights, slots) if counts else {}
-    frame = spark.createDataFrame(
-        frame_schedule(shares), "source string, _index long, _release long, _deadline long, _slot long")
-
-    # The last slot that some source needs for its first round.
-    places = {s: {} for s in counts}
-    for source, index, _, _, slot in frame_schedule(shares):
-        places[source][index] = slot
-    end = 0
-    for source, n in counts.items():
-        last = -(-n // block_rows) - 1
-        end = max(end, last // shares[source] * slots + places[source][last % shares[source]] + 1)
-    # Rows of a source that are dealt before ``end``: whole blocks, some of them several times.
-    sizes = []
-    for source, n in counts.items():
-        frames, rest = divmod(end, slots)
-        blocks = frames * shares[source] + sum(slot < rest for slot in places[source].values())
-        sizes.append((source, n, shares[source], blocks * block_rows))
-    sources = spark.createDataFrame(sizes, "source string, _rows long, _share long, _dealt long")
+    blocks = {s: -(-n // block_rows) for s, n in counts.items()}
+    slots = settle(
+        spark.range(1, numPartitions=1).mapInPandas(
+            _until_all_dealt(whole_weights(weights), blocks),
+            "source string, block long, release long, deadline long, slot long"),
+        "slots")
+    # Rows of a source that are dealt: whole blocks, some of them several times.
+    sizes = [(r["source"], counts[r["source"]], r["n"] * block_rows)
+             for r in slots.groupBy("source").agg(F.count("*").alias("n")).collect()]
+    sources = spark.createDataFrame(sizes, "source string, _rows long, _dealt long")
 
     numbered = with_slots(rows, ["source"], ["doc_id"], "_number", sum(counts.values()))
-    # One row for each source, and one for each slot of the frame: both bounded.
+    # One row for each source: bounded.
     dealt = (
         numbered.join(F.broadcast(sources), "source")
         .withColumn("epoch", F.explode(F.sequence(
             F.lit(0).cast("long"), F.floor((F.col("_dealt") - 1 - F.col("_number")) / F.col("_rows")))))
         .withColumn("_row", F.col("epoch") * F.col("_rows") + F.col("_number"))
         .withColumn("block", F.floor(F.col("_row") / block_rows))
-        .withColumn("_frame", F.floor(F.col("block") / F.col("_share")))
-        .withColumn("_index", F.col("block") % F.col("_share"))
     )
-    slot = F.col("_frame") * slots
-    return dealt.join(F.broadcast(frame), ["source", "_index"]).select(
-        "doc_id", "source", *carry, "epoch", "block",
-        (slot + F.col("_release")).alias("release"), (slot + F.col("_deadline")).alias("deadline"),
-        (slot + F.col("_slot")).alias("slot"),
-        ((slot + F.col("_slot")) * block_rows + F.col("_row") % block_rows).alias("position"))
+    return dealt.join(slots, ["source", "block"]).select(
+        "doc_id", "source", *carry, "epoch", "block", "release", "deadline", "slot",
+        (F.col("slot") * block_rows + F.col("_row") % block_rows).alias("position"))

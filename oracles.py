@@ -253,6 +253,10 @@ SELECT symbol, day, time, {rounded("open", "high", "low", "close")},
   WHERE symbol = 'view' OR (symbol = 'click' AND date_part('hour', ts) % 3 = 0) GROUP BY""")}, {core("symbol")}
 SELECT symbol, day, time, {rounded('close', *CORE)} FROM ind
 WHERE (symbol = 'click' AND day >= '2024-01-30') OR (symbol = 'view' AND day = '2024-01-05' AND time % 86400 = 43200)""",
+    "late_mixed_whole": indicators(*CORE, bars=HOURLY.replace("bars AS (", "hours AS (") + """,
+bars AS (
+  SELECT * FROM hours
+  UNION ALL SELECT symbol || '-sparse', day, time, open, high, low, close, volume FROM hours WHERE time // 3600 % 3 = 0)"""),
     "latest_bars": f"""WITH {HOURLY}, recent AS (
   SELECT *, day < '2024-01-30' AS fallback FROM bars
   WHERE symbol IN ('click', 'view') AND day >= '2024-01-29'),

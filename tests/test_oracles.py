@@ -43,5 +43,11 @@ def test_query(spark, duck, name):
     assert rows and by_name(df.columns, rows) == by_name(columns, expected.fetchall())
 
 
+def test_mixed_batch_leaves_no_bar_out(spark):
+    bars = {(r["symbol"], r["time"]) for r in REPORTS["candles_1h"](spark, "/root/testdata/sf0.001").collect()}
+    found = {(r["symbol"], r["time"]) for r in REPORTS["late_mixed_whole"](spark, "/root/testdata/sf0.001").collect()}
+    assert bars and found == bars | {(f"{s}-sparse", t) for s, t in bars if t // 3600 % 3 == 0}
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0

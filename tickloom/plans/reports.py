@@ -237,6 +237,23 @@ def late_mixed_batch(spark: SparkSession, folder: str) -> DataFrame:
     return present(store.read().where(newest_live | late).select(*KEY_COLUMNS, "close", *CORE_INDICATORS))
 
 
+def late_mixed_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """One batch holds live bars of sparse symbols and a late bar of every other one; all rows of the store.
+
+    Every symbol has a copy under a name of its own with a bar every third hour
+    only, whose newest day is live; the batch brings later rows up to date.
+    """
+    bars = stored_bars(spark, folder)
+    sparse = bars.where(F.floor(F.col("time") / HOUR) % 3 == 0).withColumn("symbol", F.concat("symbol", F.lit("-sparse")))
+    late = (F.date_format("day", "dd") == "05") & (F.pmod(F.col("time"), F.lit(DAY)) == DAY // 2)
+    mixed = settle(newest(sparse, 8).unionByName(bars.where(late)), "mixed")
+    store = new_store(spark)
+    earlier = bars.unionByName(sparse).join(mixed, KEY_COLUMNS, "left_anti")
+    enrich_into(store, earlier.select(*bars.columns), "before", spans=HOURLY_SPANS)
+    enrich_into(store, mixed, "mixed", recompute=True, spans=HOURLY_SPANS)
+    return present(store.read().select(*KEY_COLUMNS, "close", *CORE_INDICATORS))
+
+
 def filled_store(spark: SparkSession, folder: str) -> Store:
     store = new_store(spark)
     store.upsert(full_rows(hourly_bars(spark, folder)), "all")
@@ -358,6 +375,7 @@ REPORTS = {
     "store_upsert": store_upsert,
     "late_recompute": late_recompute,
     "late_mixed_batch": late_mixed_batch,
+    "late_mixed_whole": late_mixed_whole,
     "latest_bars": _read(lambda bars: latest(bars, ["click", "view"], AS_OF, 3)),
     "day_bars": _read(lambda bars: day_bars(bars, "click", AS_OF, 10)),
     "range_bars": _read(lambda bars: range_bars(bars, "view", date(2024, 1, 10), date(2024, 1, 20))),

@@ -2,8 +2,8 @@ import numpy as np
 import pandas as pd
 
 import corpus_pipeline
-from tests.llm.helpers import documents
-from tickloom.llm.ngram_join import Likeness, gram_set
+from tests.llm.helpers import documents, words
+from tickloom.llm.ngram_join import Likeness, gram_set, ngram_join
 from tickloom.session import settle
 
 SF = "/root/testdata/sf0.01"
@@ -68,5 +68,22 @@ def test_odd_rows_pass(spark):
     assert {r["doc_id"] for r in out[-1].collect()} == {4}
 
 
+def test_near_copies_go_by_row_and_not_by_id(spark):
+    base, other = words(1, 60), " ".join(words(2, 60))
+    copies = [" ".join(base + [end]) for end in ("one", "two", "three")]
+    chain = [" ".join(base[k:k + 40] + ["tail"]) for k in (0, 3, 6)]
+    kept = lambda rows: sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(
+        spark, documents(spark, rows), SF).collect()), key=str)
+    # Near copies without ids: one is left; with an id, the one with the id.
+    assert len(kept([(None, t) for t in copies] + [(None, copies[0])])) == 1
+    assert kept([(None, copies[0]), (7, copies[1]), (None, copies[2])]) == [(7, copies[1])]
+    # An id with two texts loses only the copy.
+    assert kept([(1, copies[0]), (2, copies[1]), (2, other)]) == [(1, copies[0]), (2, other)]
+    # A link that leads through a row without id.
+    found = ngram_join(documents(spark, [(5, chain[0]), (None, chain[1]), (6, chain[2])]), words=5, percent=75).collect()
+    assert {r["component_id"] for r in found} == {5}
+    assert kept([(None, None), (None, ""), (3, None)]) == sorted([(None, None), (None, ""), (3, None)], key=str)
+
+
 def test_empty_table(spark):
     assert stages(spark, documents(spark, []))[-1].count() == 0

@@ -26,7 +26,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.graph import components
@@ -219,7 +219,7 @@ def _class_of(grams: np.ndarray) -> int | None:
 
 
 def _with_classes(texts: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles and class of every row."""
+    """doc_id, key, n_shingles and class of every row."""
 
     @F.pandas_udf("n_shingles long, class long")
     def run(batch: pd.Series) -> pd.DataFrame:
@@ -227,7 +227,8 @@ def _with_classes(texts: DataFrame, size: int) -> DataFrame:
         return pd.DataFrame({
             "n_shingles": [len(s) for s in sets], "class": pd.array([_class_of(s) for s in sets], dtype="Int64")})
 
-    return texts.select("doc_id", run("text").alias("found")).select("doc_id", "found.n_shingles", "found.class")
+    found = texts.select("doc_id", "key", run("text").alias("found"))
+    return found.select("doc_id", "key", "found.n_shingles", "found.class")
 
 
 def _packed_marks(size: int, rule: Likeness, buckets: int):
@@ -291,6 +292,11 @@ def _shared_marks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"mark": mark, "class": name, "need": need.astype(np.int32)})
 
 
+def text_key(text: str) -> Column:
+    """A 64-bit hash of a text, which with the id tells a row from others."""
+    return F.xxhash64(F.col(text).cast("binary"))
+
+
 def ngram_join(docs: DataFrame, *, words: int, percent: int) -> DataFrame:
     """doc_id, n_shingles and component_id for every row of ``docs`` (doc_id, text).
 
@@ -300,11 +306,26 @@ def ngram_join(docs: DataFrame, *, words: int, percent: int) -> DataFrame:
     links. Repeated rows stay and share their component. An empty table gives
     no rows.
     """
+    rows = row_components(docs, words=words, percent=percent)
+    return rows.select("doc_id", "n_shingles", F.coalesce("first_id", "doc_id").alias("component_id"))
+
+
+def row_components(docs: DataFrame, *, words: int, percent: int) -> DataFrame:
+    """As ``ngram_join``, but doc_id, key, n_shingles, first_id and first_key.
+
+    ``key`` is the ``text_key``; first_id and first_key are those of one row of
+    the component: one with the smallest id, or with the smallest key where all
+    ids are null. Both are null for rows without n-grams.
+    """
+    if not 0 < percent <= 100:
+        raise ValueError("percent must be from 1 to 100")
     rule = Likeness(percent)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"),
+        text_key("text").alias("key"))
     members = settle(_with_classes(texts, words), "gram-classes")
     classes = members.where("class IS NOT NULL").groupBy("class").agg(
-        F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("grams"))
+        *_first_row("doc_id", "key"), F.first("n_shingles").alias("grams"))
 
     # Blocks: marks that at least two classes share. A class has fewer than one mark for every two n-grams.
     total = members.agg(F.sum("n_shingles")).first()[0] or 0
@@ -323,12 +344,14 @@ def ngram_join(docs: DataFrame, *, words: int, percent: int) -> DataFrame:
     def grams_again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [gram_set(t, words) for t in batch["text"]]
-            # Another row may carry the same id with another text.
+            # Another text may have the same key.
             right = [_class_of(s) == name for s, name in zip(sets, batch["class"], strict=True)]
             yield pd.DataFrame({"class": batch["class"], "grams": [s.tobytes() for s in sets]})[right]
 
     candidates = settle(
-        texts.join(nodes.select(F.col("first_id").alias("doc_id"), "class"), "doc_id").select("class", "text")
+        texts.join(
+            nodes.select("first_id", "first_key", "class"),
+            F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key"))).select("class", "text")
         .mapInPandas(grams_again, "class long, grams binary").dropDuplicates(["class"]),
         "candidate-sets",
     )
@@ -362,11 +385,15 @@ def ngram_join(docs: DataFrame, *, words: int, percent: int) -> DataFrame:
     links = settle(links.unionByName(_joined(_dealt_pairs(left), candidates, "hub", rule)), "all-links")
 
     named = classes.join(_labels_of(components(links), "class"), "class", "left")
-    named = named.select("class", "first_id", F.coalesce("component", "class").alias("component"))
-    lowest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_class = named.join(lowest, "component").select("class", "component_id")
-    return members.join(by_class, "class", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = named.select("class", "first_id", "first_key", F.coalesce("component", "class").alias("component"))
+    lowest = named.groupBy("component").agg(*_first_row("first_id", "first_key"))
+    by_class = named.select("class", "component").join(lowest, "component").select("class", "first_id", "first_key")
+    return members.join(by_class, "class", "left").select("doc_id", "key", "n_shingles", "first_id", "first_key")
+
+
+def _first_row(number: str, key: str) -> tuple[Column, Column]:
+    """Of one of the rows with the smallest number, or with the smallest key where none has a number."""
+    return F.min(number).alias("first_id"), F.coalesce(F.min_by(key, number), F.min(key)).alias("first_key")
 
 
 def _pruned(shared: DataFrame) -> DataFrame:

@@ -122,3 +122,28 @@ def test_words_are_split_at_ascii_white_space_only():
     assert len(gram_set("a b c".encode(), 1)) == 2
     assert np.array_equal(gram_set(b"A B\x0bC", 2), gram_set(b"a b c", 2))
     assert not np.array_equal(gram_set("É".encode(), 1), gram_set("é".encode(), 1))
+
+
+@pytest.mark.parametrize("percent", [10, 30, 50, 65, 80, 85])
+def test_subsets_of_any_size_share_marks(percent):
+    whole = np.unique(np.random.default_rng(percent).integers(0, 1 << 63, 400, dtype=np.uint64) * np.uint64(2))
+    for large in (12, 19, 40, 400):
+        for small in range(-(-percent * large // 100), large):
+            if not Likeness(percent).differing(large):
+                continue
+            (a, need_a), (b, need_b) = (signatures(np.sort(whole[:n]), Likeness(percent)) for n in (small, large))
+            both = np.intersect1d(a, b)
+            assert len(both) >= min(need_b[np.isin(b, both)].min(initial=65535), need_a[np.isin(a, both)].min(initial=65535))
+
+
+def test_a_small_set_within_a_large_one(spark):
+    text = words(77, 22)
+    rows = [(1, " ".join(text[:15])), (2, " ".join(text))]
+    found = ngram_join(documents(spark, rows), words=4, percent=50).toPandas().sort_values("doc_id")
+    assert found["n_shingles"].tolist() == [12, 19] and found["component_id"].tolist() == [1, 1]
+
+
+def test_refuses_percents_without_meaning(spark):
+    for percent in (0, -5, 101):
+        with pytest.raises(ValueError):
+            ngram_join(documents(spark, [(1, "a")]), words=4, percent=percent)

@@ -98,9 +98,10 @@ def signatures(grams: np.ndarray, rule: Likeness) -> tuple[np.ndarray, np.ndarra
     bounds = size_ranges()
     own = int(np.searchsorted(bounds, len(grams), side="right")) - 1
     found, needs = [], []
-    for level in (own, own + 1):
+    # The larger set may lie as many ranges higher as the rule allows.
+    for level in range(own, len(bounds) - 1):
         if 100 * len(grams) < rule.percent * bounds[level]:
-            continue
+            break
         differing = rule.differing(int(bounds[level + 1]) - 1)
         if not differing:
             continue
@@ -125,6 +126,14 @@ def signatures(grams: np.ndarray, rule: Likeness) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(found), np.concatenate(needs)
 
 
+def marks_of_two(rule: Likeness) -> int:
+    """Marks of two n-grams of a class, about: one at 80 and more, many where sets of several ranges may link."""
+    if rule.percent >= 80:
+        return 1
+    grams = np.unique(_mixed(np.arange(1, 1001, dtype=np.uint64) * _STEP))
+    return max(1, -(-2 * len(signatures(grams, rule)[0]) // len(grams)))
+
+
 class PrefixTree:
     """Sets of numbers, each in ascending order, as paths of a tree with whole runs on its edges."""
 
@@ -327,9 +336,9 @@ def row_components(docs: DataFrame, *, words: int, percent: int) -> DataFrame:
     classes = members.where("class IS NOT NULL").groupBy("class").agg(
         *_first_row("doc_id", "key"), F.first("n_shingles").alias("grams"))
 
-    # Blocks: marks that at least two classes share. A class has fewer than one mark for every two n-grams.
+    # Blocks: marks that at least two classes share.
     total = members.agg(F.sum("n_shingles")).first()[0] or 0
-    buckets = max(1, -(-total // (2 * BUCKET_MARKS)))
+    buckets = max(1, -(-total * marks_of_two(rule) // (2 * BUCKET_MARKS)))
     entries = (
         texts.mapInPandas(_packed_marks(words, rule, buckets), "bucket int, part long, marks binary, classes binary, needs binary")
         .groupBy("bucket", "part").applyInPandas(_shared_marks, "mark long, class long, need int")

@@ -129,7 +129,7 @@ def mixed(docs: DataFrame, *, weights: dict[str, float] | None = None, exponent:
              for r in slots.groupBy("source").agg(F.count("*").alias("n")).collect()]
     sources = spark.createDataFrame(sizes, "source string, _rows long, _dealt long")
 
-    numbered = with_slots(rows, ["source"], ["doc_id"], "_number", sum(counts.values()))
+    numbered = with_slots(rows, ["source"], ["doc_id"], "_number", sum(counts.values()), group_nulls=False)
     # One row for each source: bounded.
     dealt = (
         numbered.join(F.broadcast(sources), "source")

@@ -98,11 +98,13 @@ def balanced_shards(docs: DataFrame, shards: int, *, bundles: int = BUNDLES, ove
     return with_slots(sharded, ["shard"], ["doc_id", "text_crc32"], "slot", count)
 
 
-def with_slots(df: DataFrame, group: list[str], order: list[str], name: str, rows: int) -> DataFrame:
+def with_slots(df: DataFrame, group: list[str], order: list[str], name: str, rows: int,
+               group_nulls: bool = True) -> DataFrame:
     """``df``, of about ``rows`` rows, with a gapless number from 0 within each ``group``, no group in one task.
 
     Rows are numbered within runs of about ``ROWS_PER_RUN`` rows, dealt by a hash
-    of ``order``; each run starts where those before it end.
+    of ``order``; each run starts where those before it end. Without
+    ``group_nulls`` in ``group`` the rows are shuffled once and not twice.
     """
     runs = max(1, -(-rows // ROWS_PER_RUN))
     dealt = df.withColumn("_run", F.pmod(F.xxhash64(*order), F.lit(runs)))
@@ -114,7 +116,7 @@ def with_slots(df: DataFrame, group: list[str], order: list[str], name: str, row
                 F.coalesce("_before", F.lit(0)).alias("_before"))
     )
     within = F.row_number().over(Window.partitionBy(*group, "_run").orderBy(*order)) - 1
-    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]
+    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) if group_nulls else F.col(g) == F.col(f"_{g}") for g in group]
     numbered = dealt.withColumn("_within", within)
     joined = numbered.join(starts, [*same, F.col("_run") == F.col("_start")])
     return joined.select(*df.columns, (F.col("_before") + F.col("_within")).cast("long").alias(name))

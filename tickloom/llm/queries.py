@@ -16,6 +16,7 @@ from tickloom.llm.ngram_join import ngram_join
 from tickloom.llm.pieces import encode_texts
 from tickloom.llm.shards import balanced_shards
 from tickloom.llm.toxicity import fit_toxicity, score_toxicity
+from tickloom.llm.whitening import whitened_rows
 
 
 def op1_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
@@ -91,6 +92,12 @@ def op10_differencing_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """``deviation`` is null where the exact number does not fit a long."""
+    rows = whitened_rows(read_table(spark, folder, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     "op1_pfair_mixing": op1_pfair_mixing,
     "op2_tree_scoring": op2_tree_scoring,
@@ -102,7 +109,9 @@ QUERIES = {
     "op8_preference_chat": op8_preference_chat,
     "op9_compression_toxicity": op9_compression_toxicity,
     "op10_differencing_shards": op10_differencing_shards,
+    "op11_whitening": op11_whitening,
 }
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 ORACLES: dict[str, str] = {

@@ -12,6 +12,7 @@ TABLE_COLUMNS = {
     "pages": {"page_id": "long", "url": "string", "html": "string"},
     "embeddings": {"vec_id": "long", "embedding": "array<float>", "label": "int"},
     "labels": {"doc_id": "long", "quality": "int", "toxic": "int"},
+    "benchmark": {"item_id": "long", "text": "string"},
     "conversations": {"conv_id": "long", "turn": "long", "role": "string", "text": "string"},
 }
 

@@ -11,8 +11,10 @@ from tickloom.llm.fingerprint import fingerprints
 from tickloom.llm.hnsw import build_index, search
 from tickloom.llm.html_tree import extract
 from tickloom.llm.langid import fit_languages, identify
+from tickloom.llm.lexical import ranked
 from tickloom.llm.mixing import mixed
 from tickloom.llm.ngram_join import ngram_join
+from tickloom.llm.packing import packed, token_pieces
 from tickloom.llm.pieces import encode_texts
 from tickloom.llm.shards import balanced_shards
 from tickloom.llm.toxicity import fit_toxicity, score_toxicity
@@ -98,6 +100,21 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def pack_tokenizer() -> str:
+    """Where the tokenizer for packing lies, on every machine alike."""
+    import public_tokenizers
+
+    return os.environ.get("PACK_TOKENIZER") or public_tokenizers.path("word_bpe_49k.json")
+
+
+def op12_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(token_pieces(read_table(spark, folder, "documents"), pack_tokenizer()))
+
+
+def op13_presence_masks(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_pfair_mixing": op1_pfair_mixing,
     "op2_tree_scoring": op2_tree_scoring,
@@ -110,8 +127,12 @@ QUERIES = {
     "op9_compression_toxicity": op9_compression_toxicity,
     "op10_differencing_shards": op10_differencing_shards,
     "op11_whitening": op11_whitening,
+    "op12_best_fit": op12_best_fit,
+    "op13_presence_masks": op13_presence_masks,
 }
 
+# Runs of letters and digits, and of anything beyond ASCII.
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 ORACLES: dict[str, str] = {
@@ -173,5 +194,33 @@ SELECT pair_id, CAST(common AS INTEGER) AS common_turns, before || CASE WHEN sam
   CASE WHEN same OR role <> 'assistant' THEN '' ELSE '22-' || (length(last_turn) - 1) END AS chosen_spans,
   CASE WHEN borrowed IS NOT NULL THEN CASE WHEN same THEN '' ELSE '22-' || (length(other) - 1) END END AS rejected_spans
 FROM q
+""",
+    "op13_presence_masks": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}') AS ws
+  FROM documents
+), whole AS (
+  SELECT CAST(count(*) FILTER (len(ws) > 0) AS BIGINT) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS n_terms FROM d
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{_TERM}')) AS term FROM benchmark
+), t AS (
+  SELECT row_id, term, count(*) AS tf FROM (SELECT row_id, unnest(ws) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY row_id, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM t, whole GROUP BY term
+), lengths AS (
+  SELECT row_id, doc_id, 10 + (90 * len(ws) * n_docs) // n_terms AS m FROM d, whole
+), scores AS (
+  SELECT item_id, row_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS score
+  FROM q JOIN t USING (term) JOIN weights USING (term) JOIN lengths USING (row_id) GROUP BY item_id, row_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM scores JOIN lengths USING (row_id) WHERE score > 0
+)
+WHERE rank <= 10
 """,
 }

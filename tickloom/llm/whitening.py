@@ -28,6 +28,8 @@ SCALE = 64
 SHIFT = 1_000_000
 #: Entries of larger size would have no exact whole number in a long.
 LARGEST = 2.0**53
+#: Facts of components that are sent to every task; with more of them rows are shuffled to meet them.
+BROADCAST_ROWS = 20_000
 _WIDE = np.longdouble
 #: Gaps of eigenvalues, as multiples of the present error, from which on vectors are corrected one by one.
 _APART = 1000
@@ -312,6 +314,8 @@ def whitened_rows(vectors: DataFrame, components: int = 32) -> DataFrame:
         [(dim, k, float(value / own.trace) if own.trace else 0.0, float(errors.get(dim, 0.0)))
          for dim, own in fits.items() for k, value in enumerate(own.values)],
         "dim int, pos int, explained double, identity_error double")
+    if len(fits) * components <= BROADCAST_ROWS:
+        facts = F.broadcast(facts)
     return (
         done.select("vec_id", "dim", "n", "deviation", F.posexplode("whitened").alias("pos", "whitened"))
         .join(facts, ["dim", "pos"])

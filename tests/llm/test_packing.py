@@ -91,7 +91,7 @@ def test_tree_finds_the_tightest():
 ODD = [
     "", " ", "Plain words, twice: plain words.", "it's they'll I'd 12345 a1b2", "tab\there\nline\r\nend\x0b\x0c\x1c\x85x\xa0y z",
     "<|endoftext|>", "a<|endoftext|>b <|startoftext|> c", "<|end oftext|>", "İstanbul ΣΑΣ ǅ straße", "étude café ́x",
-    "…,! —“quoted”—", "日本語のテキスト。 한국어 العربية", "😀 👩‍👩‍👧 zero​width", "\x00nul ﻿bom", "x" * 5000, "!?" * 3000, "ab " * 3000,
+    "Él ŐRÜLT naïve, ſtraße ŉa ÷× don't L'ÉTÉ's ÀÉ_x¼² ª", "…,! —“quoted”—", "日本語のテキスト。 한국어 العربية", "😀 👩‍👩‍👧 zero​width", "\x00nul ﻿bom", "x" * 5000, "!?" * 3000, "ab " * 3000,
 ]
 
 
@@ -103,6 +103,7 @@ def test_ids_equal_the_tokenizer():
 
 def test_ids_survive_full_caches(monkeypatch):
     monkeypatch.setattr("tickloom.llm.packing.KEPT_WORDS", 5)
+    monkeypatch.setattr("tickloom.llm.packing.KEPT_PARTS", 5)
     test_ids_equal_the_tokenizer()
 
 

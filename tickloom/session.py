@@ -61,13 +61,14 @@ def _shuffles_deleted(spark: SparkSession):
 _settled: list[tuple[SparkSession, str]] = []
 
 
-def settle(df: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
+def settle(df: DataFrame, purpose: str, folder: str | None = None, reader: SparkSession | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, cutting its lineage.
 
     The result is a columnar table: later readers prune columns, and a lost
     executor costs a re-read instead of a recomputation. ``folder`` collects
     tables that a caller deletes together when it is done with them; others are
     there until ``clear_settled``, at the latest until the program ends.
+    ``reader`` is the session that the table is read in, if it is another one.
     """
     spark = df.sparkSession
     path = scratch_path(spark, purpose) if folder is None else f"{folder}/{purpose}-{uuid.uuid4().hex}"
@@ -76,7 +77,12 @@ def settle(df: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
         df.write.parquet(path)
     if folder is None:
         _settled.append((spark, path))
-    return spark.read.schema(schema).parquet(path)
+    return (reader or spark).read.schema(schema).parquet(path)
+
+
+def forget_later(spark: SparkSession, path: str) -> None:
+    """Let ``clear_settled`` delete a folder of tables."""
+    _settled.append((spark, path))
 
 
 def clear_settled() -> None:
@@ -100,6 +106,34 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path``; none where it is missing."""
+    files, target = _file_system(spark, path)
+    if not files.exists(target):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(target) if s.isDirectory())
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    files, target = _file_system(spark, path)
+    return files.getContentSummary(target).getLength()
+
+
+def small_session(spark: SparkSession, partitions: int) -> SparkSession:
+    """A session for queries over few rows: one job each, and no more shuffle partitions than named.
+
+    Settings are those of ``spark`` but for adaptive execution, which makes a job
+    of every stage. Temporary views are not shared.
+    """
+    small = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if small.conf.isModifiable(name):
+            small.conf.set(name, value)
+    small.conf.set("spark.sql.adaptive.enabled", "false")
+    small.conf.set("spark.sql.shuffle.partitions", str(min(partitions, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    return small
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder, if it is there, from whichever file system holds it."""
     files, target = _file_system(spark, path)

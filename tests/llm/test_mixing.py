@@ -1,34 +1,52 @@
-from itertools import islice
-
 import numpy as np
 import pytest
 
 from tests.llm.helpers import documents
-from tickloom.llm.mixing import frame_schedule, frame_shares, mixed, schedule, whole_weights
+from tickloom.llm.mixing import dealt_before, mixed, schedule, whole_weights
 
 
-@pytest.mark.parametrize("weights,slots", [
-    ({"a": 1, "b": 1, "c": 1}, 8), ({"a": 0.5, "b": 0.3, "c": 0.2}, 100), ({"a": 97, "b": 1, "c": 1, "d": 1}, 64),
-    ({"only": 3}, 16), ({str(i): i + 1 for i in range(40)}, 4096),
-])
-def test_every_prefix_is_less_than_a_block_off(weights, slots):
-    shares = frame_shares(weights, slots)
-    assert sum(shares.values()) == slots and min(shares.values()) >= 1
-    rows = frame_schedule(shares)
-    assert [r[4] for r in rows] == list(range(slots))
-    dealt = dict.fromkeys(shares, 0)
+WEIGHTS = [
+    {"a": 1, "b": 1, "c": 1}, {"a": 0.5, "b": 0.3, "c": 0.2}, {"a": 97, "b": 1, "c": 1, "d": 1}, {"only": 3},
+    {str(i): i + 1 for i in range(40)}, {"a": 0.7, "b": 0.3, "rare": 1e-5},
+]
+
+
+@pytest.mark.parametrize("weights", WEIGHTS)
+@pytest.mark.parametrize("cuts", [[0, 3000], [0, 1, 2, 3, 10, 500, 501, 1777, 3000]])
+def test_every_prefix_is_less_than_a_block_off_across_segments(weights, cuts):
+    whole = whole_weights(weights)
+    rows = [r for start, end in zip(cuts, cuts[1:]) for r in schedule(whole, start, end)]
+    assert [r[4] for r in rows] == list(range(cuts[-1]))
+    total, dealt = sum(whole.values()), dict.fromkeys(whole, 0)
     for source, block, release, deadline, slot in rows:
+        # Its blocks in order, each within the window that the weight alone gives it.
         assert block == dealt[source] and release <= slot < deadline
+        assert release == block * total // whole[source] and deadline == -(-(block + 1) * total // whole[source])
         dealt[source] += 1
         for s, n in dealt.items():
-            assert abs(n - (slot + 1) * shares[s] / slots) < 1
-    assert dealt == shares
+            assert abs(n * total - (slot + 1) * whole[s]) < total
 
 
-def test_shares_refuse_bad_weights():
-    for bad in ({"a": 0.0}, {"a": -1, "b": 2}, {"a": float("nan")}, {str(i): 1 for i in range(9)}):
+def test_shares_at_a_cut():
+    assert dealt_before({"a": 1, "b": 1}, 3) == {"a": 2, "b": 1}
+    assert dealt_before({"a": 2, "b": 3}, 0) == {"a": 0, "b": 0}
+    for bad in ({"a": 0.0}, {"a": -1, "b": 2}, {"a": float("nan")}):
         with pytest.raises(ValueError):
-            frame_shares(bad, 8)
+            whole_weights(bad)
+
+
+def test_segments_and_repeated_rows_keep_texts(spark, monkeypatch):
+    monkeypatch.setattr("tickloom.llm.mixing.SEGMENT_SLOTS", 7)
+    monkeypatch.setattr("tickloom.llm.mixing.ROWS_PER_RUN", 9)
+    rows = [(i % 50, f"t{i % 75}", None, "a" if i % 3 else "b") for i in range(300)] + [(None, "x", None, "a")] * 5 + [(None, None, None, "b")]
+    found = mixed(documents(spark, rows), block_rows=2, carry=("text", "lang")).toPandas()
+    first = found[found["epoch"] == 0]
+    assert sorted(zip(first["doc_id"].fillna(-1), first["text"].fillna("-"), first["source"])) == sorted(
+        (float(-1 if r[0] is None else r[0]), r[1] or "-", r[3]) for r in rows)
+    # Positions are the rows in order; at the end a source's last block may be cut.
+    assert found["position"].is_unique and found["slot"].nunique() == found["slot"].max() + 1
+    assert (found.groupby("slot")["source"].nunique() == 1).all()
+    assert (found["release"] <= found["slot"]).all() and (found["slot"] < found["deadline"]).all()
 
 
 def test_mixture_holds_every_row_and_keeps_the_weights(spark):
@@ -69,7 +87,8 @@ def test_given_weights_and_repeated_rows(spark):
 ])
 def test_no_error_adds_up_over_a_long_run(weights):
     slots = 150_000
-    rows = list(islice(schedule(whole_weights(weights)), slots))
+    whole = whole_weights(weights)
+    rows = [r for start in range(0, slots, 50_000) for r in schedule(whole, start, start + 50_000)]
     assert all(release <= slot < deadline for _, _, release, deadline, slot in rows)
     dealt = np.array([r[0] for r in rows])
     for source, w in weights.items():

@@ -9,9 +9,15 @@ away from its share.
 
 Weights are taken as they are, as ratios of whole numbers, and windows follow
 from them over the whole run, so nothing adds up however long it is. The run is
-one pass in slot order, which holds one number for each source and is written as
-it goes; rows then find the slot of their block by a join. Sources that run out
-start over (``epoch``), until every document of every source has been dealt once.
+cut into segments that are scheduled independently. At a cut each source has had
+its share rounded down or up, by largest remainder, so that the blocks are as
+many as the slots. Whichever way they are rounded, the blocks between two cuts
+fit their windows: in any interval the blocks that must run within it are at most
+the sources' shares of it, so earliest deadline first meets them all.
+
+Rows are numbered and find their slots without their texts, which are joined to
+their places at the end. Sources that run out start over (``epoch``), until every
+document of every source has been dealt once.
 """
 
 import heapq
@@ -23,28 +29,17 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tickloom.llm.shards import with_slots
+from tickloom.llm.common import free_name
 from tickloom.session import settle
 
-#: Slots that are written at a time.
-SLOTS_AT_A_TIME = 50_000
-
-
-def frame_shares(weights: dict[str, float], slots: int) -> dict[str, int]:
-    """For a schedule that has to repeat, which ``mixed`` does not: whole slots of a frame for every source, at least one, by largest remainder; the slots are all used."""
-    total = sum(weights.values())
-    if any(not np.isfinite(w) or w <= 0 for w in weights.values()) or len(weights) > slots:
-        raise ValueError("weights must be positive and no more than the slots of a frame")
-    exact = {s: w / total * slots for s, w in weights.items()}
-    shares = {s: max(1, int(x)) for s, x in exact.items()}
-    for source in sorted(exact, key=lambda s: (shares[s] - exact[s], s)):
-        if sum(shares.values()) < slots:
-            shares[source] += 1
-    while sum(shares.values()) > slots:
-        source = max(shares, key=lambda s: (shares[s] - exact[s] if shares[s] > 1 else -np.inf, s))
-        shares[source] -= 1
-    return shares
+#: Slots of a segment.
+SEGMENT_SLOTS = 50_000
+#: Rows that are numbered in one go, about.
+ROWS_PER_RUN = 2_000
+#: Sources that are sent to every task; with more of them rows are shuffled to meet them.
+BROADCAST_SOURCES = 10_000
 
 
 def whole_weights(weights: dict[str, float]) -> dict[str, int]:
@@ -56,43 +51,46 @@ def whole_weights(weights: dict[str, float]) -> dict[str, int]:
     return {s: int(w * scale) for s, w in exact.items()}
 
 
-def schedule(weights: dict[str, int]) -> Iterator[tuple[str, int, int, int, int]]:
-    """(source, block, release, deadline, slot) for every slot, without end, by earliest deadline, then by source."""
+def dealt_before(weights: dict[str, int], slot: int) -> dict[str, int]:
+    """Blocks that each source has had before ``slot``: its share, rounded by largest remainder, then by name."""
     total = sum(weights.values())
-    waiting = [(0, s, 0) for s in sorted(weights)]
-    heapq.heapify(waiting)
-    ready: list[tuple[int, str, int, int]] = []
-    slot = 0
-    while True:
-        while waiting and waiting[0][0] <= slot:
-            release, source, block = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(block + 1) * total // weights[source]), source, block, release))
-        deadline, source, block, release = heapq.heappop(ready)
-        yield source, block, release, deadline, slot
-        heapq.heappush(waiting, ((block + 1) * total // weights[source], source, block + 1))
-        slot += 1
+    whole = {s: divmod(w * slot, total) for s, w in weights.items()}
+    missing = slot - sum(count for count, _ in whole.values())
+    up = set(sorted(whole, key=lambda s: (-whole[s][1], s))[:missing])
+    return {s: count + (s in up) for s, (count, _) in whole.items()}
+
+
+def schedule(weights: dict[str, int], start: int, end: int) -> Iterator[tuple[str, int, int, int, int]]:
+    """(source, block, release, deadline, slot) for every slot from ``start`` to before ``end``, by earliest deadline, then by source."""
+    total = sum(weights.values())
+    first, last = dealt_before(weights, start), dealt_before(weights, end)
 
+    def window(source: str, block: int) -> tuple[int, int]:
+        w = weights[source]
+        return block * total // w, -(-(block + 1) * total // w)
 
-def frame_schedule(shares: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """The ``schedule`` over as many slots as the shares sum to, after which it repeats."""
-    return [row for row, _ in zip(schedule(shares), range(sum(shares.values())))]
+    waiting = [(max(start, window(s, first[s])[0]), s, first[s]) for s in weights if first[s] < last[s]]
+    heapq.heapify(waiting)
+    ready: list[tuple[int, str, int]] = []
+    for slot in range(start, end):
+        while waiting and waiting[0][0] <= slot:
+            _, source, block = heapq.heappop(waiting)
+            heapq.heappush(ready, (min(end, window(source, block)[1]), source, block))
+        _, source, block = heapq.heappop(ready)
+        yield source, block, *window(source, block), slot
+        if block + 1 < last[source]:
+            heapq.heappush(waiting, (max(start, window(source, block + 1)[0]), source, block + 1))
 
 
-def _until_all_dealt(weights: dict[str, int], blocks: dict[str, int]):
-    """The schedule up to the slot in which the last source has dealt its ``blocks``."""
+def _segments(weights: dict[str, int], slots: int):
+    """The schedule of the segments that a task is given by number."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["source", "block", "release", "deadline", "slot"]
-        for _ in batches:
-            left, rows = len(blocks), []
-            for row in schedule(weights) if blocks else ():
-                rows.append(row)
-                left -= row[1] + 1 == blocks[row[0]]
-                if len(rows) == SLOTS_AT_A_TIME or not left:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows = []
-                if not left:
-                    break
+        for batch in batches:
+            for start in (batch["id"] * SEGMENT_SLOTS).tolist():
+                yield pd.DataFrame(
+                    list(schedule(weights, start, min(start + SEGMENT_SLOTS, slots))),
+                    columns=["source", "block", "release", "deadline", "slot"])
 
     return run
 
@@ -108,36 +106,76 @@ def mixed(docs: DataFrame, *, weights: dict[str, float] | None = None, exponent:
 
     ``weights`` are the target weights by source; without them they are
     ``tempered`` from the sizes. A null source is one source, named by the
-    empty string like an empty one; repeated rows are rows of their own. The
-    mixture ends with the slot in which the last source has dealt its last
+    empty string like an empty one; repeated rows are rows of their own, ties of
+    doc_id go by a hash of the carried columns. The mixture ends with the slot in which the last source has dealt its last
     document once, so every row of ``docs`` is in it, and positions are its rows
     in order. ``carry`` names further columns of ``docs`` to keep. Sources are
     few enough to be listed. An empty table gives no rows.
     """
     spark = docs.sparkSession
+    carry = tuple(dict.fromkeys(carry))
     rows = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), *carry)
-    counts = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.count("*").alias("n")).collect()}
+    # Rows that are equal in all that is kept are one, with a number of copies.
+    id_, key = free_name(rows, "_id"), free_name(rows, "_key")
+    rows = rows.withColumns({
+        id_: F.coalesce(F.col("doc_id").cast("long"), F.lit(0)),
+        key: F.xxhash64(*carry, F.col("doc_id").isNull()),
+    })
+    # No nulls among the keys, so that plain equality joins them.
+    keys = ["source", id_, key]
+    distinct = settle(rows.groupBy(*keys).agg(F.first("doc_id").alias("doc_id"), F.count("*").alias("_copies")), "row-keys")
+    counts = {r["source"]: r["n"] for r in distinct.groupBy("source").agg(F.sum("_copies").alias("n")).collect()}
     weights = tempered(counts, exponent) if weights is None else {s: weights[s] for s in counts}
+    whole = whole_weights(weights)
     blocks = {s: -(-n // block_rows) for s, n in counts.items()}
+    # The last block of every source has run by its deadline.
+    most = max((-(-blocks[s] * sum(whole.values()) // w) for s, w in whole.items()), default=0)
+    segments = -(-most // SEGMENT_SLOTS)
     slots = settle(
-        spark.range(1, numPartitions=1).mapInPandas(
-            _until_all_dealt(whole_weights(weights), blocks),
-            "source string, block long, release long, deadline long, slot long"),
+        spark.range(segments, numPartitions=max(1, min(segments, 10_000))).mapInPandas(
+            _segments(whole, most), "source string, block long, release long, deadline long, slot long"),
         "slots")
+    lasts = spark.createDataFrame([(s, n - 1) for s, n in blocks.items()], "source string, block long")
+    end = slots.join(lasts, ["source", "block"]).agg(F.max("slot")).first()[0]
+    slots = slots.where(F.col("slot") <= F.lit(-1 if end is None else end))
     # Rows of a source that are dealt: whole blocks, some of them several times.
-    sizes = [(r["source"], counts[r["source"]], r["n"] * block_rows)
-             for r in slots.groupBy("source").agg(F.count("*").alias("n")).collect()]
-    sources = spark.createDataFrame(sizes, "source string, _rows long, _dealt long")
-
-    numbered = with_slots(rows, ["source"], ["doc_id"], "_number", sum(counts.values()), group_nulls=False)
-    # One row for each source: bounded.
-    dealt = (
-        numbered.join(F.broadcast(sources), "source")
+    dealt = {r["source"]: r["n"] * block_rows for r in slots.groupBy("source").agg(F.count("*").alias("n")).collect()}
+    sources = spark.createDataFrame(
+        [(s, n, dealt.get(s, 0)) for s, n in counts.items()], "source string, _rows long, _dealt long")
+
+    places = (
+        _numbered(distinct, id_, key, sum(counts.values())).join(sources, "source")
+        .withColumn("_number", F.explode(F.sequence(F.col("_number"), F.col("_number") + F.col("_copies") - 1)))
         .withColumn("epoch", F.explode(F.sequence(
             F.lit(0).cast("long"), F.floor((F.col("_dealt") - 1 - F.col("_number")) / F.col("_rows")))))
         .withColumn("_row", F.col("epoch") * F.col("_rows") + F.col("_number"))
         .withColumn("block", F.floor(F.col("_row") / block_rows))
+        .join(slots, ["source", "block"])
+        .withColumn("position", F.col("slot") * block_rows + F.col("_row") % block_rows)
+        .select(*keys, "doc_id", "epoch", "block", "release", "deadline", "slot", "position")
+    )
+    if carry:
+        # One shuffle of the texts serves the choice of a row of each key and the join.
+        texts = rows.groupBy(*keys).agg(*[F.first(c).alias(c) for c in carry if c not in ("source", "doc_id")])
+        places = texts.join(places, keys)
+    kept = ["doc_id", "source", *[c for c in carry if c not in ("source", "doc_id")]]
+    return places.select(*kept, "epoch", "block", "release", "deadline", "slot", "position")
+
+
+def _numbered(rows: DataFrame, id_: str, key: str, total: int) -> DataFrame:
+    """``rows`` (one a key, with ``_copies``) with ``_number``, the copies of the source's rows before it.
+
+    They are numbered within runs of about ``ROWS_PER_RUN`` rows, dealt by a hash;
+    each run starts where those before it end.
+    """
+    runs = max(1, -(-total // ROWS_PER_RUN))
+    held = rows.withColumn("_run", F.pmod(F.xxhash64(id_, key), F.lit(runs)))
+    earlier = Window.partitionBy("source").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    starts = held.groupBy("source", "_run").agg(F.sum("_copies").alias("_held")).select(
+        "source", "_run", F.coalesce(F.sum("_held").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("source", "_run").orderBy(id_, key).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        held.withColumn("_within", F.coalesce(F.sum("_copies").over(within), F.lit(0)))
+        .join(starts, ["source", "_run"])
+        .withColumn("_number", F.col("_before") + F.col("_within")).drop("_run", "_before", "_within")
     )
-    return dealt.join(slots, ["source", "block"]).select(
-        "doc_id", "source", *carry, "epoch", "block", "release", "deadline", "slot",
-        (F.col("slot") * block_rows + F.col("_row") % block_rows).alias("position"))

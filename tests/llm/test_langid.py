@@ -1,7 +1,10 @@
+from math import log1p
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import documents, words
-from tickloom.llm.common import id_remainder
+from tickloom.llm.common import id_remainder, sampled
 from tickloom.llm.langid import fit_languages, gram_counts, identify, letter_codes
 from tickloom.llm.queries import QUERIES
 
@@ -43,6 +46,41 @@ def test_copies_do_not_outgrow_the_sample(spark):
     assert model.predict(documents(spark, rows).toPandas()["text"])["lang_pred"].value_counts()["aa"] == 500
 
 
+def test_equal_rows_are_drawn_one_by_one(spark):
+    """40,000 rows that are equal in every column, among others."""
+    rows = [(1, "same", "aa")] * 20_000 + [(i, f"text {i}", "aa") for i in range(20_000)] + [(2, "x", "zz")] * 3 + [(5, "y", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("_name", F.lit(1)).withColumn("_copy", F.lit(2))
+    for wanted in (800, 10):
+        found = sampled(df, wanted, by="lang").groupBy("lang", (F.col("text") == "same").alias("same")).count().collect()
+        counts = {(r["lang"], r["same"]): r["count"] for r in found}
+        assert abs(counts[("aa", True)] - wanted / 2) <= 1 and 0.5 * wanted / 2 <= counts[("aa", False)] <= 1.6 * wanted / 2
+        assert counts[("zz", False)] == 3 and len(counts) == 3
+    assert sampled(df.limit(0), 5, by="lang").columns == df.columns
+
+
+def plain_vectors(texts, idf):
+    """TF-IDF of every n-gram counted by itself, in plain Python."""
+    out = []
+    for text in texts:
+        counts = gram_counts(letter_codes(text), len(idf))
+        row = [log1p(float(c)) * float(w) for c, w in zip(counts, idf, strict=True)]
+        length = sum(x * x for x in row) ** 0.5
+        out.append([x / length if length else 0.0 for x in row])
+    return out
+
+
+def test_prediction_is_the_nearest_centroid(spark):
+    """Every cosine with every centroid, one by one, gives the same language and score."""
+    model = fit_languages(corpus(spark), sample_rows=40)
+    texts = [" ".join(words(900 + i, 12, "abcdefgstuvwxyz"[i % 3:])) for i in range(12)]
+    found = model.predict(pd.Series(texts))
+    for row, vector in zip(found.itertuples(), plain_vectors(texts, model.idf), strict=True):
+        cosines = [sum(a * float(b) for a, b in zip(vector, centre, strict=True)) for centre in model.centroids]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        assert row.lang_pred == model.names[model.owner[best]]
+        assert abs(row.score - min(max(cosines[best], 0.0), 1.0)) < 1e-4
+
+
 def test_held_out_accuracy(spark):
     found = QUERIES["op6_nearest_centroid"](spark, SF)
     truth = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")

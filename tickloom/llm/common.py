@@ -2,6 +2,9 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tickloom.session import delete_path, forget_later, scratch_path, settle
 
 #: Rows that a Python worker gets at a time, at most: texts can be long.
 BATCH_ROWS = 2000
@@ -46,17 +49,53 @@ def id_remainder(column: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+#: Names of drawn rows that are sent to every task.
+BROADCAST_NAMES = 100_000
+
+
 def sampled(df: DataFrame, rows: int, *, by: str) -> DataFrame:
     """About ``rows`` rows of every value of ``by``, chosen by a hash of the whole row.
 
-    Copies of a row's text are drawn one by one, so no group of copies can
-    outgrow the bound. A value of ``by`` with fewer rows is taken whole.
+    Equal rows are counted one by one: a row that is there many times is drawn as
+    often as its share asks, not all or none. A value of ``by`` with fewer rows is
+    taken whole, a null value not at all. Only hashes are shuffled, and of each
+    drawn row as many copies as are wanted.
+    """
+    name, value = free_name(df, "_name"), free_name(df, "_value")
+    named = df.withColumn(name, F.xxhash64(*df.columns))
+    counts = named.where(F.col(by).isNotNull()).groupBy(F.col(by).alias(value), name).agg(F.count("*").alias("_copies"))
+    sizes = counts.groupBy(value).agg(F.sum("_copies").alias("_rows"))
+    share = F.least(F.col("_copies"), F.col("_copies") * rows / F.col("_rows"))
+    draw = F.pmod(F.xxhash64(name, F.lit(17)), F.lit(1_000_000)) / 1_000_000
+    chosen = settle(
+        counts.join(sizes, value).select(value, name, (F.floor(share) + (draw < share - F.floor(share)).cast("int")).alias("_take"))
+        .where("_take > 0"),
+        "drawn")
+    if chosen.count() <= BROADCAST_NAMES:
+        chosen = F.broadcast(chosen)
+    found = named.join(chosen.withColumnRenamed(name, "_drawn"), (F.col(by) == F.col(value)) & (F.col(name) == F.col("_drawn")))
+    copy = F.row_number().over(Window.partitionBy(name).orderBy(name))
+    # The fixed bound lets Spark cut each task's copies before they are shuffled.
+    return found.withColumn("_copy", copy).where((F.col("_copy") <= rows) & (F.col("_copy") <= F.col("_take"))).select(*df.columns)
+
+
+class Tables:
+    """Tables that one computation writes, each deleted as soon as it is not needed any more.
+
+    What is left goes with ``clear_settled``, at the latest when the program ends.
     """
-    sizes = df.groupBy(by).agg(F.count("*").alias("_rows"))
-    draw = F.pmod(F.xxhash64(*df.columns, F.lit(17)), F.lit(1_000_000)) / 1_000_000
-    return (
-        df.withColumn("_draw", draw)
-        .join(F.broadcast(sizes), by)
-        .where(F.col("_draw") * F.col("_rows") < rows)
-        .select(*df.columns)
-    )
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.root = spark, scratch_path(spark, purpose)
+        forget_later(spark, self.root)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written and read back; what ``name`` was before stays until it is dropped."""
+        return settle(df, name, f"{self.root}/{name}")
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that ``keep`` has returned, once nothing unfinished reads them."""
+        for table in tables:
+            for path in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+                if "/" + self.root.rsplit("/", 1)[-1] + "/" in path:
+                    delete_path(self.spark, path)

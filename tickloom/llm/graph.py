@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.session import settle
+from tickloom.llm.common import Tables
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -13,18 +13,19 @@ def components(links: DataFrame) -> DataFrame:
     of that label, until nothing changes; the rounds grow with the logarithm of
     the longest path. Labels are written between rounds. No links give no rows.
     """
-    both = settle(
+    tables = Tables(links.sparkSession, "components")
+    both = tables.keep(
         links.select(F.col("a").alias("node"), F.col("b").alias("near"))
         .unionByName(links.select(F.col("b").alias("node"), F.col("a").alias("near"))).distinct(),
         "links",
     )
-    labels = settle(both.groupBy("node").agg(F.least(F.min("near"), F.first("node")).alias("component")), "labels")
+    labels = tables.keep(both.groupBy("node").agg(F.least(F.min("near"), F.first("node")).alias("component")), "labels")
     while True:
         near = labels.select(F.col("node").alias("near"), F.col("component").alias("_near"))
         spread = both.join(near, "near").groupBy("node").agg(F.min("_near").alias("_near"))
         lower = labels.join(spread, "node").select("node", F.least("component", "_near").alias("component"))
         jump = labels.select(F.col("node").alias("component"), F.col("component").alias("_jump"))
-        found = settle(
+        found = tables.keep(
             lower.join(jump, "component", "left")
             .select("node", F.least("component", F.coalesce("_jump", "component")).alias("component")),
             "labels",
@@ -32,6 +33,8 @@ def components(links: DataFrame) -> DataFrame:
         changed = (
             found.join(labels.withColumnRenamed("component", "_was"), "node").where("component <> _was").limit(1).count()
         )
+        tables.drop(labels)
         labels = found
         if not changed:
+            tables.drop(both)
             return labels

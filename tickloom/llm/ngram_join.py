@@ -28,9 +28,10 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from tickloom.llm.common import Tables
 from tickloom.llm.graph import components
-from tickloom.session import settle
 
 #: Linked sets differ in d slices at most; there are d / SPARE + 3 more than that.
 SPARE = 6
@@ -41,6 +42,8 @@ BUCKET_MARKS = 500_000
 EMITTED_MARKS = 600_000
 #: How often classes that share too few marks are taken out of the blocks.
 PRUNINGS = 3
+#: Bits of the map that tells which texts may be first rows of classes: 2 MB.
+KEY_BITS = 1 << 24
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -332,7 +335,8 @@ def row_components(docs: DataFrame, *, words: int, percent: int) -> DataFrame:
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"),
         text_key("text").alias("key"))
-    members = settle(_with_classes(texts, words), "gram-classes")
+    tables = Tables(docs.sparkSession, "ngram-join")
+    members = tables.keep(_with_classes(texts, words), "classes")
     classes = members.where("class IS NOT NULL").groupBy("class").agg(
         *_first_row("doc_id", "key"), F.first("n_shingles").alias("grams"))
 
@@ -343,12 +347,12 @@ def row_components(docs: DataFrame, *, words: int, percent: int) -> DataFrame:
         texts.mapInPandas(_packed_marks(words, rule, buckets), "bucket int, part long, marks binary, classes binary, needs binary")
         .groupBy("bucket", "part").applyInPandas(_shared_marks, "mark long, class long, need int")
     )
-    shared = settle(entries.distinct(), "shared-marks")
+    shared = tables.keep(entries, "marks")
     for _ in range(PRUNINGS):
-        shared = settle(_pruned(shared), "shared-marks")
-    shared = shared.select("mark", "class")
-    nodes = settle(
-        shared.groupBy("class").agg(F.count("*").alias("degree")).join(classes, "class"), "candidates")
+        before, shared = shared, tables.keep(_pruned(shared), "marks")
+        tables.drop(before)
+    nodes = tables.keep(
+        shared.groupBy("class").agg(F.count("*").alias("degree")).join(classes, "class"), "nodes")
 
     def grams_again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -357,41 +361,45 @@ def row_components(docs: DataFrame, *, words: int, percent: int) -> DataFrame:
             right = [_class_of(s) == name for s, name in zip(sets, batch["class"], strict=True)]
             yield pd.DataFrame({"class": batch["class"], "grams": [s.tobytes() for s in sets]})[right]
 
-    candidates = settle(
-        texts.join(
+    candidates = tables.keep(
+        _maybe_in(texts, nodes).join(
             nodes.select("first_id", "first_key", "class"),
             F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key"))).select("class", "text")
         .mapInPandas(grams_again, "class long, grams binary").dropDuplicates(["class"]),
-        "candidate-sets",
+        "sets",
     )
 
     # Everybody in a block against the most connected class of the block.
-    marked = shared.join(nodes.select("class", "degree", "grams"), "class")
+    marked = shared.select("mark", "class").join(nodes.select("class", "degree", "grams"), "class")
     hub_of = marked.groupBy("mark").agg(F.max(F.struct("degree", "class")).alias("hub"))
-    hubs = settle(
+    hubs = tables.keep(
         marked.join(hub_of.select("mark", F.col("hub.class").alias("hub")), "mark")
         .where("class <> hub").select("mark", "class", "grams", "hub"),
         "hubs",
     )
-    stars = hubs.groupBy("hub", "class").agg(F.first("grams").alias("grams"), F.count("*").alias("marks"))
+    tables.drop(shared, nodes)
+    stars = tables.keep(hubs.groupBy("hub", "class").agg(F.first("grams").alias("grams"), F.count("*").alias("marks")), "stars")
     # First with the hub it shares most marks with, then with the hubs of other components.
     nearest = stars.groupBy("class").agg(F.max(F.struct("marks", "hub")).alias("best")).select("class", "best.hub")
-    links = settle(_joined(_dealt(stars.join(nearest, ["hub", "class"]), "hub"), candidates, "hub", rule), "star-links")
+    links = tables.keep(_joined(_dealt(stars.join(nearest, ["hub", "class"]), "hub"), candidates, "hub", rule), "links")
     labels = components(links)
     apart = _labelled(stars.join(nearest, ["hub", "class"], "left_anti"), labels)
     apart = apart.join(_labels_of(labels, "hub"), "hub", "left").where("label <> coalesce(component, hub)")
-    more = settle(_joined(_dealt(apart.select("hub", "class", "grams"), "hub"), candidates, "hub", rule), "more-links")
+    more = tables.keep(_joined(_dealt(apart.select("hub", "class", "grams"), "hub"), candidates, "hub", rule), "links")
     links = links.unionByName(more)
+    tables.drop(stars)
 
     # What is left: blocks whose other members still belong to several components.
     # Those with one hub are joined together, so that a set is copied once a hub and not once a mark.
     labelled = _labelled(hubs, components(links))
     split = labelled.groupBy("mark").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low <> _high")
-    left = settle(
+    left = tables.keep(
         labelled.join(split.select("mark"), "mark").groupBy("hub", "class").agg(
             F.first("grams").alias("grams"), F.first("label").alias("label")),
-        "open-blocks")
-    links = settle(links.unionByName(_joined(_dealt_pairs(left), candidates, "hub", rule)), "all-links")
+        "open")
+    tables.drop(hubs)
+    links = tables.keep(links.unionByName(_joined(_dealt_pairs(left), candidates, "hub", rule)), "links")
+    tables.drop(candidates, left)
 
     named = classes.join(_labels_of(components(links), "class"), "class", "left")
     named = named.select("class", "first_id", "first_key", F.coalesce("component", "class").alias("component"))
@@ -400,19 +408,45 @@ def row_components(docs: DataFrame, *, words: int, percent: int) -> DataFrame:
     return members.join(by_class, "class", "left").select("doc_id", "key", "n_shingles", "first_id", "first_key")
 
 
+def _maybe_in(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``texts`` but most of those that are no class's first row, without a shuffle of texts.
+
+    The classes' keys set one bit each in a map of bounded size, which every task
+    gets as a table of its words; a text stays if its key's bit is set. Beyond
+    ``KEY_BITS`` / 16 classes more texts stay than need to; the join behind this
+    tells them apart.
+    """
+    bits = 1 << 16
+    while bits < min(KEY_BITS, 16 * nodes.count()):
+        bits *= 2
+
+    def word(key: str) -> Column:
+        return F.shiftright(F.col(key).bitwiseAND(F.lit(bits - 1)), 6)
+
+    one = F.expr("shiftleft(1L, CAST(first_key & 63L AS INT))")
+    held = nodes.select(word("first_key").alias("_word"), one.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    is_set = F.expr("(shiftrightunsigned(_bits, CAST(key & 63L AS INT)) & 1L) = 1L")
+    return texts.join(F.broadcast(held), (word("key") == F.col("_word")) & is_set, "left_semi")
+
+
 def _first_row(number: str, key: str) -> tuple[Column, Column]:
     """Of one of the rows with the smallest number, or with the smallest key where none has a number."""
     return F.min(number).alias("first_id"), F.coalesce(F.min_by(key, number), F.min(key)).alias("first_key")
 
 
 def _pruned(shared: DataFrame) -> DataFrame:
-    """The marks without classes that share too few, and without marks that one class is left with."""
-    level = F.col("mark").bitwiseAND(63)
-    enough = (
-        shared.groupBy("class", level.alias("level")).agg(F.count("*").alias("marks"), F.max("need").alias("need"))
-        .where("marks >= need").select("class", "level")
+    """The marks without classes that share too few, and without marks that one class is left with.
+
+    One shuffle by class and level, of which no class has more rows than its text
+    has n-grams, drops repeated entries and counts.
+    """
+    by_class = Window.partitionBy("class", "level")
+    kept = (
+        shared.withColumn("level", F.col("mark").bitwiseAND(63)).repartition("class", "level")
+        .groupBy("class", "level", "mark").agg(F.max("need").alias("need"))
+        .withColumn("_marks", F.count("*").over(by_class)).withColumn("_need", F.max("need").over(by_class))
+        .where("_marks >= _need").select("mark", "class", "need")
     )
-    kept = shared.withColumn("level", level).join(enough, ["class", "level"])
     several = kept.groupBy("mark").agg(F.min("class").alias("_low"), F.max("class").alias("_high")).where("_low <> _high")
     return kept.join(several.select("mark"), "mark").select("mark", "class", "need")
 

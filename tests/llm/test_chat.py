@@ -1,4 +1,4 @@
-from tickloom.llm.chat import format_pairs, pairs_of, pairs_with_borrowed_reply
+from tickloom.llm.chat import format_pairs, pairs_of, pairs_with_borrowed_turns
 from tickloom.llm.queries import QUERIES
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -75,18 +75,17 @@ def test_common_prefix_is_rendered_once(spark):
 def borrowed(turns):
     out = {}
     for conv, own in turns.items():
-        last = max((k for k, (role, _) in enumerate(own) if role == "assistant"), default=None)
-        other = [t for r, t in turns.get(conv ^ 1, []) if r == "assistant"]
-        chosen = own if last is None else own[:last + 1]
-        rejected = None if last is None or not other else [*own[:last], ("assistant", other[-1])]
-        out[conv] = (chosen, rejected)
+        other = turns.get(conv ^ 1, [])
+        mine, theirs = ([k for k, (role, _) in enumerate(x) if role == "assistant"] for x in (own, other))
+        cut = next(((i, j) for i, j in zip(mine, theirs) if own[i][1] != other[j][1]), None)
+        out[conv] = (own, None if cut is None else [*own[:cut[0]], *other[cut[1]:]])
     return out
 
 
 def test_every_conversation_makes_a_pair(spark):
-    found = got(format_pairs(pairs_with_borrowed_reply(table(spark, ROWS))))
+    found = got(format_pairs(pairs_with_borrowed_turns(table(spark, ROWS))))
     assert found == {c: expected(*sides) for c, sides in borrowed(turns_of(ROWS)).items()}
-    assert format_pairs(pairs_with_borrowed_reply(table(spark, ROWS).limit(0))).count() == 0
+    assert format_pairs(pairs_with_borrowed_turns(table(spark, ROWS).limit(0))).count() == 0
 
 
 def test_whole_table_equals_brute_force(spark):
@@ -99,3 +98,8 @@ def test_whole_table_equals_brute_force(spark):
 
     want = {c: expected(*sides) for c, sides in borrowed(turns_of(rows)).items()}
     assert found == {c: (*row[:4], *map(text, row[4:])) for c, row in want.items()}
+    # No turn is lost, and completions of several turns occur on both sides.
+    turns = turns_of(rows)
+    assert all((row[1] + row[2]).count("<|im_start|>") == len(turns[c]) for c, row in found.items())
+    assert sum(row[2].count("<|im_start|>") > 1 for row in found.values()) > len(found) / 4
+    assert sum((row[3] or "").count("<|im_start|>") > 1 for row in found.values()) > len(found) / 4

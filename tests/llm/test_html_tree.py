@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -66,6 +67,70 @@ def test_odd_pages():
     assert main_text("</div></p><article></b><p>x</i>y</article>") == "xy"
 
 
+@pytest.mark.parametrize("junk", [
+    "<![foo[x]]>", "<![ foo <!--", "<![CDATA[x]]>", "<!", "<!foo", "<!doctype", "<!DOCTYPE html [<!ENTITY x '>", "<?php x ?>",
+    "<![if IE]>", "<![endif]-->", "</", "<a b=", "<a b='", "<!--", "<!-->", "&#xFFFFFFFF;", "&#0;", "<p\x00x>", "<script>", "<" * 50])
+def test_malformed_pages_are_read(junk):
+    before = main_text(f"<body><article><p>{LONG}</p></article>{junk}")
+    assert before.startswith(TEXT)
+    assert isinstance(main_text(junk), str) and isinstance(main_text(f"<article><p>a {junk} b</p><p>{LONG}</p></article>"), str)
+
+
+def test_a_malformed_page_between_good_ones(spark):
+    rows = [(1, "u", "<p>x</p>"), (2, "u", "<![foo[x]]>"), (3, "u", "<![ foo <!--"), (4, "u", "<p>y</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in extract(pages).collect()}
+    assert (found[1], found[4]) == ("x", "y") and set(found) == {1, 2, 3, 4}
+
+
+@pytest.mark.parametrize("part", [
+    '<p class="social-contract">%s</p>', '<p class="hidden-gem">%s</p>', '<p id="notice-of-death">%s</p>',
+    '<section id="related-work"><h2>Related work</h2><p>%s</p></section>', '<blockquote class="share-holders">%s</blockquote>'])
+@pytest.mark.parametrize("core", ["article", "main"])
+def test_parts_of_the_article_named_like_others(part, core):
+    heading = "Related work " if "<h2>" in part else ""
+    for text in (TEXT, "Short text, but the article's."):
+        if text != TEXT and "section" in part:
+            continue
+        page = f"<body><{core}><p>{LONG}</p>{part % text}<p>{LONG}</p></{core}></body>"
+        assert main_text(page) == f"{TEXT} {heading}{text} {TEXT}"
+
+
+@pytest.mark.parametrize("part", [
+    '<div class="related-reading"><a href=1>One story</a> <a href=2>Another story</a></div>', '<div class="my-share-tools">Tell it</div>',
+    '<div class="ad-slot">%s</div>' % LONG, '<section class="social-share">%s</section>' % LONG])
+def test_named_parts_of_the_article_that_go(part):
+    assert main_text(f"<body><article><p>{LONG}</p>{part}<p>{LONG}</p></article></body>") == f"{TEXT} {TEXT}"
+
+
+@pytest.mark.parametrize("inner", ["<article><p>%s</p></article>", "<div><p>%s</p></div>", "<p>%s</p>"])
+def test_page_wide_forms(inner):
+    page = ('<body><form id="aspnetForm"><input type=hidden value=x><label>Find</label><select><option>a</select>'
+            + inner % LONG + "<button>Go</button></form></body>")
+    assert main_text(page) == TEXT
+    small = "<form><p>Write to us, please.</p><input></form>"
+    assert main_text("<body>" + inner % LONG + small) == TEXT
+
+
+def test_blocks_side_by_side():
+    assert main_text("<body><div>First block of text.</div><div>Second block of text.</div></body>") == (
+        "First block of text. Second block of text.")
+    assert main_text(f"<body><div>{LONG}</div><div>{LONG}</div><div>x</div></body>") == f"{TEXT} {TEXT}"
+
+
+def test_link_lists_below_the_article_go():
+    links = " ".join(f"<a href={i}>Link{i}</a>" for i in range(8))
+    for block in (f"<div>Popular {links}</div>", f"<ul><li>{links.replace(' <a', '<li><a')}</ul>"):
+        assert main_text(f"<body><main><p>{LONG}</p>{block}<p>{LONG}</p></main></body>") == f"{TEXT} {TEXT}"
+    assert main_text(f"<body><main><p>{LONG}</p><p>{links}</p></main></body>").endswith("Link7")
+
+
+def test_ends_without_beginnings_cost_little():
+    begun = time.process_time()
+    assert main_text("<span>" * 20_000 + LONG + "</b>" * 20_000 + "</p>") == TEXT
+    assert time.process_time() - begun < 5
+
+
 def expected(page):
     inner = re.search(r"<article>(.*?)</article>", page, re.S).group(1)
     inner = re.sub(r"</?(p|h1|br)\b[^>]*>", " ", inner)

@@ -1,4 +1,5 @@
 import numpy as np
+import zstandard
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import documents, words
@@ -51,6 +52,34 @@ def test_scores(spark):
     assert score_toxicity(documents(spark, []), model).count() == 0
 
 
+def test_a_labelled_id_with_very_many_rows(spark):
+    """50,000 rows of one labelled id, half of them equal: the fit sees a few of them."""
+    docs, labels = labelled(spark)
+    many = spark.range(50_000).select(
+        F.lit(3).cast("long").alias("doc_id"),
+        F.when(F.col("id") % 2 == 0, F.lit("the same again")).otherwise(F.concat(F.lit("row "), "id")).alias("text"))
+    model = fit_toxicity(docs.select("doc_id", "text").unionByName(many), labels)
+    found = score_toxicity(documents(spark, [(1, text_of(5000, True)), (2, text_of(5001, False))]), model).toPandas()
+    assert found["predicted"].tolist() == [1, 0]
+
+
+def test_distances_are_window_lengths():
+    """The three largest differences of the windows' compressed lengths, each compressed by itself."""
+    plain, loaded = train_dictionaries([text_of(i, True) for i in range(40)], [text_of(i + 900, False) for i in range(80)])
+    texts = [text_of(2000, True), text_of(2001, False), "", "one two"]
+
+    def length(window, content):
+        words = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(
+            level=6, dict_data=words, write_content_size=False, write_checksum=False, write_dict_id=False).compress(window))
+
+    for text, row in zip(texts, distances(texts, plain, loaded), strict=True):
+        cut = text.split()
+        pieces = [f" {' '.join(cut[k:k + 12])} ".encode() for k in range(0, len(cut), 12)]
+        gains = sorted((length(p, plain) - length(p, loaded) for p in pieces), reverse=True)[:3]
+        assert row[:3].tolist() == (gains + [0, 0, 0])[:3] and abs(row[3] - np.log1p(len(pieces))) < 1e-12
+
+
 def test_without_labels_or_difference(spark):
     docs, labels = labelled(spark, 40)
     nothing = fit_toxicity(docs, labels.limit(0))

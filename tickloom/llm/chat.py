@@ -38,27 +38,33 @@ def pairs_of(conversations: DataFrame, pairs: DataFrame) -> DataFrame:
         .join(rejected, "rejected_id", "left").select("pair_id", "chosen", "rejected"))
 
 
-def pairs_with_borrowed_reply(conversations: DataFrame) -> DataFrame:
-    """Every conversation up to its last assistant turn, against the same with that reply taken from its partner.
-
-    Partners are the conversations 2n and 2n + 1. Without a partner, or without
-    an assistant turn on either side, ``rejected`` is null; a conversation
-    without an assistant turn is kept whole.
+def pairs_with_borrowed_turns(conversations: DataFrame) -> DataFrame:
+    """Every conversation against itself with the turns of its partner from the first differing reply on.
+
+    Partners are the conversations 2n and 2n + 1. Their assistant turns are
+    compared one by one in order; where the first two differ, ``rejected`` leaves
+    the conversation and goes on as the partner does, to its end. ``chosen`` is the
+    whole conversation. Without a partner, or where no two replies differ,
+    ``rejected`` is null.
     """
-    replies = F.filter("turns", lambda t: t["role"] == LEARNT)
-    last = F.expr(f"size(turns) - coalesce(array_position(reverse(transform(turns, t -> t.role)), '{LEARNT}'), 0) + 1")
-    own = gather(conversations).select(
-        "conv_id", F.when(F.size(replies) > 0, F.slice("turns", 1, last.cast("int"))).otherwise(F.col("turns")).alias("chosen"),
-        F.when(F.size(replies) > 0, F.element_at(replies, -1)).alias("reply"))
-    other = own.select(F.col("conv_id").bitwiseXOR(F.lit(1).cast("long")).alias("conv_id"), F.col("reply").alias("borrowed"))
-    joined = own.join(other, "conv_id", "left")
+    own = gather(conversations).select("conv_id", F.col("turns").alias("chosen"), _replies("turns").alias("replies"))
+    other = own.select(
+        F.col("conv_id").bitwiseXOR(F.lit(1).cast("long")).alias("conv_id"), F.col("chosen").alias("other"),
+        F.col("replies").alias("others"))
+    pairs = F.arrays_zip(F.col("replies").alias("own"), F.col("others").alias("other"))
+    differing = F.filter(pairs, lambda p: p["own"]["text"] != p["other"]["text"])
+    cut = F.get(differing, 0)
     swapped = F.concat(
-        F.slice("chosen", 1, F.size("chosen") - 1),
-        F.array(F.struct(F.col("reply.turn").alias("turn"), F.col("reply.role").alias("role"),
-                         F.col("borrowed.text").alias("text"))))
-    usable = F.col("reply").isNotNull() & F.col("borrowed").isNotNull()
-    return joined.select(
-        F.col("conv_id").alias("pair_id"), "chosen", F.when(usable, swapped).otherwise(F.lit(None).cast(_TURNS)).alias("rejected"))
+        F.slice("chosen", 1, cut["own"]["at"]),
+        F.slice("other", cut["other"]["at"] + 1, F.size("other")))
+    return own.join(other, "conv_id", "left").select(
+        F.col("conv_id").alias("pair_id"), "chosen", F.when(cut.isNotNull(), swapped).otherwise(F.lit(None).cast(_TURNS)).alias("rejected"))
+
+
+def _replies(turns: str) -> Column:
+    """The texts of the assistant's turns with their positions, from 0."""
+    placed = F.transform(turns, lambda t, at: F.struct(at.alias("at"), t["role"].alias("role"), t["text"].alias("text")))
+    return F.filter(placed, lambda t: t["role"] == LEARNT)
 
 
 def _rendered(turn: Column) -> Column:

@@ -1,9 +1,9 @@
 """Main text of web pages by scoring the element tree.
 
 Parts that never belong to the article (scripts, navigation, headers, footers,
-sidebars, adverts, notices, forms, reader comments) leave the tree first; one
-that only a class, id or role names stays if it holds the article or most of the
-page's text, and goes later if another container wins. Every
+sidebars, adverts, notices, form controls, reader comments) leave the tree first;
+a form, and what only a class, id or role names, stays if it holds the article or
+most of the page's text, and goes later if another container wins. Every
 paragraph left earns points for its length and its commas, which it passes to
 the elements around it, less to the farther ones. An element's points are
 discounted by the share of its text that is in links. The best container is
@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _DROPPED = frozenset(
-    "head title script style noscript template nav footer aside form button select textarea input menu dialog "
-    "iframe object embed svg canvas audio video map".split())
+    "head title script style noscript template nav footer aside button select textarea input label legend option "
+    "optgroup datalist output meter progress menu dialog iframe object embed svg canvas audio video map".split())
 _HEADER = frozenset(("header",))
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small "
@@ -48,6 +48,16 @@ _OUTSIDE = frozenset(
 _OUTSIDE_HEADER = frozenset("header masthead topbar".split())
 _COMMENTS = frozenset("comment comments commentlist respond replies disqus discussion".split())
 _INSIDE = frozenset("article body content main post entry story text blog".split())
+#: Words that go with those: a name of nothing but such words says what its element is,
+#: while social-contract or related-work may be anything.
+_BESIDE = frozenset(
+    "area articles bar block body bottom box button buttons col column container content feed floating form group icon "
+    "icons inline inner item items js left link links list main message module page panel pane post posts region right "
+    "row section site slot sticky stories text thread title top unit wrap wrapper zone".split())
+#: Marked by words alone, an element goes if so much of its text is in links, or if it is so short and no paragraph.
+_LINKED, _SHORT = 0.5, 80
+#: Lists of links within the article: so many links and such a share of the text.
+_LIST_LINKS, _LIST_LINKED = 4, 0.75
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
@@ -55,12 +65,16 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 class Element:
     """An element with its children, texts and elements in order."""
 
-    __slots__ = ("tag", "words", "parent", "children", "hidden", "chars", "commas", "linked", "points")
+    __slots__ = ("tag", "words", "named", "parent", "children", "hidden", "chars", "commas", "linked", "points")
 
     def __init__(self, tag: str, attributes: dict[str, str | None], parent: "Element | None"):
         named = " ".join(attributes.get(key) or "" for key in ("class", "id", "role"))
         self.tag = tag
         self.words = frozenset(t.lower() for t in _TOKEN.findall(named)) if named.strip() else frozenset()
+        # Whether one of its names says that it is not the article, and nothing else.
+        self.named = bool(self.words & (_OUTSIDE | _OUTSIDE_HEADER)) and any(
+            words & (_OUTSIDE | _OUTSIDE_HEADER) and all(w in _OUTSIDE | _OUTSIDE_HEADER | _BESIDE or w.isdigit() for w in words)
+            for words in ({t.lower() for t in _TOKEN.findall(name)} for name in named.split()))
         self.hidden = "hidden" in attributes or attributes.get("aria-hidden") == "true" or bool(
             _HIDDEN.search(attributes.get("style") or ""))
         self.parent = parent
@@ -70,11 +84,25 @@ class Element:
 
 
 class _Builder(HTMLParser):
-    """Builds the tree as a browser would, for the tags whose ends may be left out."""
+    """Builds the tree as a browser would, for the tags whose ends may be left out.
+
+    How many elements of each tag are open is counted, so that an end without a
+    beginning costs no walk to the root.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Element("html", {}, None)
+        self.open: dict[str, int] = {}
+
+    def parse_marked_section(self, i, report=1):
+        """Whatever ``<![`` begins is a comment up to the next ``>``, as in browsers."""
+        end = self.rawdata.find(">", i)
+        return -1 if end < 0 else end + 1
+
+    def parse_declaration(self, i):
+        end = self.rawdata.find(">", i)
+        return -1 if end < 0 else end + 1
 
     def handle_starttag(self, tag, attrs):
         if tag == "html":
@@ -87,31 +115,42 @@ class _Builder(HTMLParser):
         self.at.children.append(node)
         if tag not in _VOID:
             self.at = node
+            self.open[tag] = self.open.get(tag, 0) + 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        node = self.at
-        while node is not self.root and node.tag != tag:
-            node = node.parent
-        if node is not self.root:
-            self.at = node.parent
+        if self.open.get(tag):
+            node = self.at
+            while node.tag != tag:
+                node = node.parent
+            self._leave(node)
         elif tag == "p":
             self.at.children.append(Element("p", {}, self.at))
 
     def handle_data(self, data):
         self.at.children.append(data)
 
+    def _leave(self, node):
+        """Go on behind ``node``; all that is open within it ends."""
+        while True:
+            left, self.at = self.at, self.at.parent
+            self.open[left.tag] -= 1
+            if left is node:
+                return
+
     def _end(self, tags, holders):
         """Leave the outermost of ``tags`` that is open within the nearest of ``holders``."""
+        if not any(self.open.get(tag) for tag in tags):
+            return
         node, last = self.at, None
         while node is not self.root and node.tag not in holders:
             if node.tag in tags:
                 last = node
             node = node.parent
         if last is not None:
-            self.at = last.parent
+            self._leave(last)
 
 
 def parse(html: str) -> Element:
@@ -167,8 +206,19 @@ def _headings(node: Element) -> list[Element | str]:
 
 
 def _marked(node: Element) -> bool:
-    """Whether a class, id or role says that the element is not the article."""
-    return node.tag not in ("body", "article", "main") and bool(node.words & (_OUTSIDE | _OUTSIDE_HEADER))
+    """Whether the element may not be the article, by a word of its class, id or role, or as a form.
+
+    A name of nothing but such words is taken at its word. Of others, as
+    related-work or has-sidebar, an element has to be mostly links, or short and
+    no paragraph. Needs ``_measured`` elements.
+    """
+    if node.tag in ("body", "article", "main"):
+        return False
+    if node.tag == "form" or node.named:
+        return True
+    if not node.words & (_OUTSIDE | _OUTSIDE_HEADER):
+        return False
+    return _density(node) >= _LINKED or node.chars < _SHORT and node.tag not in _PARAGRAPHS | _HEADINGS
 
 
 def _is_core(node: Element) -> bool:
@@ -183,7 +233,7 @@ def _unmarked(root: Element, gone: set[int]) -> None:
     def instead(node: Element) -> list[Element | str] | None:
         if id(node) not in gone:
             return None
-        return [" "] if node.words & _OUTSIDE else _headings(node)
+        return [" "] if node.words & _OUTSIDE or node.tag == "form" else _headings(node)
 
     if gone:
         _replaced(root, instead)
@@ -217,9 +267,9 @@ def _stripped(root: Element) -> None:
 
     _replaced(root, instead)
     nodes = _below(root)
+    _measured(nodes)
     if not any(_marked(n) for n in nodes):
         return
-    _measured(nodes)
     held = _cores_below(nodes)
     _unmarked(root, {
         id(n) for n in nodes
@@ -328,11 +378,13 @@ def _kept(best: Element) -> list[Element]:
     node = best
     while node is not None:
         if node.tag in ("article", "main"):
+            _without_link_lists(node)
             return [node]
         node = node.parent
     if best.parent is None:
         return [best]
-    least = max(10.0, 0.2 * best.points)
+    # Short blocks of about the same points belong together as well.
+    least = max(min(10.0, 0.5 * best.points), 0.2 * best.points)
     found = []
     for child in best.parent.children:
         if isinstance(child, str):
@@ -343,6 +395,19 @@ def _kept(best: Element) -> list[Element]:
     return found
 
 
+def _without_link_lists(core: Element) -> None:
+    """Take out blocks below the article that are little more than a list of links."""
+    links: dict[int, int] = {}
+    for node in reversed(_below(core)):
+        links[id(node)] = (node.tag == "a") + sum(links[id(c)] for c in node.children if not isinstance(c, str))
+
+    def instead(node: Element) -> list[Element | str] | None:
+        block = node.tag in ("div", "section", "ul", "ol", "dl", "table")
+        return [" "] if block and links[id(node)] >= _LIST_LINKS and _density(node) >= _LIST_LINKED else None
+
+    _replaced(core, instead)
+
+
 def block_text(roots: list[Element]) -> str:
     """Blocks in page order, white space in and between them one space."""
     parts: list[str] = []
@@ -361,7 +426,12 @@ def block_text(roots: list[Element]) -> str:
 
 
 def main_text(html: str | None) -> str:
-    """The article's text; empty for a null, empty or textless page."""
+    """The article's text; empty for a null, empty or textless page.
+
+    Of several containers with the same points the first is the article. No page
+    is an error: what is not markup is text, ends without a beginning are passed
+    over, and what is still open ends with the page.
+    """
     if not html:
         return ""
     root = parse(html)
@@ -376,7 +446,13 @@ def main_text(html: str | None) -> str:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """``pages`` (page_id, url, html) with ``text`` and ``n_chars`` for ``html``; repeated rows stay."""
+    """``pages`` (page_id, url, html) with ``text`` and ``n_chars`` for ``html``.
+
+    Null, empty and textless pages have an empty text and 0 characters, malformed
+    ones are read as ``main_text`` says. Rows come out one by one, repeated ones
+    as often as they are there, whatever their other columns hold; columns named
+    text or n_chars are replaced. An empty table gives no rows.
+    """
 
     @F.pandas_udf("string")
     def text(html: pd.Series) -> pd.Series:

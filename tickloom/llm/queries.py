@@ -5,7 +5,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.chat import format_pairs, pairs_with_borrowed_reply
+from tickloom.llm.chat import format_pairs, pairs_with_borrowed_turns
 from tickloom.llm.common import id_remainder, read_table
 from tickloom.llm.fingerprint import fingerprints
 from tickloom.llm.hnsw import build_index, search
@@ -27,6 +27,7 @@ def op1_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_tree_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page, also those without html, whose text is empty."""
     return extract(read_table(spark, folder, "pages").select("page_id", "url", "html"))
 
 
@@ -65,7 +66,7 @@ def op7_small_world(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_preference_chat(spark: SparkSession, folder: str) -> DataFrame:
-    """Every conversation against itself with its last reply taken from the partner conversation.
+    """Every conversation against itself with the partner conversation's turns from the first differing reply on.
 
     Spans are written as text, "start-end" with commas between.
     """
@@ -73,7 +74,7 @@ def op8_preference_chat(spark: SparkSession, folder: str) -> DataFrame:
         spans = F.transform(column, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string")))
         return F.array_join(spans, ",").alias(column)
 
-    pairs = format_pairs(pairs_with_borrowed_reply(read_table(spark, folder, "conversations")))
+    pairs = format_pairs(pairs_with_borrowed_turns(read_table(spark, folder, "conversations")))
     return pairs.select(
         "pair_id", "common_turns", "prompt", "chosen", "rejected", text_of("chosen_spans"), text_of("rejected_spans"))
 
@@ -164,36 +165,44 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
 FROM documents d LEFT JOIN n USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a) c USING (doc_id)
 """,
-    # The two sides differ in their last turn at most.
+    # The sides part at the first pair of replies that differ; without one, the last turn is the completion.
     "op8_preference_chat": """
 WITH n AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k,
+         '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS rendered
   FROM (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
         FROM conversations WHERE conv_id IS NOT NULL)
 ), replies AS (
-  SELECT conv_id, max(k) AS last, arg_max(text, k) AS reply FROM n WHERE role = 'assistant' GROUP BY conv_id
-), borrowed AS (
-  SELECT a.conv_id, o.reply AS borrowed FROM replies a JOIN replies o ON o.conv_id = xor(a.conv_id, 1)
-), c AS (
-  SELECT n.*, max(k) OVER (PARTITION BY n.conv_id) AS m, borrowed.borrowed,
-         '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS rendered
-  FROM n LEFT JOIN replies USING (conv_id) LEFT JOIN borrowed USING (conv_id)
-  WHERE last IS NULL OR k <= last
+  SELECT conv_id, k, text, row_number() OVER (PARTITION BY conv_id ORDER BY k) AS place FROM n WHERE role = 'assistant'
+), cuts AS (
+  SELECT a.conv_id, arg_min(a.k, place) AS own, arg_min(b.k, place) AS other
+  FROM replies a JOIN replies b USING (place) WHERE b.conv_id = xor(a.conv_id, 1) AND a.text <> b.text GROUP BY a.conv_id
+), ids AS (
+  SELECT conv_id, max(k) AS m FROM n GROUP BY conv_id
 ), p AS (
-  SELECT conv_id AS pair_id, m, any_value(borrowed) AS borrowed,
-         CASE WHEN coalesce(arg_max(text, k) = any_value(borrowed), false) THEN m ELSE m - 1 END AS common,
-         arg_max(role, k) AS role, arg_max(rendered, k) AS last_turn,
-         coalesce(string_agg(rendered, '' ORDER BY k) FILTER (k < m), '') AS before
-  FROM c GROUP BY conv_id, m
-), q AS (
-  SELECT *, common = m AS same, '<|im_start|>assistant' || chr(10) || borrowed || '<|im_end|>' || chr(10) AS other FROM p
+  SELECT ids.conv_id, coalesce(own, m) AS start, other FROM ids LEFT JOIN cuts USING (conv_id)
+), sides AS (
+  SELECT p.conv_id, 'prompt' AS side, n.* EXCLUDE (conv_id) FROM p JOIN n ON n.conv_id = p.conv_id AND k < start
+  UNION ALL
+  SELECT p.conv_id, 'chosen', n.* EXCLUDE (conv_id) FROM p JOIN n ON n.conv_id = p.conv_id AND k >= start
+  UNION ALL
+  SELECT p.conv_id, 'rejected', n.* EXCLUDE (conv_id) FROM p JOIN n ON n.conv_id = xor(p.conv_id, 1) AND k >= other
+), placed AS (
+  SELECT *, coalesce(sum(length(rendered)) OVER (
+    PARTITION BY conv_id, side ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+  FROM sides
+), texts AS (
+  SELECT conv_id, side, string_agg(rendered, '' ORDER BY k) AS body,
+         coalesce(string_agg((place + 22) || '-' || (place + length(rendered) - 1), ',' ORDER BY k)
+                  FILTER (role = 'assistant'), '') AS spans
+  FROM placed GROUP BY conv_id, side
 )
-SELECT pair_id, CAST(common AS INTEGER) AS common_turns, before || CASE WHEN same THEN last_turn ELSE '' END AS prompt,
-  CASE WHEN same THEN '' ELSE last_turn END AS chosen,
-  CASE WHEN borrowed IS NOT NULL THEN CASE WHEN same THEN '' ELSE other END END AS rejected,
-  CASE WHEN same OR role <> 'assistant' THEN '' ELSE '22-' || (length(last_turn) - 1) END AS chosen_spans,
-  CASE WHEN borrowed IS NOT NULL THEN CASE WHEN same THEN '' ELSE '22-' || (length(other) - 1) END END AS rejected_spans
-FROM q
+SELECT p.conv_id AS pair_id, CAST(start - 1 AS INTEGER) AS common_turns, coalesce(t.body, '') AS prompt,
+  c.body AS chosen, r.body AS rejected, c.spans AS chosen_spans, r.spans AS rejected_spans
+FROM p
+LEFT JOIN texts t ON t.conv_id = p.conv_id AND t.side = 'prompt'
+LEFT JOIN texts c ON c.conv_id = p.conv_id AND c.side = 'chosen'
+LEFT JOIN texts r ON r.conv_id = p.conv_id AND r.side = 'rejected'
 """,
     "op13_presence_masks": rf"""
 WITH d AS (

@@ -1,5 +1,7 @@
 """Toxicity by compression distance to two zstandard dictionaries.
 
+zstandard's own training finds what is frequent, and what is frequent in toxic text
+is what is frequent in any text, so the dictionaries' contents are chosen here.
 The ordinary dictionary holds the commonest words of ordinary text. The toxic
 dictionary holds the same and, before them, the word beginnings peculiar to
 toxic text: those seen in many different contexts there and hardly elsewhere.
@@ -20,10 +22,13 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 WINDOW_WORDS = 12
 LEVEL = 6
 TOXIC_FROM = 0.3
+#: Different texts of one labelled id that are learnt from, at most.
+ROWS_PER_ID = 4
 _WORD = re.compile(r"\w+")
 
 
@@ -149,9 +154,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, toxic_rows: int = 1500,
     """Learn from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic).
 
     The dictionaries and the calibration are fitted to at most about
-    ``toxic_rows`` + ``ordinary_rows`` labelled rows, drawn by a hash of their
-    id; the shares of the labels cover all rows of ``labels``. An id with
-    different labels counts as toxic, rows without label or text teach nothing.
+    ``toxic_rows`` + ``ordinary_rows`` labelled ids, drawn by a hash, and of an id
+    with several rows to at most ``ROWS_PER_ID`` different ones; the shares of the
+    labels cover all rows of ``labels``. An id with different labels counts as
+    toxic, rows without label or text teach nothing.
     """
     marked = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -162,7 +168,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, *, toxic_rows: int = 1500,
     wanted = F.when(F.col("toxic") == 1, toxic_rows / max(rows.get(1, 0), 1)).otherwise(ordinary_rows / max(rows.get(0, 0), 1))
     # At most about toxic_rows + ordinary_rows ids, whatever the size of the table.
     chosen = F.broadcast(marked.where(draw < wanted))
-    sample = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(chosen, "doc_id").select("text", "toxic")
+    # Hashes of the texts tell which rows of an id are taken; equal ones count once.
+    rank = F.dense_rank().over(Window.partitionBy("doc_id").orderBy("_text"))
+    copy = F.row_number().over(Window.partitionBy("doc_id", "_text").orderBy("_text"))
+    sample = (
+        docs.select("doc_id", "text").where(F.col("text").isNotNull()).withColumn("_text", F.xxhash64("text"))
+        .join(chosen, "doc_id").withColumn("_copy", copy).where("_copy = 1")
+        .withColumn("_rank", rank).where(F.col("_rank") <= ROWS_PER_ID).select("text", "toxic"))
     shares = (rows.get(0, 0) / total, rows.get(1, 0) / total)
 
     def fit(drawn: pd.DataFrame) -> pd.DataFrame:

@@ -142,6 +142,8 @@ def mixed(docs: DataFrame, *, weights: dict[str, float] | None = None, exponent:
     dealt = {r["source"]: r["n"] * block_rows for r in slots.groupBy("source").agg(F.count("*").alias("n")).collect()}
     sources = spark.createDataFrame(
         [(s, n, dealt.get(s, 0)) for s, n in counts.items()], "source string, _rows long, _dealt long")
+    if len(counts) <= BROADCAST_SOURCES:
+        sources = F.broadcast(sources)
 
     places = (
         _numbered(distinct, id_, key, sum(counts.values())).join(sources, "source")

@@ -248,11 +248,6 @@ QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY time DESC) <= 24""",
 SELECT symbol, day, time, {rounded("open", "high", "low", "close")},
        CASE WHEN time % 86400 < 43200 THEN 2 * volume ELSE volume END AS volume FROM bars""",
     "late_recompute": indicators(*CORE),
-    # A symbol's bars are the newest day of the one with gaps, and one early bar of the other.
-    "late_mixed_batch": f"""WITH {HOURLY.replace("FROM ticks GROUP BY", """FROM ticks
-  WHERE symbol = 'view' OR (symbol = 'click' AND date_part('hour', ts) % 3 = 0) GROUP BY""")}, {core("symbol")}
-SELECT symbol, day, time, {rounded('close', *CORE)} FROM ind
-WHERE (symbol = 'click' AND day >= '2024-01-30') OR (symbol = 'view' AND day = '2024-01-05' AND time % 86400 = 43200)""",
     "late_mixed_whole": indicators(*CORE, bars=HOURLY.replace("bars AS (", "hours AS (") + """,
 bars AS (
   SELECT * FROM hours
@@ -280,3 +275,5 @@ SELECT symbol, day, time, {rounded(*PRICES)},
     "stream_dedup": f"WITH {TICKS} SELECT symbol, tick_id, {rounded('price')}, size FROM ticks",
     "stream_enrich": indicators(*CORE),
 }
+# The same rows, whether they come late or in several parts.
+ORACLES["late_offsets"] = ORACLES["stream_all_indicators"] = ORACLES["all_indicators"]

@@ -25,7 +25,7 @@ def test_spans_equal_whole_series(spark, rows_per_span):
     for symbol in "abc":
         expected |= core_by_hand([r for r in rows if r[0] == symbol])
     random.Random(4).shuffle(rows)
-    out = indicators(spark, rows, spans=Spans(60, rows_per_span))
+    out = indicators(spark, rows, spans=Spans(60, rows_per_span, short=True))
     assert_rows(out, expected, CORE_INDICATORS)
 
 
@@ -69,7 +69,7 @@ def test_null_close_is_skipped(spark):
 
 
 def test_properties(spark):
-    out = indicators(spark, random_rows("a", 400, 9, nulls=False), spans=Spans(60, 100))
+    out = indicators(spark, random_rows("a", 400, 9, nulls=False), spans=Spans(60, 100, short=True))
     for r in out:
         assert r.bb_middle == r.ma20 and 0 <= r.rsi14 <= 100
         if r.bb_upper is not None:
@@ -86,7 +86,7 @@ def test_extended_spans_equal_whole_series(spark, rows_per_span):
     bars = frame(spark, random_rows("a", 500, 5, nulls=False) + random_rows("b", 200, 6, nulls=False))
     names = ["atr", "plus_di", "minus_di", "adx", "stoch_k", "stoch_d", "cci", "volume_ma20", "mfi"]
     whole = run_families(bars, families(Series(("symbol",)))).collect()
-    cut = over_spans(bars, families, REACH, Spans(60, rows_per_span)).collect()
+    cut = over_spans(bars, families, REACH, Spans(60, rows_per_span, short=True)).collect()
     assert_rows(cut, {(r.symbol, r.time): r.asDict() for r in whole}, names)
 
 
@@ -124,7 +124,7 @@ def test_pivots_use_the_last_day_with_bars(spark):
 
 def test_all_columns_at_once(spark):
     rows = random_rows("a", 300, 7, nulls=False)
-    out = with_indicators(frame(spark, rows), spans=Spans(60, 90), extended=True)
+    out = with_indicators(frame(spark, rows), spans=Spans(60, 90, short=True), extended=True)
     assert out.count() == 300
     assert set(CORE_INDICATORS + EXTENDED_INDICATORS) <= set(out.columns)
     late = out.orderBy(F.col("time").desc()).first()

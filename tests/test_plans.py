@@ -58,7 +58,7 @@ def test_reads_prune_days_and_push_the_symbol(spark, name, days):
 
 
 def test_long_series_are_shuffled_once_and_by_span(spark, bars):
-    text = plan(with_indicators(bars, spans=Spans(60, 150)), final=True)
+    text = plan(with_indicators(bars, spans=Spans(60, 150, short=True)), final=True)
     assert "ReusedExchange" in text and "ShuffledHashJoin" in text
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     lines = text.splitlines()

@@ -28,17 +28,17 @@ def check(spark, rows, spans):
 
 
 def test_spans_equal_one_walk(spark):
-    check(spark, random_rows("a", 400, 1) + random_rows("b", 150, 2, gaps=False), Spans(60, 50))
+    check(spark, random_rows("a", 400, 1) + random_rows("b", 150, 2, gaps=False), Spans(60, 50, short=True))
 
 
 def test_trend_without_flips_takes_more_rounds(spark):
-    check(spark, closes("a", [float(i) for i in range(1, 61)]), Spans(60, 12))
+    check(spark, closes("a", [float(i) for i in range(1, 61)]), Spans(60, 12, short=True))
 
 
 def test_rows_without_prices(spark):
     rows = random_rows("a", 60, 3)
     rows[10] = rows[10][:4] + (None, None) + rows[10][6:]
-    check(spark, rows, Spans(60, 15))
+    check(spark, rows, Spans(60, 15, short=True))
 
 
 def test_by_hand(spark):

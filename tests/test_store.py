@@ -104,7 +104,7 @@ def test_a_late_bar_of_another_symbol_leaves_history_whole(spark, store):
     sparse = [bar("a", START + 10_800 * i, 100.0 + i) for i in range(260)]
     other = [bar("b", START + 3_600 * i, 50.0 + i % 7) for i in range(700)]
     late = other.pop(100)
-    spans = Spans(3_600, 240)
+    spans = Spans(3_600, 240, short=True)
     enrich_into(store, frame(spark, sparse[:-3] + other), "one", spans=spans)
     enrich_into(store, frame(spark, [*sparse[-3:], late]), "two", spans=spans)
     expected = core_by_hand(sparse) | core_by_hand([*other, late])
@@ -131,7 +131,7 @@ def test_a_batch_without_symbols(spark, store):
 
 def test_bars_closer_than_the_width_are_refused(spark, store):
     with pytest.raises(Exception, match="closer than the 60 seconds"):
-        enrich_into(store, frame(spark, closes("a", [1.0] * 50, step=1)), "one", spans=Spans(60, 10))
+        enrich_into(store, frame(spark, closes("a", [1.0] * 50, step=1)), "one", spans=Spans(60, 10, short=True))
 
 
 def test_final_bars_can_be_told(spark, store):
@@ -173,7 +173,7 @@ def test_history_crosses_days_and_long_gaps(spark, store):
     assert {r.symbol for r in found} == {"a", "b"}
 
 
-@pytest.mark.parametrize("spans", [Spans(), Spans(60, 60)])
+@pytest.mark.parametrize("spans", [Spans(), Spans(60, 60, short=True)])
 def test_batches_equal_one_computation(spark, store, spans):
     """Any cut of a series into batches gives what one pass over it gives."""
     series = {"a": random_rows("a", 420, 1), "b": random_rows("b", 90, 2, gaps=False)}
@@ -198,9 +198,9 @@ def test_bar_in_progress_is_updated(spark, store):
 def test_late_bar(spark, store, recompute):
     rows = random_rows("a", 260, 5, gaps=False, nulls=False)
     late = rows.pop(30)
-    enrich_into(store, frame(spark, rows), "one", spans=Spans(60, 100))
+    enrich_into(store, frame(spark, rows), "one", spans=Spans(60, 100, short=True))
     before = stored(store)
-    enrich_into(store, frame(spark, [late]), "two", recompute=recompute, spans=Spans(60, 100))
+    enrich_into(store, frame(spark, [late]), "two", recompute=recompute, spans=Spans(60, 100, short=True))
     now = core_by_hand([*rows, late])
     if recompute:
         assert_rows(store.read().collect(), now, CORE_INDICATORS)

@@ -51,13 +51,6 @@ def history_before(stored: DataFrame, ranges: DataFrame, n: int = HISTORY_ROWS)
     return newest(earlier.drop("_from"), n)
 
 
-def without_stale(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """The bars of ``batch`` but those of which ``stored`` has a version that arrived later."""
-    newer = stored.select(*KEY_COLUMNS, F.col("arrival").alias("_stored"))
-    stale = batch.join(newer, KEY_COLUMNS).where(F.col("_stored") > F.col("arrival")).select(*KEY_COLUMNS)
-    return batch.join(stale, KEY_COLUMNS, "left_anti")
-
-
 def bars_between(stored: DataFrame, batch: DataFrame, ranges: DataFrame, to_end: bool) -> DataFrame:
     """Stored bars among or (``to_end``) after those of the batch, which replace their copies."""
     span = ranges.select("symbol", "_from", "_to")

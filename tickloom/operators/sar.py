@@ -54,6 +54,10 @@ STATE_FIELDS = ", ".join(
 )
 ENDS = f"symbol string, _span bigint, {STATE_FIELDS}"
 
+DAY_SECONDS = 86_400
+# The state after a row as columns: before a series, and at the last row of a day.
+FROM_STATE, AT_STATE = ([f"{prefix}_{name}" for name in State._fields] for prefix in ("from", "at"))
+
 
 def next_state(s: State | None, high: float, low: float) -> State:
     """The state after a row, from the state before it (None: the first row)."""
@@ -118,9 +122,29 @@ def _end_of_span(key: tuple, bars: pd.DataFrame, start: pd.DataFrame) -> pd.Data
     return pd.DataFrame([] if state is None else [(*key, *state)], columns=["symbol", "_span", *State._fields])
 
 
+def walk_days(times: list[int], highs: list[float], lows: list[float], state: State | None
+              ) -> tuple[list[float | None], list[State | None]]:
+    """``walk`` over rows in order of time, with the state after each day's last row, None at other rows."""
+    values: list[float | None] = []
+    states: list[State | None] = []
+    start = 0
+    while start < len(times):
+        day, end = times[start] // DAY_SECONDS, start
+        while end < len(times) and times[end] // DAY_SECONDS == day:
+            end += 1
+        found, state = walk(highs[start:end], lows[start:end], state)
+        values += found
+        states += [None] * (end - start - 1) + [state]
+        start = end
+    return values, states
+
+
 def _values_of_span(key: tuple, bars: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
-    bars, values, _ = _walked(bars, start)
-    return bars[["symbol", "_span", "time"]].assign(parabolic_sar=values)
+    bars = bars.sort_values("time")
+    state = State(*start[list(State._fields)].iloc[0]) if len(start) else None
+    values, states = walk_days(bars["time"].tolist(), bars["high"].tolist(), bars["low"].tolist(), state)
+    at = pd.DataFrame([s or (None,) * len(State._fields) for s in states], columns=AT_STATE, index=bars.index, dtype=object)
+    return pd.concat([bars[["symbol", "_span", "time"]].assign(parabolic_sar=values), at], axis=1)
 
 
 def _per_span(bars: DataFrame, starts: DataFrame, step, schema) -> DataFrame:
@@ -136,8 +160,8 @@ def _starts(ends: DataFrame, facts: DataFrame) -> DataFrame:
     )
 
 
-def _settled_starts(bars: DataFrame) -> DataFrame:
-    """The state each span but a symbol's first begins with."""
+def _settled_starts(bars: DataFrame, begins: DataFrame | None) -> DataFrame:
+    """The state each span begins with; a symbol's first one with that of ``begins``, if any."""
     spark = bars.sparkSession
     work = scratch_path(spark, "sar")
     keys = ["symbol", "_span"]
@@ -150,13 +174,18 @@ def _settled_starts(bars: DataFrame) -> DataFrame:
     same = reduce(
         lambda a, b: a & b, (F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*keys, *State._fields))
     )
-    starts = ends = spark.createDataFrame([], ENDS)
+    starts = ends = first = spark.createDataFrame([], ENDS)
+    if begins is not None:
+        own = begins.select("symbol", *[F.col(a).alias(b) for a, b in zip(FROM_STATE, State._fields, strict=True)])
+        starts = first = settle(
+            facts.where("_first").select(*keys).join(own.where("up IS NOT NULL"), "symbol").select(*keys, *State._fields),
+            "first-starts", work)
     todo = leading
     while not todo.isEmpty():
         begun = series.join(todo, keys, "left_semi")
         fresh = _per_span(begun, starts.join(todo, keys, "left_semi"), _end_of_span, ENDS)
         ends = settle(ends.join(todo, keys, "left_anti").unionByName(fresh), "ends", work)
-        last_starts, starts = starts, settle(_starts(ends, facts), "starts", work)
+        last_starts, starts = starts, settle(_starts(ends, facts).unionByName(first), "starts", work)
         changed = starts.alias("a").join(last_starts.alias("b"), same, "left_anti").select(*keys)
         todo = settle(changed.join(leading, keys, "left_semi"), "todo", work)
     # One row per span is left; the tables of the rounds are not needed any more.
@@ -165,8 +194,14 @@ def _settled_starts(bars: DataFrame) -> DataFrame:
     return starts
 
 
-def with_sar(bars: DataFrame, reset: str = "none", spans: Spans = Spans()) -> DataFrame:
-    """Add ``parabolic_sar``; ``reset`` as for ``with_indicators``. One row per (symbol, time)."""
+def with_sar(bars: DataFrame, reset: str = "none", spans: Spans = Spans(), begins: DataFrame | None = None,
+             states: bool = False) -> DataFrame:
+    """Add ``parabolic_sar``; ``reset`` as for ``with_indicators``. One row per (symbol, time).
+
+    ``begins`` (``symbol`` and the columns ``FROM_STATE``) has the states that
+    symbols' series go on from. With ``states`` the columns ``AT_STATE`` hold the
+    state at the last row of every day, and sometimes of rows before it.
+    """
     columns = bars.columns
     bars = bars.where(F.col("symbol").isNotNull())
     if reset == "day":
@@ -174,10 +209,11 @@ def with_sar(bars: DataFrame, reset: str = "none", spans: Spans = Spans()) -> Da
         starts = bars.sparkSession.createDataFrame([], ENDS)
     elif reset == "none":
         cut = bars.withColumn("_span", spans.start())
-        starts = _settled_starts(cut.select("symbol", "_span", "time", "high", "low"))
+        starts = _settled_starts(cut.select("symbol", "_span", "time", "high", "low"), begins)
     else:
         raise ValueError(f"reset must be 'none' or 'day', not {reset!r}")
     keys = ["symbol", "_span", "time"]
+    at = ", ".join(f"{name} {'boolean' if name == 'at_up' else 'double'}" for name in AT_STATE)
     values = _per_span(cut.select(*keys, "high", "low"), starts, _values_of_span,
-                       "symbol string, _span bigint, time bigint, parabolic_sar double")
-    return cut.join(values, keys, "left").select(*columns, "parabolic_sar")
+                       f"symbol string, _span bigint, time bigint, parabolic_sar double, {at}")
+    return cut.join(values, keys, "left").select(*columns, "parabolic_sar", *(AT_STATE if states else []))

@@ -18,7 +18,7 @@ number of bars. Both places read one and the same shuffle by (symbol, span).
 """
 
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,17 +29,27 @@ from tickloom.session import settle
 
 @dataclass(frozen=True)
 class Spans:
-    """How series are cut: ``rows_per_span`` bars of ``width_seconds`` at most."""
+    """How series are cut: ``rows_per_span`` bars of ``width_seconds`` at most.
+
+    A span shorter than twice the look-back would be all edge, so windows refuse
+    it unless ``short`` allows it, for tests. At 40 times the look-back 5 % of the
+    rows are edge rows.
+    """
 
     width_seconds: int = 60
     rows_per_span: int = 43_200
+    short: bool = False
 
     @property
     def seconds(self) -> int:
         return self.width_seconds * self.rows_per_span
 
     def longer(self, times: int) -> "Spans":
-        return Spans(self.width_seconds, self.rows_per_span * times)
+        return replace(self, rows_per_span=self.rows_per_span * times)
+
+    def check(self, reach: int) -> None:
+        if self.rows_per_span < 2 * reach and not self.short:
+            raise ValueError(f"spans of {self.rows_per_span} rows are shorter than twice the look-back of {reach} rows")
 
     def start(self) -> Column:
         """Epoch second at which the span of a bar's ``time`` starts."""
@@ -68,6 +78,7 @@ def span_facts(
     Reads as few columns of the bars as these need. Fails where a span holds more
     bars than ``rows_per_span``: bars are then closer than ``width_seconds``.
     """
+    spans.check(reach)
     piece = Series(("symbol", "_span"))
     edges = [{"_pos": f"row_number() {piece.ordered}", "_tail": piece.lag("time", reach - 1)}]
     placed = run_families(bars.withColumn("_span", spans.start()), [edges, *families], keep=["_pos", "_tail"])

@@ -50,9 +50,9 @@ AS_OF = date(2024, 1, 30)
 
 PIVOT_COLUMNS = EXTENDED_INDICATORS[EXTENDED_INDICATORS.index("pivot"):]
 
-# Ten days of hourly bars to a span, so that series cross span borders.
-HOURLY_SPANS = Spans(width_seconds=HOUR, rows_per_span=240)
-DAILY_SPANS = Spans(width_seconds=DAY, rows_per_span=400)
+# A year of hourly bars and some twenty of daily ones: about 5 % of the rows of longer series are edge rows.
+HOURLY_SPANS = Spans(width_seconds=HOUR, rows_per_span=8_760)
+DAILY_SPANS = Spans(width_seconds=DAY, rows_per_span=8_000)
 
 
 # Sales prices are cents, of up to eight digits, so fewer decimals are certain.
@@ -219,22 +219,18 @@ def late_recompute(spark: SparkSession, folder: str) -> DataFrame:
     return present(store.read().select(*KEY_COLUMNS, "close", *CORE_INDICATORS))
 
 
-def late_mixed_batch(spark: SparkSession, folder: str) -> DataFrame:
-    """One batch holds the live bars of one symbol and a late bar of another.
+def late_offsets(spark: SparkSession, folder: str) -> DataFrame:
+    """A noon bar of every symbol's fifth day arrives after all others; all 39 columns of every row.
 
-    The live symbol has a bar every third hour only, so that its history reaches
-    far back; the batch's rows are those of one computation over all bars.
+    The bar's neighbours are written anew, the OBV of the rows after them comes
+    from offsets, and the SAR goes on from the day's stored state.
     """
     bars = stored_bars(spark, folder)
-    live, other = "click", "view"
-    hour = F.floor(F.col("time") / HOUR)
-    bars = bars.where(((F.col("symbol") == live) & (hour % 3 == 0)) | (F.col("symbol") == other))
-    newest_live = (F.col("symbol") == live) & (F.col("day") >= F.lit(AS_OF))
-    late = (F.col("symbol") == other) & (F.date_format("day", "dd") == "05") & (F.pmod(F.col("time"), F.lit(DAY)) == DAY // 2)
+    late = (F.date_format("day", "dd") == "05") & (F.pmod(F.col("time"), F.lit(DAY)) == DAY // 2)
     store = new_store(spark)
-    enrich_into(store, bars.where(~newest_live & ~late), "before", spans=HOURLY_SPANS)
-    enrich_into(store, bars.where(newest_live | late), "mixed", spans=HOURLY_SPANS)
-    return present(store.read().where(newest_live | late).select(*KEY_COLUMNS, "close", *CORE_INDICATORS))
+    enrich_into(store, bars.where(~late), "on-time", spans=HOURLY_SPANS)
+    enrich_into(store, bars.where(late), "late", recompute=True, spans=HOURLY_SPANS)
+    return present(store.read())
 
 
 def late_mixed_whole(spark: SparkSession, folder: str) -> DataFrame:
@@ -314,7 +310,7 @@ def report_stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return present(_run_to_table(spark, once, "dedup"))
 
 
-def report_stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
+def streamed_store(spark: SparkSession, folder: str) -> Store:
     """Messages arrive in three parts, each bar first with no volume; the stream
     is stopped and restarted from its checkpoint between the parts."""
     bars = stored_bars(spark, folder)
@@ -330,7 +326,16 @@ def report_stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
         query = stream_enrich(file_messages(spark, inbox, files_per_trigger=10_000), store, checkpoint,
                               order=("seq",), trigger={"availableNow": True}, spans=HOURLY_SPANS)
         query.awaitTermination()
-    return present(store.read().select(*KEY_COLUMNS, "close", *CORE_INDICATORS))
+    return store
+
+
+def report_stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
+    return present(streamed_store(spark, folder).read().select(*KEY_COLUMNS, "close", *CORE_INDICATORS))
+
+
+def stream_all_indicators(spark: SparkSession, folder: str) -> DataFrame:
+    """All 39 columns as the stream writes them: SAR and levels go on over its restarts."""
+    return present(streamed_store(spark, folder).read())
 
 
 def candles_1h(spark: SparkSession, folder: str) -> DataFrame:
@@ -374,7 +379,7 @@ REPORTS = {
     "enrich_batch": enrich_batch,
     "store_upsert": store_upsert,
     "late_recompute": late_recompute,
-    "late_mixed_batch": late_mixed_batch,
+    "late_offsets": late_offsets,
     "late_mixed_whole": late_mixed_whole,
     "latest_bars": _read(lambda bars: latest(bars, ["click", "view"], AS_OF, 3)),
     "day_bars": _read(lambda bars: day_bars(bars, "click", AS_OF, 10)),
@@ -385,4 +390,5 @@ REPORTS = {
     "stream_candles": report_stream_candles,
     "stream_dedup": report_stream_dedup,
     "stream_enrich": report_stream_enrich,
+    "stream_all_indicators": stream_all_indicators,
 }

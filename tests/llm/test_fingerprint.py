@@ -1,5 +1,7 @@
 import hashlib
 import random
+import string
+import zlib
 
 from tests.llm.helpers import documents, words
 from tickloom.llm.fingerprint import edit_distance, fingerprint, fingerprints, likeness
@@ -41,6 +43,42 @@ def test_boundaries_depend_on_nearby_bytes():
     assert size == later and marks[1:] == moved[-len(marks) + 1:]
 
 
+def plain_fingerprint(text):
+    """One byte after the other: the hash of the last seven bytes, and chunks cut where it has its form."""
+    raw, mask, hashes = text.encode(), (1 << 32) - 1, []
+    for i in range(len(raw)):
+        h = 0
+        for back in range(min(7, i + 1)):
+            h = (h + (raw[i - back] + 1) * pow(0x01000193, back + 1, 1 << 32)) & mask
+        h ^= h >> 15
+        h = h * 0x2C1B3C6D & mask
+        hashes.append(h ^ h >> 12)
+
+    def ends_at(h, size):
+        # The block sizes are 3, 6, 12, ...: a multiple of the size ends a chunk.
+        return h % size == 0
+
+    def signature(size):
+        marks, start = "", 0
+        for i, h in enumerate(hashes, 1):
+            if ends_at(h, size) or i == len(raw):
+                alphabet = string.ascii_uppercase + string.ascii_lowercase + string.digits + "+/"
+                marks += alphabet[zlib.crc32(raw[start:i]) * 0x9E3779B1 >> 20 & 63]
+                start = i
+        return marks
+
+    size = 3
+    while sum(ends_at(h, size) for h in hashes) > 64:
+        size *= 2
+    return f"{size}:{signature(size)}:{signature(2 * size)}"
+
+
+def test_fingerprint_equals_a_byte_by_byte_one():
+    texts = ["", "a", "abc", "abcdefgh", "🙂é" * 40, "a" * 3000, *(" ".join(words(40 + k, 3 ** k)) for k in range(8))]
+    for text in texts:
+        assert fingerprint(text) == plain_fingerprint(text), text[:40]
+
+
 def test_odd_texts():
     for text in ("", "a", "ab", "a" * 50_000, "\x00" * 500, "🙂" * 300, "abc" * 9_000):
         mark = fingerprint(text)

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from tests.llm.helpers import documents, words
 from tickloom.llm.shards import balanced_shards, difference
@@ -27,6 +28,29 @@ def test_differencing_is_tight():
     assert difference(np.array([5]), 3).tolist() == [0]
 
 
+def plain_differencing(sizes, shards):
+    """Partial partitions as lists of (sum, items), the two of largest spread combined until one is left."""
+    parts = [(k, [(size, [k])] + [(0, [])] * (shards - 1)) for k, size in enumerate(sizes)]
+    made = len(parts)
+    while len(parts) > 1:
+        parts.sort(key=lambda p: (p[1][-1][0] - p[1][0][0], p[0]))
+        (_, a), (_, b) = parts[:2]
+        both = [(x[0] + y[0], x[1] + y[1]) for x, y in zip(a, reversed(b), strict=True)]
+        parts = [*parts[2:], (made, sorted(both, key=lambda s: -s[0]))]
+        made += 1
+    return parts[0][1]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_differencing_equals_plain_differencing(seed):
+    rng = np.random.default_rng(seed)
+    shards, sizes = int(rng.integers(2, 7)), rng.integers(0, [5, 100, 10_000][seed % 3], int(rng.integers(1, 120)))
+    found = difference(sizes, shards)
+    want = plain_differencing(sizes.tolist(), shards)
+    assert sorted(np.bincount(found, weights=sizes, minlength=shards).tolist()) == sorted(float(s) for s, _ in want)
+    assert sorted(sorted(np.flatnonzero(found == k).tolist()) for k in range(shards)) == sorted(sorted(items) for _, items in want)
+
+
 def test_groups_stay_together_and_slots_are_gapless(spark):
     rows = [(i, " ".join(words(i % 60, 5 + i % 60))) for i in range(300)] + [(900, None), (901, None), (902, ""), (903, "é")]
     found = check(balanced_shards(documents(spark, rows, extra=("shard", "slot", "_key")), 4), rows, 4)

@@ -7,7 +7,7 @@ from series import START, assert_rows, bar, closes, core_by_hand, frame, random_
 from tickloom.operators.extended import channel, money_flow, stochastic, trend
 from tickloom.operators.indicators import REACH, with_indicators
 from tickloom.operators.pivots import pivot_levels, with_pivots
-from tickloom.operators.rolling import Series, run_families
+from tickloom.operators.rolling import Series, rolling_means, run_families
 from tickloom.operators.spans import Spans, over_spans
 from tickloom.schemas import CORE_INDICATORS, EXTENDED_INDICATORS
 
@@ -129,3 +129,17 @@ def test_all_columns_at_once(spark):
     assert set(CORE_INDICATORS + EXTENDED_INDICATORS) <= set(out.columns)
     late = out.orderBy(F.col("time").desc()).first()
     assert all(late[c] is not None for c in CORE_INDICATORS + EXTENDED_INDICATORS)
+
+
+def test_means_over_windows_of_any_size(spark):
+    """Sizes that blocks of 20 rows do not divide, over a series with NULLs, against plain frames."""
+    sizes = [7, 40, 41, 59, 60, 137, 200]
+    rows = random_rows("a", 330, 21)
+    series = Series(("symbol",))
+    found = run_families(frame(spark, rows), [rolling_means("close", sizes, series, lambda n: f"mean{n}")]).orderBy("time").collect()
+    values = [r[6] for r in sorted(rows, key=lambda r: r[2])]
+    for i, row in enumerate(found):
+        for n in sizes:
+            held = [v for v in values[max(0, i - n + 1):i + 1] if v is not None]
+            want = sum(held) / len(held) if held else None
+            assert (row[f"mean{n}"] is None) == (want is None) and (want is None or abs(row[f"mean{n}"] - want) < 1e-9)

@@ -57,23 +57,21 @@ def run_families(df: DataFrame, families: Iterable[Family], keep: Iterable[str]
 
 
 def _cut(size: int) -> list[tuple[int, int]]:
-    """``size`` rows as (block length, rows back) pieces."""
+    """``size`` rows as (block length, rows back) pieces: blocks of 20 rows and one of what is left."""
     twenties, rest = divmod(size, 20)
     pieces = [(20, 20 * i) for i in range(twenties)]
-    return pieces + ([(10, 20 * twenties)] if rest else [])
+    return pieces + ([(rest, 20 * twenties)] if rest else [])
 
 
 def rolling_means(value: str, sizes: Iterable[int], series: Series, name: Callable[[int], str]) -> Family:
     """``name(n)``: the mean of column ``value`` over the last n rows, for every n.
 
     A sliding frame is summed anew for every row, so a 200-row mean costs 200
-    additions per row. Sums of many rows are put together from sums of 20 and
-    10 instead, each a ``lag`` away: ten pieces make 200 rows. NULL values are
-    skipped; where a window holds nothing else the mean is NULL.
+    additions per row. Sums of many rows are put together from sums of 20 rows
+    and of the rest instead, each a ``lag`` away: ten pieces make 200 rows. NULL
+    values are skipped; where a window holds nothing else the mean is NULL.
     """
     long = [n for n in sizes if n > 40]
-    if any(n % 10 for n in long):
-        raise ValueError("windows of more than 40 rows must be multiples of 10")
 
     def total(block: int, back: int = 0) -> str:
         return f"_{value}_sum{block}" + (f"_back{back}" if back else "")
@@ -94,7 +92,7 @@ def rolling_means(value: str, sizes: Iterable[int], series: Series, name: Callab
         return [first]
     return [
         first
-        | {total(block): f"sum({value}) {series.last(block)}" for block in (10, 20)}
+        | {total(block): f"sum({value}) {series.last(block)}" for block in sorted({b for n in long for b, _ in _cut(n)})}
         | {count(): f"count({value}) {series.so_far}"},
         {},
         {total(block, back): series.lag(total(block), back) for block, back in lagged}

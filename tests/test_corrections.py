@@ -191,13 +191,13 @@ def test_a_one_bar_batch_takes_ten_jobs_at_most(spark, store):
 
 def test_small_batches_are_merged(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
-    rows = closes("a", [50.0 + i % 9 for i in range(40)])
-    write = batch_writer(store, ("seq",), lambda batch: "s", merge_from=6)
-    for number in range(20):
+    rows = closes("a", [50.0 + i % 9 for i in range(14)])
+    write = batch_writer(store, ("seq",), lambda batch: "s", merge_from=4)
+    for number in range(7):
         part = frame(spark, rows[2 * number:2 * number + 2])
         write(encode_messages(part).withColumn("seq", F.lit(number)), number)
-    assert len({r["batch"] for r in store.versions().select("batch").collect()}) <= 8
-    assert len({r["batch"] for r in spark.read.parquet(store.days_path).select("batch").collect()}) <= 8
+    assert len({r["batch"] for r in store.versions().select("batch").collect()}) <= 4
+    assert len({r["batch"] for r in spark.read.parquet(store.days_path).select("batch").collect()}) <= 4
     compare(store, whole(spark, rows, Spans()))
 
 

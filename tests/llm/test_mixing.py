@@ -113,3 +113,13 @@ def test_a_rare_source_runs_at_its_weight(spark):
 def test_mixture_refuses_bad_weights(spark):
     with pytest.raises(ValueError):
         mixed(documents(spark, [(1, None, None, "a")]), weights={"a": 0.0})
+
+
+def test_facts_of_sources_start_no_python_workers(spark):
+    from tickloom.llm.mixing import _facts
+
+    for sources in ({}, {"a": 3, "": 2**40}):
+        made = _facts(spark, sources, {"n": sources, "m": {"a": 1}})
+        assert {r["source"]: (r["n"], r["m"]) for r in made.collect()} == {s: (n, int(s == "a")) for s, n in sources.items()}
+        # A list would be an RDD that Python has pickled.
+        assert "LogicalRDD" not in made._jdf.queryExecution().logical().toString()

@@ -2,6 +2,7 @@ import random
 
 
 import numpy as np
+import pandas as pd
 import pytest
 import sentencepiece
 
@@ -82,3 +83,15 @@ def test_round_trip_in_spark(spark):
 
 def test_a_mark_in_the_text_is_reported(spark):
     assert encode_texts(documents(spark, [(1, "a▁b")]), piece_model()).first()["round_trip"] is False
+
+
+def test_other_operators_drop_the_model_from_a_worker(spark, monkeypatch):
+    from tickloom.llm import common
+    from tickloom.llm.ngram_join import Likeness, _packed_marks
+    from tickloom.llm.pieces import load_model
+
+    load_model(piece_model())
+    monkeypatch.setattr(common, "_returned", [float("-inf")])
+    batch = pd.DataFrame({"text": [" ".join(words(1, 40)).encode()]})
+    assert list(_packed_marks(5, Likeness(80), 1)(iter([batch])))
+    assert load_model.cache_info().currsize == 0 and common._returned[0] > 0

@@ -1,5 +1,10 @@
 """Helpers shared by the operators."""
 
+import ctypes
+import time
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -49,6 +54,37 @@ def id_remainder(column: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+#: What empties the caches that operators keep in a worker from one task to the next.
+_forgets: list[Callable[[], None]] = []
+#: Seconds between two returns of freed memory, and when the last one was.
+RETURN_EVERY = 1.0
+_returned = [float("-inf")]
+
+
+def kept_in_worker(forget: Callable[[], None]) -> None:
+    """Let ``release_memory`` empty a cache by ``forget``."""
+    _forgets.append(forget)
+
+
+def release_memory() -> None:
+    """Empty the caches of other operators in this worker, and give freed memory back to the system.
+
+    Workers live on from stage to stage. Without this each of them keeps the
+    models of earlier stages, and the memory of its largest task so far, next to
+    an executor's heap. Called by tasks of operators that keep nothing themselves.
+    """
+    for forget in _forgets:
+        forget()
+    now = time.monotonic()
+    if now - _returned[0] < RETURN_EVERY:
+        return
+    _returned[0] = now
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # of glibc
+        trim(0)
+
+
 #: Names of drawn rows that are sent to every task.
 BROADCAST_NAMES = 100_000
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import free_name, sampled
+from tickloom.llm.common import free_name, release_memory, sampled
 
 UNKNOWN = "und"
 BUCKETS = 4096
@@ -107,6 +107,7 @@ def cluster(rows: np.ndarray, count: int, seed: int, rounds: int = 8) -> np.ndar
 
 
 def _bucket_frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    release_memory()
     seen = np.zeros(BUCKETS, dtype=np.int64)
     rows = 0
     for batch in batches:

@@ -21,17 +21,18 @@ document of every source has been dealt once.
 """
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from fractions import Fraction
 from math import lcm
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickloom.llm.common import free_name
+from tickloom.llm.common import free_name, release_memory
 from tickloom.session import settle
 
 #: Slots of a segment.
@@ -87,6 +88,7 @@ def _segments(weights: dict[str, int], slots: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            release_memory()
             for start in (batch["id"] * SEGMENT_SLOTS).tolist():
                 yield pd.DataFrame(
                     list(schedule(weights, start, min(start + SEGMENT_SLOTS, slots))),
@@ -95,6 +97,17 @@ def _segments(weights: dict[str, int], slots: int):
     return run
 
 
+def _facts(spark: SparkSession, sources: Iterable[str], facts: dict[str, dict[str, int]]) -> DataFrame:
+    """A row per source with numbers by name, 0 where one is missing.
+
+    Made from an Arrow table: of a list, Spark would pickle the rows anew in
+    Python workers of their own, which stay next to those of the operators.
+    """
+    names = list(sources)
+    columns = {name: pa.array([of.get(s, 0) for s in names], pa.int64()) for name, of in facts.items()}
+    return spark.createDataFrame(pa.table({"source": pa.array(names, pa.string()), **columns}))
+
+
 def tempered(counts: dict[str, int], exponent: float) -> dict[str, float]:
     """Target weights: the sources' sizes to the power ``exponent``; 1 keeps their proportions, 0 makes them equal."""
     return {s: float(n) ** exponent for s, n in counts.items()}
@@ -135,13 +148,12 @@ def mixed(docs: DataFrame, *, weights: dict[str, float] | None = None, exponent:
         spark.range(segments, numPartitions=max(1, min(segments, 10_000))).mapInPandas(
             _segments(whole, most), "source string, block long, release long, deadline long, slot long"),
         "slots")
-    lasts = spark.createDataFrame([(s, n - 1) for s, n in blocks.items()], "source string, block long")
+    lasts = _facts(spark, blocks, {"block": {s: n - 1 for s, n in blocks.items()}})
     end = slots.join(lasts, ["source", "block"]).agg(F.max("slot")).first()[0]
     slots = slots.where(F.col("slot") <= F.lit(-1 if end is None else end))
     # Rows of a source that are dealt: whole blocks, some of them several times.
     dealt = {r["source"]: r["n"] * block_rows for r in slots.groupBy("source").agg(F.count("*").alias("n")).collect()}
-    sources = spark.createDataFrame(
-        [(s, n, dealt.get(s, 0)) for s, n in counts.items()], "source string, _rows long, _dealt long")
+    sources = _facts(spark, counts, {"_rows": counts, "_dealt": dealt})
     if len(counts) <= BROADCAST_SOURCES:
         sources = F.broadcast(sources)
 

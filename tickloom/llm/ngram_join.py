@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickloom.llm.common import Tables
+from tickloom.llm.common import Tables, release_memory
 from tickloom.llm.graph import components
 
 #: Linked sets differ in d slices at most; there are d / SPARE + 3 more than that.
@@ -235,6 +235,7 @@ def _with_classes(texts: DataFrame, size: int) -> DataFrame:
 
     @F.pandas_udf("n_shingles long, class long")
     def run(batch: pd.Series) -> pd.DataFrame:
+        release_memory()
         sets = [gram_set(text, size) for text in batch]
         return pd.DataFrame({
             "n_shingles": [len(s) for s in sets], "class": pd.array([_class_of(s) for s in sets], dtype="Int64")})
@@ -254,6 +255,7 @@ def _packed_marks(size: int, rule: Likeness, buckets: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         marks, needs, names, known = [], [], [], set()
         for batch in batches:
+            release_memory()
             for text in batch["text"]:
                 grams = gram_set(text, size)
                 name = _class_of(grams)
@@ -291,6 +293,7 @@ def _by_bucket(mark: np.ndarray, name: np.ndarray, need: np.ndarray, buckets: in
 
 def _shared_marks(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """The entries of a bucket whose mark several classes have; all of a batch's own part, where each is a repetition."""
+    release_memory()
     mark = np.frombuffer(b"".join(rows["marks"]), dtype=np.int64)
     name = np.frombuffer(b"".join(rows["classes"]), dtype=np.int64)
     need = np.frombuffer(b"".join(rows["needs"]), dtype=np.uint16)
@@ -356,6 +359,7 @@ def row_components(docs: DataFrame, *, words: int, percent: int) -> DataFrame:
 
     def grams_again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            release_memory()
             sets = [gram_set(t, words) for t in batch["text"]]
             # Another text may have the same key.
             right = [_class_of(s) == name for s, name in zip(sets, batch["class"], strict=True)]
@@ -493,6 +497,7 @@ def _joined(rows: DataFrame, candidates: DataFrame, key: str, rule: Likeness) ->
     """Links ``a``, ``b`` (classes) found by a prefix tree over every (key, part)."""
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
+        release_memory()
         block = block.drop_duplicates("class").sort_values("class", ignore_index=True)
         sets = [np.frombuffer(g, dtype=np.uint64) for g in block["grams"]]
         names = block["class"].tolist()

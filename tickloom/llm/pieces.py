@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-from tickloom.llm.common import free_name
+from tickloom.llm.common import free_name, kept_in_worker
 
 #: How the model file writes a mark; here it is the space that it stands for.
 SHOWN, MARK = "▁", " "
@@ -278,6 +278,9 @@ def load_model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
+kept_in_worker(load_model.cache_clear)
+
+
 def encode_texts(docs: DataFrame, model_path: str, *, check: bool = True) -> DataFrame:
     """``docs`` with ids (array<int>), n_tokens and, with ``check``, whether decoding gives the text back.
 

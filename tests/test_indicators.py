@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from series import START, assert_rows, bar, closes, core_by_hand, frame, random_rows
+from tickloom.functions.numbers import rounded
 from tickloom.operators.extended import channel, money_flow, stochastic, trend
 from tickloom.operators.indicators import REACH, with_indicators
 from tickloom.operators.pivots import pivot_levels, with_pivots
@@ -143,3 +144,23 @@ def test_means_over_windows_of_any_size(spark):
             held = [v for v in values[max(0, i - n + 1):i + 1] if v is not None]
             want = sum(held) / len(held) if held else None
             assert (row[f"mean{n}"] is None) == (want is None) and (want is None or abs(row[f"mean{n}"] - want) < 1e-9)
+
+
+def test_means_slide_over_five_rows_at_most():
+    """A sliding frame is summed anew for every row, so longer windows are put together by lags."""
+    steps = rolling_means("close", [5, 12, 20, 26, 50, 200], Series(("symbol",)), str)
+    frames = [text for step in steps for text in step.values() if text.startswith("sum(")]
+    assert frames and all(int(text.split("BETWEEN ")[1].split()[0]) <= 4 for text in frames)
+    assert not any("avg(" in text for step in steps for text in step.values())
+
+
+def test_rounded_equals_round(spark):
+    rnd = random.Random(11)
+    values = [rnd.uniform(-1, 1) * 10.0 ** rnd.randint(-12, 18) for _ in range(4_000)]
+    values += [rnd.randint(-10**7, 10**7) / 10.0**5 for _ in range(2_000)]
+    values += [(rnd.randint(-10**6, 10**6) + 0.5) / 10.0**k for k in (0, 4, 9) for _ in range(1_000)]
+    values += [0.0, -0.0, -1e-9, 0.49999999999999994, float("nan"), float("inf"), float("-inf"), None, 2.0**53, -1e300, 5e-324]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for decimals in (0, 4, 9):
+        both = df.select("x", rounded(F.col("x"), decimals).alias("a"), F.round("x", decimals).alias("b")).collect()
+        assert [r for r in both if repr(r.a) != repr(r.b)] == []

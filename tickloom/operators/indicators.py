@@ -32,9 +32,9 @@ def averages(series: Series) -> Family:
 
     steps = rolling_means("close", sorted({*MA_SIZES, MACD_FAST, MACD_SLOW}), series, name)
     # The signal line averages MACD lines, so it needs them as a column first.
-    steps[1] = {"macd_line": f"{name(MACD_FAST)} - {name(MACD_SLOW)}"}
-    steps[2] = steps[2] | {"macd_signal": f"avg(macd_line) {series.last(MACD_SIGNAL)}"}
-    steps[3] = steps[3] | {"macd_histogram": "macd_line - macd_signal"}
+    steps[3] = steps[3] | {"macd_line": f"{name(MACD_FAST)} - {name(MACD_SLOW)}"}
+    steps[4] = steps[4] | {"macd_signal": f"avg(macd_line) {series.last(MACD_SIGNAL)}"}
+    steps[5] = steps[5] | {"macd_histogram": "macd_line - macd_signal"}
     return steps
 
 
@@ -43,6 +43,7 @@ def bollinger(series: Series) -> Family:
     middle = f"ma{BOLLINGER_SIZE}"
     return [
         {"_spread": f"stddev_samp(close) {series.last(BOLLINGER_SIZE)}"},
+        {}, {}, {}, {},  # the mean is there after place 3
         {"bb_upper": f"{middle} + 2 * _spread", "bb_middle": middle,
          "bb_lower": f"{middle} - 2 * _spread"},
     ]

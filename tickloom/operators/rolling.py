@@ -57,20 +57,25 @@ def run_families(df: DataFrame, families: Iterable[Family], keep: Iterable[str]
 
 
 def _cut(size: int) -> list[tuple[int, int]]:
-    """``size`` rows as (block length, rows back) pieces: blocks of 20 rows and one of what is left."""
-    twenties, rest = divmod(size, 20)
-    pieces = [(20, 20 * i) for i in range(twenties)]
-    return pieces + ([(rest, 20 * twenties)] if rest else [])
+    """``size`` rows as (block length, rows back) pieces: blocks of 20 rows if they are many, of 5, and one of what is left."""
+    pieces, back = [], 0
+    for block in (20, 5) if size > 40 else (5,):
+        while size - back >= block:
+            pieces.append((block, back))
+            back += block
+    return pieces + ([(size - back, back)] if size > back else [])
 
 
 def rolling_means(value: str, sizes: Iterable[int], series: Series, name: Callable[[int], str]) -> Family:
     """``name(n)``: the mean of column ``value`` over the last n rows, for every n.
 
     A sliding frame is summed anew for every row, so a 200-row mean costs 200
-    additions per row. Sums of many rows are put together from sums of 20 rows
-    and of the rest instead, each a ``lag`` away: ten pieces make 200 rows. NULL
+    additions per row. Only sums of up to five rows slide; sums of 20 rows are put
+    together from four of these, each a ``lag`` away, and longer ones from both.
+    Means of up to 40 rows are there after place 3, others after place 5. NULL
     values are skipped; where a window holds nothing else the mean is NULL.
     """
+    sizes = list(sizes)
     long = [n for n in sizes if n > 40]
 
     def total(block: int, back: int = 0) -> str:
@@ -79,23 +84,30 @@ def rolling_means(value: str, sizes: Iterable[int], series: Series, name: Callab
     def count(back: int = 0) -> str:
         return f"_{value}_count" + (f"_back{back}" if back else "")
 
+    def added(pieces: list[tuple[int, int]]) -> str:
+        # Rows before the start of the series add nothing.
+        return " + ".join(f"coalesce({total(*piece)}, 0D)" for piece in pieces)
+
     def mean(n: int) -> str:
-        # Rows before the start of the series add nothing. How many values a
-        # window holds is exact as a difference of running counts.
-        rows_total = " + ".join(f"coalesce({total(*piece)}, 0D)" for piece in _cut(n))
+        # How many values a window holds is exact as a difference of running counts.
         held = f"({count()} - coalesce({count(n)}, 0))"
-        return f"CASE WHEN {held} > 0 THEN ({rows_total}) / {held} END"
+        return f"CASE WHEN {held} > 0 THEN ({added(_cut(n))}) / {held} END"
 
-    lagged = sorted({piece for n in long for piece in _cut(n) if piece[1]})
-    first = {name(n): f"avg({value}) {series.last(n)}" for n in sizes if n not in long}
+    pieces = {piece for n in sizes for piece in _cut(n)} | ({*_cut(20)} if long else set())
+    slid = sorted({block for block, _ in pieces if block < 20})
+    lagged = sorted(piece for piece in pieces if piece[1])
+    steps = [
+        {total(block): f"sum({value}) {series.last(block)}" for block in slid} | {count(): f"count({value}) {series.so_far}"},
+        {},
+        {total(block, back): series.lag(total(block), back) for block, back in lagged if block < 20}
+        | {count(n): series.lag(count(), n) for n in sizes},
+        {name(n): mean(n) for n in sizes if n not in long},
+    ]
     if not long:
-        return [first]
+        return steps
+    steps[3][total(20)] = added(_cut(20))
     return [
-        first
-        | {total(block): f"sum({value}) {series.last(block)}" for block in sorted({b for n in long for b, _ in _cut(n)})}
-        | {count(): f"count({value}) {series.so_far}"},
-        {},
-        {total(block, back): series.lag(total(block), back) for block, back in lagged}
-        | {count(n): series.lag(count(), n) for n in long},
+        *steps,
+        {total(block, back): series.lag(total(block), back) for block, back in lagged if block == 20},
         {name(n): mean(n) for n in long},
     ]

@@ -13,9 +13,12 @@ from pyspark.sql import types as T
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every job here relies on.
 
-    Days and times are UTC days and times, whatever the cluster's zone.
+    Days and times are UTC days and times, whatever the cluster's zone. The JVM
+    never compiles methods of more than 8,000 bytes, which one generated function
+    for all indicators of a row is; Spark cuts it into small ones beyond this limit.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
